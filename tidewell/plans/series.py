@@ -244,7 +244,7 @@ def future_stamps(spark, sf):
       CASE WHEN 100 * (section2_rmse - section1_rmse) / section1_rmse > 1 THEN 'retrain' ELSE 'keep' END AS recommendation FROM p""",
 )
 def drift_report(spark, sf):
-    e = _events(spark, sf).join(table(spark, sf, "events").select("event_id", k_value().alias("k")), "event_id")
+    e = table(spark, sf, "events").select("event_type", "event_id", "ts", "value", k_value().alias("k"))
     out = T.drift_report(e, "value", "k", ["ts", "event_id"], "event_type", warn_pct=1.0)
     nums = [c for c in out.columns if c not in ("event_type", "section1_n", "section2_n", "recommendation")]
     return rounded(out, 4, *nums)
