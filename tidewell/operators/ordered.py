@@ -54,15 +54,15 @@ def with_position(df: DataFrame, order_by, by=None, name: str = "rn") -> DataFra
     order = _order(order_by)
     ranged = df.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys], *order)
     ranged = ranged.sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys], *order)
-    ranged = settle(ranged.withColumn("__m", F.monotonically_increasing_id()))
-    ranged = ranged.withColumn("__p", F.shiftright("__m", 33))
-    starts = ranged.groupBy(*keys, "__p").agg(F.count(F.lit(1)).alias("__c"), F.min("__m").alias("__m0"))
-    before = Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = settle(ranged.withColumn("__wp_m", F.monotonically_increasing_id()))
+    ranged = ranged.withColumn("__wp_part", F.shiftright("__wp_m", 33))
+    starts = ranged.groupBy(*keys, "__wp_part").agg(F.count(F.lit(1)).alias("__wp_c"), F.min("__wp_m").alias("__wp_m0"))
+    before = Window.partitionBy(*keys).orderBy("__wp_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = starts.select(
-        *keys, "__p", (F.coalesce(F.sum("__c").over(before), F.lit(0)) - F.col("__m0") + 1).alias("__shift")
+        *keys, "__wp_part", (F.coalesce(F.sum("__wp_c").over(before), F.lit(0)) - F.col("__wp_m0") + 1).alias("__wp_shift")
     )
-    out = join_on_keys(ranged, starts, [*keys, "__p"])
-    return out.withColumn(name, F.col("__m") + F.col("__shift")).drop("__m", "__p", "__shift")
+    out = join_on_keys(ranged, starts, [*keys, "__wp_part"])
+    return out.withColumn(name, F.col("__wp_m") + F.col("__wp_shift")).drop("__wp_m", "__wp_part", "__wp_shift")
 
 
 def neighbours(

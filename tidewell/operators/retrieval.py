@@ -136,6 +136,55 @@ def _scan_vectors(vecs: DataFrame, block: list, k: int, metric: str, id_col: str
     return vecs.select(id_col, vec).mapInPandas(run, schema)
 
 
+def knn_blocks(
+    queries: DataFrame, vecs: DataFrame, k: int, metric: str, id_col: str, vec: str, query: str, query_vec: str,
+    by: str | None = None, skip_self: bool = False, block: int = 2048,
+) -> DataFrame:
+    """Exact nearest vectors for many queries, inside the same ``by`` value if given.
+
+    Both sides are cut into blocks of equal size and every two blocks meet in one task, which
+    hands on the best ``k`` per query.  A large group is more blocks, never a larger task.
+    """
+    keys = [by] if by else []
+    cut = lambda df, key, name: with_position(df, [key], keys, "__rn").withColumn(name, F.floor((F.col("__rn") - 1) / block))
+    q = cut(queries.select(*keys, F.col(query).alias("__qid"), F.col(query_vec).alias("__q")), "__qid", "__qb")
+    v = cut(vecs.select(*keys, F.col(id_col).alias("__vid"), F.col(vec).alias("__v")), "__vid", "__vb")
+
+    def meet(df: DataFrame, other: DataFrame, mine: str, theirs: str) -> DataFrame:
+        sizes = other.groupBy(*keys).agg(F.max(theirs).alias("__top"))
+        df = df.join(sizes, keys) if keys else df.withColumn("__top", sizes.scalar())
+        return df.withColumn(theirs, F.explode(F.sequence(F.lit(0).cast("bigint"), "__top"))).drop("__top", "__rn")
+
+    on = [*keys, "__qb", "__vb"]
+    schema = T.StructType(
+        [T.StructField(query, queries.schema[query].dataType), T.StructField(id_col, vecs.schema[id_col].dataType), T.StructField("distance", T.DoubleType())]
+    )
+
+    def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({query: [], id_col: [], "distance": []})
+        if left.empty or right.empty:
+            return empty
+        m = np.stack(right["__v"].to_numpy()).astype(np.float64)
+        ids = right["__vid"].to_numpy()
+        norms = np.maximum(np.linalg.norm(m, axis=1), 1e-300)
+        parts = []
+        for name, one in zip(left["__qid"], left["__q"]):
+            one = np.asarray(one, dtype=np.float64)
+            if metric == "cosine":
+                d = 1.0 - (m @ one) / (norms * max(np.linalg.norm(one), 1e-300))
+            else:
+                d = np.sqrt(((m - one) ** 2).sum(axis=1))
+            use = np.flatnonzero(ids != name) if skip_self else np.arange(len(ids))
+            near = use[np.lexsort((ids[use], d[use]))[:k]]
+            parts.append(pd.DataFrame({query: name, id_col: ids[near], "distance": d[near]}))
+        return pd.concat(parts) if parts else empty
+
+    left, right = meet(q, v, "__qb", "__vb"), meet(v, q, "__vb", "__qb")
+    near = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(nearest, schema)
+    w = Window.partitionBy(query).orderBy("distance", id_col)
+    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
 def vector_topk(
     vecs: DataFrame,
     queries: DataFrame,
@@ -148,24 +197,13 @@ def vector_topk(
 ) -> DataFrame:
     """Exact nearest vectors per query by ``l2`` or ``cosine`` distance, ties by id.
 
-    Query vectors travel with the task, at most ``QUERY_BLOCK`` at a time: more queries
-    become more passes over the vectors, so the size sent out stays fixed.
+    Up to ``QUERY_BLOCK`` query vectors are sent to every task, which keeps its best ``k``;
+    a larger set of queries is joined block by block instead.
     """
-    q = queries.select(query, query_vec)
-    kind = queries.schema[query].dataType
-    n = q.count()
-    if n <= QUERY_BLOCK:
-        blocks = [q.collect()]
-    else:
-        placed = with_position(q, [query], name="__rn")
-        blocks = (
-            placed.filter((F.col("__rn") > i) & (F.col("__rn") <= i + QUERY_BLOCK)).select(query, query_vec).collect()
-            for i in range(0, n, QUERY_BLOCK)
-        )
-    near = None
-    for block in blocks:
-        one = _scan_vectors(vecs, block, k, metric, id_col, vec, query, kind)
-        near = one if near is None else near.unionByName(one)
+    some = queries.select(query, query_vec).limit(QUERY_BLOCK + 1).collect()
+    if len(some) > QUERY_BLOCK:
+        return knn_blocks(queries, vecs, k, metric, id_col, vec, query, query_vec)
+    near = _scan_vectors(vecs, some, k, metric, id_col, vec, query, queries.schema[query].dataType)
     w = Window.partitionBy(query).orderBy("distance", id_col)
     return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 

@@ -1 +1,75 @@
+"""Models on the driver tables.  Their fitted numbers have no SQL form; the metrics they report do (see features)."""
 
+from pyspark.sql import functions as F
+
+from ..operators import models as M
+from .aggregates import rounded
+from .registry import query, table
+
+TEXT = ["n_chars", "n_words", "word_length", "distinct_share", "digit_share", "symbol_share", "n_lines"]
+NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
+
+
+def _labelled(spark, sf):
+    feats = M.text_features(table(spark, sf, "documents"), "doc_id", "text")
+    return feats.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+
+
+@query("classify_report")
+def classify_report(spark, sf):
+    return M.supervised_report(_labelled(spark, sf), "doc_id", TEXT, "quality")
+
+
+@query("regress_report")
+def regress_report(spark, sf):
+    feats = M.text_features(table(spark, sf, "documents"), "doc_id", "text")
+    return M.supervised_report(feats, "doc_id", [c for c in TEXT if c != "n_words"], "n_words", models=["linear", "random_forest"])
+
+
+@query("model_select")
+def model_select(spark, sf):
+    return M.model_select(_labelled(spark, sf), "doc_id", TEXT, "quality", {"numTrees": [5, 15], "maxDepth": [3, 6]}, k=3)
+
+
+@query("importance_prune")
+def importance_prune(spark, sf):
+    li = table(spark, sf, "lineitem").select(*NUM, (F.col("l_returnflag") == "R").cast("int").alias("returned"))
+    return M.importance_prune(li, NUM, "returned", 0.25)
+
+
+@query("oof_scores")
+def oof_scores(spark, sf):
+    return M.oof_scores(_labelled(spark, sf), "doc_id", TEXT, "quality", k=3, n_models=2)
+
+
+@query("smote")
+def smote(spark, sf):
+    v = table(spark, sf, "embeddings").select("vec_id", F.col("label"), "embedding")
+    out = M.smote(v, "vec_id", "label", "embedding")
+    return out.select("vec_id", "label", F.col("embedding")[0].alias("first_value"))
+
+
+@query(
+    "smote_balance",
+    """SELECT label, count(*)::BIGINT AS n_before, (SELECT max(n) FROM (SELECT count(*) AS n FROM embeddings GROUP BY label))::BIGINT AS n_after
+    FROM embeddings GROUP BY label""",
+)
+def smote_balance(spark, sf):
+    v = table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    out = M.smote(v, "vec_id", "label", "embedding")
+    return out.groupBy("label").agg(
+        F.count_if(~F.startswith(F.col("vec_id"), F.lit("new"))).alias("n_before"), F.count(F.lit(1)).alias("n_after")
+    )
+
+
+@query("isolation_scores")
+def isolation_scores(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return rounded(M.isolation_scores(li, ["l_orderkey", "l_linenumber", "l_partkey"], NUM), 9, "score")
+
+
+@query("retrain_lag_linear")
+def retrain_lag_linear(spark, sf):
+    e = table(spark, sf, "events").select("event_type", "event_id", "ts", "value")
+    late = F.col("ts") >= F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    return M.retrain_lag_linear(e.withColumn("late", late), "value", ["ts", "event_id"], "event_type", 4, "late")

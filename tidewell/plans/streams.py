@@ -1 +1,73 @@
+"""Streaming jobs over the driver tables, read as file streams."""
 
+from pyspark.sql import functions as F
+
+from ..streaming import jobs as ST
+from .aggregates import K_SQL, LIMITS_SQL, k_value, limits, rounded
+from .registry import query, table
+
+HOUR = 3_600_000_000
+
+
+def _stream(spark, sf, name):
+    return ST.stream_files(spark, sf, table(spark, sf, name), f"{name}.parquet")
+
+
+@query(
+    "stream_hourly_rate",
+    """SELECT event_type, date_trunc('hour', ts) AS bin, sum((event_id % 7 = 0)::INT)::BIGINT AS flagged, count(*)::BIGINT AS total,
+      round(100.0 * sum((event_id % 7 = 0)::INT) / count(*), 6) AS rate FROM events GROUP BY 1, 2""",
+)
+def stream_hourly_rate(spark, sf):
+    s = ST.hourly_rate(_stream(spark, sf, "events"), "ts", "event_type", F.col("event_id") % 7 == 0)
+    return rounded(ST.run_update(s, ST.job_folder(spark, "hourly"), ["event_type", "bin"]), 6, "rate")
+
+
+@query(
+    "stream_alerts",
+    f"""SELECT event_id, r.event_type, r.param, reading FROM (SELECT event_id, event_type, 'value' AS param, value AS reading FROM events
+      UNION ALL SELECT event_id, event_type, 'k', {K_SQL} FROM events) r JOIN {LIMITS_SQL} USING (event_type, param) WHERE reading < lower OR reading > upper""",
+)
+def stream_alerts(spark, sf):
+    e = _stream(spark, sf, "events").withColumn("k", k_value())
+    return ST.run_append(ST.alerts(e, limits(spark), "event_type", ["value", "k"], ["event_id"]), ST.job_folder(spark, "alerts"))
+
+
+@query("stream_dedupe", "SELECT DISTINCT user_id, event_type, date_trunc('day', ts)::TIMESTAMP AS day FROM events")
+def stream_dedupe(spark, sf):
+    s = ST.distinct_per_day(_stream(spark, sf, "events"), ["user_id", "event_type"], "ts")
+    return ST.run_append(s, ST.job_folder(spark, "dedupe"))
+
+
+@query(
+    "stream_corpus_add",
+    """SELECT doc_id, source FROM documents d WHERE lang <> 'en' AND text NOT IN (SELECT text FROM documents WHERE lang = 'en')
+    QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""",
+)
+def stream_corpus_add(spark, sf):
+    s = _stream(spark, sf, "documents").select("doc_id", "text", "source")
+    seed = table(spark, sf, "documents").filter("lang = 'en'")
+    return ST.corpus_add(s, seed, "text", ["doc_id"], ST.job_folder(spark, "corpus")).select("doc_id", "source")
+
+
+@query(
+    "stream_session_history",
+    """WITH r AS (SELECT user_id, ts, event_type || ':' || event_id AS line, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) AS b,
+      count(*) OVER (PARTITION BY user_id) AS n FROM events)
+    SELECT user_id, count(*)::BIGINT AS n_lines, any_value(n)::BIGINT AS n_total, string_agg(line, chr(10) ORDER BY ts) AS history FROM r WHERE b <= 20 GROUP BY user_id""",
+)
+def stream_session_history(spark, sf):
+    e = _stream(spark, sf, "events").withColumn("line", F.concat_ws(":", "event_type", F.col("event_id").cast("string")))
+    return ST.run_update(ST.session_history(e, "user_id", "ts", "line"), ST.job_folder(spark, "history"), ["user_id"])
+
+
+@query(
+    "stream_drift",
+    f"""WITH s AS (SELECT event_type, value - {K_SQL} AS e, unnest([0, 1, 2, 3]) AS i, epoch_us(ts) AS t FROM events)
+    SELECT event_type, make_timestamp((t // {6 * HOUR} - i) * {6 * HOUR}) AS bin, count(*)::BIGINT AS n, round(avg(abs(e)), 4) AS mae, round(sqrt(avg(e * e)), 4) AS rmse
+    FROM s GROUP BY 1, 2""",
+)
+def stream_drift(spark, sf):
+    e = _stream(spark, sf, "events").withColumn("k", k_value())
+    s = ST.sliding_error(e, "ts", "event_type", "value", "k")
+    return rounded(ST.run_update(s, ST.job_folder(spark, "drift"), ["event_type", "bin"]), 4, "mae", "rmse")
