@@ -87,10 +87,9 @@ def absolute_images(c, folder: str, base: str) -> Column:
 def parse_score(c) -> Column:
     """``score`` of a JSON object (0.0 without one), else the first 0..1 number, else 0.0."""
     text = _col(c)
-    v = F.try_parse_json(text)
     found = F.nullif(F.regexp_extract(text, r"(0(\.[0-9]+)?|1(\.0+)?)", 1), F.lit("")).try_cast("double")
     member = F.get_json_object(text, "$.score")
-    is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    is_object = F.json_object_keys(text).isNotNull()
     from_object = F.when(member.isNull(), F.lit(0.0)).otherwise(F.coalesce(member.try_cast("double"), found, F.lit(0.0)))
     return F.when(is_object, from_object).otherwise(F.coalesce(found, F.lit(0.0)))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import strings as S
+from ..session import spread
 from .ordered import _names, join_on_keys, with_position
 
 # Separator orders of the plain and the heading-first splitter.
@@ -93,7 +94,7 @@ def chunk_recursive(
                 }
             )
 
-    return df.select(id_col, text).mapInPandas(cut, schema)
+    return spread(df.select(id_col, text)).mapInPandas(cut, schema)
 
 
 def char_vocab(df: DataFrame, text: str) -> DataFrame:
@@ -259,8 +260,8 @@ def sentences(c) -> Column:
 
 def extractive_summary(df: DataFrame, id_col: str, text: str, size: int = 2000, per_chunk: int = 2) -> DataFrame:
     """Best sentences of each chunk by term frequency, joined in order per document."""
-    spread = df.select(id_col, text).repartition(id_col)
-    sent = chunk_fixed(spread, id_col, text, size, 0).select(
+    local = df.select(id_col, text).repartition(id_col)
+    sent = chunk_fixed(local, id_col, text, size, 0).select(
         id_col, "chunk_index", F.posexplode(sentences("text")).alias("pos", "sentence")
     )
     words = sent.select(id_col, "chunk_index", "pos", F.explode(S.tokens("sentence")).alias("token"))

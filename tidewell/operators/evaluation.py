@@ -83,10 +83,14 @@ def context_fallback(lists: Sequence[Column], k: int = 4, max_chars: int = 800)
     return F.transform(kept, lambda x: F.substring(x, 1, max_chars))
 
 
-def _grams(c: Column) -> Column:
-    words = F.regexp_extract_all(F.lower(c), F.lit(PAIR_TOKENS), F.lit(1))
-    twos = F.transform(words, lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)))
-    return F.concat(words, F.slice(twos, 1, F.greatest(F.size(words) - 1, F.lit(0))))
+def _words(c: Column) -> Column:
+    return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(PAIR_TOKENS), F.lit(1))
+
+
+def _grams(words: str) -> Column:
+    """Words and neighbouring pairs of a word array column."""
+    pairs = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.concat(F.col(words), F.zip_with(F.slice(words, 1, pairs), F.slice(words, 2, pairs), lambda a, b: F.concat_ws(" ", a, b)))
 
 
 def tfidf_pairs(df: DataFrame, id_cols: Sequence[str], pairs: Mapping[str, tuple[Column, Column]]) -> DataFrame:
@@ -98,8 +102,9 @@ def tfidf_pairs(df: DataFrame, id_cols: Sequence[str], pairs: Mapping[str, tuple
     stacked = df.repartition(*ids).select(
         *ids, F.inline(F.array(*[F.struct(F.lit(n).alias("pair"), a.alias("a"), b.alias("b")) for n, (a, b) in pairs.items()]))
     )
-    side = lambda c, x, y: F.transform(_grams(F.coalesce(c, F.lit(""))), lambda t: F.struct(t.alias("t"), F.lit(x).alias("x"), F.lit(y).alias("y")))
-    terms = stacked.select(*ids, "pair", F.inline(F.concat(side(F.col("a"), 1, 0), side(F.col("b"), 0, 1))))
+    sides = F.array(F.struct(F.lit(1).alias("x"), F.lit(0).alias("y"), F.col("a").alias("s")), F.struct(F.lit(0).alias("x"), F.lit(1).alias("y"), F.col("b").alias("s")))
+    words = stacked.select(*ids, "pair", F.inline(sides)).select(*ids, "pair", "x", "y", _words(F.col("s")).alias("w"))
+    terms = words.select(*ids, "pair", "x", "y", F.explode(_grams("w")).alias("t"))
     counts = terms.groupBy(*ids, "pair", "t").agg(F.sum("x").alias("x"), F.sum("y").alias("y"))
     only = F.lit(1.0) + F.ln(F.lit(1.5))
     both = (F.col("x") > 0) & (F.col("y") > 0)

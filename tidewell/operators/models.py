@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import det
-from ..session import settle
+from ..session import settle, spread
 from .features import avg_precision, bootstrap, confusion, regression_report, roc_auc, split, stratified_folds
 from .ordered import with_position
 from .relational import numeric_columns
@@ -31,7 +31,8 @@ MANY_CLASSES = 20
 def text_features(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """Plain numeric features of a text, computed without leaving the JVM."""
     t = F.col(text)
-    words = F.regexp_extract_all(t, F.lit(r"(\S+)"), F.lit(1))
+    df = spread(df.select(id_col, text)).withColumn("__w", F.regexp_extract_all(t, F.lit(r"(\S+)"), F.lit(1)))
+    words = F.col("__w")
     n = F.greatest(F.length(t), F.lit(1))
     share = lambda p: F.length(F.regexp_replace(t, p, "")) / n
     return df.select(
@@ -120,7 +121,7 @@ def supervised_report(
     data = assemble(parts, features, [id_col, "label", "part"])
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(data.filter("part = 'train'"))
     data = scaler.transform(data).drop("features").withColumnRenamed("scaled", "features")
-    train, test = data.filter("part = 'train'"), data.filter("part = 'test'")
+    train, test = data.filter("part = 'train'").persist(), data.filter("part = 'test'")
     every = _classifiers(len(features), len(classes), seed) if task == "classification" else _regressors(seed)
     out: list[tuple[str, str, float]] = []
     for name, model in every.items():
@@ -139,6 +140,7 @@ def supervised_report(
         out += [(name, m, v) for m, v in _binary_metrics(scored).items()]
         for m, op in (("roc_auc", roc_auc), ("avg_precision", avg_precision)):
             out.append((name, m, op(scored, "label", "p").first()[0]))
+    train.unpersist()
     return _report(spark, out)
 
 
@@ -163,7 +165,7 @@ def model_select(df: DataFrame, id_col: str, features: Sequence[str], label: str
 def importance_prune(df: DataFrame, features: Sequence[str], label: str, ratio: float = 0.20, seed: int = 42) -> DataFrame:
     """Features by importance of one forest; the bottom ``int(n * ratio)`` are not kept."""
     spark = df.sparkSession
-    data = assemble(df.withColumn("label", F.col(label).cast("double")), features, ["label"])
+    data = assemble(spread(df.select(*features, F.col(label).cast("double").alias("label"))), features, ["label"])
     weights = RandomForestClassifier(numTrees=20, maxDepth=5, seed=seed).fit(data).featureImportances.toArray()
     order = sorted(range(len(features)), key=lambda i: (weights[i], i))
     cut = int(len(features) * ratio)
@@ -245,30 +247,32 @@ def _expected_path(n: np.ndarray) -> np.ndarray:
     return out
 
 
-def _grow_tree(x: np.ndarray, rng: np.random.Generator, limit: int) -> dict[str, list]:
-    """Random isolation tree in flat lists.  Leaves point to themselves and carry their path length."""
-    tree: dict[str, list] = {"feature": [], "cut": [], "left": [], "right": [], "path": []}
+def _grow_tree(x: np.ndarray, rng: np.random.Generator, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Random isolation tree of full depth: node i has children 2i+1 and 2i+2.
 
-    def node(rows: np.ndarray, depth: int) -> int:
-        me = len(tree["feature"])
-        for name, value in (("feature", 0), ("cut", float("inf")), ("left", me), ("right", me), ("path", 0.0)):
-            tree[name].append(value)
+    Below a leaf every row keeps left, so that after ``limit`` steps each row stands on a
+    last-level node holding its path length.
+    """
+    nodes = 2 ** (limit + 1) - 1
+    feature, cut, path = np.zeros(nodes, np.int32), np.full(nodes, np.inf), np.zeros(nodes)
+
+    def fill(me: int, rows: np.ndarray, depth: int) -> None:
         part = x[rows]
-        lo, hi = part.min(axis=0), part.max(axis=0)
-        usable = np.flatnonzero(hi > lo)
-        if depth >= limit or len(rows) <= 1 or not len(usable):
-            tree["path"][me] = depth + float(_expected_path(np.array([len(rows)]))[0])
-            return me
+        usable = np.flatnonzero(part.max(axis=0) > part.min(axis=0)) if len(rows) > 1 and depth < limit else []
+        if not len(usable):
+            last = me
+            for _ in range(limit - depth):
+                last = 2 * last + 1
+            path[last] = depth + float(_expected_path(np.array([len(rows)]))[0])
+            return
         f = int(rng.choice(usable))
-        cut = float(rng.uniform(lo[f], hi[f]))
-        below = part[:, f] <= cut
-        tree["feature"][me], tree["cut"][me] = f, cut
-        tree["left"][me] = node(rows[below], depth + 1)
-        tree["right"][me] = node(rows[~below], depth + 1)
-        return me
+        feature[me], cut[me] = f, rng.uniform(part[:, f].min(), part[:, f].max())
+        below = part[:, f] <= cut[me]
+        fill(2 * me + 1, rows[below], depth + 1)
+        fill(2 * me + 2, rows[~below], depth + 1)
 
-    node(np.arange(len(x)), 0)
-    return tree
+    fill(0, np.arange(len(x)), 0)
+    return feature, cut, path
 
 
 def isolation_scores(
@@ -281,8 +285,9 @@ def isolation_scores(
     """
     spark = df.sparkSession
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    feats = list(features)
-    numbers = df.select(*ids, *[F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(0.0)).alias(c) for c in feats])
+    feats = [f"__x{i}" for i in range(len(features))]
+    number = lambda c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(0.0))
+    numbers = df.select(*ids, *[number(c).alias(n) for c, n in zip(features, feats)])
     draw = det.hash52(F.concat_ws("|", *[F.col(c).cast("string") for c in [*ids, *feats]]), str(seed))
     pool = numbers.select(*feats, draw.alias("__d")).orderBy("__d", *feats).limit(trees * sample).toPandas()[feats].to_numpy(np.float64)
     size = min(sample, len(pool))
@@ -294,12 +299,11 @@ def isolation_scores(
             for t in b["id"]:
                 rng = np.random.default_rng([seed, int(t)])
                 made.append(_grow_tree(pool[rng.choice(len(pool), size, replace=False)], rng, limit))
-            yield pd.DataFrame({"id": b["id"].to_numpy(), **{n: [m[n] for m in made] for n in ("feature", "cut", "left", "right", "path")}})
+            yield pd.DataFrame({"id": b["id"].to_numpy(), **{n: [m[i] for m in made] for i, n in enumerate(("feature", "cut", "path"))}})
 
-    kinds = "id bigint, feature array<int>, cut array<double>, left array<int>, right array<int>, path array<double>"
+    grown = spark.range(trees).repartition(min(trees, 32)).mapInPandas(grow, "id bigint, feature array<int>, cut array<double>, path array<double>")
     forest = [
-        tuple(np.asarray(r[n]) for n in ("feature", "cut", "left", "right", "path"))
-        for r in spark.range(trees).repartition(min(trees, 32)).mapInPandas(grow, kinds).orderBy("id").collect()
+        (np.asarray(r["feature"], np.int64), np.asarray(r["cut"]), np.asarray(r["path"])) for r in grown.orderBy("id").collect()
     ]
     shared = spark.sparkContext.broadcast(forest)
     norm = float(_expected_path(np.array([size]))[0]) or 1.0
@@ -307,19 +311,20 @@ def isolation_scores(
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            x = b[feats].to_numpy(np.float64)
-            rows = np.arange(len(x))
+            x = np.ascontiguousarray(b[feats].to_numpy(np.float64))
+            flat, rows = x.ravel(), np.arange(len(x)) * len(feats)
             depth = np.zeros(len(x))
-            for feature, cut, left, right, path in shared.value:
+            for feature, cut, path in shared.value:
                 at = np.zeros(len(x), dtype=np.int64)
                 for _ in range(limit):
-                    at = np.where(x[rows, feature[at]] <= cut[at], left[at], right[at])
-                depth += path[at]
+                    above = flat.take(rows + feature.take(at)) > cut.take(at)
+                    at = 2 * at + 1 + above
+                depth += path.take(at)
             out = b[ids].copy()
             out["score"] = 2.0 ** (-depth / (len(shared.value) * norm))
             yield out
 
-    return numbers.mapInPandas(score, schema)
+    return spread(numbers).mapInPandas(score, schema)
 
 
 # -- lag-linear series model -------------------------------------------------------------

@@ -121,18 +121,20 @@ def scan(
         *[seen(c, F.min_by).alias(c) for c in f_cols],
     )
     w = Window.partitionBy(*keys).orderBy("__run")
-    past, future = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    past = w.rowsBetween(Window.unboundedPreceding, -1)
+    # "Next" is "last" in descending order: a frame that only shrinks is recomputed for every row.
+    future = Window.partitionBy(*keys).orderBy(F.desc("__run")).rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.select(
         *keys,
         "__run",
         *[F.sum(c).over(past).alias(f"{c}e") for c in s_cols],
         *[F.last(c, True).over(past).alias(f"{c}e") for c in l_cols],
-        *[F.first(c, True).over(future).alias(f"{c}e") for c in f_cols],
+        *[F.last(c, True).over(future).alias(f"{c}e") for c in f_cols],
     )
     both = join_on_keys(base, runs, [*keys, "__run"])
     inner = Window.partitionBy(*keys, "__run").orderBy(pos)
     upto = inner.rowsBetween(Window.unboundedPreceding, 0)
-    onward = inner.rowsBetween(0, Window.unboundedFollowing)
+    onward = Window.partitionBy(*keys, "__run").orderBy(F.desc(pos)).rowsBetween(Window.unboundedPreceding, 0)
     zero = F.lit(0)
     made = {}
     for out, c in zip(sums, s_cols):
@@ -140,38 +142,39 @@ def scan(
     for out, c in zip(last, l_cols):
         made[out] = F.coalesce(F.last(c, True).over(upto), F.col(f"{c}e"))
     for out, c in zip(first, f_cols):
-        made[out] = F.coalesce(F.first(c, True).over(onward), F.col(f"{c}e"))
+        made[out] = F.coalesce(F.last(c, True).over(onward), F.col(f"{c}e"))
     return both.withColumns(made).drop("__run", *cols, *[f"{c}e" for c in cols])
 
 
-def quantiles(df: DataFrame, value: str, probs: Sequence[float], by=None, size: int = RUN) -> DataFrame:
+def quantiles(df: DataFrame, value: str, probs: Sequence[float], by=None) -> DataFrame:
     """Exact interpolated quantiles: one row per key with columns ``q0..qk``.
 
-    Values are counted first, then located by cumulative count, so neither the driver
-    nor a single aggregation buffer holds the distinct values of a key.
+    Values are counted first and the counts range-partitioned.  Partition totals tell which
+    partitions hold the wanted ranks; only those are sorted, so neither the driver nor one
+    aggregation buffer holds the distinct values of a key.
     """
     keys = _names(by)
     usable = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
     counts = usable.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    placed = with_position(counts, [value], keys, "__rn")
-    cum = scan(placed, keys, "__rn", sums={"__cum": F.col("__n")}, size=size)
-    total = placed.groupBy(*keys).agg(F.sum("__n").alias("__total"))
-    if keys:
-        cum = join_on_keys(cum, total, keys)
-    else:
-        cum = cum.withColumn("__total", total.scalar())
+    ranged = counts.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys], F.col(value).asc())
+    ranged = settle(ranged.withColumn("__part", F.spark_partition_id()))
+    totals = ranged.groupBy(*keys, "__part").agg(F.sum("__n").alias("__size"))
+    w = Window.partitionBy(*keys)
+    upto = w.orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)
+    totals = totals.withColumn("__start", F.sum("__size").over(upto) - F.col("__size")).withColumn("__total", F.sum("__size").over(w))
+    ranks = [(F.floor(h), F.ceil(h)) for h in (F.lit(float(p)) * (F.col("__total") - 1) for p in probs)]
+    inside = F.lit(False)
+    for at in (r for pair in ranks for r in pair):
+        inside = inside | ((at >= F.col("__start")) & (at < F.col("__start") + F.col("__size")))
+    held = join_on_keys(ranged, totals.filter(inside).drop("__size"), [*keys, "__part"])
+    running = Window.partitionBy(*keys, "__part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    cum = held.withColumn("__cum", F.col("__start") + F.sum("__n").over(running))
     aggs, picks = [], []
-    for i, p in enumerate(probs):
-        h = F.lit(float(p)) * (F.col("__total") - 1)
-        for tag, at in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+    for i, (lo, hi) in enumerate(ranks):
+        for tag, at in (("lo", lo), ("hi", hi)):
             holds = (at >= F.col("__cum") - F.col("__n")) & (at < F.col("__cum"))
             aggs.append(F.max(F.when(holds, F.col(value).cast("double"))).alias(f"__{tag}{i}"))
-        frac = h - F.floor(h)
-        picks.append((F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * frac).alias(f"q{i}"))
+        h = F.lit(float(probs[i])) * (F.col("__total") - 1)
+        picks.append((F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * (h - F.floor(h))).alias(f"q{i}"))
     found = cum.groupBy(*keys).agg(F.max("__total").alias("__total"), *aggs)
     return found.select(*keys, F.col("__total").alias("n"), *picks)
-
-
-def running_rows(df: DataFrame, by, pos: str, n: int) -> DataFrame:
-    """First ``n`` positions of each key."""
-    return df.filter(F.col(pos) <= n)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import spread
 from .ordered import _names, with_position
 
 SMALL_PAGE = 10_000
@@ -95,17 +96,15 @@ def contains_lookup(
 ) -> DataFrame:
     """First entry (by ``rank``) whose key occurs in the text, case-insensitively; else ``default``.
 
-    A key can only occur where its first three letters do, so texts and entries are joined on
-    such pieces and then verified.  Keys of one or two letters are their own piece.
+    Texts and entries are joined on pieces as long as the shortest key: a key can only occur
+    where its first piece does.  The pairs found that way are then verified.
     """
-    keys = entries.select(
-        F.lower(key).alias("__k"), F.col(value).alias("__v"), F.col(rank).alias("__rank")
-    ).withColumn("__piece", F.substring("__k", 1, 3))
-    low = queries.select(id_col, F.lower(text).alias("__low"))
-    found = F.array_distinct(F.regexp_extract_all("__low", F.lit("(?s)(?=(.{1,3}))"), F.lit(1)))
-    spots = low.select(id_col, F.explode(found).alias("__three"))
-    starts = F.array_distinct(F.array(*[F.substring("__three", 1, n) for n in (1, 2, 3)]))
-    pieces = spots.select(id_col, F.explode(starts).alias("__piece")).join(keys, "__piece")
+    keys = entries.select(F.lower(key).alias("__k"), F.col(value).alias("__v"), F.col(rank).alias("__rank")).filter("__k <> ''")
+    n = min(keys.agg(F.min(F.length("__k"))).first()[0] or 1, 32)
+    keys = keys.withColumn("__piece", F.substring("__k", 1, n))
+    low = spread(queries.select(id_col, F.lower(text).alias("__low")))
+    found = F.array_distinct(F.regexp_extract_all("__low", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
+    pieces = low.select(id_col, F.explode(found).alias("__piece")).join(keys, "__piece")
     candidates = pieces.select(id_col, "__k", "__v", "__rank").distinct()
     hits = (
         low.join(candidates, id_col)

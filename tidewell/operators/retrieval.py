@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import strings as S
+from ..session import spread
 from .ordered import with_position
 
 RUNS = r"([a-z\x{AC00}-\x{D7A3}0-9]+)"
@@ -49,11 +50,11 @@ def keyword_topk(
     """
     words = queries.select(query, F.explode(S.tokens(text)).alias("term")).groupBy(query, "term").agg(F.count(F.lit(1)).alias("m"))
     terms = words.select("term").distinct()
-    spread = docs.select(doc, text).repartition(doc)
-    runs = spread.select(doc, F.explode(F.regexp_extract_all(F.lower(text), F.lit(RUNS), F.lit(1))).alias("run"))
+    local = docs.select(doc, text).repartition(doc)
+    runs = local.select(doc, F.explode(F.regexp_extract_all(F.lower(text), F.lit(RUNS), F.lit(1))).alias("run"))
     runs = runs.groupBy(doc, "run").agg(F.count(F.lit(1)).alias("tf"))
     longest = terms.agg(F.max(F.length("term"))).first()[0] or 2
-    vocab = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(RUNS), F.lit(1)))).alias("run")).distinct()
+    vocab = spread(docs.select(text)).select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(RUNS), F.lit(1)))).alias("run")).distinct()
     spots = vocab.select("run", F.explode(F.regexp_extract_all("run", F.lit(f"(?=(.{{2,{longest}}}))"), F.lit(1))).alias("__w"))
     lengths = F.sequence(F.lit(2), F.length("__w"))
     parts = spots.select("run", "__w", F.explode(lengths).alias("__n")).select("run", F.substring(F.col("__w"), F.lit(1), F.col("__n")).alias("term"))
@@ -81,7 +82,8 @@ def bm25_topk(
     Scores are compared at nine digits, so equal texts tie however their terms were added up.
     """
     token_list = lambda df: F.regexp_extract_all(F.col(text), F.lit(NONBLANK), F.lit(1))
-    toks = docs.select(doc, token_list(docs).alias("__t")).repartition(doc)
+    docs = spread(docs.select(doc, text))
+    toks = docs.repartition(doc).select(doc, token_list(docs).alias("__t"))
     tf = toks.select(doc, F.size("__t").alias("dl"), F.explode("__t").alias("term")).groupBy(doc, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
     corpus = docs.agg(F.struct(F.count(F.lit(1)).cast("double").alias("n"), F.avg(F.size(token_list(docs))).alias("avgdl")).alias("c")).scalar()
     seen = docs.select(F.explode(F.array_distinct(token_list(docs))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -133,7 +135,7 @@ def _scan_vectors(vecs: DataFrame, block: list, k: int, metric: str, id_col: str
         if out:
             yield pd.concat(out)
 
-    return vecs.select(id_col, vec).mapInPandas(run, schema)
+    return spread(vecs.select(id_col, vec)).mapInPandas(run, schema)
 
 
 def knn_blocks(

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import det
 from ..functions import strings as S
+from ..session import spread
 from .registry import query, table
 
 
@@ -59,7 +60,7 @@ def eq_ignore_case(spark, sf):
     WHERE length(token) > 1 GROUP BY doc_id, token""",
 )
 def tokenize(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.explode(S.tokens("text")).alias("token"))
+    d = spread(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.explode(S.tokens("text")).alias("token"))
     return d.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -153,9 +154,10 @@ def validate_form(spark, sf):
     SELECT script, count(*)::BIGINT AS n FROM c GROUP BY script""",
 )
 def script_class(spark, sf):
-    words = table(spark, sf, "documents").select(F.explode(F.split("text", " ", -1)).alias("w"))
+    words = spread(table(spark, sf, "documents").select("text")).select(F.explode(F.split("text", " ", -1)).alias("w"))
+    counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
     kind = S.script_class("w", first=r"\x{C0}-\x{24F}")
-    return words.groupBy(kind.alias("script")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy(kind.alias("script")).agg(F.sum("n").alias("n"))
 
 
 @query(

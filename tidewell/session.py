@@ -71,3 +71,14 @@ def release_scratch(spark: SparkSession) -> int:
         target = jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(conf).delete(target, True)
     return len(paths)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for costly row work on an input too small to be cut into that many scan tasks.
+
+    Inputs of at least one full scan partition per core are returned as they are, without a shuffle.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * 128 * 2**20 else df
