@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # What counts as blank, word characters, and the form and password rules.
 BLANK = r"[\s\x0B\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-WORD = r"[A-Za-z\x{AC00}-\x{D7A3}0-9]+"
+WORD_CHARS = r"A-Za-z\x{AC00}-\x{D7A3}0-9"
 EMAIL = r"^[^\s@]+@[^\s@]+\.[^\s@]+$"
 PASSWORD_RULES = {
     "lowercase": r"[a-z]",
@@ -60,8 +60,12 @@ def eq_ignore_case(a, b) -> Column:
 
 def tokens(c, min_length: int = 2) -> Column:
     """Lower-case letter and digit runs of at least ``min_length`` characters."""
-    found = F.regexp_extract_all(F.lower(_col(c)), F.lit(f"({WORD})"), F.lit(1))
-    return F.filter(found, lambda t: F.length(t) >= min_length)
+    return F.regexp_extract_all(F.lower(_col(c)), F.lit(f"([{WORD_CHARS}]{{{min_length},}})"), F.lit(1))
+
+
+def blank_split(c) -> Column:
+    """Parts between blanks."""
+    return F.filter(F.split(_col(c), f"{BLANK}+", -1), lambda t: t != "")
 
 
 def strip_block(c, head: str) -> Column:

@@ -12,7 +12,7 @@ from .relational import dedupe_first, top_per_key
 
 # Speaker prefixes of a written-out history.
 PREFIXES = {"user": "사용자:", "other": "어시스턴트:"}
-PAIR_TOKENS = r"([\p{L}\p{N}_]{2,})"
+PAIR_CHARS = r"\p{L}\p{N}_"
 
 
 def question_answers(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
@@ -84,7 +84,7 @@ def context_fallback(lists: Sequence[Column], k: int = 4, max_chars: int = 800)
 
 
 def _words(c: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(PAIR_TOKENS), F.lit(1))
+    return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(f"([{PAIR_CHARS}]{{2,}})"), F.lit(1))
 
 
 def _grams(words: str) -> Column:

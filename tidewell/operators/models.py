@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import det
+from ..functions import strings as S
 from ..session import settle, spread
 from .features import avg_precision, bootstrap, confusion, regression_report, roc_auc, split, stratified_folds
 from .ordered import with_position
@@ -31,7 +32,7 @@ MANY_CLASSES = 20
 def text_features(df: DataFrame, id_col: str, text: str) -> DataFrame:
     """Plain numeric features of a text, computed without leaving the JVM."""
     t = F.col(text)
-    df = spread(df.select(id_col, text)).withColumn("__w", F.regexp_extract_all(t, F.lit(r"(\S+)"), F.lit(1)))
+    df = spread(df.select(id_col, text)).withColumn("__w", S.blank_split(t))
     words = F.col("__w")
     n = F.greatest(F.length(t), F.lit(1))
     share = lambda p: F.length(F.regexp_replace(t, p, "")) / n

@@ -19,8 +19,6 @@ from ..functions import strings as S
 from ..session import spread
 from .ordered import with_position
 
-RUNS = r"([a-z\x{AC00}-\x{D7A3}0-9]+)"
-NONBLANK = "([^" + S.BLANK[1:] + "+)"
 QUERY_BLOCK = 1024
 
 
@@ -51,10 +49,10 @@ def keyword_topk(
     words = queries.select(query, F.explode(S.tokens(text)).alias("term")).groupBy(query, "term").agg(F.count(F.lit(1)).alias("m"))
     terms = words.select("term").distinct()
     local = docs.select(doc, text).repartition(doc)
-    runs = local.select(doc, F.explode(F.regexp_extract_all(F.lower(text), F.lit(RUNS), F.lit(1))).alias("run"))
+    runs = local.select(doc, F.explode(S.tokens(text)).alias("run"))
     runs = runs.groupBy(doc, "run").agg(F.count(F.lit(1)).alias("tf"))
     longest = terms.agg(F.max(F.length("term"))).first()[0] or 2
-    vocab = spread(docs.select(text)).select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(RUNS), F.lit(1)))).alias("run")).distinct()
+    vocab = spread(docs.select(text)).select(F.explode(S.tokens(text)).alias("run")).distinct()
     spots = vocab.select("run", F.explode(F.regexp_extract_all("run", F.lit(f"(?=(.{{2,{longest}}}))"), F.lit(1))).alias("__w"))
     lengths = F.sequence(F.lit(2), F.length("__w"))
     parts = spots.select("run", "__w", F.explode(lengths).alias("__n")).select("run", F.substring(F.col("__w"), F.lit(1), F.col("__n")).alias("term"))
@@ -81,20 +79,23 @@ def bm25_topk(
 
     Scores are compared at nine digits, so equal texts tie however their terms were added up.
     """
-    token_list = lambda df: F.regexp_extract_all(F.col(text), F.lit(NONBLANK), F.lit(1))
     docs = spread(docs.select(doc, text))
-    toks = docs.repartition(doc).select(doc, token_list(docs).alias("__t"))
-    tf = toks.select(doc, F.size("__t").alias("dl"), F.explode("__t").alias("term")).groupBy(doc, "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
-    corpus = docs.agg(F.struct(F.count(F.lit(1)).cast("double").alias("n"), F.avg(F.size(token_list(docs))).alias("avgdl")).alias("c")).scalar()
-    seen = docs.select(F.explode(F.array_distinct(token_list(docs))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = seen.withColumn("__c", corpus).withColumn("idf", F.ln(F.col("__c.n") - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
+    toks = docs.repartition(doc).select(doc, F.explode(S.blank_split(text)).alias("term"))
+    tf = toks.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
+    n = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
+    tokens = docs.select(F.explode(S.blank_split(text)).alias("term"))
+    avgdl = tokens.agg(F.count(F.lit(1)).cast("double")).scalar() / n
+    seen = docs.select(F.explode(F.array_distinct(S.blank_split(text))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    idf = seen.withColumn("__n", n).withColumn("idf", F.ln(F.col("__n") - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
     mean_idf = idf.agg(F.avg("idf")).scalar()
-    words = queries.select(query, F.explode(token_list(queries)).alias("term")).groupBy(query, "term").agg(F.count(F.lit(1)).alias("m"))
+    words = queries.select(query, F.explode(S.blank_split(text)).alias("term")).groupBy(query, "term").agg(F.count(F.lit(1)).alias("m"))
     wanted = words.join(idf.select("term", "idf"), "term").withColumn("__mean", mean_idf)
     weight = F.when(F.col("idf") < 0, floor * F.col("__mean")).otherwise(F.col("idf")) * F.col("m")
     wanted = wanted.select(query, "term", weight.alias("w"))
-    saturation = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("__c.avgdl")))
-    hits = tf.join(wanted, "term").withColumn("__c", corpus).groupBy(query, doc).agg(F.round(F.sum(F.col("w") * saturation), 9).alias("score"))
+    # A document's length is the sum of its term counts; the rows are already together.
+    tf = tf.withColumn("dl", F.sum("tf").over(Window.partitionBy(doc))).withColumn("__avgdl", avgdl)
+    saturation = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("__avgdl")))
+    hits = tf.join(wanted, "term").groupBy(query, doc).agg(F.round(F.sum(F.col("w") * saturation), 9).alias("score"))
     return _best(hits, docs, queries, query, doc, k)
 
 
