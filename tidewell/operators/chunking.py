@@ -86,6 +86,8 @@ def chunk_recursive(
         for b in batches:
             parts = [split_recursive(t or "", size, overlap, seps) for t in b[text]]
             counts = [len(p) for p in parts]
+            if not any(counts):
+                continue
             yield pd.DataFrame(
                 {
                     id_col: np.repeat(b[id_col].to_numpy(), counts),

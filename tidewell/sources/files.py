@@ -125,7 +125,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 def read_documents(spark: SparkSession, path: str, suffixes: Sequence[str] = ("txt", "md")) -> DataFrame:
     """One row per text file below ``path``; files of other types are left out."""
     glob = "*.{" + ",".join(suffixes) + "}"
-    df = spark.read.option("wholetext", True).option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
+    df = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=True)
     return df.select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("text"))
 
 
@@ -135,7 +135,7 @@ def read_glossary(spark: SparkSession, path: str, labels: Sequence[str]) -> Data
     An entry is a term line, a blank line and three labelled lines; ``labels`` are their names
     in order (definition, example, related words).
     """
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     body = F.regexp_replace(F.regexp_replace("value", "\r\n", "\n"), rf"\n[ \t]*\n(?={re.escape(labels[0])})", "\n")
     entry = whole.select(F.posexplode(F.split(body, r"\n[ \t]*\n+")).alias("pos", "entry"))
     field = lambda label: F.trim(F.regexp_extract("entry", rf"(?m)^{re.escape(label)}\s*:\s*(.*)$", 1))
