@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ordered import with_position
+from .ordered import earliest, with_position
 from .relational import dedupe_first
 
 
@@ -18,7 +18,7 @@ def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str, id_col: s
     Join it on ``key`` to get the id of any key, old or new.
     """
     fresh = incoming.join(target.select(key), key, "left_anti")
-    fresh = fresh.groupBy(key).agg(F.min(F.struct(*order_by)).alias("__first"))
+    fresh = fresh.groupBy(key).agg(earliest(order_by).alias("__first"))
     top = F.coalesce(target.agg(F.max(id_col)).scalar(), F.lit(0))
     fresh = with_position(fresh, ["__first", key], name="__rn").select(key, (F.col("__rn") + top).alias(id_col))
     old = target.select(key, id_col).withColumn("is_new", F.lit(False))
@@ -27,7 +27,7 @@ def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str, id_col: s
 
 def dimension(rows: DataFrame, name: str, order_by: Sequence[str], id_col: str) -> DataFrame:
     """Distinct names with dense ids in order of first appearance."""
-    first = rows.filter(F.col(name).isNotNull()).groupBy(name).agg(F.min(F.struct(*order_by)).alias("__first"))
+    first = rows.filter(F.col(name).isNotNull()).groupBy(name).agg(earliest(order_by).alias("__first"))
     return with_position(first, ["__first", name], name=id_col).select(id_col, name)
 
 

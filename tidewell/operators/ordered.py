@@ -32,6 +32,11 @@ def _order(order_by) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in items]
 
 
+def earliest(order_by: Sequence[str]) -> Column:
+    """Smallest order value of a group; one column keeps its own type, so that hash aggregation can be used."""
+    return F.min(order_by[0]) if len(order_by) == 1 else F.min(F.struct(*order_by))
+
+
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi join on ``keys`` where a null key matches a null key; right key columns are dropped."""
     renamed = right

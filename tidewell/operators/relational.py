@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import spread
-from .ordered import _names, with_position
+from .ordered import _names, earliest, with_position
 
 SMALL_PAGE = 10_000
 
@@ -223,7 +223,8 @@ def dedupe_first(df: DataFrame, content: Sequence[Column | str], order_by: Seque
     grouping, combined map-side, so a group of many copies stays cheap."""
     parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("\u0000")) for c in content]
     hashed = df.withColumn("__h", F.sha2(F.concat_ws("\u0001", *parts), 256))
-    winners = hashed.groupBy("__h").agg(F.min(F.struct(*order_by)).alias("__w")).select("__w.*")
+    winners = hashed.groupBy("__h").agg(earliest(order_by).alias("__w"))
+    winners = winners.select(F.col("__w").alias(order_by[0])) if len(order_by) == 1 else winners.select("__w.*")
     return df.join(winners, list(order_by), "left_semi")
 
 

@@ -164,7 +164,7 @@ def knn_blocks(
     )
 
     def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({query: [], id_col: [], "distance": []})
+        empty = pd.DataFrame({query: [], id_col: [], "distance": []}).astype({query: object, id_col: object})
         if left.empty or right.empty:
             return empty
         m = np.stack(right["__v"].to_numpy()).astype(np.float64)

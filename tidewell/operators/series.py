@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import det
+from ..session import settle
 from .aggregates import error_metrics
 from .ordered import RUN, _names, join_on_keys, neighbours, quantiles, scan, with_position
 
@@ -143,7 +144,7 @@ def align(left, right, on, ids, by=None, tolerance=None, min_ratio: float = 0.8)
     """As-of match, or pairing by position when fewer than ``min_ratio`` of left rows match."""
     from .relational import positional_zip
 
-    matched = asof_nearest(left, right, on, ids, by, tolerance, keep_unmatched=True)
+    matched = settle(asof_nearest(left, right, on, ids, by, tolerance, keep_unmatched=True))
     row = matched.agg(F.count(F.lit(1)).alias("n"), F.count("gap_us").alias("hit")).first()
     ratio = row["hit"] / max(1, row["n"])
     if ratio >= min_ratio:

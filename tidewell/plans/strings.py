@@ -64,10 +64,14 @@ def tokenize(spark, sf):
     return d.groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("strip_block")
+@query(
+    "strip_block",
+    "SELECT doc_id, '[role]' || chr(10) || source || chr(10) || '[notes]' || chr(10) || md5(text) AS shown FROM documents",
+)
 def strip_block(spark, sf):
     d = table(spark, sf, "documents")
-    prompt = F.concat(F.lit("[role]\nreader\n[task]\n"), F.col("text"), F.lit("\n[notes]\nshort\n[context]\n"), F.col("text"))
+    head = F.concat(F.lit("[role]\n"), F.col("source"), F.lit("\n[task]\n"), F.col("text"))
+    prompt = F.concat(head, F.lit("\n[notes]\n"), F.md5("text"), F.lit("\n[context]\n"), F.col("text"))
     shown = S.strip_block(S.strip_from(prompt, "context"), "task")
     return d.select("doc_id", shown.alias("shown"))
 
