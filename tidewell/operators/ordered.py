@@ -106,15 +106,14 @@ def scan(
 ) -> DataFrame:
     """Running sums, last non-null so far and next non-null, over whole keys.
 
-    One summary row per run carries values across runs; the window over summaries has
-    one row for every ``size`` rows of a key.
+    Each run gets two extra rows, one before it with what earlier runs add up to and one after
+    it with the next known value, so a single window over runs (one shuffle, no join) does the
+    rest.  The window over run summaries has one row for every ``size`` rows of a key.
     """
     keys = _names(by)
     sums, last, first = dict(sums or {}), dict(last or {}), dict(first or {})
-    base = df.withColumn("__run", F.floor((F.col(pos) - 1) / size))
     inputs = {f"__v{i}": c for i, c in enumerate([*sums.values(), *last.values(), *first.values()])}
-    if inputs:
-        base = base.withColumns(inputs)
+    base = df.withColumns({"__run": F.floor((F.col(pos) - 1) / size), "__own": F.lit(True), **inputs})
     cols = list(inputs)
     s_cols, l_cols = cols[: len(sums)], cols[len(sums) : len(sums) + len(last)]
     f_cols = cols[len(sums) + len(last) :]
@@ -125,30 +124,28 @@ def scan(
         *[seen(c, F.max_by).alias(c) for c in l_cols],
         *[seen(c, F.min_by).alias(c) for c in f_cols],
     )
-    w = Window.partitionBy(*keys).orderBy("__run")
-    past = w.rowsBetween(Window.unboundedPreceding, -1)
-    # "Next" is "last" in descending order: a frame that only shrinks is recomputed for every row.
-    future = Window.partitionBy(*keys).orderBy(F.desc("__run")).rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select(
-        *keys,
-        "__run",
-        *[F.sum(c).over(past).alias(f"{c}e") for c in s_cols],
-        *[F.last(c, True).over(past).alias(f"{c}e") for c in l_cols],
-        *[F.last(c, True).over(future).alias(f"{c}e") for c in f_cols],
+    up, down = (Window.partitionBy(*keys).orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.asc("__run"), F.desc("__run")))
+    extra = []
+    if s_cols or l_cols:
+        carried = [F.sum(c).over(up).alias(c) for c in s_cols] + [F.last(c, True).over(up).alias(c) for c in l_cols]
+        extra.append(runs.select(*keys, "__run", F.lit(0).cast("bigint").alias(pos), F.lit(False).alias("__own"), *carried))
+    if f_cols:
+        # "Next" is "last" in descending order: a frame that only shrinks is recomputed for every row.
+        carried = [F.last(c, True).over(down).alias(c) for c in f_cols]
+        extra.append(runs.select(*keys, "__run", F.lit(2**62).alias(pos), F.lit(False).alias("__own"), *carried))
+    for rows in extra:
+        base = base.unionByName(rows, allowMissingColumns=True)
+    forth, back = (
+        Window.partitionBy(*keys, "__run").orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (F.asc(pos), F.desc(pos))
     )
-    both = join_on_keys(base, runs, [*keys, "__run"])
-    inner = Window.partitionBy(*keys, "__run").orderBy(pos)
-    upto = inner.rowsBetween(Window.unboundedPreceding, 0)
-    onward = Window.partitionBy(*keys, "__run").orderBy(F.desc(pos)).rowsBetween(Window.unboundedPreceding, 0)
-    zero = F.lit(0)
     made = {}
     for out, c in zip(sums, s_cols):
-        made[out] = F.coalesce(F.col(f"{c}e"), zero) + F.coalesce(F.sum(c).over(upto), zero)
+        made[out] = F.coalesce(F.sum(c).over(forth), F.lit(0))
     for out, c in zip(last, l_cols):
-        made[out] = F.coalesce(F.last(c, True).over(upto), F.col(f"{c}e"))
+        made[out] = F.last(c, True).over(forth)
     for out, c in zip(first, f_cols):
-        made[out] = F.coalesce(F.last(c, True).over(onward), F.col(f"{c}e"))
-    return both.withColumns(made).drop("__run", *cols, *[f"{c}e" for c in cols])
+        made[out] = F.last(c, True).over(back)
+    return base.withColumns(made).filter("__own").drop("__run", "__own", *cols)
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by=None) -> DataFrame:
