@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ..functions import det
 from ..functions import strings as S
 from ..session import settle, spread
-from .features import avg_precision, bootstrap, confusion, regression_report, roc_auc, split, stratified_folds
+from .features import avg_precision, bootstrap, confusion, label_encode, regression_report, roc_auc, split, stratified_folds
 from .ordered import with_position
 from .relational import numeric_columns
 from .retrieval import knn_blocks
@@ -110,20 +110,19 @@ def supervised_report(
         s = isolation_scores(df, id_col, feats).agg(F.avg("score"), F.max("score")).first()
         return _report(spark, [("isolation_forest", "mean_score", s[0]), ("isolation_forest", "max_score", s[1])])
     rows = df.filter(F.col(target).isNotNull())
-    classes = []
+    n_classes = 0
     if task == "classification":
-        classes = sorted(r[0] for r in rows.select(target).distinct().limit(11).collect())
-        code = F.coalesce(*[F.when(F.col(target) == c, F.lit(float(i))) for i, c in enumerate(classes)])
-        rows = rows.withColumn("label", code)
+        n_classes = rows.select(target).distinct().count()
+        rows = label_encode(rows, target, "label").withColumn("label", F.col("label").cast("double"))
     else:
         rows = rows.withColumn("label", F.col(target).cast("double"))
-    stratify = "label" if task == "classification" and len(classes) <= MANY_CLASSES else None
+    stratify = "label" if 0 < n_classes <= MANY_CLASSES else None
     parts = settle(split(rows.select(id_col, *features, "label"), id_col, stratify, seed=seed))
     data = assemble(parts, features, [id_col, "label", "part"])
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(data.filter("part = 'train'"))
     data = scaler.transform(data).drop("features").withColumnRenamed("scaled", "features")
     train, test = data.filter("part = 'train'").persist(), data.filter("part = 'test'")
-    every = _classifiers(len(features), len(classes), seed) if task == "classification" else _regressors(seed)
+    every = _classifiers(len(features), n_classes, seed) if task == "classification" else _regressors(seed)
     out: list[tuple[str, str, float]] = []
     for name, model in every.items():
         if models and name not in models:
@@ -133,7 +132,7 @@ def supervised_report(
             r = regression_report(scored, "label", "prediction").first()
             out += [(name, m, r[m]) for m in ("r2", "mae", "rmse")]
             continue
-        if len(classes) > 2:
+        if n_classes > 2:
             for m in ("accuracy", "f1"):
                 out.append((name, m, MulticlassClassificationEvaluator(metricName=m).evaluate(scored)))
             continue

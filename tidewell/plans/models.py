@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..functions import det
 from ..operators import models as M
 from .aggregates import rounded
 from .registry import query, table
@@ -42,11 +43,27 @@ def oof_scores(spark, sf):
     return M.oof_scores(_labelled(spark, sf), "doc_id", TEXT, "quality", k=3, n_models=2)
 
 
-@query("smote")
+def _draw(salt):
+    return det.uniform_sql("(label || ':' || j)", f"42{salt}")
+
+
+@query(
+    "smote",
+    f"""WITH e AS (SELECT vec_id::VARCHAR AS id, label, embedding AS x, row_number() OVER (PARTITION BY label ORDER BY vec_id::VARCHAR) AS pos FROM embeddings),
+    n AS (SELECT label, count(*) AS n, max(count(*)) OVER () - count(*) AS need FROM embeddings GROUP BY label),
+    d AS (SELECT label, n, unnest(generate_series(1, need)) AS j FROM n WHERE need > 0),
+    r AS (SELECT label, j, floor({_draw("a")} * n)::BIGINT + 1 AS pos, floor({_draw("b")} * least(5, n - 1))::BIGINT + 1 AS rank, {_draw("c")} AS gap FROM d),
+    p AS (SELECT a.id, b.id AS other, a.label, row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.x::DOUBLE[], b.x::DOUBLE[]), b.id) AS rank
+      FROM e a JOIN e b ON a.label = b.label AND a.id <> b.id WHERE a.label IN (SELECT label FROM n WHERE need > 0))
+    SELECT id AS vec_id, label, round(x[1]::DOUBLE, 6) AS first_value, round(x[64]::DOUBLE, 6) AS last_value FROM e
+    UNION ALL SELECT 'new-' || r.label || '-' || j, r.label, round(a.x[1] + (b.x[1]::DOUBLE - a.x[1]) * gap, 6), round(a.x[64] + (b.x[64]::DOUBLE - a.x[64]) * gap, 6)
+    FROM r JOIN e a ON a.label = r.label AND a.pos = r.pos JOIN p ON p.id = a.id AND p.rank = r.rank JOIN e b ON b.id = p.other""",
+)
 def smote(spark, sf):
     v = table(spark, sf, "embeddings").select("vec_id", F.col("label"), "embedding")
     out = M.smote(v, "vec_id", "label", "embedding")
-    return out.select("vec_id", "label", F.col("embedding")[0].alias("first_value"))
+    ends = out.select("vec_id", "label", F.col("embedding")[0].alias("first_value"), F.col("embedding")[63].alias("last_value"))
+    return rounded(ends, 6, "first_value", "last_value")
 
 
 @query(
@@ -73,3 +90,18 @@ def retrain_lag_linear(spark, sf):
     e = table(spark, sf, "events").select("event_type", "event_id", "ts", "value")
     late = F.col("ts") >= F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
     return M.retrain_lag_linear(e.withColumn("late", late), "value", ["ts", "event_id"], "event_type", 4, "late")
+
+
+@query(
+    "retrain_lag_one",
+    """WITH l AS (SELECT event_type, value AS y, lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS x, ts FROM events),
+    p AS (SELECT *, 'original' AS phase FROM l WHERE ts < TIMESTAMP '2024-01-20' UNION ALL SELECT *, 'retrained' FROM l)
+    SELECT event_type, phase, count(*)::BIGINT AS n, round(regr_intercept(y, x), 5) AS intercept, round(regr_slope(y, x), 5) AS slope,
+      round(sqrt(regr_syy(y, x) * (1 - regr_r2(y, x)) / count(*)), 5) AS rmse FROM p WHERE x IS NOT NULL GROUP BY event_type, phase""",
+)
+def retrain_lag_one(spark, sf):
+    e = table(spark, sf, "events").select("event_type", "event_id", "ts", "value")
+    late = F.col("ts") >= F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")
+    out = M.retrain_lag_linear(e.withColumn("late", late), "value", ["ts", "event_id"], "event_type", 1, "late")
+    flat = out.select("event_type", "phase", "n", F.get("weights", 0).alias("intercept"), F.get("weights", 1).alias("slope"), "rmse")
+    return rounded(flat, 5, "intercept", "slope", "rmse")

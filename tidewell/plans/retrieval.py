@@ -129,10 +129,28 @@ def vector_topk_cosine(spark, sf):
     return rounded(X.vector_topk(v, X.centroids(v, "label"), 5, "cosine"), 6, "distance")
 
 
-@query("mmr_topk")
+@query(
+    "mmr_topk",
+    f"""WITH e AS ({_VEC}), c AS (SELECT label AS query_id, i, avg(v) AS v FROM e GROUP BY label, i),
+    f AS (SELECT * FROM (SELECT query_id, vec_id, row_number() OVER (PARTITION BY query_id ORDER BY d, vec_id) AS r FROM ({_near("avg")})) WHERE r <= 25),
+    n AS (SELECT vec_id, sqrt(sum(v * v)) AS n FROM e GROUP BY vec_id),
+    s AS (SELECT f.query_id, f.vec_id, any_value(f.r) AS r, sum(e.v * c.v) / any_value(n.n) / sqrt(sum(c.v * c.v)) AS near
+      FROM f JOIN e USING (vec_id) JOIN n USING (vec_id) JOIN c ON c.query_id = f.query_id AND c.i = e.i GROUP BY f.query_id, f.vec_id),
+    p AS (SELECT a.query_id, a.vec_id AS a, b.vec_id AS b, sum(x.v * y.v) / any_value(na.n) / any_value(nb.n) AS sim FROM f a JOIN f b ON a.query_id = b.query_id
+      JOIN e x ON x.vec_id = a.vec_id JOIN e y ON y.vec_id = b.vec_id AND y.i = x.i JOIN n na ON na.vec_id = a.vec_id JOIN n nb ON nb.vec_id = b.vec_id
+      GROUP BY a.query_id, a.vec_id, b.vec_id),
+    o1 AS (SELECT query_id, vec_id, near AS score FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY near DESC, r) = 1),
+    o2 AS (SELECT s.query_id, s.vec_id, 0.5 * near - 0.5 * sim AS score FROM s JOIN o1 USING (query_id) JOIN p ON p.query_id = s.query_id AND p.a = s.vec_id AND p.b = o1.vec_id
+      WHERE s.vec_id <> o1.vec_id QUALIFY row_number() OVER (PARTITION BY s.query_id ORDER BY 0.5 * near - 0.5 * sim DESC, r) = 1),
+    o3 AS (SELECT s.query_id, s.vec_id, 0.5 * near - 0.5 * greatest(p.sim, q.sim) AS score FROM s JOIN o1 USING (query_id) JOIN o2 USING (query_id)
+      JOIN p ON p.query_id = s.query_id AND p.a = s.vec_id AND p.b = o1.vec_id JOIN p q ON q.query_id = s.query_id AND q.a = s.vec_id AND q.b = o2.vec_id
+      WHERE s.vec_id NOT IN (o1.vec_id, o2.vec_id) QUALIFY row_number() OVER (PARTITION BY s.query_id ORDER BY 0.5 * near - 0.5 * greatest(p.sim, q.sim) DESC, r) = 1)
+    SELECT query_id, vec_id, 1 AS rank, round(score, 6) AS score FROM o1 UNION ALL SELECT query_id, vec_id, 2, round(score, 6) FROM o2
+    UNION ALL SELECT query_id, vec_id, 3, round(score, 6) FROM o3""",
+)
 def mmr_topk(spark, sf):
     v = table(spark, sf, "embeddings")
-    return rounded(X.mmr(v, X.centroids(v, "label"), 5), 6, "score")
+    return rounded(X.mmr(v, X.centroids(v, "label"), 3), 6, "score")
 
 
 @query(
