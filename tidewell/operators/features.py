@@ -184,17 +184,23 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     return cum.select("score", F.try_divide("fp", "__t.q").alias("fpr"), F.try_divide("tp", "__t.p").alias("tpr"))
 
 
-def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Chance that a positive outscores a negative, ties counted half."""
-    cum = _cumulated(df, label, score)
+def ranking_metrics(df: DataFrame, label: str, score: str) -> DataFrame:
+    """ROC-AUC (chance that a positive outscores a negative, ties counted half) and average
+    precision (precision times the gain in recall, over distinct scores), from one pass."""
     won = F.sum(F.col("q") * (F.col("tp") - F.col("p") / 2.0))
-    return cum.agg(F.try_divide(won, (F.sum("p") * F.sum("q")).cast("double")).alias("roc_auc"))
+    gained = F.sum(F.col("p") * F.col("tp") / (F.col("tp") + F.col("fp")))
+    return _cumulated(df, label, score).agg(
+        F.try_divide(won, (F.sum("p") * F.sum("q")).cast("double")).alias("roc_auc"),
+        F.try_divide(gained, F.sum("p").cast("double")).alias("avg_precision"),
+    )
+
+
+def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
+    return ranking_metrics(df, label, score).select("roc_auc")
 
 
 def avg_precision(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Sum over distinct scores of precision times the gain in recall."""
-    cum = _cumulated(df, label, score)
-    return cum.agg(F.try_divide(F.sum(F.col("p") * F.col("tp") / (F.col("tp") + F.col("fp"))), F.sum("p").cast("double")).alias("avg_precision"))
+    return ranking_metrics(df, label, score).select("avg_precision")
 
 
 def regression_report(df: DataFrame, actual: str, predicted: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from ..functions import det
 from ..functions import strings as S
 from ..session import settle, spread
-from .features import avg_precision, bootstrap, confusion, label_encode, regression_report, roc_auc, split, stratified_folds
+from .features import bootstrap, confusion, label_encode, ranking_metrics, regression_report, split, stratified_folds
 from .ordered import with_position
 from .relational import numeric_columns
 from .retrieval import knn_blocks
@@ -35,15 +35,15 @@ def text_features(df: DataFrame, id_col: str, text: str) -> DataFrame:
     df = spread(df.select(id_col, text)).withColumn("__w", S.blank_split(t))
     words = F.col("__w")
     n = F.greatest(F.length(t), F.lit(1))
-    share = lambda p: F.length(F.regexp_replace(t, p, "")) / n
+    share = lambda p: F.regexp_count(t, F.lit(p)) / n
     return df.select(
         id_col,
         F.length(t).cast("double").alias("n_chars"),
         F.size(words).cast("double").alias("n_words"),
         (F.length(t) / F.greatest(F.size(words), F.lit(1))).alias("word_length"),
         F.try_divide(F.size(F.array_distinct(words)), F.size(words)).alias("distinct_share"),
-        share("[^0-9]").alias("digit_share"),
-        share(r"[\w\s]").alias("symbol_share"),
+        share("[0-9]").alias("digit_share"),
+        share(r"[^\w\s]").alias("symbol_share"),
         F.regexp_count(t, F.lit(r"\n")).cast("double").alias("n_lines"),
     ).na.fill(0.0)
 
@@ -102,6 +102,8 @@ def supervised_report(
     summarised in the same table.
     """
     spark = df.sparkSession
+    # Features may be costly; every later pass reads them from the settled rows.
+    df = settle(df.select(id_col, *features, *([target] if target in df.columns else [])))
     task = task_of(df, target) if target and target in df.columns and features else "single_class"
     if task == "single_class":
         feats = list(features) or numeric_columns(df, [id_col, target or ""])
@@ -138,8 +140,8 @@ def supervised_report(
             continue
         scored = settle(scored.select("label", "prediction", vector_to_array("probability")[1].alias("p")))
         out += [(name, m, v) for m, v in _binary_metrics(scored).items()]
-        for m, op in (("roc_auc", roc_auc), ("avg_precision", avg_precision)):
-            out.append((name, m, op(scored, "label", "p").first()[0]))
+        ranked = ranking_metrics(scored, "label", "p").first()
+        out += [(name, m, ranked[m]) for m in ("roc_auc", "avg_precision")]
     train.unpersist()
     return _report(spark, out)
 
@@ -147,7 +149,8 @@ def supervised_report(
 def model_select(df: DataFrame, id_col: str, features: Sequence[str], label: str, grid: dict[str, Sequence], k: int = 5, seed: int = 42) -> DataFrame:
     """Cross-validated F1 of class 1 for every forest setting of ``grid``, best first."""
     spark = df.sparkSession
-    folds = stratified_folds(df.select(id_col, *features, F.col(label).cast("double").alias("label")), id_col, "label", k, seed)
+    base = settle(df.select(id_col, *features, F.col(label).cast("double").alias("label")))
+    folds = stratified_folds(base, id_col, "label", k, seed)
     data = settle(assemble(folds, features, ["label", F.col("fold").cast("int").alias("fold")]))
     forest = RandomForestClassifier(seed=seed)
     builder = ParamGridBuilder()
@@ -180,7 +183,7 @@ def oof_scores(
 
     ``oversample`` adds synthetic minority rows to the training part of each fold.
     """
-    base = df.select(id_col, *features, F.col(label).cast("double").alias("label"))
+    base = settle(df.select(id_col, *features, F.col(label).cast("double").alias("label")))
     data = settle(stratified_folds(base, id_col, "label", k, seed))
     out = None
     for fold in range(1, k + 1):
