@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tidewell.operators.features import latest_runs
 from tidewell.sources import files
 
 
@@ -94,3 +95,13 @@ def test_cache_follows_its_input(spark, tmp_path):
 def test_records_are_json_with_nulls(spark):
     df = spark.sql("SELECT timestamp_ntz'2024-01-01 10:00:00.5' AS ts, double('NaN') AS v, 'x' AS s")
     assert json.loads(files.records_json(df, "ts").first().record) == {"ts": "2024-01-01 10:00:00", "v": None, "s": "x"}
+
+
+def test_batches_and_runs_are_appended(spark, tmp_path):
+    df = spark.createDataFrame([(i, i // 3 + 1) for i in range(7)], "i int, batch int")
+    files.write_batches(df, str(tmp_path / "b"))
+    assert sorted(p.name for p in (tmp_path / "b").iterdir() if p.is_dir()) == ["batch=1", "batch=2", "batch=3"]
+    for n, at in ((1, "2024-01-01"), (2, "2024-01-02")):
+        files.append_run(spark, str(tmp_path / "log"), "r", {"f1": n / 10, "depth": n}, at)
+    latest = latest_runs(spark.read.parquet(str(tmp_path / "log")), ["run_id", "key"], "value", ["logged_at"])
+    assert {r.key: (r.value, r.n_logged) for r in latest.collect()} == {"f1": ("0.2", 2), "depth": ("2", 2)}

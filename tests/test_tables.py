@@ -184,6 +184,19 @@ def test_lag_model_update_equals_fit_on_everything(spark):
         assert got[phase].n == n and np.allclose(got[phase].weights, w, atol=1e-6)
 
 
+def test_random_search_tries_a_few_settings(spark):
+    rng = np.random.default_rng(1)
+    df = spark.createDataFrame([(i, float(rng.normal() + 3 * (i % 2)), i % 2) for i in range(40)], "id int, a double, y int")
+    out = L.model_select(df, "id", ["a"], "y", {"numTrees": [1, 2, 3], "maxDepth": [1, 2]}, k=2, draws=2).collect()
+    assert [r.place for r in out] == [1, 2] and out[0].f1 >= out[1].f1 > 0.5
+
+
+def test_text_target_with_many_classes(spark):
+    rows = [(i, float(i % 12), f"c{i % 12:02d}") for i in range(240)]
+    out = L.supervised_report(spark.createDataFrame(rows, "id int, a double, y string"), "id", ["a"], "y", models=["random_forest"])
+    assert {r.metric: r.value for r in out.collect()}["accuracy"] > 0.5
+
+
 def test_report_falls_back_without_a_usable_target(spark):
     df = spark.createDataFrame([(i, float(i), 1) for i in range(30)], "id int, a double, y int")
     assert L.supervised_report(df, "id", ["a"], "y").first().model == "isolation_forest"

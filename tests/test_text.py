@@ -277,3 +277,14 @@ def test_splice_repeats_the_front_or_aligns(spark):
     new = base.withColumn("v", F.col("v") + 100)
     run = lambda off: [r.v for r in R.splice_tail(base, new, "v", ["i"], offset=off).orderBy("i").collect()]
     assert run(None) == [0.0, 1.0, 102.0, 103.0, 104.0] and run(0) == [0.0, 1.0, 100.0, 101.0, 102.0]
+
+
+def test_records_need_a_title_or_a_body(spark):
+    df = spark.createDataFrame([(1, " T ", "b"), (2, None, "b"), (3, " ", None)], "id int, t string, b string")
+    assert [(r.id, r.text) for r in C.title_and_body(df, "t", "b").collect()] == [(1, "T\n\nb"), (2, "b")]
+
+
+def test_templates_put_examples_first(spark):
+    df = spark.createDataFrame([("x", None)], "a string, b string")
+    out = df.select(X.render("A={a} B={b}", {"a": F.col("a"), "b": F.col("b")}, ["shot"]).alias("p")).first().p
+    assert out == "shot\n\nA=x B="

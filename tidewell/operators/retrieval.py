@@ -83,8 +83,7 @@ def bm25_topk(
     toks = docs.repartition(doc).select(doc, F.explode(S.blank_split(text)).alias("term"))
     tf = toks.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
     n = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
-    tokens = docs.select(F.explode(S.blank_split(text)).alias("term"))
-    avgdl = tokens.agg(F.count(F.lit(1)).cast("double")).scalar() / n
+    avgdl = docs.agg(F.avg(F.size(S.blank_split(text)))).scalar()
     seen = docs.select(F.explode(F.array_distinct(S.blank_split(text))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = seen.withColumn("__n", n).withColumn("idf", F.ln(F.col("__n") - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
     mean_idf = idf.agg(F.avg("idf")).scalar()

@@ -17,18 +17,19 @@ _GAP = "CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE {c} END"
 
 def _gappy(spark, sf):
     li = table(spark, sf, "lineitem")
-    return li.select(*IDS, *[F.when(F.col("l_orderkey") % 7 != 0, F.col(c)).alias(c) for c in NUM])
+    return li.select(*IDS, "l_shipdate", *[F.when(F.col("l_orderkey") % 7 != 0, F.col(c)).alias(c) for c in NUM])
 
 
 @query(
     "median_impute",
-    "WITH g AS (SELECT " + IDS_SQL + ", " + ", ".join(f"{_GAP.format(c=c)} AS {c}" for c in NUM) + " FROM lineitem), "
-    + "m AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS m{i}" for i, c in enumerate(NUM)) + " FROM g WHERE l_orderkey % 5 <> 0) "
+    "WITH g AS (SELECT l_shipdate, " + IDS_SQL + ", " + ", ".join(f"{_GAP.format(c=c)} AS {c}" for c in NUM) + " FROM lineitem), "
+    + "m AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS m{i}" for i, c in enumerate(NUM)) + " FROM g WHERE l_shipdate < TIMESTAMP '1999-01-01') "
     + f"SELECT {IDS_SQL}, " + ", ".join(f"round(coalesce({c}, m{i}), 6) AS {c}" for i, c in enumerate(NUM)) + " FROM g, m",
 )
 def median_impute(spark, sf):
     g = _gappy(spark, sf)
-    return rounded(M.impute(g, M.fit_medians(g.filter("l_orderkey % 5 <> 0"), NUM), NUM), 6, *NUM)
+    train = g.filter("l_shipdate < TIMESTAMP_NTZ'1999-01-01 00:00:00'")
+    return rounded(M.impute(g, M.fit_medians(train, NUM), NUM).drop("l_shipdate"), 6, *NUM)
 
 
 @query(

@@ -146,6 +146,19 @@ def read_glossary(spark: SparkSession, path: str, labels: Sequence[str]) -> Data
     return out.filter(F.col("definition") != "")
 
 
+def write_batches(df: DataFrame, path: str, batch: str | Sequence[str] = "batch") -> None:
+    """One folder per batch, each written by one task; batches are bounded, so are the files."""
+    keys = [batch] if isinstance(batch, str) else list(batch)
+    df.repartition(*keys).write.mode("append").partitionBy(*keys).parquet(path)
+
+
+def append_run(spark: SparkSession, path: str, run_id: str, values: dict[str, object], logged_at: str) -> None:
+    """Add the parameters and metrics of one run to an append-only table (run_id, key, value, logged_at)."""
+    rows = [(run_id, k, str(v), logged_at) for k, v in values.items()]
+    df = spark.createDataFrame(rows, "run_id string, key string, value string, logged_at string")
+    df.coalesce(1).write.mode("append").parquet(path)
+
+
 def next_version(spark: SparkSession, path: str, column: str = "version") -> int:
     """Largest ``version=`` partition below ``path`` plus one, 1 for a new folder."""
     fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
