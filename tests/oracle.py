@@ -67,7 +67,6 @@ def main(argv):
 
     sf_dir = f"/root/testdata/{argv[0] if argv else 'sf0.01'}"
     spark = build_session("oracle", 8)
-    con = connect(sf_dir)
     queries, oracle = entry.queries(), entry.oracle_sql()
     failed = []
     wanted = []
@@ -81,7 +80,7 @@ def main(argv):
         try:
             df = queries[key](spark, sf_dir)
             if key in oracle:
-                note = compare(df, con, oracle[key])
+                note = compare(df, connect(sf_dir), oracle[key])
             else:
                 note = "" if df.count() else "no rows"
         except Exception as err:  # report and go on to the next key

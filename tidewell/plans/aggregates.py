@@ -24,7 +24,8 @@ def _long_sql(expr, cols=NUM, table_name="lineitem"):
 
 @query(
     "group_having",
-    """SELECT l_suppkey, CAST(CAST(avg(l_linenumber) AS DECIMAL(3,2)) AS DOUBLE) AS avg_rating, count(*)::BIGINT AS n
+    # The mean of whole numbers is rounded half up in integers: a cast from double would lose exact ties.
+    """SELECT l_suppkey, ((200 * sum(l_linenumber) + count(*)) // (2 * count(*)))::DOUBLE / 100 AS avg_rating, count(*)::BIGINT AS n
     FROM lineitem GROUP BY l_suppkey HAVING count(*) >= 2""",
 )
 def group_having(spark, sf):

@@ -294,10 +294,10 @@ def contains_lookup(spark, sf):
 
 # -- ranking, paging, sets ---------------------------------------------------------------
 
-LEADERBOARD_SQL = """WITH stats AS (SELECT l_suppkey, CAST(avg(l_linenumber) AS DECIMAL(3,2)) AS avg_value, count(*) AS n
+LEADERBOARD_SQL = """WITH stats AS (SELECT l_suppkey, ((200 * sum(l_linenumber) + count(*)) // (2 * count(*)))::DOUBLE / 100 AS avg_value, count(*) AS n
   FROM lineitem GROUP BY l_suppkey HAVING count(*) >= 2)
 SELECT row_number() OVER (ORDER BY avg_value DESC, n DESC, l_suppkey) AS ranking, l_suppkey AS supplier_id, s_name,
-  CAST(avg_value AS DOUBLE) AS avg_rating, n::BIGINT AS n_reviews
+  avg_value AS avg_rating, n::BIGINT AS n_reviews
 FROM stats JOIN supplier ON l_suppkey = s_suppkey"""
 
 

@@ -52,13 +52,13 @@ def median_gap(spark, sf):
       FROM (SELECT DISTINCT user_id, left_ts FROM l)),
     tol AS (SELECT user_id, CASE WHEN count(*) >= 3 AND median(gap) > 0 THEN floor(median(gap) * 0.6)::BIGINT ELSE 1000000 END AS tol
       FROM g GROUP BY user_id),
-    b AS (SELECT l.user_id, left_id, left_ts, right_id, right_ts FROM l ASOF LEFT JOIN r ON l.user_id = r.user_id AND left_ts >= right_ts),
-    f AS (SELECT left_id, r.right_id, r.right_ts FROM l ASOF LEFT JOIN r ON l.user_id = r.user_id AND left_ts <= right_ts),
-    c AS (SELECT b.user_id, b.left_id, CASE WHEN f.right_id IS NULL OR epoch_us(b.left_ts) - epoch_us(b.right_ts) <= epoch_us(f.right_ts) - epoch_us(b.left_ts)
-        THEN b.right_id ELSE f.right_id END AS right_id,
-      CASE WHEN f.right_id IS NULL OR epoch_us(b.left_ts) - epoch_us(b.right_ts) <= epoch_us(f.right_ts) - epoch_us(b.left_ts)
-        THEN epoch_us(b.left_ts) - epoch_us(b.right_ts) ELSE epoch_us(f.right_ts) - epoch_us(b.left_ts) END AS gap_us
-      FROM b JOIN f USING (left_id))
+    u AS (SELECT user_id, epoch_us(right_ts) AS t, 0 AS tag, right_id AS id FROM r UNION ALL SELECT user_id, epoch_us(left_ts), 1, left_id FROM l),
+    w AS (SELECT *, last_value(CASE WHEN tag = 0 THEN t END IGNORE NULLS) OVER a AS bt, last_value(CASE WHEN tag = 0 THEN id END IGNORE NULLS) OVER a AS bid,
+      first_value(CASE WHEN tag = 0 THEN t END IGNORE NULLS) OVER z AS ft, first_value(CASE WHEN tag = 0 THEN id END IGNORE NULLS) OVER z AS fid FROM u
+      WINDOW a AS (PARTITION BY user_id ORDER BY t, tag, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+        z AS (PARTITION BY user_id ORDER BY t, tag, id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+    c AS (SELECT user_id, id AS left_id, CASE WHEN ft IS NULL OR t - bt <= ft - t THEN bid ELSE fid END AS right_id,
+      CASE WHEN ft IS NULL OR t - bt <= ft - t THEN t - bt ELSE ft - t END AS gap_us FROM w WHERE tag = 1)
     SELECT c.user_id, left_id, right_id, gap_us FROM c JOIN tol USING (user_id) WHERE gap_us <= tol""",
 )
 def asof_nearest(spark, sf):
