@@ -60,16 +60,31 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{scratch_dir(spark)}/tidewell/{uuid.uuid4().hex}"
     _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.settled_path = path
+    return out
+
+
+def drop_settled(*frames: DataFrame) -> None:
+    """Delete what ``settle`` wrote for these frames, once nothing reads them any more."""
+    for df in frames:
+        spark, path = df.sparkSession, getattr(df, "settled_path", None)
+        mine = _SCRATCH.get(spark.sparkContext.applicationId, [])
+        if path in mine:
+            mine.remove(path)
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def release_scratch(spark: SparkSession) -> int:
     """Delete the folders this application settled; call when their results are consumed."""
     paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(conf).delete(target, True)
+        _delete(spark, path)
     return len(paths)
 
 
