@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import decontam, licenses, mixing, quality, simhash
+from tidewell.llm import decontam, embeddup, licenses, mixing, quality, simhash, substring, warc
 from tidewell.llm.common import read
-from tidewell.llm.sql import CONTAINMENT_SQL, mixing_sql
+from tidewell.llm.sql import CONTAINMENT_SQL, WARC_SQL, mixing_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -47,3 +47,18 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op8_substring")
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
+
+
+@query("op9_embeddings")
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query("op10_warc", WARC_SQL)
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages")).drop("path", "record_no")

@@ -87,3 +87,15 @@ joined AS (
   FROM rows AS r LEFT JOIN final AS f ON r.source = f.source AND r.lang = f.lang AND r.topic = f.topic
 )
 SELECT doc_id, source, lang, topic, n_tokens, round(weight, 6) AS cell_share, round(p, 6) AS probability, u < p AS sampled FROM joined"""
+
+
+WARC_SQL = """
+WITH rows AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+),
+firsts AS (SELECT payload_digest, min(page_id) AS f FROM rows WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN f IS NOT NULL AND page_id IS DISTINCT FROM f THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN f IS NOT NULL AND page_id IS DISTINCT FROM f THEN f END AS refers_to
+FROM rows LEFT JOIN firsts USING (payload_digest)
+"""
