@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import decontam, mixing, quality, simhash
+from tidewell.llm import decontam, mixing, quality, simhash, tokenfile
 from tidewell.llm.common import read
+from tidewell.llm.queries import tokenizer_path
 from tidewell.session import settle
 
 
@@ -33,11 +34,17 @@ def to_target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return mixing.sample_mix(docs)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of the documents in id files, and what reading these files gives for each document."""
+    return tokenfile.round_trip(docs, tokenizer_path())
+
+
 STAGES = [
     ("quality", good_quality),
     ("near_duplicates", one_of_each),
     ("decontamination", decontaminated),
     ("mixing", to_target_mix),
+    ("token_ids", packed),
 ]
 
 #: SQL can express neither the classifier's fit nor XXH64; tests hold the stages against brute force.

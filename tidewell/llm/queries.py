@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import decontam, embeddup, licenses, mixing, quality, simhash, substring, warc
+from tidewell.llm import decontam, embeddup, licenses, mixing, quality, simhash, substring, tokenfile, warc
 from tidewell.llm.common import read
 from tidewell.llm.sql import CONTAINMENT_SQL, WARC_SQL, mixing_sql
 
@@ -14,6 +15,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+def tokenizer_path() -> str:
+    """Place of the public byte-level vocabulary; TIDEWELL_TOKENIZER names another one."""
+    named = os.environ.get("TIDEWELL_TOKENIZER")
+    if named:
+        return named
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def query(name: str, sql: str | None = None):
     def add(fn):
         QUERIES[name] = fn
@@ -62,3 +73,8 @@ def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_warc", WARC_SQL)
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages")).drop("path", "record_no")
+
+
+@query("op6_token_ids")
+def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
