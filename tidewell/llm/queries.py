@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewell.llm import decontam, embeddup, licenses, mixing, quality, simhash, substring, tokenfile, warc
+from tidewell.llm import decontam, embeddup, licenses, mixing, pii, quality, simhash, substring, tokenfile, warc
 from tidewell.llm.common import read
 from tidewell.llm.sql import CONTAINMENT_SQL, WARC_SQL, mixing_sql
 
@@ -35,6 +35,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_pii")
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(read(spark, sf_dir, "documents"))
+
+
 @query("op2_mixing", mixing_sql())
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read(spark, sf_dir, "documents"))
