@@ -68,7 +68,7 @@ def fits(kind: str, core: Column) -> Column:
         return core.rlike(r"^[0-9]+(?:\.[0-9]+){3}$")
     if kind == "card":
         return core.rlike(r"^[0-9][0-9 -]*[0-9]$") & count.between(12, 19)
-    return core.rlike(r"^\+?[0-9(][0-9().\x20-]*[0-9]$") & ~core.rlike(r"^[0-9]+(?:\.[0-9]+)*$") & count.between(7, 15)
+    return core.rlike(r"^\+?[0-9(][0-9().\x20-]*[0-9]$") & ~core.rlike(r"^[0-9]+(?:\.[0-9]+)*+$") & count.between(7, 15)
 
 
 def _matches(text: Column, pattern: str, hint: str) -> tuple[Column, Column]:
@@ -119,8 +119,8 @@ def candidates(scanned: DataFrame) -> DataFrame:
     """
     rows = scanned.withColumn("gaps", F.transform("before", lambda b: b["n"])).withColumn("lefts", F.transform("before", lambda b: b["left"]))
     placed = _placed(rows, "candidate", "gaps", "lefts")
-    lead = F.length(F.regexp_extract("value", rf"^(?:{EDGE}(?!\())*", 0))
-    trimmed = F.regexp_replace(F.regexp_replace("value", rf"^(?:{EDGE}(?!\())*", ""), rf"{EDGE}+$", "")
+    lead = F.length(F.regexp_extract("value", rf"^(?:{EDGE}(?!\())*+", 0))
+    trimmed = F.regexp_replace(F.regexp_replace("value", rf"^(?:{EDGE}(?!\())*+", ""), rf"{EDGE}+$", "")
     placed = placed.withColumn("core", trimmed).withColumn("start", F.col("start") + lead).withColumn("end", F.col("start") + F.length("core"))
     words = F.regexp_extract_all(F.lower("lefts"), F.lit(r"[\p{L}]+"), F.lit(0))
     one, two = F.element_at("w", -1), F.concat_ws(" ", F.slice("w", -2, 2))
