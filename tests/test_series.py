@@ -148,3 +148,30 @@ def test_long_ranges_are_cut(spark):
     df = spark.createDataFrame([(0, 25_000), (5, 4), (7, 7)], "a bigint, b bigint")
     got = T.explode_range(df, F.col("a"), F.col("b"), "i")
     assert got.agg(F.count("i"), F.min("i"), F.max("i")).first()[:] == (25_002, 0, 25_000)
+
+
+def test_single_rows_and_nulls_stay(spark):
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("one", 1, t0, 5.0)] + [("two", i, t0 + dt.timedelta(minutes=i), float(i)) for i in range(3)]
+    df = spark.createDataFrame(rows, "k string, id int, ts timestamp_ntz, v double")
+    dense = T.densify_time(df, "ts", "v", "k", 2, "id").collect()
+    assert [(r.at, r.ts, r.value) for r in dense if r.k == "one"] == [(0, t0, 5.0)]
+    assert len(dense) == 6
+    same = T.densify_time(df, "ts", "v", "k", 1, "id").collect()
+    assert sorted((r.k, r.ts, r.value) for r in same) == sorted((k, t, v) for k, _, t, v in rows)
+    holes = spark.createDataFrame([("k", i, None if i == 4 else float(i)) for i in range(10)], "k string, id int, v double")
+    made = {r.id: r.x for r in T.supervised_windows(holes, "v", ["id"], "k", 3).collect()}
+    assert len(made) == 7 and made[5] == [2.0, 3.0, None]
+    scored = {r.id: r.predicted for r in T.one_step_score(holes, "v", ["id"], "k", 3).collect()}
+    assert scored[5] == 2.5
+
+
+def test_long_ids_break_ties(spark):
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1)
+    left = spark.createDataFrame([(1, t0)], "l int, lt timestamp_ntz")
+    right = spark.createDataFrame([("x" * 30 + c, t0) for c in "cab"], "r string, rt timestamp_ntz")
+    assert T.asof_nearest(left, right, ("lt", "rt"), ("l", "r"), tolerance=10).first().r == "x" * 30 + "c"

@@ -248,3 +248,43 @@ def test_streamed_corpus_takes_each_content_once(spark, tmp_path):
     stream = ST.stream_files(spark, str(tmp_path / "in"), df, per_batch=1)
     out = ST.corpus_add(stream, seed, "text", ["id"], ST.job_folder(spark, "t"))
     assert sorted(r.text for r in out.collect()) == [f"text {i}" for i in range(7) if i != 3]
+
+
+def test_null_keys_are_kept(spark):
+    from tidewell.operators import features as FE
+    from tidewell.operators import relational as R
+
+    rows = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), (None, 4), (None, 5)], "k string, v int")
+    shown = R.preview(rows, ["k"], "v", 2).collect()
+    assert sorted((str(r.k), r.v, r.has_more) for r in shown) == [("None", 3, True), ("None", 4, True), ("a", 1, False), ("a", 2, False)]
+    assert R.positional_zip(rows, rows.withColumnRenamed("v", "w"), "v", "w", "k").count() == 5
+    assert R.splice_tail(rows, rows, "v", ["v"], "k").count() == 5
+    assert FE.split(rows.withColumnRenamed("k", "c"), "v", "c").count() == 5
+
+
+def test_maintenance_of_null_keys_and_repeats(spark):
+    target = spark.createDataFrame([("x", 1), (None, 2)], "name string, id int")
+    incoming = spark.createDataFrame([(None, 1), ("y", 2), (None, 3)], "name string, line int")
+    once = D.insert_if_absent(target, incoming, "name", "id", ["line"])
+    assert sorted((str(r.name), r.id) for r in once.select(F.col("name"), "id").collect()) == [("None", 2), ("x", 1), ("y", 3)]
+    corpus = spark.createDataFrame([("t",), (None,)], "text string")
+    more = spark.createDataFrame([(None, 1), ("u", 2), ("t", 3)], "text string, line int")
+    assert [r.text for r in D.corpus_append(corpus, more, "text", ["line"]).collect()] == ["u"]
+    people = spark.createDataFrame([(1, "a", 10), (2, "b", 20), (3, "c", 30)], "k int, name string, balance int")
+    changes = spark.createDataFrame([(2, "b", 99, 1), (1, "b", 5, 1), (3, "d", None, 1), (3, None, 31, 2), (3, "e", None, 3)], "k int, name string, balance int, at int")
+    got = sorted(map(tuple, D.update_by_key(people, changes, "k", "name", ["at"]).select("k", "name", "balance").collect()))
+    assert got == [(1, "a", 10), (2, "b", 99), (3, "e", 31)]
+
+
+def test_correlation_leaves_out_nan(spark):
+    from tidewell.operators import aggregates as A
+
+    df = spark.createDataFrame([(float(i), 2.0 * i if i else float("nan")) for i in range(9)], "a double, b double")
+    assert abs(A.corr_matrix(df, ["a", "b"]).first().r - 1) < 1e-12
+
+
+def test_features_with_holes_are_imputed(spark):
+    from tidewell.operators import models as M
+
+    df = spark.createDataFrame([(i, None if i == 3 else float(i), float("nan") if i == 4 else 1.0) for i in range(6)], "id int, a double, b double")
+    assert M.assemble(df, ["a", "b"], ["id"]).count() == 6

@@ -197,8 +197,8 @@ def test_vector_search_is_exact_both_ways(spark, metric, monkeypatch):
         d = 1 - (q @ m.T) / np.linalg.norm(q, axis=1)[:, None] / np.linalg.norm(m, axis=1)[None]
     want = {(i, r + 1): int(j) for i in range(9) for r, j in enumerate(np.argsort(d[i])[:4])}
     sent = {(r.query_id, r["rank"]): r.vec_id for r in X.vector_topk(vecs, queries, 4, metric).collect()}
-    monkeypatch.setattr(X, "QUERY_BLOCK", 2)
-    joined = {(r.query_id, r["rank"]): r.vec_id for r in X.vector_topk(vecs, queries, 4, metric).collect()}
+    holes = [vecs.unionByName(spark.createDataFrame([(99, None)], vecs.schema)), queries.unionByName(spark.createDataFrame([(99, None)], queries.schema))]
+    joined = {(r.query_id, r["rank"]): r.vec_id for r in X.vector_topk(*holes, 4, metric).collect()}
     blocks = X.knn_blocks(queries, vecs, 4, metric, "vec_id", "embedding", "query_id", "query_vec", block=8)
     assert sent == want == joined == {(r.query_id, r["rank"]): r.vec_id for r in blocks.collect()}
 
@@ -264,11 +264,13 @@ def test_spaced_sample_follows_truncated_targets(spark):
         assert {r.id for r in R.spaced_sample(df, ["s", "id"], n).collect()} == want, n
 
 
-def test_pages_agree_on_both_paths(spark, monkeypatch):
+def test_pages_by_number_and_by_key(spark):
     df = spark.createDataFrame([(i, -i) for i in range(53)], "id int, s int")
     short = [r.id for r in R.page_of(df, ["s", "id"], 2, 20).orderBy("s").collect()]
-    monkeypatch.setattr(R, "SMALL_PAGE", 1)
-    far = R.page_of(df, ["s", "id"], 2, 20).orderBy("s").collect()
+    far = R.page_of(df, ["s", "id"], 2, 20).collect()
+    keyed = [r.id for r in R.page_after(df, ["s", "id"], [-13, 13], 20).collect()]
+    assert keyed == short
+    assert [r.id for r in R.page_after(df, ["s", "id"], None, 2).collect()] == [52, 51]
     assert short == [r.id for r in far] == list(range(12, -1, -1)) and far[0].total_pages == 3
 
 

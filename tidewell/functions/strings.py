@@ -68,14 +68,25 @@ def blank_split(c) -> Column:
     return F.filter(F.split(_col(c), f"{BLANK}+", -1), lambda t: t != "")
 
 
+def _sections(c) -> Column:
+    """A prompt cut before every line that begins with a bracketed header."""
+    return F.split(_col(c), r"\n(?=\[[^\]\n]+\])", -1)
+
+
+def _headed(section: Column, head: str) -> Column:
+    return section.startswith(f"[{head}]")
+
+
 def strip_block(c, head: str) -> Column:
-    """Remove the block under ``[head]`` up to the next bracketed header or the end."""
-    return F.rtrim(F.regexp_replace(_col(c), rf"(?s)\n?\[{head}\].*?(?=\n\[[^\]\n]+\]|\z)", ""))
+    """The sections that do not stand under ``[head]``."""
+    return F.rtrim(F.array_join(F.filter(_sections(c), lambda s: ~_headed(s, head)), "\n"))
 
 
 def strip_from(c, head: str) -> Column:
-    """Remove ``[head]`` and everything after it."""
-    return F.rtrim(F.regexp_replace(_col(c), rf"(?s)\n?\[{head}\].*\z", ""))
+    """The sections before ``[head]``."""
+    sections = _sections(c)
+    at = F.array_position(F.transform(sections, lambda s: _headed(s, head)), True)
+    return F.rtrim(F.array_join(F.when(at == 0, sections).otherwise(F.slice(sections, F.lit(1), at.cast("int") - 1)), "\n"))
 
 
 def absolute_links(c, base: str) -> Column:
@@ -85,13 +96,25 @@ def absolute_links(c, base: str) -> Column:
 
 def absolute_images(c, folder: str, base: str) -> Column:
     """Markdown image links under ``/folder/`` get ``base`` in front."""
-    return F.regexp_replace(_col(c), rf"!\[([^\]]*)\]\(/{folder}/([^)]+)\)", f"![$1]({base.rstrip('/')}/{folder}/$2)")
+    old, new = f"](/{folder}/", f"]({base.rstrip('/')}/{folder}/"
+
+    def one(part: Column) -> Column:
+        """What follows an image mark: label, target, rest."""
+        close, link = F.locate("]", part), F.locate(old, part)
+        target = F.substring_index(F.substring(part, link + len(old), F.length(part)), ")", 1)
+        rest = F.substring(part, link + len(old), F.length(part))
+        ours = (link > 0) & (link == close) & F.contains(rest, F.lit(")")) & (target != "")
+        return F.when(ours, F.concat(F.substring(part, F.lit(1), link - 1), F.lit(new), rest)).otherwise(part)
+
+    parts = F.split(_col(c), r"!\[", -1)
+    return F.concat_ws("![", F.slice(parts, 1, 1), F.transform(F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))), one))
 
 
 def parse_score(c) -> Column:
-    """``score`` of a JSON object (0.0 without one), else the first 0..1 number, else 0.0."""
+    """``score`` of a JSON object (0.0 without one), else the first number of the text from 0 to 1, else 0.0."""
     text = _col(c)
-    found = F.nullif(F.regexp_extract(text, r"(0(\.[0-9]+)?|1(\.0+)?)", 1), F.lit("")).try_cast("double")
+    numbers = F.transform(F.regexp_extract_all(text, F.lit("[0-9]+(?:[.][0-9]+)?"), F.lit(0)), lambda n: n.try_cast("double"))
+    found = F.get(F.filter(numbers, lambda n: n.between(0.0, 1.0)), F.lit(0))
     member = F.get_json_object(text, "$.score")
     is_object = F.json_object_keys(text).isNotNull()
     from_object = F.when(member.isNull(), F.lit(0.0)).otherwise(F.coalesce(member.try_cast("double"), found, F.lit(0.0)))
@@ -99,9 +122,12 @@ def parse_score(c) -> Column:
 
 
 def strip_fences(c) -> Column:
-    """Remove one surrounding code fence; other text is returned unchanged."""
-    text = strip(c)
-    return F.when(text.startswith("```"), F.regexp_replace(text, r"\A```(?:markdown)?\s*|\s*```\z", "")).otherwise(_col(c))
+    """The text between a leading code fence and its closing one; other text is returned unchanged."""
+    text, fence = strip(c), "```"
+    opened = F.substring(text, len(fence) + 1, 1 << 30)
+    body = F.when(opened.startswith("markdown"), F.substring(opened, len("markdown") + 1, 1 << 30)).otherwise(opened)
+    closed = F.when(body.endswith(fence), F.left(body, F.length(body) - len(fence))).otherwise(body)
+    return F.when(text.startswith(fence), strip(closed)).otherwise(_col(c))
 
 
 def failed_rules(c, rules: Mapping[str, str] = PASSWORD_RULES) -> Column:

@@ -147,6 +147,11 @@ def out_of_control(df: DataFrame, value: str, by=None, k: float = 3.0) -> DataFr
     return rows.filter((F.col(value) < F.col("lcl")) | (F.col(value) > F.col("ucl")))
 
 
+def _number(name: str) -> Column:
+    """Column as double with NaN as null: correlations leave out rows where either side has no number."""
+    return F.nanvl(F.col(name).cast("double"), F.lit(None))
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every two columns, undefined as 0.
 
@@ -161,7 +166,7 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             pairs = [(a, b) for a in left for b in right if place[a] < place[b]]
             if not pairs:
                 continue
-            r = lambda a, b: F.coalesce(F.nanvl(F.corr(F.col(a).cast("double"), F.col(b).cast("double")), F.lit(0.0)), F.lit(0.0))
+            r = lambda a, b: F.coalesce(F.nanvl(F.corr(_number(a), _number(b)), F.lit(0.0)), F.lit(0.0))
             facts = df.agg(*[r(a, b).alias(f"r{n}") for n, (a, b) in enumerate(pairs)])
             rows = [
                 F.struct(
@@ -182,8 +187,8 @@ def corr_pairs(df: DataFrame, cols: Sequence[str], min_abs: float = 0.8, top: in
 
 
 def corr_with_label(df: DataFrame, cols: Sequence[str], label: Column, min_abs: float = 0.3) -> DataFrame:
-    y = label.cast("double")
-    facts = df.agg(*[F.corr(F.col(c).cast("double"), y).alias(c) for c in cols])
+    y = F.nanvl(label.cast("double"), F.lit(None))
+    facts = df.agg(*[F.corr(_number(c), y).alias(c) for c in cols])
     return facts.unpivot([], list(cols), "column_name", "r").filter(F.abs("r") > min_abs)
 
 

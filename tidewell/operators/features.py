@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import det
 from .aggregates import unpivot_numbers
-from .ordered import _names, quantiles, scan, with_position
+from .ordered import _names, join_on_keys, quantiles, scan, with_position
 
 # Cumulative probabilities of a Poisson(1) count, up to a tail below 1e-10.
 POISSON1 = tuple(sum(math.exp(-1) / math.factorial(j) for j in range(i + 1)) for i in range(13))
@@ -69,7 +69,7 @@ def split(
     draw = F.col(time_col) if time_col else det.hash52(key, str(seed))
     placed = with_position(df.withColumn("__draw", draw), ["__draw", key], by)
     sizes = placed.groupBy(*by).agg(F.max("rn").alias("__n"))
-    placed = placed.join(sizes, by) if by else placed.withColumn("__n", sizes.scalar())
+    placed = join_on_keys(placed, sizes, by) if by else placed.withColumn("__n", sizes.scalar())
     held = F.ceil(F.col("__n") * test)
     is_test = F.col("rn") > F.col("__n") - held if time_col else F.col("rn") <= held
     return placed.withColumn("part", F.when(is_test, "test").otherwise("train")).drop("__draw", "__n", "rn")

@@ -8,16 +8,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ordered import earliest, with_position
+from .ordered import earliest, join_on_keys, with_position
 from .relational import dedupe_first
 
 
+#: Tables that wide feedback rows are normalised to.
+TABLES = ("app_user", "model", "feedback", "tag", "feedback_tag")
+
+
 def insert_if_absent(target: DataFrame, incoming: DataFrame, key: str, id_col: str, order_by: Sequence[str]) -> DataFrame:
     """``target`` with the unseen keys of ``incoming`` added under new dense ids; ``is_new`` marks them.
 
-    Join it on ``key`` to get the id of any key, old or new.
+    Join it on ``key`` to get the id of any key, old or new.  A null key is a key like any other.
     """
-    fresh = incoming.join(target.select(key), key, "left_anti")
+    known = target.select(F.col(key).alias("__k"))
+    fresh = incoming.join(known, F.col(key).eqNullSafe(F.col("__k")), "left_anti")
     fresh = fresh.groupBy(key).agg(earliest(order_by).alias("__first"))
     top = F.coalesce(target.agg(F.max(id_col)).scalar(), F.lit(0))
     fresh = with_position(fresh, ["__first", key], name="__rn").select(key, (F.col("__rn") + top).alias(id_col))
@@ -31,41 +36,70 @@ def dimension(rows: DataFrame, name: str, order_by: Sequence[str], id_col: str)
     return with_position(first, ["__first", name], name=id_col).select(id_col, name)
 
 
-def normalise_feedback(wide: DataFrame, line: str = "line") -> dict[str, DataFrame]:
-    """Wide feedback rows to user, model, feedback, tag and feedback_tag tables.
+def normalise_feedback(wide: DataFrame, line: str = "line", tables: Sequence[str] = TABLES) -> dict[str, DataFrame]:
+    """Wide feedback rows to user, model, feedback, tag and feedback_tag tables; only those asked for are built.
 
     Of rows with the same ``feedback_id`` the first gives the fields, while the tags of all
-    of them are linked.  ``tags`` is an array, ``line`` the unique order of the rows.
+    of them are linked.  ``tags`` is an array, ``line`` the unique order of the rows.  Feedback without user
+    or model keeps a null there, rows without ``feedback_id`` are one feedback.
     """
-    users = dimension(wide, "user_name", [line], "user_id")
-    models = dimension(wide, "model_name", [line], "model_id")
-    first = dedupe_first(wide, ["feedback_id"], [line])
-    first = with_position(first, [line], name="feedback_pk")
-    feedback = first.join(users, "user_name").join(models, "model_name")
-    feedback = feedback.select(
-        "feedback_pk", "feedback_id", "user_id", "model_id", "prompt_text", "response_text", "rating", F.col("tags").alias("tags_array")
-    )
-    tagged = wide.select("feedback_id", line, F.posexplode("tags").alias("pos", "tag_name"))
-    tags = dimension(tagged, "tag_name", [line, "pos"], "tag_id")
-    link = tagged.select("feedback_id", "tag_name").distinct()
-    link = link.join(first.select("feedback_id", "feedback_pk"), "feedback_id").join(tags, "tag_name").select("feedback_pk", "tag_id")
-    return {"app_user": users, "model": models, "feedback": feedback, "tag": tags, "feedback_tag": link}
+    wants = lambda *names: any(n in tables for n in names)
+    out: dict[str, DataFrame] = {}
+    if wants("app_user", "feedback"):
+        out["app_user"] = dimension(wide, "user_name", [line], "user_id")
+    if wants("model", "feedback"):
+        out["model"] = dimension(wide, "model_name", [line], "model_id")
+    if wants("feedback", "feedback_tag"):
+        first = with_position(dedupe_first(wide, ["feedback_id"], [line]), [line], name="feedback_pk")
+    if wants("feedback"):
+        named = first.join(out["app_user"], "user_name", "left").join(out["model"], "model_name", "left")
+        out["feedback"] = named.select(
+            "feedback_pk", "feedback_id", "user_id", "model_id", "prompt_text", "response_text", "rating", F.col("tags").alias("tags_array")
+        )
+    if wants("tag", "feedback_tag"):
+        tagged = wide.select("feedback_id", line, F.posexplode("tags").alias("pos", "tag_name"))
+        out["tag"] = dimension(tagged, "tag_name", [line, "pos"], "tag_id")
+    if wants("feedback_tag"):
+        link = tagged.select("feedback_id", "tag_name").distinct().join(out["tag"], "tag_name")
+        out["feedback_tag"] = join_on_keys(link, first.select("feedback_id", "feedback_pk"), ["feedback_id"]).select("feedback_pk", "tag_id")
+    return {name: out[name] for name in tables}
+
+
+def last_changes(changes: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    """One row per key: of each field the last value that is not null, by ``order_by``."""
+    fields = [c for c in changes.columns if c != key and c not in order_by]
+    last = lambda c: F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order_by))).alias(c)
+    return changes.groupBy(key).agg(*map(last, fields))
 
 
 def rejected_changes(target: DataFrame, changes: DataFrame, key: str, unique: str) -> DataFrame:
-    """Changes whose new unique value another key already has, or an earlier change claims."""
+    """Changes whose new unique value another key already has, or the change of a smaller key claims.
+
+    A change that keeps its key's own value claims nothing.
+    """
     holders = target.select(F.col(key).alias("__k"), F.col(unique).alias("__u"))
     taken = changes.join(holders, (F.col(unique) == F.col("__u")) & (F.col(key) != F.col("__k")), "left_semi")
-    firsts = changes.filter(F.col(unique).isNotNull()).groupBy(unique).agg(F.min(key).alias("__first"))
-    later = changes.join(firsts, unique).filter(F.col(key) != F.col("__first"))
+    claims = changes.filter(F.col(unique).isNotNull()).join(holders, (F.col(key) == F.col("__k")) & (F.col(unique) == F.col("__u")), "left_anti")
+    firsts = claims.groupBy(unique).agg(F.min(key).alias("__first"))
+    later = claims.join(firsts, unique).filter(F.col(key) != F.col("__first"))
     unknown = changes.join(target.select(key), key, "left_anti")
     reason = lambda df, why: df.select(key, F.lit(why).alias("reason"))
     every = reason(taken, "taken").unionByName(reason(later, "claimed")).unionByName(reason(unknown, "unknown key"))
     return every.groupBy(key).agg(F.max("reason").alias("reason"))
 
 
-def update_by_key(target: DataFrame, changes: DataFrame, key: str, unique: str | None = None) -> DataFrame:
-    """Non-null fields of ``changes`` replace those of the same key; changes breaking uniqueness are left out."""
+def update_by_key(
+    target: DataFrame, changes: DataFrame, key: str, unique: str | None = None, order_by: Sequence[str] | None = None
+) -> DataFrame:
+    """Non-null fields of ``changes`` replace those of the same key; changes breaking uniqueness are left out.
+
+    Repeated changes of a key count as one, of which ``order_by`` (by default the fields themselves) says
+    what comes last; a row of the target is never doubled.
+    """
+    if order_by is None:
+        order_by = [f"__o_{c}" for c in changes.columns if c != key]
+        changes = changes.withColumns({f"__o_{c}": F.col(c) for c in changes.columns if c != key})
+    changes = last_changes(changes, key, order_by)
     if unique:
         changes = changes.join(rejected_changes(target, changes, key, unique), key, "left_anti")
     fields = [c for c in changes.columns if c != key]
@@ -131,9 +165,10 @@ def audit_length(df: DataFrame, bounds: Mapping[str, int]) -> DataFrame:
 
 
 def corpus_append(corpus: DataFrame, incoming: DataFrame, text: str, order_by: Sequence[str]) -> DataFrame:
-    """Incoming rows whose content is not stored yet, each content once; appending twice adds nothing."""
+    """Incoming rows whose content is not stored yet, each content (null is one) once; appending twice adds nothing."""
     hashed = lambda df: df.withColumn("content_hash", F.sha2(text, 256))
-    fresh = hashed(incoming).join(hashed(corpus).select("content_hash"), "content_hash", "left_anti")
+    stored = hashed(corpus).select(F.col("content_hash").alias("__h_stored"))
+    fresh = hashed(incoming).join(stored, F.col("content_hash").eqNullSafe(F.col("__h_stored")), "left_anti")
     return dedupe_first(fresh, ["content_hash"], order_by)
 
 

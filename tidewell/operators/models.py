@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from ..functions import det
 from ..functions import strings as S
 from ..session import settle, spread
-from .features import bootstrap, confusion, label_encode, ranking_metrics, regression_report, split, stratified_folds
+from .features import bootstrap, confusion, fit_medians, impute, label_encode, ranking_metrics, regression_report, split, stratified_folds
 from .ordered import with_position
 from .relational import numeric_columns
 from .retrieval import knn_blocks
@@ -49,8 +49,14 @@ def text_features(df: DataFrame, id_col: str, text: str) -> DataFrame:
     ).na.fill(0.0)
 
 
-def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip").transform(df).select(*keep, "features")
+def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str], train: DataFrame | None = None) -> DataFrame:
+    """Feature vectors of all rows; a null or NaN takes the median of its column in ``train`` (by default ``df``).
+
+    A column without any number there becomes 0.
+    """
+    medians = fit_medians(df if train is None else train, features)
+    filled = impute(df, medians, features).na.fill(0.0, list(features))
+    return VectorAssembler(inputCols=list(features), outputCol="features").transform(filled).select(*keep, "features")
 
 
 def task_of(df: DataFrame, target: str) -> str:
@@ -121,7 +127,7 @@ def supervised_report(
         rows = rows.withColumn("label", F.col(target).cast("double"))
     stratify = "label" if 0 < n_classes <= MANY_CLASSES else None
     parts = settle(split(rows.select(id_col, *features, "label"), id_col, stratify, seed=seed))
-    data = assemble(parts, features, [id_col, "label", "part"])
+    data = assemble(parts, features, [id_col, "label", "part"], parts.filter("part = 'train'"))
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(data.filter("part = 'train'"))
     data = scaler.transform(data).drop("features").withColumnRenamed("scaled", "features")
     train, test = data.filter("part = 'train'").persist(), data.filter("part = 'test'")
@@ -193,7 +199,7 @@ def oof_scores(
     out = None
     for fold in range(1, k + 1):
         train = data.filter(F.col("fold") != fold - 1).drop("fold")
-        held = assemble(data.filter(F.col("fold") == fold - 1), features, [id_col, "label"])
+        held = assemble(data.filter(F.col("fold") == fold - 1), features, [id_col, "label"], train)
         if oversample:
             packed = train.select(F.col(id_col).cast("string").alias("row_id"), "label", F.array(*features).alias("x"))
             train = settle(smote(packed, "row_id", "label", "x", seed=seed))
@@ -202,7 +208,7 @@ def oof_scores(
             s = seed + 1000 * fold + m
             bag = bootstrap(train, id_col, [s])
             forest = RandomForestClassifier(numTrees=10, maxDepth=5, seed=s, weightCol="weight")
-            fitted = forest.fit(assemble(bag, features, ["label", F.col("weight").cast("double").alias("weight")]))
+            fitted = forest.fit(assemble(bag, features, ["label", F.col("weight").cast("double").alias("weight")], train))
             one = fitted.transform(held).select(id_col, "label", vector_to_array("probability")[1].alias("p"))
             out = one if out is None else out.unionByName(one)
     return out.groupBy(id_col, "label").agg(F.avg("p").alias("proba"), F.count(F.lit(1)).alias("n_models"))

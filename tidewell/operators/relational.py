@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import spread
-from .ordered import _names, earliest, with_position
+from .ordered import _names, earliest, join_on_keys, with_position
 
-SMALL_PAGE = 10_000
 
 
 # -- projections and filters -------------------------------------------------------------
@@ -126,7 +125,7 @@ def positional_zip(a: DataFrame, b: DataFrame, order_a, order_b, by=None) -> Dat
     """Pair rows by position inside each key up to the shorter side; column names must differ."""
     keys = _names(by)
     left, right = with_position(a, order_a, keys), with_position(b, order_b, keys)
-    return left.join(right, [*keys, "rn"])
+    return join_on_keys(left, right, [*keys, "rn"])
 
 
 # -- ranking and paging ------------------------------------------------------------------
@@ -176,21 +175,36 @@ def preview(df: DataFrame, keys: Sequence[str], order, k: int = 3) -> DataFrame:
     """First ``k`` rows per key and whether there are more."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     shown = top_per_key(df, keys, order, k)
-    return shown.join(counts, list(keys)).withColumn("has_more", F.col("__n") > k).drop("__n")
+    return join_on_keys(shown, counts, list(keys)).withColumn("has_more", F.col("__n") > k).drop("__n")
 
 
 def page_of(df: DataFrame, order_by, page: int, count: int) -> DataFrame:
-    """Rows of the zero-based page with the number of pages; ``order_by`` ends in a unique column."""
+    """Rows of the zero-based page, in order, with the number of pages; ``order_by`` ends in a unique column.
+
+    Rows are numbered by a range shuffle, so a page far back costs no more than the first one.
+    """
     pages = df.agg(F.ceil(F.count(F.lit(1)) / count).alias("n")).scalar()
     order = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_by]
-    if (page + 1) * count <= SMALL_PAGE:
-        rows = df.orderBy(*order).offset(page * count).limit(count)
-    else:
-        placed = with_position(df, order, name="__rn")
-        rows = placed.filter((F.col("__rn") > page * count) & (F.col("__rn") <= (page + 1) * count)).drop("__rn")
+    placed = with_position(df, order, name="__rn")
+    rows = placed.filter((F.col("__rn") > page * count) & (F.col("__rn") <= (page + 1) * count)).orderBy("__rn").drop("__rn")
     return rows.withColumn("total_pages", pages)
 
 
+def page_after(df: DataFrame, order_by: Sequence[str], after: Sequence | None, count: int) -> DataFrame:
+    """The next ``count`` rows in order after the row whose order values are ``after`` (None: from the start).
+
+    Needs no numbering: each task keeps ``count`` rows past the mark.  Nulls come last in every column.
+    """
+    past = F.lit(True) if after is None else F.lit(False)
+    same = F.lit(True)
+    for name, value in zip(order_by, after or ()):
+        mark = F.lit(value)
+        beyond = F.lit(False) if value is None else F.col(name).isNull() | (F.col(name) > mark)
+        past = past | (same & beyond)
+        same = same & F.col(name).eqNullSafe(mark)
+    return df.filter(past).orderBy(*[F.col(c).asc_nulls_last() for c in order_by]).limit(count)
+
+
 def spaced_sample(df: DataFrame, score, n: int) -> DataFrame:
     """``n`` rows at evenly spaced ranks of ascending ``score``; all rows when there are at most ``n``."""
     placed = with_position(df, score)
@@ -237,9 +251,9 @@ def splice_tail(base: DataFrame, new: DataFrame, value: str, order_by, by=None,
     keys = _names(by)
     left = with_position(base, order_by, keys)
     sizes = left.groupBy(*keys).agg(F.floor(F.max("rn") / 2).alias("__half"))
-    left = left.join(sizes, keys) if keys else left.withColumn("__half", sizes.scalar())
+    left = join_on_keys(left, sizes, keys) if keys else left.withColumn("__half", sizes.scalar())
     start = F.col("__half") if offset is None else F.lit(offset)
     left = left.withColumn("__at", F.when(F.col("rn") > F.col("__half"), F.col("rn") - F.col("__half") + start))
     donor = with_position(new, order_by, keys, "__at").select(*keys, "__at", F.col(value).alias("__new"))
-    out = left.join(donor, [*keys, "__at"], "left")
+    out = join_on_keys(left, donor, [*keys, "__at"], "left")
     return out.withColumn(value, F.coalesce("__new", value)).drop("__at", "__new", "__half")

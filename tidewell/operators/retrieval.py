@@ -7,7 +7,7 @@ query and task, not every (query, document) pair.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -17,9 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions import strings as S
 from ..session import spread
-from .ordered import with_position
 
-QUERY_BLOCK = 1024
 
 
 def _rank(scored: DataFrame, query: str, doc: str, k: int, score: str = "score") -> DataFrame:
@@ -101,61 +99,32 @@ def bm25_topk(
 # -- vectors -----------------------------------------------------------------------------
 
 
-def _scan_vectors(vecs: DataFrame, block: list, k: int, metric: str, id_col: str, vec: str, query: str, query_type) -> DataFrame:
-    names = [r[0] for r in block]
-    q = np.array([r[1] for r in block], dtype=np.float64)
-    unit = q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
-    schema = T.StructType(
-        [T.StructField(query, query_type), T.StructField(id_col, vecs.schema[id_col].dataType), T.StructField("distance", T.DoubleType())]
-    )
-
-    def best(ids: np.ndarray, d: np.ndarray):
-        keep = np.lexsort((ids, d))[:k]
-        return ids[keep], d[keep]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = [(np.empty(0, dtype=np.int64), np.empty(0))] * len(names)
-        for pdf in batches:
-            pdf = pdf[pdf[vec].notna()]
-            if pdf.empty:
-                continue
-            m = np.stack(pdf[vec].to_numpy()).astype(np.float64)
-            ids = pdf[id_col].to_numpy()
-            if metric == "cosine":
-                sims = (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)) @ unit.T
-            for i in range(len(names)):
-                d = 1.0 - sims[:, i] if metric == "cosine" else np.sqrt(((m - q[i]) ** 2).sum(axis=1))
-                if len(d) > k:
-                    near = d <= np.partition(d, k - 1)[k - 1]
-                    one_ids, one_d = ids[near], d[near]
-                else:
-                    one_ids, one_d = ids, d
-                held[i] = best(np.concatenate([held[i][0].astype(ids.dtype), one_ids]), np.concatenate([held[i][1], one_d]))
-        out = [pd.DataFrame({query: n, id_col: i, "distance": d}) for n, (i, d) in zip(names, held) if len(i)]
-        if out:
-            yield pd.concat(out)
-
-    return spread(vecs.select(id_col, vec)).mapInPandas(run, schema)
-
-
 def knn_blocks(
     queries: DataFrame, vecs: DataFrame, k: int, metric: str, id_col: str, vec: str, query: str, query_vec: str,
     by: str | None = None, skip_self: bool = False, block: int = 2048,
 ) -> DataFrame:
-    """Exact nearest vectors for many queries, inside the same ``by`` value if given.
+    """Exact nearest vectors of queries, inside the same ``by`` value if given.
 
-    Both sides are cut into blocks of equal size and every two blocks meet in one task, which
-    hands on the best ``k`` per query.  A large group is more blocks, never a larger task.
+    Both sides are dealt by a hash of their ids into blocks of about ``block`` rows and every two blocks meet
+    in one task, which hands on the best ``k`` per query.  A large group is more blocks, never a larger task.
+    Null vectors are nobody's neighbours and have none.
     """
     keys = [by] if by else []
-    cut = lambda df, key, name: with_position(df, [key], keys, "__rn").withColumn(name, F.floor((F.col("__rn") - 1) / block))
-    q = cut(queries.select(*keys, F.col(query).alias("__qid"), F.col(query_vec).alias("__q")), "__qid", "__qb")
-    v = cut(vecs.select(*keys, F.col(id_col).alias("__vid"), F.col(vec).alias("__v")), "__vid", "__vb")
+
+    def cut(df: DataFrame, key: str, name: str) -> DataFrame:
+        df = df.filter(F.col("__q" if key == "__qid" else "__v").isNotNull())
+        sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).alias("__blocks"))
+        df = df.join(sizes, keys) if keys else df.withColumn("__blocks", sizes.scalar())
+        return df.withColumn(name, F.pmod(F.xxhash64(key), "__blocks")).drop("__blocks")
+
+    own = [F.col(c).alias(c) for c in keys]  # both sides may come from one frame
+    q = cut(queries.select(*own, F.col(query).alias("__qid"), F.col(query_vec).alias("__q")), "__qid", "__qb")
+    v = cut(vecs.select(*own, F.col(id_col).alias("__vid"), F.col(vec).alias("__v")), "__vid", "__vb")
 
     def meet(df: DataFrame, other: DataFrame, mine: str, theirs: str) -> DataFrame:
         sizes = other.groupBy(*keys).agg(F.max(theirs).alias("__top"))
         df = df.join(sizes, keys) if keys else df.withColumn("__top", sizes.scalar())
-        return df.withColumn(theirs, F.explode(F.sequence(F.lit(0).cast("bigint"), "__top"))).drop("__top", "__rn")
+        return df.filter("__top is not null").withColumn(theirs, F.explode(F.sequence(F.lit(0).cast("bigint"), "__top"))).drop("__top")
 
     on = [*keys, "__qb", "__vb"]
     schema = T.StructType(
@@ -169,7 +138,7 @@ def knn_blocks(
         m = np.stack(right["__v"].to_numpy()).astype(np.float64)
         ids = right["__vid"].to_numpy()
         norms = np.maximum(np.linalg.norm(m, axis=1), 1e-300)
-        parts = []
+        names, found, far = [], [], []
         for name, one in zip(left["__qid"], left["__q"]):
             one = np.asarray(one, dtype=np.float64)
             if metric == "cosine":
@@ -177,9 +146,14 @@ def knn_blocks(
             else:
                 d = np.sqrt(((m - one) ** 2).sum(axis=1))
             use = np.flatnonzero(ids != name) if skip_self else np.arange(len(ids))
+            if len(use) > k:  # all that are as near as the k-th, then ties by id
+                use = use[d[use] <= np.partition(d[use], k - 1)[k - 1]]
             near = use[np.lexsort((ids[use], d[use]))[:k]]
-            parts.append(pd.DataFrame({query: name, id_col: ids[near], "distance": d[near]}))
-        return pd.concat(parts) if parts else empty
+            names += [name] * len(near)
+            found.append(ids[near])
+            far.append(d[near])
+        plain = lambda values: pd.Series(values, dtype=object)
+        return pd.DataFrame({query: plain(names), id_col: plain(list(np.concatenate(found))), "distance": np.concatenate(far)})
 
     left, right = meet(q, v, "__qb", "__vb"), meet(v, q, "__vb", "__qb")
     near = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(nearest, schema)
@@ -197,17 +171,8 @@ def vector_topk(
     query: str = "query_id",
     query_vec: str = "query_vec",
 ) -> DataFrame:
-    """Exact nearest vectors per query by ``l2`` or ``cosine`` distance, ties by id.
-
-    Up to ``QUERY_BLOCK`` query vectors are sent to every task, which keeps its best ``k``;
-    a larger set of queries is joined block by block instead.
-    """
-    some = queries.select(query, query_vec).limit(QUERY_BLOCK + 1).collect()
-    if len(some) > QUERY_BLOCK:
-        return knn_blocks(queries, vecs, k, metric, id_col, vec, query, query_vec)
-    near = _scan_vectors(vecs, some, k, metric, id_col, vec, query, queries.schema[query].dataType)
-    w = Window.partitionBy(query).orderBy("distance", id_col)
-    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    """Exact nearest vectors per query by ``l2`` or ``cosine`` distance, ties by id; null vectors take no part."""
+    return knn_blocks(queries, vecs, k, metric, id_col, vec, query, query_vec)
 
 
 def mmr(

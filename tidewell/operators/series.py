@@ -31,9 +31,11 @@ def _with_size(df: DataFrame, keys: Sequence[str], pos: str = "rn", name: str =
 
 
 def explode_range(df: DataFrame, lo: Column, hi: Column, name: str) -> DataFrame:
-    """Rows for every whole number lo..hi; long ranges are cut so that no array gets large."""
+    """Rows for every whole number lo..hi; long ranges are cut so that no array gets large, and dealt out piece by
+    piece, so that one row's range is not made in one task."""
     df = df.withColumns({"__lo": lo, "__hi": hi}).filter("__hi >= __lo")
     df = df.withColumn("__at", F.explode(F.sequence("__lo", "__hi", F.lit(STEP_ROWS).cast("bigint"))))
+    df = df.repartition("__lo", "__hi", "__at")
     return df.withColumn(name, F.explode(F.sequence("__at", F.least(F.col("__at") + STEP_ROWS - 1, F.col("__hi"))))).drop(
         "__lo", "__hi", "__at"
     )
@@ -115,14 +117,14 @@ def asof_nearest(
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     none = lambda df, cols: F.lit(None).cast(df.select(F.struct(*cols).alias("s")).schema["s"].dataType)
     a = left.filter(F.col(l_ts).isNotNull()).select(
-        *keys, micros(l_ts).alias("__t"), F.lit(1).alias("__tag"), F.col(ids[0]).cast("string").alias("__id"),
-        F.struct(*l_cols).alias("__l"), none(right, r_cols).alias("__r"),
+        *keys, micros(l_ts).alias("__t"), F.lit(1).alias("__tag"), F.col(ids[0]).alias("__lid"),
+        F.lit(None).cast(right.schema[ids[1]].dataType).alias("__rid"), F.struct(*l_cols).alias("__l"), none(right, r_cols).alias("__r"),
     )
     b = right.filter(F.col(r_ts).isNotNull()).select(
-        *keys, micros(r_ts).alias("__t"), F.lit(0).alias("__tag"), F.lpad(F.col(ids[1]).cast("string"), 20, "0").alias("__id"),
+        *keys, micros(r_ts).alias("__t"), F.lit(0).alias("__tag"), F.lit(None).cast(left.schema[ids[0]].dataType).alias("__lid"), F.col(ids[1]).alias("__rid"),
         none(left, l_cols).alias("__l"), F.struct(*r_cols).alias("__r"),
     )
-    placed = with_position(a.unionByName(b), ["__t", "__tag", "__id"], keys, "__pos")
+    placed = with_position(a.unionByName(b), ["__t", "__tag", "__lid", "__rid"], keys, "__pos")
     seen = F.when(F.col("__tag") == 0, F.struct(F.col("__t").alias("t"), F.col("__r").alias("r")))
     near = scan(placed, keys, "__pos", last={"__b": seen}, first={"__f": seen}, size=size).filter("__tag = 1")
     back, fore = F.col("__t") - F.col("__b.t"), F.col("__f.t") - F.col("__t")
@@ -157,11 +159,14 @@ def align(left, right, on, ids, by=None, tolerance=None, min_ratio: float = 0.8)
 
 
 def supervised_windows(df: DataFrame, value: str, order_by, by, seq_len: int, size: int = RUN) -> DataFrame:
-    """``x``: the previous ``seq_len`` values, ``y``: the value; rows without a full window are left out."""
+    """``x``: the previous ``seq_len`` values, ``y``: the value; rows without a full window are left out.
+
+    A null value keeps its place in the windows; fill first where a model cannot take it.
+    """
     keys = _names(by)
     placed = with_position(df, order_by, keys)
     made = neighbours(
-        placed, keys, "rn", lambda w: {"x": F.collect_list(value).over(w.rowsBetween(-seq_len, -1))}, before=seq_len, size=size
+        placed, keys, "rn", lambda w: {"x": F.collect_list(F.struct(F.col(value).alias("v"))).over(w.rowsBetween(-seq_len, -1))["v"]}, before=seq_len, size=size
     )
     return made.filter(F.size("x") == seq_len).withColumn("y", F.col(value))
 
@@ -237,9 +242,13 @@ def densify_index(df: DataFrame, value: str, order_by, by, factor: int, size: in
 def densify_time(df: DataFrame, ts: str, value: str, by, factor: int, tie: str, size: int = RUN) -> DataFrame:
     """Grid from the first to the last time at median gap / factor, interpolated in time.
 
-    A key whose median gap is not positive is densified by position, without times.
+    A key whose median gap is not positive is densified by position, without times.  A series of one row, and
+    any series at a factor of 1 or less, stays as it is.
     """
     keys = _names(by)
+    if factor <= 1:
+        placed = with_position(df.select(*keys, tie, F.col(ts).alias("__ts"), value), ["__ts", tie], keys)
+        return placed.select(*keys, (F.col("rn") - 1).alias("at"), F.col("__ts").alias("ts"), F.col(value).alias("value"))
     gaps = median_gap(df, ts, keys, distinct=False, tie=tie)
     step = gaps.select(*keys, F.greatest(F.lit(1), F.floor(F.floor("median_gap_us") / factor)).alias("__step"), "median_gap_us")
     start = df.groupBy(*keys).agg(F.min(micros(ts)).alias("__start"))
@@ -258,13 +267,13 @@ def densify_time(df: DataFrame, ts: str, value: str, by, factor: int, tie: str,
     frac = F.try_divide((F.col("__g") - F.col("__t")).cast("double"), (F.col("__t2") - F.col("__t")).cast("double"))
     value_at = F.col(value) + F.coalesce((F.col("__v2") - F.col(value)) * frac, F.lit(0.0))
     timed = grid.select(*keys, F.col("__k").alias("at"), from_micros("__g").alias("ts"), value_at.alias("value"))
-    flat = rows.filter("median_gap_us <= 0").withColumn(
+    flat = rows.filter("median_gap_us is null or median_gap_us <= 0").withColumn(
         "__i", F.explode(F.sequence(F.lit(0), F.when(F.col("__t2").isNull(), F.lit(0)).otherwise(F.lit(factor - 1))))
     )
     by_place = flat.select(
         *keys,
         ((F.col("rn") - 1) * factor + F.col("__i")).alias("at"),
-        F.lit(None).cast("timestamp_ntz").alias("ts"),
+        F.when(F.col("median_gap_us").isNull(), from_micros("__t")).alias("ts"),
         (F.col(value) + F.coalesce((F.col("__v2") - F.col(value)) * F.col("__i") / factor, F.lit(0.0))).alias("value"),
     )
     return timed.unionByName(by_place)
@@ -304,17 +313,21 @@ Scorer = Callable[[Column], Column]
 
 
 def moving_average(x: Column) -> Column:
-    return F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / F.size(x)
+    known = F.filter(x, lambda v: v.isNotNull())
+    return F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, v: a + v), F.size(known))
 
 
 def one_step_score(
     df: DataFrame, value: str, order_by, by, seq_len: int, scorer: Scorer = moving_average, size: int = RUN
 ) -> DataFrame:
-    """Predict each row from the ``seq_len`` before it; the first rows take their actual value."""
+    """Predict each row from the ``seq_len`` before it; the first rows take their actual value.
+
+    The moving average leaves out nulls; where a window holds no value the actual one is taken.
+    """
     keys = _names(by)
     made = neighbours(
         with_position(df, order_by, keys), keys, "rn",
-        lambda w: {"__x": F.collect_list(value).over(w.rowsBetween(-seq_len, -1))}, before=seq_len, size=size,
+        lambda w: {"__x": F.collect_list(F.struct(F.col(value).alias("v"))).over(w.rowsBetween(-seq_len, -1))["v"]}, before=seq_len, size=size,
     )
     pred = F.when(F.size("__x") == seq_len, scorer(F.col("__x")))
     out = made.withColumn("predicted", F.coalesce(pred, F.col(value))).drop("__x")

@@ -46,7 +46,7 @@ _TAGS = "x AS (SELECT line, feedback_id, i AS pos, string_split(p_name, ' ')[i]
     SELECT row_number() OVER (ORDER BY line) AS feedback_pk, feedback_id, user_id, model_id, rating::DOUBLE AS rating FROM f JOIN u USING (user_name) JOIN m USING (model_name)""",
 )
 def normalize_dim(spark, sf):
-    return D.normalise_feedback(_wide(spark, sf))["feedback"].select("feedback_pk", "feedback_id", "user_id", "model_id", "rating")
+    return D.normalise_feedback(_wide(spark, sf), tables=["feedback"])["feedback"].select("feedback_pk", "feedback_id", "user_id", "model_id", "rating")
 
 
 @query(
@@ -55,15 +55,38 @@ def normalize_dim(spark, sf):
     SELECT DISTINCT feedback_pk, tag_id FROM x JOIN f USING (feedback_id) JOIN t USING (tag)""",
 )
 def normalize_bridge(spark, sf):
-    return D.normalise_feedback(_wide(spark, sf))["feedback_tag"]
+    return D.normalise_feedback(_wide(spark, sf), tables=["feedback_tag"])["feedback_tag"]
+
+
+@query(
+    "normalize_user",
+    f"WITH {_WIDE} SELECT user_name, row_number() OVER (ORDER BY o) AS user_id FROM (SELECT user_name, min(line) AS o FROM w GROUP BY user_name)",
+)
+def normalize_user(spark, sf):
+    return D.normalise_feedback(_wide(spark, sf), tables=["app_user"])["app_user"]
+
+
+@query(
+    "normalize_model",
+    f"WITH {_WIDE} SELECT model_name, row_number() OVER (ORDER BY o) AS model_id FROM (SELECT model_name, min(line) AS o FROM w GROUP BY model_name)",
+)
+def normalize_model(spark, sf):
+    return D.normalise_feedback(_wide(spark, sf), tables=["model"])["model"]
+
+
+@query("normalize_tag", f"WITH {_WIDE}, {_TAGS} SELECT tag AS tag_name, tag_id FROM t")
+def normalize_tag(spark, sf):
+    return D.normalise_feedback(_wide(spark, sf), tables=["tag"])["tag"]
 
 
 def _changes(c):
-    """Renames: some to a free name, some to a name another customer has."""
+    """Two changes per customer: a draft, then a new balance and a name that is free, another customer's or its own."""
     free = F.concat(F.lit("Renamed#"), F.col("c_custkey"))
     other = F.format_string("Customer#%09d", F.col("c_custkey") + 1)
     name = F.when(F.col("c_custkey") % 3 == 0, free).when(F.col("c_custkey") % 3 == 1, other).otherwise(F.col("c_name"))
-    return c.select("c_custkey", name.alias("c_name"), F.lit(None).cast("double").alias("c_acctbal"))
+    final = c.select("c_custkey", name.alias("c_name"), F.col("c_custkey").cast("double").alias("c_acctbal"), F.lit(2).alias("at"))
+    draft = c.select("c_custkey", F.concat(F.lit("Draft#"), F.col("c_custkey")).alias("c_name"), F.lit(None).cast("double").alias("c_acctbal"), F.lit(1).alias("at"))
+    return draft.unionByName(final)
 
 
 _CHANGES = """ch AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'Renamed#' || c_custkey WHEN 1 THEN printf('Customer#%09d', c_custkey + 1)
@@ -72,25 +95,26 @@ _CHANGES = """ch AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'Renamed#'
 
 @query(
     "update_by_key",
-    f"""WITH {_CHANGES} SELECT c.c_custkey, c.c_acctbal, CASE WHEN o.c_custkey IS NULL THEN ch.new_name ELSE c.c_name END AS c_name
+    f"""WITH {_CHANGES} SELECT c.c_custkey, CASE WHEN o.c_custkey IS NULL THEN c.c_custkey::DOUBLE ELSE c.c_acctbal END AS c_acctbal,
+      CASE WHEN o.c_custkey IS NULL THEN ch.new_name ELSE c.c_name END AS c_name
     FROM customer c JOIN ch USING (c_custkey) LEFT JOIN customer o ON o.c_name = ch.new_name AND o.c_custkey <> c.c_custkey
     WHERE true""",
 )
 def update_by_key(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
-    return D.update_by_key(c, _changes(c), "c_custkey", "c_name")
+    return D.update_by_key(c, _changes(c), "c_custkey", "c_name", ["at"])
 
 
 @query(
     "rejected_changes",
-    f"""WITH {_CHANGES}, d AS (SELECT *, min(c_custkey) OVER (PARTITION BY new_name) AS f FROM ch)
+    f"""WITH {_CHANGES}, d AS (SELECT ch.*, min(c_custkey) OVER (PARTITION BY new_name) AS f FROM ch JOIN customer c USING (c_custkey) WHERE new_name <> c.c_name)
     SELECT c_custkey, max(reason) AS reason FROM (
       SELECT d.c_custkey, 'taken' AS reason FROM d JOIN customer o ON o.c_name = d.new_name AND o.c_custkey <> d.c_custkey
       UNION ALL SELECT c_custkey, 'claimed' FROM d WHERE c_custkey <> f) GROUP BY c_custkey""",
 )
 def rejected_changes(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
-    return D.rejected_changes(c, _changes(c), "c_custkey", "c_name")
+    return D.rejected_changes(c, D.last_changes(_changes(c), "c_custkey", ["at"]), "c_custkey", "c_name")
 
 
 @query(

@@ -211,12 +211,12 @@ def extractive_summary(spark, sf):
     return C.extractive_summary(table(spark, sf, "documents"), "doc_id", "text")
 
 
-_SHOTS = ("Word: rapid\nSynonym: fast\n", "Word: big\nSynonym: large\n")
+_SHOTS = ("Item: kettle\nRoom: kitchen\n", "Item: pillow\nRoom: bedroom\n")
 
 
 @query(
     "render_template",
-    """SELECT doc_id, 'Word: rapid' || chr(10) || 'Synonym: fast' || chr(10) || chr(10) || chr(10) || 'Word: big' || chr(10) || 'Synonym: large'
+    """SELECT doc_id, 'Item: kettle' || chr(10) || 'Room: kitchen' || chr(10) || chr(10) || chr(10) || 'Item: pillow' || chr(10) || 'Room: bedroom'
       || chr(10) || chr(10) || chr(10) || 'Source: ' || source || chr(10) || 'Text (' || lang || '): ' || substr(text, 1, 200) AS prompt FROM documents""",
 )
 def render_template(spark, sf):

@@ -79,15 +79,15 @@ def strip_block(spark, sf):
 @query(
     "rewrite_links",
     """SELECT page_id, md5(regexp_replace(html, '(href|src)="/([^"]*)"', '\\1="https://site.example/\\2"', 'g')) AS html_md5,
-      regexp_replace('see ![p](/eda-images/' || page_id || '.png)', '!\\[([^\\]]*)\\]\\(/eda-images/([^)]+)\\)',
-        '![\\1](https://site.example/eda-images/\\2)', 'g') AS md FROM pages""",
+      regexp_replace('see ![p](/figures/' || page_id || '.png)', '!\\[([^\\]]*)\\]\\(/figures/([^)]+)\\)',
+        '![\\1](https://site.example/figures/\\2)', 'g') AS md FROM pages""",
 )
 def rewrite_links(spark, sf):
-    md = F.concat(F.lit("see ![p](/eda-images/"), F.col("page_id"), F.lit(".png)"))
+    md = F.concat(F.lit("see ![p](/figures/"), F.col("page_id"), F.lit(".png)"))
     return table(spark, sf, "pages").select(
         "page_id",
         F.md5(S.absolute_links("html", "https://site.example/")).alias("html_md5"),
-        S.absolute_images(md, "eda-images", "https://site.example/").alias("md"),
+        S.absolute_images(md, "figures", "https://site.example/").alias("md"),
     )
 
 

@@ -23,6 +23,7 @@ def build_session(app: str = "tidewell", cpus: int | str = "*", **conf: str) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": "12g",
+        "spark.tidewell.spread": partitions,
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
@@ -89,11 +90,9 @@ def release_scratch(spark: SparkSession) -> int:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core for costly row work on an input too small to be cut into that many scan tasks.
+    """Deal rows of costly work out to ``spark.tidewell.spread`` tasks; without that setting the scan's tasks stay.
 
-    Inputs of at least one full scan partition per core are returned as they are, without a shuffle.
+    Meant for tables of a few files on many cores, where a scan has fewer tasks than there are cores.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * 128 * 2**20 else df
+    tasks = df.sparkSession.conf.get("spark.tidewell.spread", None)
+    return df.repartition(int(tasks)) if tasks else df

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import strings as S
+from ..session import settle
 
 BAD_CHAR = "�"
 
@@ -27,6 +28,10 @@ def read_any(spark: SparkSession, path: str, schema: T.StructType | str | None =
     raise ValueError(f"unsupported file type: {suffix}")
 
 
+#: Encodings that Spark reads without a legacy setting.
+OWN_ENCODINGS = ("UTF-8", "UTF-16", "ISO-8859-1", "US-ASCII")
+
+
 def read_csv_any(
     spark: SparkSession, path: str, encodings: Sequence[str] = ("UTF-8", "cp949"), header: bool = True, schema=None
 ) -> DataFrame:
@@ -34,10 +39,23 @@ def read_csv_any(
 
     Spark replaces bytes it cannot decode instead of failing, so each candidate is checked by
     looking for the replacement character.  Encodings beyond Spark's own list need
-    ``spark.sql.legacy.javaCharsets``, which is set back afterwards on the session.
+    ``spark.sql.legacy.javaCharsets``; their rows are written once to the shared folder, so that the setting
+    can be set back.
     """
+    setting = "spark.sql.legacy.javaCharsets"
+    before = spark.conf.get(setting, None)
+    try:
+        return _first_decoding(spark, path, encodings, header, schema)
+    finally:  # what needed the setting has been settled by then
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
+
+
+def _first_decoding(spark: SparkSession, path: str, encodings: Sequence[str], header: bool, schema) -> DataFrame:
     for enc in encodings:
-        if enc.upper() not in ("UTF-8", "UTF-16", "ISO-8859-1", "US-ASCII"):
+        if enc.upper() not in OWN_ENCODINGS:
             spark.conf.set("spark.sql.legacy.javaCharsets", "true")
         reader = spark.read.option("encoding", enc).option("header", header)
         reader = reader.schema(schema) if schema else reader
@@ -48,7 +66,8 @@ def read_csv_any(
             bad = bad | F.coalesce(F.contains(F.col(f"`{c}`"), F.lit(BAD_CHAR)), F.lit(False))
         if df.filter(bad).limit(1).count() == 0 and not any(BAD_CHAR in c for c in df.columns):
             first = df.columns[0].lstrip("﻿")
-            return df.withColumnRenamed(df.columns[0], first)
+            df = df.withColumnRenamed(df.columns[0], first)
+            return df if enc.upper() in OWN_ENCODINGS else settle(df)
     raise ValueError(f"none of {list(encodings)} decodes {path}")
 
 
