@@ -87,8 +87,18 @@ def test_versions_count_up(spark, tmp_path):
 
 def test_cache_follows_its_input(spark, tmp_path):
     one = spark.createDataFrame([(1, "a")], "x int, y string")
-    assert files.cached(one, str(tmp_path), "k").collect() == files.cached(one, str(tmp_path), "k").collect()
-    assert files.cached(one.withColumn("y", F.lit("b")), str(tmp_path), "k").first().y == "b"
+    calls = []
+
+    def shout(df):
+        return lambda: calls.append(1) or df.withColumn("y", F.upper("y"))
+
+    for _ in range(2):
+        assert files.cached(one, shout(one), str(tmp_path), "k").first().y == "A"
+    assert len(calls) == 1
+    other = one.withColumn("y", F.lit("b"))
+    assert files.cached(other, shout(other), str(tmp_path), "k").first().y == "B"
+    swapped = [spark.createDataFrame([r], "x string, y string") for r in ((None, "v"), ("v", None))]
+    assert files.fingerprint(swapped[0]) != files.fingerprint(swapped[1])
     assert len(list(tmp_path.iterdir())) == 2
 
 

@@ -1,12 +1,20 @@
 """Reads, column normalisation and row serialisation on the driver tables."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import strings as S
+from ..session import scratch_dir
 from ..sources import files
 from .registry import query, table
 
 
+def _folder(spark, name: str) -> str:
+    """A new shared folder for files that a query writes and reads back."""
+    return f"{scratch_dir(spark)}/tidewell/{name}-{uuid.uuid4().hex}"
+
+
 @query("scan_parquet", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")
 def scan_parquet(spark, sf):
     return files.read_any(spark, f"{sf}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderstatus")
@@ -21,14 +29,65 @@ def normalize_columns(spark, sf):
     return files.assert_columns(clean, ["event id", "event type"]).withColumnRenamed(reading, "reading")
 
 
-@query("scan_documents", "SELECT 'doc/' || doc_id AS source, text <> '' AS has_text, length(text) AS n FROM documents")
+@query("scan_documents", "SELECT page_id, html <> '' AS has_text, length(html) AS n FROM pages")
 def scan_documents(spark, sf):
-    d = table(spark, sf, "documents")
-    return d.select(
-        F.concat(F.lit("doc/"), F.col("doc_id")).alias("source"), (F.col("text") != "").alias("has_text"), F.length("text").alias("n")
+    """Every page as a text file of its own, found again by suffix; a folder of other files is left out."""
+    path, pages = _folder(spark, "texts"), table(spark, sf, "pages")
+    one = pages.select(F.concat(F.lit("page-"), F.col("page_id")).alias("name"), F.col("html").alias("value"))
+    one.repartition("name").write.partitionBy("name").option("lineSep", "\u0001").text(path)
+    found = files.read_documents(spark, path).withColumn("text", F.regexp_replace("text", "\u0001$", ""))
+    return found.select(
+        F.regexp_extract("source", "page-([0-9]+)", 1).cast("bigint").alias("page_id"), (F.col("text") != "").alias("has_text"), F.length("text").alias("n")
     )
 
 
+@query("csv_any", "SELECT s_suppkey::VARCHAR AS s_suppkey, s_name, s_acctbal::VARCHAR AS s_acctbal FROM supplier")
+def csv_any(spark, sf):
+    path = _folder(spark, "csv")
+    files.write_csv(table(spark, sf, "supplier").select("s_suppkey", "s_name", F.col("s_acctbal").cast("string").alias("s_acctbal")), path)
+    return files.clean_rows(files.read_csv_any(spark, path))
+
+
+@query("csv_series", "SELECT ts AS timestamp, value FROM events")
+def csv_series(spark, sf):
+    path = _folder(spark, "series")
+    e = table(spark, sf, "events").select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(" Timestamp"), F.col("value").alias("VALUE "))
+    files.write_csv(e, path)
+    return files.read_series_csv(spark, path)
+
+
+@query("csv_dated", "SELECT o_orderdate::DATE AS o_orderdate, o_orderkey::DOUBLE AS o_orderkey, o_totalprice::DOUBLE AS o_totalprice FROM orders")
+def csv_dated(spark, sf):
+    path = _folder(spark, "dated")
+    o = table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").cast("string").alias("o_orderdate"), "o_orderkey", "o_totalprice")
+    files.write_csv(o, path)
+    return files.read_dated_csv(spark, path, "o_orderdate")
+
+
+@query("jsonl_append", "SELECT item_id, text FROM benchmark UNION ALL SELECT doc_id, text FROM documents")
+def jsonl_append(spark, sf):
+    path = _folder(spark, "jsonl")
+    for name, key in (("benchmark", "item_id"), ("documents", "doc_id")):
+        files.append_jsonl(table(spark, sf, name).select(F.col(key).alias("item_id"), "text"), path)
+    return files.read_jsonl(spark, path, "item_id bigint, text string")
+
+
+@query("versioned_write", "SELECT 1 AS version, r_regionkey AS k, r_name AS name FROM region UNION ALL SELECT 2, n_nationkey, n_name FROM nation")
+def versioned_write(spark, sf):
+    path = _folder(spark, "versions")
+    files.write_version(table(spark, sf, "region").select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name")), path)
+    files.write_version(table(spark, sf, "nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name")), path)
+    return spark.read.parquet(path)
+
+
+@query("cached_result", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey")
+def cached_result(spark, sf):
+    path, o = _folder(spark, "cache"), table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    counts = lambda: o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    files.cached(o, counts, path, "orders")
+    return files.cached(o, counts, path, "orders")
+
+
 @query(
     "records_json",
     """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS stamp,

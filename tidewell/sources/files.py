@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+import zlib
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -210,20 +211,28 @@ def records_json(df: DataFrame, ts: str, limit: int | None = None) -> DataFrame:
     return out.limit(limit) if limit else out
 
 
-def cached(df: DataFrame, folder: str, key: str) -> DataFrame:
-    """Result stored under ``folder``, keyed by ``key`` and a fingerprint of the input rows.
+def fingerprint(df: DataFrame) -> str:
+    """Mark of a frame's rows, whatever their order; a null is told from any value and from a null elsewhere."""
+    cells = [F.when(F.col(f"`{c}`").isNull(), F.lit(n)).otherwise(F.xxhash64(F.lit(-1 - n), F.col(f"`{c}`"))) for n, c in enumerate(df.columns)]
+    row = F.xxhash64(*cells)
+    mark = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row.cast("decimal(38,0)")).alias("h"), F.bit_xor(F.xxhash64(row, F.lit(1))).alias("x")).first()
+    schema = zlib.crc32(df.schema.simpleString().encode())
+    return f"{mark['n']}-{mark['h'] or 0}-{mark['x'] or 0}-{schema}"
 
-    A changed input has another fingerprint, so stale results are never served.
+
+def cached(inputs: DataFrame | Sequence[DataFrame], compute: Callable[[], DataFrame], folder: str, key: str) -> DataFrame:
+    """Result of ``compute`` stored under ``folder`` by ``key`` and the fingerprints of its inputs.
+
+    With equal inputs the stored rows are read and ``compute`` is not called; changed inputs have other
+    fingerprints, so stale results are never served.
     """
-    spark = df.sparkSession
-    mark = df.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("h")
-    ).first()
-    path = f"{folder.rstrip('/')}/{key}-{mark['n']}-{mark['h'] or 0}"
+    inputs = [inputs] if isinstance(inputs, DataFrame) else list(inputs)
+    spark = inputs[0].sparkSession
+    path = f"{folder.rstrip('/')}/{key}-" + "-".join(map(fingerprint, inputs))
     fs_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     if not fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):
-        df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        compute().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def json_rows(df: DataFrame, col: str, schema: str) -> DataFrame:
