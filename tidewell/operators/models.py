@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 from ..functions import det
 from ..functions import strings as S
 from ..session import settle, spread
-from .features import bootstrap, confusion, fit_medians, impute, label_encode, ranking_metrics, regression_report, split, stratified_folds
+from .features import bootstrap, class_report, confusion, fit_medians, impute, label_encode, ranking_metrics, regression_report, split, stratified_folds
 from .ordered import with_position
 from .relational import numeric_columns
 from .retrieval import knn_blocks
@@ -67,22 +68,32 @@ def task_of(df: DataFrame, target: str) -> str:
     return "regression" if distinct > 10 and isinstance(df.schema[target].dataType, T.NumericType) else "classification"
 
 
-def _classifiers(n_features: int, n_classes: int, seed: int) -> dict:
+@dataclass(frozen=True)
+class ModelSize:
+    """Trees and depth of forests, rounds and depth of boosted trees; raise them where time allows."""
+
+    trees: int = 20
+    depth: int = 6
+    rounds: int = 10
+    boost_depth: int = 4
+
+
+def _classifiers(n_features: int, n_classes: int, seed: int, size: ModelSize) -> dict:
     out = {
         "logistic": LogisticRegression(maxIter=30),
-        "random_forest": RandomForestClassifier(numTrees=20, maxDepth=6, seed=seed),
+        "random_forest": RandomForestClassifier(numTrees=size.trees, maxDepth=size.depth, seed=seed),
     }
     if n_classes == 2:
-        out["gradient_boosting"] = GBTClassifier(maxIter=10, maxDepth=4, seed=seed)
+        out["gradient_boosting"] = GBTClassifier(maxIter=size.rounds, maxDepth=size.boost_depth, seed=seed)
     out["perceptron"] = MultilayerPerceptronClassifier(layers=[n_features, 8, n_classes], maxIter=50, seed=seed)
     return out
 
 
-def _regressors(seed: int) -> dict:
+def _regressors(seed: int, size: ModelSize) -> dict:
     return {
         "linear": LinearRegression(),
-        "random_forest": RandomForestRegressor(numTrees=20, maxDepth=6, seed=seed),
-        "gradient_boosting": GBTRegressor(maxIter=10, maxDepth=4, seed=seed),
+        "random_forest": RandomForestRegressor(numTrees=size.trees, maxDepth=size.depth, seed=seed),
+        "gradient_boosting": GBTRegressor(maxIter=size.rounds, maxDepth=size.boost_depth, seed=seed),
     }
 
 
@@ -101,16 +112,19 @@ def _binary_metrics(scored: DataFrame) -> dict[str, float]:
 
 
 def supervised_report(
-    df: DataFrame, id_col: str, features: Sequence[str], target: str | None, models: Sequence[str] | None = None, seed: int = 42
-) -> DataFrame:
-    """Hold out a fifth, fit the models of the task and report their metrics.
+    df: DataFrame, id_col: str, features: Sequence[str], target: str | None, models: Sequence[str] | None = None, seed: int = 42,
+    time_col: str | None = None, size: ModelSize = ModelSize(),
+) -> DataFrame:
+    """Hold out a fifth (the latest by ``time_col`` if given), fit the models of the task and report their metrics.
+
+    Nulls take the medians of the training rows.  With more than two classes ``f1`` is the mean over classes.
 
     Without a usable target (missing, one class) or feature the rows get anomaly scores instead,
     summarised in the same table.
     """
     spark = df.sparkSession
     # Features may be costly; every later pass reads them from the settled rows.
-    df = settle(df.select(id_col, *features, *([target] if target in df.columns else [])))
+    df = settle(df.select(id_col, *features, *([target] if target in df.columns else []), *([time_col] if time_col else [])))
     task = task_of(df, target) if target and target in df.columns and features else "single_class"
     if task == "single_class":
         feats = list(features) or numeric_columns(df, [id_col, target or ""])
@@ -126,12 +140,12 @@ def supervised_report(
     else:
         rows = rows.withColumn("label", F.col(target).cast("double"))
     stratify = "label" if 0 < n_classes <= MANY_CLASSES else None
-    parts = settle(split(rows.select(id_col, *features, "label"), id_col, stratify, seed=seed))
+    parts = settle(split(rows.select(id_col, *features, "label", *([time_col] if time_col else [])), id_col, stratify, time_col, seed=seed))
     data = assemble(parts, features, [id_col, "label", "part"], parts.filter("part = 'train'"))
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(data.filter("part = 'train'"))
     data = scaler.transform(data).drop("features").withColumnRenamed("scaled", "features")
     train, test = data.filter("part = 'train'").persist(), data.filter("part = 'test'")
-    every = _classifiers(len(features), n_classes, seed) if task == "classification" else _regressors(seed)
+    every = _classifiers(len(features), n_classes, seed, size) if task == "classification" else _regressors(seed, size)
     out: list[tuple[str, str, float]] = []
     for name, model in every.items():
         if models and name not in models:
@@ -142,8 +156,9 @@ def supervised_report(
             out += [(name, m, r[m]) for m in ("r2", "mae", "rmse")]
             continue
         if n_classes > 2:
-            for m in ("accuracy", "f1"):
-                out.append((name, m, MulticlassClassificationEvaluator(metricName=m).evaluate(scored)))
+            scored = settle(scored.select("label", "prediction"))
+            out.append((name, "accuracy", scored.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]))
+            out.append((name, "f1", class_report(scored, "label", "prediction").agg(F.avg("f1")).first()[0]))
             continue
         scored = settle(scored.select("label", "prediction", vector_to_array("probability")[1].alias("p")))
         out += [(name, m, v) for m, v in _binary_metrics(scored).items()]
@@ -176,11 +191,13 @@ def model_select(
     return spark.createDataFrame([(i + 1, t, float(f)) for i, (t, f) in enumerate(ranked)], "place int, settings string, f1 double")
 
 
-def importance_prune(df: DataFrame, features: Sequence[str], label: str, ratio: float = 0.20, seed: int = 42) -> DataFrame:
+def importance_prune(
+    df: DataFrame, features: Sequence[str], label: str, ratio: float = 0.20, seed: int = 42, trees: int = 20, depth: int = 5
+) -> DataFrame:
     """Features by importance of one forest; the bottom ``int(n * ratio)`` are not kept."""
     spark = df.sparkSession
     data = assemble(spread(df.select(*features, F.col(label).cast("double").alias("label"))), features, ["label"])
-    weights = RandomForestClassifier(numTrees=20, maxDepth=5, seed=seed).fit(data).featureImportances.toArray()
+    weights = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed).fit(data).featureImportances.toArray()
     order = sorted(range(len(features)), key=lambda i: (weights[i], i))
     cut = int(len(features) * ratio)
     rows = [(features[i], float(weights[i]), place + 1, place >= cut) for place, i in enumerate(order)]
@@ -188,8 +205,9 @@ def importance_prune(df: DataFrame, features: Sequence[str], label: str, ratio:
 
 
 def oof_scores(
-    df: DataFrame, id_col: str, features: Sequence[str], label: str, k: int = 5, n_models: int = 2, seed: int = 42, oversample: bool = False
-) -> DataFrame:
+    df: DataFrame, id_col: str, features: Sequence[str], label: str, k: int = 5, n_models: int = 2, seed: int = 42, oversample: bool = False,
+    trees: int = 10, depth: int = 5,
+) -> DataFrame:
     """Mean held-out probability per row from ``n_models`` bagged forests per fold.
 
     ``oversample`` adds synthetic minority rows to the training part of each fold.
@@ -207,7 +225,7 @@ def oof_scores(
         for m in range(n_models):
             s = seed + 1000 * fold + m
             bag = bootstrap(train, id_col, [s])
-            forest = RandomForestClassifier(numTrees=10, maxDepth=5, seed=s, weightCol="weight")
+            forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=s, weightCol="weight")
             fitted = forest.fit(assemble(bag, features, ["label", F.col("weight").cast("double").alias("weight")], train))
             one = fitted.transform(held).select(id_col, "label", vector_to_array("probability")[1].alias("p"))
             out = one if out is None else out.unionByName(one)

@@ -24,7 +24,15 @@ def classify_report(spark, sf):
 @query("regress_report")
 def regress_report(spark, sf):
     feats = M.text_features(table(spark, sf, "documents"), "doc_id", "text")
-    return M.supervised_report(feats, "doc_id", [c for c in TEXT if c != "n_words"], "n_words", models=["linear", "random_forest"])
+    return M.supervised_report(feats, "doc_id", [c for c in TEXT if c != "n_words"], "n_words")
+
+
+@query("classify_language")
+def classify_language(spark, sf):
+    """Four classes, and the later documents held out."""
+    d = table(spark, sf, "documents")
+    feats = M.text_features(d, "doc_id", "text").join(d.select("doc_id", "lang", F.col("doc_id").alias("at")), "doc_id")
+    return M.supervised_report(feats, "doc_id", TEXT, "lang", models=["logistic", "random_forest"], time_col="at")
 
 
 @query("model_select")
@@ -43,6 +51,17 @@ def oof_scores(spark, sf):
     return M.oof_scores(_labelled(spark, sf), "doc_id", TEXT, "quality", k=3, n_models=2)
 
 
+@query("oof_oversampled")
+def oof_oversampled(spark, sf):
+    return M.oof_scores(_labelled(spark, sf), "doc_id", TEXT, "quality", k=3, n_models=1, oversample=True)
+
+
+@query("model_search")
+def model_search(spark, sf):
+    """Three of twelve settings, drawn at random."""
+    return M.model_select(_labelled(spark, sf), "doc_id", TEXT, "quality", {"numTrees": [5, 10, 15], "maxDepth": [2, 3, 4, 6]}, k=3, draws=3)
+
+
 def _draw(salt):
     return det.uniform_sql("(label || ':' || j)", f"42{salt}")
 
