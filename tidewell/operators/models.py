@@ -50,12 +50,12 @@ def text_features(df: DataFrame, id_col: str, text: str) -> DataFrame:
     ).na.fill(0.0)
 
 
-def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str], train: DataFrame | None = None) -> DataFrame:
-    """Feature vectors of all rows; a null or NaN takes the median of its column in ``train`` (by default ``df``).
+def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str], medians: DataFrame | None = None) -> DataFrame:
+    """Feature vectors of all rows; a null or NaN takes its column's value in ``medians`` (by default those of ``df``).
 
     A column without any number there becomes 0.
     """
-    medians = fit_medians(df if train is None else train, features)
+    medians = fit_medians(df, features) if medians is None else medians
     filled = impute(df, medians, features).na.fill(0.0, list(features))
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(filled).select(*keep, "features")
 
@@ -141,7 +141,7 @@ def supervised_report(
         rows = rows.withColumn("label", F.col(target).cast("double"))
     stratify = "label" if 0 < n_classes <= MANY_CLASSES else None
     parts = settle(split(rows.select(id_col, *features, "label", *([time_col] if time_col else [])), id_col, stratify, time_col, seed=seed))
-    data = assemble(parts, features, [id_col, "label", "part"], parts.filter("part = 'train'"))
+    data = assemble(parts, features, [id_col, "label", "part"], fit_medians(parts.filter("part = 'train'"), features))
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(data.filter("part = 'train'"))
     data = scaler.transform(data).drop("features").withColumnRenamed("scaled", "features")
     train, test = data.filter("part = 'train'").persist(), data.filter("part = 'test'")
@@ -217,7 +217,8 @@ def oof_scores(
     out = None
     for fold in range(1, k + 1):
         train = data.filter(F.col("fold") != fold - 1).drop("fold")
-        held = assemble(data.filter(F.col("fold") == fold - 1), features, [id_col, "label"], train)
+        medians = settle(fit_medians(train, features))
+        held = assemble(data.filter(F.col("fold") == fold - 1), features, [id_col, "label"], medians)
         if oversample:
             packed = train.select(F.col(id_col).cast("string").alias("row_id"), "label", F.array(*features).alias("x"))
             train = settle(smote(packed, "row_id", "label", "x", seed=seed))
@@ -226,7 +227,7 @@ def oof_scores(
             s = seed + 1000 * fold + m
             bag = bootstrap(train, id_col, [s])
             forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=s, weightCol="weight")
-            fitted = forest.fit(assemble(bag, features, ["label", F.col("weight").cast("double").alias("weight")], train))
+            fitted = forest.fit(assemble(bag, features, ["label", F.col("weight").cast("double").alias("weight")], medians))
             one = fitted.transform(held).select(id_col, "label", vector_to_array("probability")[1].alias("p"))
             out = one if out is None else out.unionByName(one)
     return out.groupBy(id_col, "label").agg(F.avg("p").alias("proba"), F.count(F.lit(1)).alias("n_models"))

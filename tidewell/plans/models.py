@@ -98,6 +98,29 @@ def smote_balance(spark, sf):
     )
 
 
+@query("isolation_rules", "SELECT l_orderkey, l_linenumber, count(*) AS n, true AS in_range FROM lineitem GROUP BY l_orderkey, l_linenumber")
+def isolation_rules(spark, sf):
+    """One score from 0 to 1 for every row."""
+    scored = M.isolation_scores(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey"], NUM)
+    return scored.groupBy("l_orderkey", "l_linenumber").agg(F.count("score").alias("n"), F.every(F.col("score").between(0, 1)).alias("in_range"))
+
+
+@query("oof_rules", "SELECT doc_id, quality::DOUBLE AS label, 2 AS n_models, true AS in_range FROM labels JOIN documents USING (doc_id)")
+def oof_rules(spark, sf):
+    """Every labelled row is held out once and scored by each model of that fold."""
+    scored = M.oof_scores(_labelled(spark, sf), "doc_id", TEXT, "quality", k=3, n_models=2)
+    return scored.select("doc_id", "label", "n_models", F.col("proba").between(0, 1).alias("in_range"))
+
+
+@query("prune_rules", "SELECT count(*) AS n, sum(place) AS places, 4 AS kept, true AS whole FROM (SELECT unnest([1, 2, 3, 4, 5]) AS place)")
+def prune_rules(spark, sf):
+    """Places 1 to n, the bottom quarter not kept, importances that sum to 1."""
+    li = table(spark, sf, "lineitem").select(*NUM, (F.col("l_returnflag") == "R").cast("int").alias("returned"))
+    pruned = M.importance_prune(li, NUM, "returned", 0.25)
+    whole = F.abs(F.sum("importance") - 1) < 1e-9
+    return pruned.agg(F.count("*").alias("n"), F.sum("place").alias("places"), F.sum(F.col("kept").cast("int")).alias("kept"), whole.alias("whole"))
+
+
 @query("isolation_scores")
 def isolation_scores(spark, sf):
     li = table(spark, sf, "lineitem")

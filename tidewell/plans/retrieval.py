@@ -16,6 +16,19 @@ def chunk_recursive(spark, sf):
     return C.chunk_recursive(d, "doc_id", "text", 1000, 150)
 
 
+@query("chunk_recursive_rules", "SELECT doc_id, true AS within_size, true AS all_found, true AS covered FROM documents")
+def chunk_recursive_rules(spark, sf):
+    """What must hold for every document: no chunk too long, each stands in the text, no character but blanks is lost."""
+    d = table(spark, sf, "documents").select("doc_id", C.S.join_parts(["source", "text"]).alias("whole"))
+    chunks = C.chunk_recursive(d, "doc_id", "whole", 1000, 150).withColumnRenamed("text", "chunk")
+    solid = lambda c: F.length(F.regexp_replace(c, r"\s", ""))
+    return chunks.join(d, "doc_id").groupBy("doc_id").agg(
+        (F.max(F.length("chunk")) <= 1000).alias("within_size"),
+        F.every(F.contains("whole", "chunk")).alias("all_found"),
+        (F.sum(solid("chunk")) >= F.max(solid("whole"))).alias("covered"),
+    )
+
+
 @query(
     "chunk_fixed",
     """SELECT doc_id, i::INTEGER AS chunk_index, md5(substr(text, i * 850 + 1, 1000)) AS chunk_md5 FROM documents,
