@@ -13,9 +13,11 @@ from ..session import spread
 from .ordered import _names, earliest, join_on_keys, with_position
 
 
-
 # -- projections and filters -------------------------------------------------------------
 
+#: First characters of a key on which it meets the texts that may hold it.
+PIECE = 12
+
 
 def select_as(df: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(c).alias(a) for c, a in aliases.items()])
@@ -95,14 +97,15 @@ def contains_lookup(
 ) -> DataFrame:
     """First entry (by ``rank``) whose key occurs in the text, case-insensitively; else ``default``.
 
-    Texts and entries are joined on pieces as long as the shortest key: a key can only occur
-    where its first piece does.  The pairs found that way are then verified.
+    A key can only occur where its first characters do (``PIECE`` of them, all of a shorter key), so texts and
+    entries are joined on pieces of the lengths that occur, and the pairs found that way are verified.
     """
     keys = entries.select(F.lower(key).alias("__k"), F.col(value).alias("__v"), F.col(rank).alias("__rank")).filter("__k <> ''")
-    n = min(keys.agg(F.min(F.length("__k"))).first()[0] or 1, 32)
-    keys = keys.withColumn("__piece", F.substring("__k", 1, n))
+    keys = keys.withColumn("__piece", F.left("__k", F.lit(PIECE)))
+    lengths = sorted(r[0] for r in keys.select(F.length("__piece")).distinct().collect()) or [1]  # PIECE numbers at most
     low = spread(queries.select(id_col, F.lower(text).alias("__low")))
-    found = F.array_distinct(F.regexp_extract_all("__low", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
+    cuts = [F.regexp_extract_all("__low", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]
+    found = F.array_distinct(F.concat(*cuts))
     pieces = low.select(id_col, F.explode(found).alias("__piece")).join(keys, "__piece")
     candidates = pieces.select(id_col, "__k", "__v", "__rank").distinct()
     hits = (

@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import strings as S
-from ..session import spread
+from ..session import settle, spread
 
+#: First characters of a word on which it meets the runs that may hold it.
+ANCHOR = 4
 
 
 def _rank(scored: DataFrame, query: str, doc: str, k: int, score: str = "score") -> DataFrame:
@@ -40,23 +42,18 @@ def keyword_topk(
 ) -> DataFrame:
     """Documents by how often the query's words occur in them, also inside longer words.
 
-    A query word holds only letters and digits, so each occurrence lies within one run of
-    such characters.  Runs are counted per document; which words a run contains, and how
-    often, is worked out once per distinct run.
+    A query word holds only letters and digits, so each occurrence lies within one run of such characters.
+    Runs are counted per document, in one pass over the texts.  Distinct runs meet the words on the words'
+    first characters and are verified, so the work grows with a run's length and not with its square.
     """
     words = queries.select(query, F.explode(S.tokens(text)).alias("term")).groupBy(query, "term").agg(F.count(F.lit(1)).alias("m"))
-    terms = words.select("term").distinct()
-    local = docs.select(doc, text).repartition(doc)
-    runs = local.select(doc, F.explode(S.tokens(text)).alias("run"))
-    runs = runs.groupBy(doc, "run").agg(F.count(F.lit(1)).alias("tf"))
-    longest = terms.agg(F.max(F.length("term"))).first()[0] or 2
-    vocab = spread(docs.select(text)).select(F.explode(S.tokens(text)).alias("run")).distinct()
-    spots = vocab.select("run", F.explode(F.regexp_extract_all("run", F.lit(f"(?=(.{{2,{longest}}}))"), F.lit(1))).alias("__w"))
-    lengths = F.sequence(F.lit(2), F.length("__w"))
-    parts = spots.select("run", "__w", F.explode(lengths).alias("__n")).select("run", F.substring(F.col("__w"), F.lit(1), F.col("__n")).alias("term"))
-    inside = parts.join(terms, "term").distinct()
+    terms = words.select("term").distinct().withColumn("anchor", F.left("term", F.lit(ANCHOR)))
+    runs = spread(docs.select(doc, text)).select(doc, F.explode(S.tokens(text)).alias("run"))
+    runs = settle(runs.groupBy(doc, "run").agg(F.count(F.lit(1)).alias("tf")))
+    cuts = [F.regexp_extract_all("run", F.lit(f"(?=(.{{{n}}}))"), F.lit(1)) for n in range(2, ANCHOR + 1)]
+    vocab = runs.select("run").distinct().select("run", F.explode(F.array_distinct(F.concat(*cuts))).alias("anchor"))
     times = (F.length("run") - F.length(F.replace("run", F.col("term"), F.lit("")))) / F.length("term")
-    inside = inside.select("run", "term", times.alias("c"))
+    inside = vocab.join(terms, "anchor").filter(F.contains("run", "term")).select("run", "term", times.alias("c"))
     tf = runs.join(inside, "run").groupBy(doc, "term").agg(F.sum(F.col("tf") * F.col("c")).alias("tf"))
     hits = tf.join(words, "term").groupBy(query, doc).agg(F.sum(F.col("tf") * F.col("m")).alias("score"))
     return _best(hits, docs, queries, query, doc, k)
@@ -77,20 +74,21 @@ def bm25_topk(
 
     Scores are compared at nine digits, so equal texts tie however their terms were added up.
     """
-    docs = spread(docs.select(doc, text))
-    toks = docs.repartition(doc).select(doc, F.explode(S.blank_split(text)).alias("term"))
+    toks = spread(docs.select(doc, text)).repartition(doc).select(doc, F.explode(S.blank_split(text)).alias("term"))
     tf = toks.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
-    n = docs.agg(F.count(F.lit(1)).cast("double")).scalar()
-    avgdl = docs.agg(F.avg(F.size(S.blank_split(text)))).scalar()
-    seen = docs.select(F.explode(F.array_distinct(S.blank_split(text))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    # A document's length is the sum of its term counts; the rows are already together.
+    tf = settle(tf.withColumn("dl", F.sum("tf").over(Window.partitionBy(doc))))
+    total = docs.agg(F.count(F.lit(1)).cast("double").alias("n"))
+    n = total.scalar()
+    avgdl = tf.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("all")).join(total).select(F.try_divide("all", "n")).scalar()
+    seen = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = seen.withColumn("__n", n).withColumn("idf", F.ln(F.col("__n") - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
     mean_idf = idf.agg(F.avg("idf")).scalar()
     words = queries.select(query, F.explode(S.blank_split(text)).alias("term")).groupBy(query, "term").agg(F.count(F.lit(1)).alias("m"))
     wanted = words.join(idf.select("term", "idf"), "term").withColumn("__mean", mean_idf)
     weight = F.when(F.col("idf") < 0, floor * F.col("__mean")).otherwise(F.col("idf")) * F.col("m")
     wanted = wanted.select(query, "term", weight.alias("w"))
-    # A document's length is the sum of its term counts; the rows are already together.
-    tf = tf.withColumn("dl", F.sum("tf").over(Window.partitionBy(doc))).withColumn("__avgdl", avgdl)
+    tf = tf.withColumn("__avgdl", avgdl)
     saturation = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("__avgdl")))
     hits = tf.join(wanted, "term").groupBy(query, doc).agg(F.round(F.sum(F.col("w") * saturation), 9).alias("score"))
     return _best(hits, docs, queries, query, doc, k)
