@@ -164,14 +164,22 @@ def audit_length(df: DataFrame, bounds: Mapping[str, int]) -> DataFrame:
 # -- corpora -----------------------------------------------------------------------------
 
 
-def corpus_append(corpus: DataFrame, incoming: DataFrame, text: str, order_by: Sequence[str]) -> DataFrame:
-    """Incoming rows whose content is not stored yet, each content (null is one) once; appending twice adds nothing."""
-    hashed = lambda df: df.withColumn("content_hash", F.sha2(text, 256))
-    stored = hashed(corpus).select(F.col("content_hash").alias("__h_stored"))
-    fresh = hashed(incoming).join(stored, F.col("content_hash").eqNullSafe(F.col("__h_stored")), "left_anti")
+def content_hash(text: str) -> Column:
+    return F.sha2(text, 256).alias("content_hash")
+
+
+def append_unseen(stored: DataFrame, incoming: DataFrame, text: str, order_by: Sequence[str]) -> DataFrame:
+    """Incoming rows, with their ``content_hash``, whose hash is not among the stored ones, each content (null is one) once."""
+    known = stored.select(F.col("content_hash").alias("__h_stored"))
+    fresh = incoming.withColumn("content_hash", content_hash(text)).join(known, F.col("content_hash").eqNullSafe(F.col("__h_stored")), "left_anti")
     return dedupe_first(fresh, ["content_hash"], order_by)
 
 
+def corpus_append(corpus: DataFrame, incoming: DataFrame, text: str, order_by: Sequence[str]) -> DataFrame:
+    """Incoming rows whose content is not stored yet, each content once; appending twice adds nothing."""
+    return append_unseen(corpus.select(content_hash(text)), incoming, text, order_by)
+
+
 def corpus_status(chunks: DataFrame, by: str) -> DataFrame:
     """Chunks, documents and characters per collection."""
     per_doc = chunks.groupBy(by, "doc_id").agg(F.count(F.lit(1)).alias("__n"), F.sum(F.length("text")).alias("__c"))

@@ -1,18 +1,16 @@
 """Reads, column normalisation and row serialisation on the driver tables."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import strings as S
-from ..session import scratch_dir
+from ..session import new_folder
 from ..sources import files
 from .registry import query, table
 
 
 def _folder(spark, name: str) -> str:
     """A new shared folder for files that a query writes and reads back."""
-    return f"{scratch_dir(spark)}/tidewell/{name}-{uuid.uuid4().hex}"
+    return new_folder(spark, name)
 
 
 @query("scan_parquet", "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders")

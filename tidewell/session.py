@@ -51,6 +51,13 @@ def scratch_dir(spark: SparkSession) -> str:
     return _LOCAL_BASE[app]
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """Path of a new folder in the shared one, deleted by ``release_scratch``."""
+    path = f"{scratch_dir(spark)}/tidewell/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -58,8 +65,7 @@ def settle(df: DataFrame) -> DataFrame:
     sampled bounds): a lost executor then re-reads files instead of re-sampling.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/tidewell/{uuid.uuid4().hex}"
-    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    path = new_folder(spark, "rows")
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.settled_path = path
@@ -82,7 +88,7 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 def release_scratch(spark: SparkSession) -> int:
-    """Delete the folders this application settled; call when their results are consumed."""
+    """Delete the folders this application settled or opened; call when their results are consumed."""
     paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
     for path in paths:
         _delete(spark, path)

@@ -7,7 +7,6 @@ number, and ``current`` reads the newest row of each group, so late rows still c
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -15,8 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.maintenance import corpus_append
-from ..session import scratch_dir
+from ..operators.maintenance import append_unseen, content_hash
+from ..session import new_folder
 
 
 def stream_files(spark: SparkSession, folder: str, like: DataFrame, glob: str = "*.parquet", per_batch: int | None = None) -> DataFrame:
@@ -27,7 +26,7 @@ def stream_files(spark: SparkSession, folder: str, like: DataFrame, glob: str =
 
 
 def job_folder(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark)}/tidewell-streams/{name}-{uuid.uuid4().hex}"
+    return new_folder(spark, f"stream-{name}")
 
 
 def run_append(stream: DataFrame, folder: str) -> DataFrame:
@@ -89,19 +88,23 @@ def distinct_per_day(stream: DataFrame, keys: Sequence[str], ts: str, late: str
 
 
 def corpus_add(stream: DataFrame, seed: DataFrame, text: str, order_by: Sequence[str], folder: str) -> DataFrame:
-    """Append unseen contents to a corpus that starts as ``seed``; a repeated batch replaces itself."""
+    """Append unseen contents to a corpus that starts as ``seed``; a repeated batch replaces itself.
+
+    Contents are hashed once, when they come in; a batch is compared with stored hashes.
+    """
     spark = stream.sparkSession
+    seed.select(content_hash(text)).write.mode("overwrite").parquet(f"{folder}/seed")
 
     def add(batch: DataFrame, number: int) -> None:
-        seen = seed.select(text)
+        seen = spark.read.parquet(f"{folder}/seed")
         if number > 0:
             stored = spark.read.parquet(f"{folder}/rows").filter(F.col("batch") < number)
-            seen = seen.unionByName(stored.select(text))
-        corpus_append(seen, batch, text, order_by).select(*batch.columns).write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
+            seen = seen.unionByName(stored.select("content_hash"))
+        append_unseen(seen, batch, text, order_by).write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
 
     q = stream.writeStream.foreachBatch(add).option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.option("basePath", f"{folder}/rows").parquet(f"{folder}/rows").drop("batch")
+    return spark.read.option("basePath", f"{folder}/rows").parquet(f"{folder}/rows").drop("batch", "content_hash")
 
 
 def session_history(stream: DataFrame, key: str, ts: str, line: str, n: int = 20) -> DataFrame:
