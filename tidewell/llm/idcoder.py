@@ -2,8 +2,9 @@
 
 A block is coded on its own from a fresh state.  For each id three models speak: order 2 and order 1 name the
 id last seen after the same two or one ids of the block, order 0 holds adaptive frequencies of id ranges.
-Their mixture, whose weights adapt to how often each model has been right at its present confidence, gives
-the id's place on a line of 2^41 units, and a 64-bit carry-less range coder narrows its interval to it.  All
+Weights that adapt to how often each model has been right at its present confidence mix them on a line of 2^41
+units: the ids named by order 2 and order 1 have their model's share, all others their part of order 0's.  A
+64-bit carry-less range coder narrows its interval to the id's place.  All
 numbers are integers, so any machine decodes what another one wrote.  Blocks advance in step, one id each, so
 that every operation works on all blocks at once.
 """
@@ -81,22 +82,19 @@ class _Model:
         width = (group * (self.lower_flat[at + 1] - c)) << (_UNIT - (number >> 2))
         return (((a << _LEVEL_BITS) + group * c) << _UNIT) + (ids - _FIRST[number]) * width, width
 
-    def blend(self, ids: np.ndarray, start: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place and width under the mixture of ids with the given place and width under order 0."""
-        start = start * self.w0 + self.s1 * (self.p1 < ids) + self.s2 * (self.p2 < ids)
-        return start, width * self.w0 + self.s1 * (self.p1 == ids) + self.s2 * (self.p2 == ids)
-
     def place(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return self.blend(ids, *self.base(ids))
+        """Place and width of ids: the share of the highest order that names the id, else its part of order 0's."""
+        start, width = self.base(ids)
+        hit1, hit2 = self.p1 == ids, self.p2 == ids
+        start = np.where(hit2, 0, np.where(hit1, self.s2, self.s2 + self.s1 + start * self.w0))
+        return start, np.where(hit2, self.s2, np.where(hit1, self.s1, width * self.w0))
 
     def find(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids whose interval holds the targets, with place and width."""
-        start1, width1 = self.place(self.p1)
-        start2, width2 = self.place(self.p2)
-        over1, over2 = target >= start1 + width1, target >= start2 + width2
-        hit1, hit2 = (target >= start1) & ~over1, (target >= start2) & ~over2
-        t = np.minimum((target - self.s1 * over1 - self.s2 * over2) // self.w0, (1 << _RANGE_BITS) - 1)
-        t = np.maximum(t, 0)
+        above = self.s2 + self.s1
+        hit2, hit1 = target < self.s2, target < above
+        t = np.maximum(target - above, 0) // self.w0
+        t = np.minimum(t, (1 << _RANGE_BITS) - 1)
         high = (self.upper[1:8] <= (t >> (_UNIT + _LEVEL_BITS)).astype(np.int16)).sum(axis=0)
         at = high * self.lanes + self.lane
         a = self.upper_flat[at].astype(np.int64)
@@ -108,11 +106,11 @@ class _Model:
         c = self.lower_flat[at].astype(np.int64)
         number = (high << 3) + low
         width = (group * (self.lower_flat[at + 1] - c)) << np.maximum(_UNIT - (number >> 2), 0)
-        nth = (inner - ((group * c) << _UNIT)) // width
-        found = _FIRST[number] + nth
-        start, width = self.blend(found, t - (inner - ((group * c) << _UNIT)) + nth * width, width)
-        ids = np.where(hit1, self.p1, np.where(hit2, self.p2, found))
-        return ids, np.where(hit1, start1, np.where(hit2, start2, start)), np.where(hit1, width1, np.where(hit2, width2, width))
+        over = inner - ((group * c) << _UNIT)
+        nth = over // width
+        ids = np.where(hit2, self.p2, np.where(hit1, self.p1, _FIRST[number] + nth))
+        start = np.where(hit2, 0, np.where(hit1, self.s2, above + (t - over + nth * width) * self.w0))
+        return ids, start, np.where(hit2, self.s2, np.where(hit1, self.s1, width * self.w0))
 
     def learn(self, ids: np.ndarray) -> None:
         hit1, hit2 = self.p1 == ids, self.p2 == ids
@@ -146,7 +144,7 @@ def _open(low: np.ndarray, width: np.ndarray) -> np.ndarray:
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
     """The code of each block of ``block`` ids; the last block may be shorter."""
-    ids = np.asarray(ids, np.int64)
+    ids = np.asarray(ids)
     if len(ids) and (ids.min() < 0 or ids.max() >= LIMIT):
         raise ValueError(f"ids must be in 0 .. {LIMIT - 1}")
     lanes = -(-len(ids) // block)
@@ -163,7 +161,8 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
     ends = np.zeros(1, np.int64)
     for step in range(min(block, len(ids))):
         model.predict()
-        start, size = model.place(grid[step])
+        now = grid[step].astype(np.int64)
+        start, size = model.place(now)
         part = width >> _TOTAL
         with np.errstate(over="ignore"):
             low += part * start.astype(np.uint64)
@@ -173,7 +172,7 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
             filled[open_] += 1
             low[open_] <<= _LEAP
             width[open_] <<= _LEAP
-        model.learn(grid[step])
+        model.learn(now)
         if step + 1 == tail:  # the last block ends here; what it codes from now on is not kept
             ends = filled[-1:].copy()
             last_low = low[-1]

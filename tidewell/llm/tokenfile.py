@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import struct
 import sys
 import types
@@ -58,31 +59,28 @@ class PieceEncoder:
             ids = self._plain([" " + " ".join(part)])[0]
             starts = np.flatnonzero(self.opens[ids])
             if len(starts) == len(part):
-                found = np.split(ids, starts[1:])
+                data, at = ids.tobytes(), (4 * np.append(starts, len(ids))).tolist()
+                found = [data[a:b] for a, b in itertools.pairwise(at)]
             else:
-                found = self._plain([" " + p for p in part])
-            self.known.update(zip(part, (f.tobytes() for f in found)))
+                found = [f.tobytes() for f in self._plain([" " + p for p in part])]
+            self.known.update(zip(part, found))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as 32-bit little-endian integers."""
         cut, firsts = [], []
         for text in texts:
             pieces = text.split(" ")
-            if "" in pieces or not all(map(_closed, pieces)):
+            if "" in pieces or list(map(str.strip, pieces)) != pieces:
                 pieces = _joined(pieces)
             firsts.append(pieces[0])
             cut.append(pieces[1:])
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        self._learn(list({p for pieces in cut for p in pieces if p not in self.known}))
+        self._learn(list(set().union(*cut).difference(self.known)))
         known = self.known.__getitem__
         return [a.tobytes() + b"".join(map(known, pieces)) for a, pieces in zip(self._plain(firsts), cut)]
 
 
-def _closed(piece: str) -> bool:
-    return not (piece[0].isspace() or piece[-1].isspace())
-
-
 def _joined(pieces: list[str]) -> list[str]:
     """Pieces put together again where a space has white space, or an end of the text, beside it."""
     out = [pieces[0]]
