@@ -150,7 +150,7 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
     lanes = -(-len(ids) // block)
     if not lanes:
         return []
-    grid = np.zeros(lanes * block, np.int64)
+    grid = np.zeros(lanes * block, np.uint16)
     grid[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, block).T)
     tail = len(ids) - (lanes - 1) * block
@@ -200,7 +200,7 @@ def decode(codes: list[bytes], n: int, block: int = BLOCK) -> np.ndarray:
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, _ALL)
     model = _Model(lanes)
     steps = min(block, n)
-    grid = np.zeros((steps, lanes), np.int64)
+    grid = np.zeros((steps, lanes), np.uint16)
     most = np.uint64((1 << (_RANGE_BITS + _WEIGHT_BITS)) - 1)
     for step in range(steps):
         model.predict()

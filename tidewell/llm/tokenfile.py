@@ -22,9 +22,9 @@ from tidewell.llm.warc import open_store
 from tidewell.session import scratch_dir, settle
 
 #: Ids of a segment; its blocks are coded side by side.
-SEGMENT = 1 << 23
+SEGMENT = 1 << 22
 #: Pieces of texts whose ids a worker remembers.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 18
 END = 0
 MAGIC = b"IDCM1\n"
 _HEAD = "<4sQQQII"  # mark, documents, ids, bytes of the document table, its CRC-32, blocks
