@@ -240,3 +240,13 @@ def test_queries_on_the_smallest_tables(spark):
     for name, sql in SQL.items():
         assert compare(QUERIES[name](spark, SF), con, sql) == "", name
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_budget_is_met_beside_starved_cells(docs_of):
+    cells = [(f"s{k}", 1, 1000 + 10 * k, 0.05) for k in range(20)] + [("small", 1, 130, 1e-20)]
+    frame = docs_of([]).sparkSession.createDataFrame(cells, "source string, docs long, tokens long, weight double").coalesce(1)
+    total = sum(c[2] for c in cells)
+    for keep in (0.5, 1.0):
+        drawn = mixing.calibrate(frame, keep * total).collect()
+        assert sum(r["tokens"] * r["probability"] for r in drawn) == pytest.approx(keep * total, rel=1e-3)
+        assert all(0 <= r["probability"] <= 1 for r in drawn)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import sys
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +14,8 @@ from tidewell.session import drop_settled, settle
 
 #: Raking rounds, and candidate scales of a calibration step.
 ROUNDS, SCALES, ZOOMS = 12, 64, 3
+#: Share of the budget by which steps of equal ratio may miss it.
+CLOSE = 1e-6
 UNKNOWN = "unknown"
 # Target shares of languages; what they leave goes to languages not listed, by their tokens.
 LANG_SHARES = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}
@@ -77,28 +81,50 @@ def rake(cells: DataFrame, dims: dict[str, dict[str, float] | None], rounds: int
     return fitted.select(*dims, "docs", "tokens", "weight")
 
 
+def _expected(rated: DataFrame, scales: list[Column]) -> DataFrame:
+    """k, expected: the tokens that each scale, numbered from 1, lets one expect."""
+    grid = F.posexplode(F.array(*scales)).alias("at", "scale")
+    return (
+        rated.select("tokens", "ratio", grid)
+        .groupBy((F.col("at") + 1).alias("k"))
+        .agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("ratio") * F.col("scale"))).alias("expected"))
+    )
+
+
 def calibrate(cells: DataFrame, budget: float) -> DataFrame:
     """Adds probability: min(1, scale x weight / tokens), with the scale at which ``budget`` tokens are expected.
 
     The expectation rises with the scale, so each pass tries a grid of scales at once and the next one zooms
-    into the interval found: a handful of aggregates, whatever the number of cells.
+    into the interval found: a handful of aggregates, whatever the number of cells.  The even steps are those of
+    the registered SQL and stay below the budget by up to a step.  Cells of hardly any weight can put the upper
+    end many powers of ten above the scale; if no even step is small enough then, steps of equal ratio go on
+    until they meet the budget.  A budget above the tokens of all cells with weight takes these whole.
     """
     ratio = F.col("weight") / F.col("tokens")
     rated = settle(cells.withColumn("ratio", ratio))
-    low, high = rated.agg(F.min(F.when(F.col("ratio") > 0, F.lit(1.0) / F.col("ratio"))), F.max(F.when(F.col("ratio") > 0, F.lit(1.0) / F.col("ratio")))).first()
-    if low is None:
+    some = F.col("ratio") >= sys.float_info.min  # 1 / ratio is a number
+    high, weight, most = rated.agg(F.max(F.when(some, F.lit(1.0) / F.col("ratio"))), F.sum(F.when(some, F.col("weight"))), F.sum(F.when(some, F.col("tokens")))).first()
+    if high is None:
         return rated.withColumn("probability", F.lit(0.0)).drop("ratio")
-    low = 0.0
+    low, top, reached, goal = 0.0, high, 0.0, min(budget, most)
+
+    def best(scales: list[Column]) -> tuple[int, float]:
+        under = _expected(rated, scales).where(F.col("expected") <= F.lit(budget)).agg(F.max("k"), F.max("expected")).first()
+        return (under[0], under[1]) if under[0] else (0, reached)
+
     for _ in range(ZOOMS):
         step = (high - low) / SCALES
-        grid = F.explode(F.sequence(F.lit(1), F.lit(SCALES))).alias("k")
-        tried = (
-            rated.select("tokens", "ratio", grid)
-            .groupBy("k")
-            .agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("ratio") * (F.lit(low) + F.lit(step) * F.col("k")))).alias("expected"))
-        )
-        under = tried.where(F.col("expected") <= F.lit(budget)).agg(F.max("k")).first()[0] or 0
+        under, reached = best([F.lit(low + step * k) for k in range(1, SCALES + 1)])
         low, high = low + step * under, min(high, low + step * (under + 1))
+    if low == 0:
+        low, high = goal / weight * (1 - CLOSE / 2), top  # a scale expects scale x weight at most
+        while reached < goal * (1 - CLOSE):
+            if not low < high:
+                raise ArithmeticError(f"no scale expects {goal} tokens, {reached} at most")
+            step = (math.log(high) - math.log(low)) / SCALES
+            scales = [low * math.exp(step * k) for k in range(SCALES)] + [high]
+            under, reached = best([F.lit(x) for x in scales])
+            low, high = scales[max(under - 1, 0)], scales[min(max(under, 1), SCALES)]
     return rated.withColumn("probability", F.least(F.lit(1.0), F.col("ratio") * F.lit(low))).drop("ratio")
 
 
