@@ -250,3 +250,15 @@ def test_budget_is_met_beside_starved_cells(docs_of):
         drawn = mixing.calibrate(frame, keep * total).collect()
         assert sum(r["tokens"] * r["probability"] for r in drawn) == pytest.approx(keep * total, rel=1e-3)
         assert all(0 <= r["probability"] <= 1 for r in drawn)
+
+
+def test_unlisted_levels_keep_their_share(docs_of):
+    tokens = {"en": 400, "de": 200, "fr": 200, "es": 100, "nl": 60, "unknown": 40}
+    cells = [("a" if la != "nl" else "b", la, 1, n) for la, n in tokens.items()]
+    frame = docs_of([]).sparkSession.createDataFrame(cells, "source string, lang string, docs long, tokens long").coalesce(1)
+    goals = {r["lang"]: r["goal"] for r in mixing.shares_of(frame, "lang", mixing.LANG_SHARES, 1.0).collect()}
+    assert goals == pytest.approx({"en": 0.495, "de": 0.135, "fr": 0.135, "es": 0.135, "nl": 0.06, "unknown": 0.04})
+    drawn = mixing.calibrate(mixing.rake(frame, {"lang": mixing.LANG_SHARES, "source": {"a": 1.0, "b": 0.0}}, 2), 200).collect()
+    assert {r["lang"] for r in drawn if r["probability"] > 0} == tokens.keys() - {"nl"}
+    drawn = mixing.calibrate(mixing.rake(frame, {"source": None, "lang": mixing.LANG_SHARES}, 2), 500).collect()
+    assert all(r["probability"] > 0 for r in drawn)

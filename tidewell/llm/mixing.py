@@ -16,8 +16,11 @@ from tidewell.session import drop_settled, settle
 ROUNDS, SCALES, ZOOMS = 12, 64, 3
 #: Share of the budget by which steps of equal ratio may miss it.
 CLOSE = 1e-6
+#: Listed shares that leave less than this leave nothing.
+LEAST_LEFT = 1e-9
 UNKNOWN = "unknown"
-# Target shares of languages; what they leave goes to languages not listed, by their tokens.
+# Target shares of languages; what they leave goes to languages not listed, by their tokens.  As
+# all four leave nothing, languages not listed then keep their own share of the tokens.
 LANG_SHARES = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}
 # Target shares of topics; texts of no other topic are prose.
 TOPIC_SHARES = {"prose": 0.7, "table": 0.05, "shout": 0.05, "figures": 0.2}
@@ -46,16 +49,29 @@ def unit(doc_id: Column) -> Column:
 def shares_of(cells: DataFrame, dim: str, shares: dict[str, float] | None, power: float) -> DataFrame:
     """Columns <dim>, goal: target share of each level present, summing to 1.
 
-    Listed shares count for the levels present; unlisted levels divide what is left by tokens to ``power``.
+    Listed shares count for the levels present; unlisted levels divide what is left by tokens to ``power``.  If
+    the listed ones leave nothing, unlisted levels keep their share of the tokens and listed ones divide the rest.
     """
     levels = cells.groupBy(dim).agg(F.sum("tokens").alias("t")).where("t > 0")
     listed = reduce(lambda c, kv: c.when(F.col(dim) == kv[0], F.lit(float(kv[1]))), (shares or {}).items(), F.when(F.lit(False), F.lit(0.0)))
-    levels = levels.select(dim, listed.alias("listed"), F.when(listed.isNull(), F.pow(F.col("t").cast("double"), power)).alias("own"))
-    sums = levels.agg(F.coalesce(F.sum("listed"), F.lit(0.0)).alias("given"), F.coalesce(F.sum("own"), F.lit(0.0)).alias("rest"))
-    left = F.greatest(1 - F.col("given"), F.lit(0.0))
-    raw = levels.join(sums).select(dim, F.coalesce("listed", F.when(F.col("rest") > 0, left * F.col("own") / F.col("rest")), F.lit(0.0)).alias("raw"), "given", "rest")
-    whole = F.when(F.col("rest") > 0, F.greatest(F.col("given"), F.lit(1.0))).otherwise(F.col("given"))
-    return raw.select(dim, (F.col("raw") / whole).alias("goal"))
+    levels = levels.select(dim, "t", listed.alias("listed"), F.when(listed.isNull(), F.pow(F.col("t").cast("double"), power)).alias("own"))
+    sums = levels.agg(
+        F.coalesce(F.sum("listed"), F.lit(0.0)).alias("given"),
+        F.coalesce(F.sum("own"), F.lit(0.0)).alias("rest"),
+        (F.coalesce(F.sum(F.when(F.col("listed").isNull(), F.col("t"))), F.lit(0)) / F.sum("t")).alias("unlisted"),
+    )
+    full = (F.col("rest") > 0) & (F.col("given") >= 1 - LEAST_LEFT)
+    left = F.when(full, F.col("unlisted")).otherwise(F.greatest(1 - F.col("given"), F.lit(0.0)))
+    raw = levels.join(sums).select(
+        dim,
+        F.coalesce(
+            F.when(full, F.col("listed") / F.col("given") * (1 - F.col("unlisted"))).otherwise(F.col("listed")), F.when(F.col("rest") > 0, left * F.col("own") / F.col("rest")), F.lit(0.0)
+        ).alias("raw"),
+        "given",
+        "rest",
+    )
+    whole = F.when(F.col("rest") > 0, F.lit(1.0)).otherwise(F.col("given"))
+    return raw.select(dim, F.when(whole > 0, F.col("raw") / whole).otherwise(F.lit(0.0)).alias("goal"))
 
 
 def rake(cells: DataFrame, dims: dict[str, dict[str, float] | None], rounds: int = ROUNDS, power: float = SOURCE_POWER) -> DataFrame:
@@ -74,7 +90,7 @@ def rake(cells: DataFrame, dims: dict[str, dict[str, float] | None], rounds: int
     for _ in range(rounds):
         for dim in dims:
             margin = fitted.groupBy(F.col(dim).alias("level")).agg(F.sum("weight").alias("now"))
-            weight = F.col("weight") * F.col(f"goal_{dim}") / F.col("now")
+            weight = F.when(F.col("now") > 0, F.col("weight") * F.col(f"goal_{dim}") / F.col("now")).otherwise(F.lit(0.0))
             step = settle(fitted.join(margin, F.col(dim) == F.col("level")).withColumn("weight", weight).drop("level", "now"))
             drop_settled(fitted)
             fitted = step
