@@ -63,6 +63,16 @@ def test_keep_one(docs_of, rng):
     assert sorted(i for i in got if i is not None) == sorted(heads) and got.count(None) == 2
 
 
+def test_keep_one_judges_rows_of_an_id_apart(docs_of, rng):
+    x, y = words(rng, 60), words(rng, 60)
+    rows = [(5, x), (3, y), (5, y), (5, y + " "), (8, x), (9, None), (9, "alone in its words"), (9, "")]
+    for order in (rows, rows[::-1]):
+        kept = simhash.keep_one(docs_of(order).repartition(4)).collect()
+        assert sorted((r["doc_id"], r["text"] or "") for r in kept) == sorted([(5, x), (3, y), (9, ""), (9, "alone in its words")])
+    same = docs_of([(1, x)] * 3)
+    assert len({tuple(r) for n in (1, 4) for r in simhash.keep_one(same.repartition(n)).collect()}) == 1
+
+
 def test_empty_table(docs_of):
     assert simhash.near_duplicates(docs_of([])).collect() == []
     assert simhash.keep_one(docs_of([])).collect() == []

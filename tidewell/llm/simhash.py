@@ -8,10 +8,10 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import ids_and_texts, short_batches, spaced_words
+from tidewell.llm.common import ids_and_texts, short_batches, spaced_words, whole_text
 from tidewell.llm.components import smallest_reachable
 from tidewell.session import drop_settled, settle
 
@@ -41,16 +41,19 @@ def fingerprint(text: str, shingle: int) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Columns doc_id and fp (the fingerprint's 64 bits as a long), a row per document."""
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", hashed: bool = False) -> DataFrame:
+    """Columns doc_id and fp (the fingerprint's 64 bits as a long), a row per document; ``hashed`` adds the text's sha."""
     short_batches(docs.sparkSession)
+    rows = ids_and_texts(docs, id_col, text_col)
+    rows = rows.withColumn("sha", F.sha2("text", 256)) if hashed else rows
 
     def run(batches):
         for batch in batches:
             fps = [fingerprint(t, shingle) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
+            columns = [batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "sha"][: len(columns)])
 
-    return ids_and_texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, "doc_id long, fp long" + ", sha string" * hashed)
 
 
 def bit_counts(fps: DataFrame) -> tuple[np.ndarray, int]:
@@ -198,6 +201,13 @@ def close_pairs(fps: DataFrame, most: int, bucket: int = BUCKET) -> DataFrame:
     return pairs.unionByName(stars).distinct()
 
 
+def _groups(own: DataFrame, first: Column, max_bits: int, bucket: int) -> DataFrame:
+    """fp, first (the least of its rows) and root, the same for all of a component, of the distinct fingerprints."""
+    classes = settle(own.groupBy("fp").agg(F.min(first).alias("first")))
+    linked = smallest_reachable(close_pairs(classes.select("fp"), max_bits, bucket))
+    return classes.join(linked, classes["fp"] == linked["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, max_bits: int = 2, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -208,23 +218,26 @@ def near_duplicates(
     doc_id reachable, or null if there is none.  An empty table gives no rows.
     """
     own = settle(fingerprints(docs, shingle, id_col, text_col))
-    classes = settle(own.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    linked = smallest_reachable(close_pairs(classes.select("fp"), max_bits, bucket))
-    groups = classes.join(linked, classes["fp"] == linked["node"], "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("root")
-    )
+    groups = _groups(own, F.col("doc_id"), max_bits, bucket)
     ids = groups.groupBy("root").agg(F.min("first").alias("component_id"))
     named = groups.join(ids, "root").select("fp", "component_id")
     return own.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents whose doc_id is the smallest of their group, with all columns.
+    """The row of the smallest (doc_id, text hash) of every group, with all columns.
 
-    Rows that repeat a kept doc_id are one document, of which one row stays.  Rows without doc_id stay as they
-    are: nothing could name them as the copy of another.
+    Rows that repeat a doc_id but stand in different groups are judged each in its own; of rows equal in id and
+    text the one of the least other columns stays.  Rows without doc_id stay as they are: nothing could name
+    them as the copy of another.
     """
-    found = near_duplicates(docs, shingle, max_bits, BUCKET, id_col, text_col)
-    heads = found.where("doc_id = component_id").select(F.col("doc_id").alias("·head")).distinct()
-    kept = docs.join(heads, docs[id_col] == heads["·head"], "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(docs[id_col].isNull()))
+    own = settle(fingerprints(docs, shingle, id_col, text_col, hashed=True))
+    first = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "sha"))
+    heads = _groups(own, first, max_bits, BUCKET).groupBy("root").agg(F.min("first").alias("head")).where("head is not null")
+    heads = heads.select(F.col("head.doc_id").alias("·head"), F.col("head.sha").alias("·text"))
+    row = F.struct(*(docs[f"`{c}`"] for c in docs.columns))
+    others = F.to_json(F.struct(docs[text_col].isNull().alias("·null"), *(docs[f"`{c}`"] for c in docs.columns if c != text_col)))
+    rows = docs.select(docs[id_col].cast("long").alias("·id"), F.sha2(whole_text(docs[text_col]), 256).alias("·sha"), row.alias("·row"), others.alias("·others"))
+    mine = rows.join(heads, (F.col("·id") == F.col("·head")) & (F.col("·sha") == F.col("·text")), "left_semi")
+    kept = mine.groupBy("·id", "·sha").agg(F.min_by("·row", "·others").alias("·row")).select("·row.*")
+    return kept.unionByName(docs.where(docs[id_col].cast("long").isNull()))
