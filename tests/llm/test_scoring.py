@@ -172,6 +172,15 @@ def test_contexts_discover_unseen_identifiers(docs_of):
     assert got[0]["spans"] == "phone:12:29"
 
 
+def test_many_unseen_identifiers_do_not_hide_each_other(docs_of):
+    rows = [(i, f"please call +1 (555) 010-{1000 + i} today") for i in range(12)]
+    rows += [(100 + i, f"please call 555-010-{7000 + i} now") for i in range(30)]
+    rows += [(200 + i, f"about +1 (555) 020-{1000 + i} said") for i in range(12)] + [(300 + i, f"about {i + 20} said") for i in range(12)] + [(400, "about 555-010-9999 said")]
+    got = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(docs_of(rows)).collect()}
+    assert all(got[100 + i] == "phone:12:24" for i in range(30))
+    assert got[400] == "" and all(got[300 + i] == "" for i in range(12))
+
+
 def near_vectors(rng, groups=25, size=64):
     centres = rng.normal(size=(groups, size))
     rows = [c + rng.normal(size=size) * 0.12 for c in centres for _ in range(int(rng.integers(1, 30)))]

@@ -112,7 +112,7 @@ def base_spans(scanned: DataFrame) -> DataFrame:
 
 
 def candidates(scanned: DataFrame) -> DataFrame:
-    """row, start, end, kind, instance, seed, patterns: a row for each kind that a candidate could be.
+    """row, start, end, kind, instance, seed, patterns: a row for each kind that a candidate could be, or one of null kind.
 
     The punctuation around a candidate is not part of it.  Its patterns are the word and the two words before
     it; it is a seed of a kind if it is as a whole a valid base match.
@@ -132,7 +132,7 @@ def candidates(scanned: DataFrame) -> DataFrame:
     return (
         placed.where(F.length("core") > 0)
         .withColumn("w", words)
-        .select("row", "start", "end", F.lower("core").alias("instance"), patterns.alias("patterns"), F.explode(F.filter(F.array(*kinds), lambda k: k.isNotNull())).alias("k"))
+        .select("row", "start", "end", F.lower("core").alias("instance"), patterns.alias("patterns"), F.explode_outer(F.filter(F.array(*kinds), lambda k: k.isNotNull())).alias("k"))
         .select("row", "start", "end", "instance", "patterns", "k.kind", "k.seed")
     )
 
@@ -141,26 +141,33 @@ def bootstrap(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, tr
     """kind, instance of the unseen identifiers that trusted patterns discover.
 
     The graph links patterns with instances.  A pattern's score is the mean score of its instances, if it has
-    ``support`` distinct seeds at least; an unseen instance takes the best score of its patterns if that is
-    ``trust`` or more, else none; seeds keep 1.  Both sides are scored in turn, from tables of distinct links
-    that are combined before each shuffle.
+    ``support`` distinct seeds at least: those that could not be of the kind score 0, unseen ones that could
+    are left out until a pattern has scored them.  An unseen instance takes the best score of its patterns if
+    that is ``trust`` or more, else none; seeds keep 1.  Both sides are scored in turn, from tables of distinct
+    links that are combined before each shuffle.
     """
+    # distinct instances of each pattern, whatever they could be
+    alike = found.where("patterns is not null").select("instance", F.explode("patterns").alias("pattern")).distinct()
+    totals = settle(alike.groupBy("pattern").agg(F.count("*").alias("all")))
     edges = settle(
-        found.where("patterns is not null")
+        found.where("patterns is not null and kind is not null")
         .select("kind", "instance", "seed", F.explode("patterns").alias("pattern"))
         .groupBy("kind", "pattern", "instance")
         .agg(F.max("seed").alias("seed"))
     )
-    scores = settle(edges.groupBy("kind", "instance").agg(F.max("seed").cast("double").alias("score")))
+    scores = settle(edges.groupBy("kind", "instance").agg(F.when(F.max("seed"), F.lit(1.0)).alias("score")))
     for _ in range(rounds):
         patterns = (
             edges.join(scores, ["kind", "instance"])
             .groupBy("kind", "pattern")
-            .agg(F.avg("score").alias("trust"), F.sum(F.col("seed").cast("int")).alias("seeds"))
-            .where((F.col("seeds") >= support) & (F.col("trust") >= trust))
+            .agg(F.sum("score").alias("sum"), F.count("score").alias("scored"), F.count("*").alias("fit"), F.sum(F.col("seed").cast("int")).alias("seeds"))
+            .where(F.col("seeds") >= support)
+            .join(totals, "pattern")
+            .withColumn("trust", F.col("sum") / (F.col("scored") + F.col("all") - F.col("fit")))
+            .where(F.col("trust") >= trust)
         )
         best = edges.join(patterns.select("kind", "pattern", "trust"), ["kind", "pattern"], "left").groupBy("kind", "instance")
-        new = settle(best.agg(F.when(F.max("seed"), F.lit(1.0)).otherwise(F.coalesce(F.max("trust"), F.lit(0.0))).alias("score"), F.max("seed").alias("known")))
+        new = settle(best.agg(F.when(F.max("seed"), F.lit(1.0)).otherwise(F.max("trust")).alias("score"), F.max("seed").alias("known")))
         drop_settled(scores)
         scores = new
     return scores.where((F.col("score") >= trust) & ~F.col("known")).select("kind", "instance") if rounds else scores.select("kind", "instance").limit(0)
@@ -178,7 +185,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     base = settle(base_spans(scanned))
     found = settle(candidates(scanned))
     seen = base.select(F.col("row").alias("r"), F.col("start").alias("s"), F.col("end").alias("e"))
-    unseen = found.where("not seed").join(bootstrap(found), ["kind", "instance"], "left_semi")
+    unseen = found.where("kind is not null and not seed").join(bootstrap(found), ["kind", "instance"], "left_semi")
     extra = unseen.join(seen, (F.col("row") == F.col("r")) & (F.col("start") < F.col("e")) & (F.col("end") > F.col("s")), "left_anti")
     every = base.withColumn("own", F.lit(True)).unionByName(extra.select("row", "kind", "start", "end").withColumn("own", F.lit(False)))
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
