@@ -37,7 +37,11 @@ def spaced_words(text: str, lower: bool) -> Iterator[list[bytes]]:
 
     ``lower`` maps A-Z to a-z.  A text of any length needs the memory of one run of words.
     """
-    data = text.encode("utf-8", "surrogatepass")
+    return spaced_pieces(text.encode("utf-8", "surrogatepass"), lower)
+
+
+def spaced_pieces(data: bytes, lower: bool = False) -> Iterator[list[bytes]]:
+    """``spaced_words`` of a text in UTF-8."""
     at = 0
     while at < len(data):
         end = at + PIECE

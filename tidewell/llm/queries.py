@@ -5,11 +5,12 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewell.llm import decontam, embeddup, licenses, mixing, pii, quality, simhash, substring, tokenfile, warc
+from tidewell.llm import decontam, embeddup, licenses, mixing, pii, quality, rules, runs, simhash, spelling, substring, tokenfile, warc
 from tidewell.llm.common import read
-from tidewell.llm.sql import CONTAINMENT_SQL, WARC_SQL, mixing_sql
+from tidewell.llm.sql import CONTAINMENT_SQL, SPELLING_SQL, WARC_SQL, mixing_sql, rules_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -83,3 +84,54 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_token_ids")
 def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op11_rules", rules_sql())
+def op11_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(read(spark, sf_dir, "documents"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """One document in ten, by the hash h of its id, with a period from some word on; others, and null ids, as they are."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    repeated = F.expr(
+        r"""element_at(transform(transform(filter(array(array_remove(split(text, '[\\x20\\x09-\\x0D]+'), '')), w -> size(w) > 0),
+          w -> named_struct('w', w, 'g', h div 10, 'a', CAST((h div 10) % size(w) AS INT))),
+          x -> array_join(concat(slice(x.w, 1, x.a), transform(sequence(x.a, size(x.w) - 1), i ->
+            get(x.w, CAST(x.a + (i - x.a) % (1 + (size(x.w) - x.a) div (3 + x.g % 8)) AS INT)))), ' ')), -1)"""
+    )
+    rows = docs.select("doc_id", "text", h.alias("h"))
+    return rows.select("doc_id", F.when((F.col("h") % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]"), repeated).otherwise(F.col("text")).alias("text"))
+
+
+def run_digest(found: DataFrame) -> DataFrame:
+    """What op12 reports of ``runs.collapse_runs``: the count, the run of the greatest exponent, and digests."""
+    best = F.expr("aggregate(runs, get(runs, 0), (b, r) -> IF(r.length * b.period > b.length * r.period, r, b))")
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.select("doc_id", "runs", "collapsed", best.alias("best"), listed.alias("listed")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2("listed", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op12_runs")
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digest(runs.collapse_runs(with_periods(read(spark, sf_dir, "documents"))))
+
+
+def misspelt(doc_id: Column, run: Column) -> Column:
+    """The run, for one in 31 by the hash of id (null: empty) and run without the code point that the hash names."""
+    h = F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), run))
+    at = (h % F.char_length(run)).cast("int")
+    return F.when(h % 31 == 0, F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.char_length(run)))).otherwise(run)
+
+
+@query("op13_spelling", SPELLING_SQL)
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(read(spark, sf_dir, "documents"), misspelt))

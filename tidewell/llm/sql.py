@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewell.llm import mixing
+from tidewell.llm import mixing, rules
 from tidewell.llm.decontam import CONTAINED, SHINGLE
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -99,3 +99,103 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN f IS NOT NULL AND page_id IS DISTINCT FROM f THEN f END AS refers_to
 FROM rows LEFT JOIN firsts USING (payload_digest)
 """
+
+
+def rules_sql() -> str:
+    """Measures and threshold table of ``rules.judge``."""
+    stops = ", ".join("'" + w + "'" for w in sorted({w for listed in rules.STOP_WORDS.values() for w in listed}))
+
+    def broken(rule: rules.Rule) -> str:
+        value = f"{rule.over}::DOUBLE" + (f" / greatest({rule.under}, 1)::DOUBLE" if rule.under else "")
+        limits = ([f"{value} < {rule.least}::DOUBLE"] if rule.least is not None else []) + (
+            [f"{value} > {rule.most}::DOUBLE"] if rule.most is not None else []
+        )
+        return "(" + " OR ".join(limits) + ")"
+
+    names = ", ".join(f"CASE WHEN {broken(r)} THEN '{r.name}' END" for r in rules.RULES)
+    hard = " OR ".join(broken(r) for r in rules.RULES if r.base)
+    return f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text FROM documents
+),
+cut AS (
+  SELECT row_no, doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w,
+    list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM texts
+),
+windows AS (
+  SELECT row_no, i, count(*) OVER (PARTITION BY row_no, g) AS times
+  FROM (SELECT row_no, i, array_to_string(w[i:i + {rules.WINDOW - 1}], ' ') AS g
+        FROM (SELECT row_no, w, unnest(range(1, len(w) - {rules.WINDOW - 1} + 1)) AS i FROM cut WHERE len(w) >= {rules.WINDOW}))
+),
+repeats AS (
+  SELECT row_no, count(DISTINCT i + k) AS n_repeat_words
+  FROM windows, (SELECT unnest(range({rules.WINDOW})) AS k) WHERE times > 1 GROUP BY row_no
+),
+measured AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+    len(lines)::BIGINT AS n_lines,
+    len(list_filter(lines, lambda l: rtrim(l, ' ') LIKE '%...' OR rtrim(l, ' ') LIKE '%…'))::BIGINT AS n_open_lines,
+    len(list_filter(lines, lambda l: ltrim(l, ' ') LIKE '- %' OR ltrim(l, ' ') LIKE '* %' OR ltrim(l, ' ') LIKE '• %'))::BIGINT AS n_listed_lines,
+    len(list_filter(w, lambda x: x IN ({stops})))::BIGINT AS n_stop_words
+  FROM cut LEFT JOIN repeats USING (row_no)
+),
+judged AS (SELECT *, {hard} AS base_failed, list_filter([{names}], lambda x: x IS NOT NULL) AS wrong FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, len(wrong) = 0 AS kept,
+  n_lines, n_open_lines, n_listed_lines, n_stop_words, array_to_string(wrong, ',') AS failed_rules
+FROM judged
+"""
+
+
+SPELLING_SQL = """
+WITH RECURSIVE crc_steps AS (
+  SELECT b, b AS c, 0 AS k FROM (SELECT unnest(range(256)) AS b)
+  UNION ALL
+  SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc_steps WHERE k < 8
+),
+crc_table AS (SELECT list(c ORDER BY b) AS t FROM crc_steps WHERE k = 8),
+found AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{C0}-\\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+),
+counted AS (SELECT doc_id, run, count(*) AS n FROM found WHERE length(run) >= 7 GROUP BY ALL),
+bytes AS (
+  SELECT doc_id, run, n, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+    lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [(192 + (unicode(x) >> 6))::BIGINT, (128 + (unicode(x) & 63))::BIGINT] END)) AS b
+  FROM counted
+),
+hashed AS (
+  SELECT doc_id, run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295::BIGINT) AS h
+  FROM bytes, crc_table
+),
+spelt AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM hashed
+),
+words AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM spelt WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cuts AS MATERIALIZED (
+  SELECT word, n, i, left(word, i - 1) AS head, substr(word, i + 1) AS tail FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+),
+links AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM cuts AS a JOIN cuts AS b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION
+  SELECT c.word, c.n, w.word, w.n FROM cuts AS c JOIN words AS w ON w.word = c.head || c.tail
+  UNION
+  SELECT w.word, w.n, c.word, c.n FROM cuts AS c JOIN words AS w ON w.word = c.head || c.tail
+),
+nearest AS (
+  SELECT word, n, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM links GROUP BY word, n
+),
+forms AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN near_n >= 10 * w.n THEN near END AS form, CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+  FROM words AS w LEFT JOIN nearest AS x ON w.word = x.word
+),
+walk AS (
+  SELECT word, word AS root, form AS following FROM forms
+  UNION ALL
+  SELECT walk.word, walk.following, f.form FROM walk JOIN forms AS f ON f.word = walk.following WHERE walk.following IS NOT NULL
+)
+SELECT f.word, form, root, n, n_near, form_n FROM forms AS f JOIN walk ON walk.word = f.word WHERE walk.following IS NULL
+"""
