@@ -46,10 +46,15 @@ def plain_ids(texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     return [np.array(e.ids + [0], "<u4") for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
+def test_special_strings_have_their_own_ids():
+    got = tokenfile.PieceEncoder(tokenizer_path()).encode(["a <|endoftext|> b", "x<|endoftext|>y <|endoftext|>"])
+    assert np.frombuffer(got[0], "<u4").tolist() == [64, 220, 50256, 275]
+    assert [g for g in got] == [b[:-1].tobytes() for b in plain_ids(["a <|endoftext|> b", "x<|endoftext|>y <|endoftext|>"])]
+
+
 def test_pieces_give_the_same_ids(rng):
     texts = [t or "" for t in TEXTS] + [" ".join(rng.choice(["a", "b\n", "\nc", "", "d.", "é", "\t"]) for _ in range(60)) for _ in range(200)]
     got = tokenfile.PieceEncoder(tokenizer_path()).encode(texts)

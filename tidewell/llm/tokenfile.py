@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidewell.llm import idcoder
 from tidewell.llm.common import ids_and_texts, short_batches
 from tidewell.llm.warc import open_store
-from tidewell.session import scratch_dir, settle
+from tidewell.session import new_folder, settle
 
 #: Ids of a segment; its blocks are coded side by side.
 SEGMENT = 1 << 22
@@ -37,14 +37,13 @@ class PieceEncoder:
 
     Such a tokenizer never joins across a space between two characters that are not white space, so a text is
     cut there, and each new piece is encoded once.  Pieces are encoded in one run; the ids that begin with the
-    mark of a space say where each starts.  ``encode_special_tokens`` keeps special strings ordinary text.
+    mark of a space say where each starts.  Special strings hold no space, so cutting leaves them whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
@@ -223,5 +222,5 @@ def round_trip(docs: DataFrame, tokenizer: str, folder: str | None = None, end:
     Null and empty texts are the end id alone.  Rows that repeat a doc_id stand in the order of their texts,
     rows without doc_id after all others.  An empty table writes no file and gives no rows.
     """
-    folder = folder or f"{scratch_dir(docs.sparkSession)}/tidewell/ids-{uuid.uuid4().hex}"
+    folder = folder or new_folder(docs.sparkSession, "ids")
     return read_ids(write_ids(docs, tokenizer, folder, end, id_col, text_col))

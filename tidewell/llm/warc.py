@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import short_batches, whole_text
-from tidewell.session import scratch_dir, settle
+from tidewell.session import new_folder, settle
 
 #: Bytes of a chunk, and payload bytes from which equal payloads are stored once.
 CHUNK, SHARED = 1 << 18, 100
@@ -253,7 +253,7 @@ def round_trip(pages: DataFrame, shared: int = SHARED, folder: str | None = None
     """
     spark = pages.sparkSession
     short_batches(spark)
-    folder = folder or f"{scratch_dir(spark)}/tidewell/warc-{uuid.uuid4().hex}"
+    folder = folder or new_folder(spark, "warc")
     rows = chunks(pages, id_col, url_col, payload_col)
     typed = settle(with_types(digests(rows), shared))
     read = read_archives(write_archives(rows, typed, folder)).where("last")
