@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-import sys
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -12,10 +10,8 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import whole_text
 from tidewell.session import drop_settled, settle
 
-#: Raking rounds, and candidate scales of a calibration step.
-ROUNDS, SCALES, ZOOMS = 12, 64, 3
-#: Share of the budget by which steps of equal ratio may miss it.
-CLOSE = 1e-6
+#: Raking rounds.
+ROUNDS = 12
 #: Listed shares that leave less than this leave nothing.
 LEAST_LEFT = 1e-9
 UNKNOWN = "unknown"
@@ -97,51 +93,29 @@ def rake(cells: DataFrame, dims: dict[str, dict[str, float] | None], rounds: int
     return fitted.select(*dims, "docs", "tokens", "weight")
 
 
-def _expected(rated: DataFrame, scales: list[Column]) -> DataFrame:
-    """k, expected: the tokens that each scale, numbered from 1, lets one expect."""
-    grid = F.posexplode(F.array(*scales)).alias("at", "scale")
-    return (
-        rated.select("tokens", "ratio", grid)
-        .groupBy((F.col("at") + 1).alias("k"))
-        .agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("ratio") * F.col("scale"))).alias("expected"))
-    )
-
-
 def calibrate(cells: DataFrame, budget: float) -> DataFrame:
     """Adds probability: min(1, scale x weight / tokens), with the scale at which ``budget`` tokens are expected.
 
-    The expectation rises with the scale, so each pass tries a grid of scales at once and the next one zooms
-    into the interval found: a handful of aggregates, whatever the number of cells.  The even steps are those of
-    the registered SQL and stay below the budget by up to a step.  Cells of hardly any weight can put the upper
-    end many powers of ten above the scale; if no even step is small enough then, steps of equal ratio go on
-    until they meet the budget.  A budget above the tokens of all cells with weight takes these whole.
+    The expectation is the tokens of the cells taken whole and scale times the weight of the others, so it rises
+    along straight pieces that get flatter.  Each step follows the piece at hand to the budget, which never
+    passes the scale sought, and takes whole the cells it passes; where it passes none the budget is met
+    exactly.  A step is one aggregate, whatever the number of cells and however unequal their weights.  A budget
+    above the tokens of all cells with weight takes these whole.
     """
-    ratio = F.col("weight") / F.col("tokens")
-    rated = settle(cells.withColumn("ratio", ratio))
-    some = F.col("ratio") >= sys.float_info.min  # 1 / ratio is a number
-    high, weight, most = rated.agg(F.max(F.when(some, F.lit(1.0) / F.col("ratio"))), F.sum(F.when(some, F.col("weight"))), F.sum(F.when(some, F.col("tokens")))).first()
-    if high is None:
-        return rated.withColumn("probability", F.lit(0.0)).drop("ratio")
-    low, top, reached, goal = 0.0, high, 0.0, min(budget, most)
-
-    def best(scales: list[Column]) -> tuple[int, float]:
-        under = _expected(rated, scales).where(F.col("expected") <= F.lit(budget)).agg(F.max("k"), F.max("expected")).first()
-        return (under[0], under[1]) if under[0] else (0, reached)
-
-    for _ in range(ZOOMS):
-        step = (high - low) / SCALES
-        under, reached = best([F.lit(low + step * k) for k in range(1, SCALES + 1)])
-        low, high = low + step * under, min(high, low + step * (under + 1))
-    if low == 0:
-        low, high = goal / weight * (1 - CLOSE / 2), top  # a scale expects scale x weight at most
-        while reached < goal * (1 - CLOSE):
-            if not low < high:
-                raise ArithmeticError(f"no scale expects {goal} tokens, {reached} at most")
-            step = (math.log(high) - math.log(low)) / SCALES
-            scales = [low * math.exp(step * k) for k in range(SCALES)] + [high]
-            under, reached = best([F.lit(x) for x in scales])
-            low, high = scales[max(under - 1, 0)], scales[min(max(under, 1), SCALES)]
-    return rated.withColumn("probability", F.least(F.lit(1.0), F.col("ratio") * F.lit(low))).drop("ratio")
+    rated = settle(cells.withColumn("ratio", F.col("weight") / F.col("tokens")))
+    scale, taken = 0.0, -1
+    while True:
+        whole = F.col("ratio") * F.lit(scale) >= 1
+        given, left, count = rated.where("weight > 0").agg(
+            F.coalesce(F.sum(F.when(whole, F.col("tokens"))), F.lit(0)).cast("double"),
+            F.coalesce(F.sum(F.when(~whole, F.col("weight"))), F.lit(0.0)),
+            F.count_if(whole),
+        ).first()
+        if count == taken or left <= 0 or given >= budget:
+            break
+        scale, taken = (budget - given) / left, count
+    p = F.when(F.col("weight") > 0, F.least(F.lit(1.0), F.col("ratio") * F.lit(scale))).otherwise(F.lit(0.0))
+    return rated.withColumn("probability", p).drop("ratio")
 
 
 def mixed(
@@ -153,15 +127,20 @@ def mixed(
     power: float = SOURCE_POWER,
     id_col: str = "doc_id",
     text_col: str = "text",
+    slim: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Cells with their fitted weight and probability, and documents with dims, n_tokens, u and their own columns.
 
+    ``slim`` rows have doc_id and no other column of their own; they are written once, so each text is read once.
+
     ``dims`` names a column expression for each margin (null levels are the level "unknown"), ``shares`` the
     target shares of its levels, ``keep`` the share of all tokens that the sample is to hold.
     """
     text = whole_text(docs[text_col])
     levels = [F.coalesce(c.cast("string"), F.lit(UNKNOWN)).alias(f"·{d}") for d, c in dims.items()]
-    rows = docs.select("*", *levels, n_words(text).alias("·tokens"), unit(docs[id_col]).alias("·u"))
+    own = [docs[id_col].cast("long").alias("doc_id")] if slim else ["*"]
+    rows = docs.select(*own, *levels, n_words(text).alias("·tokens"), unit(docs[id_col]).alias("·u"))
+    rows = settle(rows) if slim else rows
     cells = settle(
         rows.groupBy(*(F.col(f"·{d}").alias(d) for d in dims)).agg(F.count("*").alias("docs"), F.sum("·tokens").alias("tokens"))
     )
@@ -190,10 +169,9 @@ def mix_report(docs: DataFrame, keep: float = 0.5, shares: dict | None = None, i
     rows of an id share one draw, rows without id the draw of the empty id; an empty table gives no rows.
     """
     dims = default_dims(docs)
-    fitted, rows = mixed(docs, dims, shares or DEFAULT_SHARES, keep, id_col=id_col)
-    slim = rows.select(F.col(id_col).cast("long").alias("doc_id"), *(F.col(f"·{d}") for d in dims), "·tokens", "·u")
+    fitted, rows = mixed(docs, dims, shares or DEFAULT_SHARES, keep, id_col=id_col, slim=True)
     p = F.when(F.col("·tokens") > 0, F.coalesce("·p", F.lit(0.0))).otherwise(0.0)
-    return _join(slim, fitted, dims).select(
+    return _join(rows, fitted, dims).select(
         "doc_id",
         *(F.col(f"·{d}").alias(d) for d in dims),
         F.col("·tokens").alias("n_tokens"),

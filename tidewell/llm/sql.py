@@ -47,11 +47,14 @@ def mixing_sql(keep: float = 0.5) -> str:
         case = " ".join(f"WHEN '{k}' THEN {float(v)}::DOUBLE" for k, v in (listed or {}).items())
         case = f"CASE {dim} {case} END" if listed else "NULL::DOUBLE"
         parts.append(f"""goal_{dim} AS (
-  SELECT level, coalesce(listed, CASE WHEN rest > 0 THEN greatest(1 - given, 0) * own / rest END, 0)
-    / CASE WHEN rest > 0 THEN greatest(given, 1) ELSE given END AS goal
-  FROM (SELECT *, coalesce(sum(listed) OVER (), 0) AS given, coalesce(sum(own) OVER (), 0) AS rest
-        FROM (SELECT level, listed, CASE WHEN listed IS NULL THEN pow(t, {mixing.SOURCE_POWER}) END AS own
-              FROM (SELECT {dim} AS level, {case} AS listed, sum(tokens)::DOUBLE AS t FROM cells GROUP BY {dim} HAVING sum(tokens) > 0)))
+  SELECT level, CASE WHEN rest > 0 THEN raw WHEN given > 0 THEN raw / given ELSE 0 END AS goal
+  FROM (SELECT *, coalesce(CASE WHEN is_full THEN listed / given * (1 - unlisted) ELSE listed END,
+            CASE WHEN rest > 0 THEN CASE WHEN is_full THEN unlisted ELSE greatest(1 - given, 0) END * own / rest END, 0) AS raw
+        FROM (SELECT *, rest > 0 AND given >= 1 - {mixing.LEAST_LEFT}::DOUBLE AS is_full
+              FROM (SELECT *, coalesce(sum(listed) OVER (), 0) AS given, coalesce(sum(own) OVER (), 0) AS rest,
+                      coalesce(sum(CASE WHEN listed IS NULL THEN t END) OVER (), 0) / sum(t) OVER () AS unlisted
+                    FROM (SELECT level, listed, t, CASE WHEN listed IS NULL THEN pow(t, {mixing.SOURCE_POWER}) END AS own
+                          FROM (SELECT {dim} AS level, {case} AS listed, sum(tokens)::DOUBLE AS t FROM cells GROUP BY {dim} HAVING sum(tokens) > 0)))))
 )""")
     goals = "".join(f" JOIN goal_{d} AS g_{d} ON g_{d}.level = c.{d}" for d in dims)
     parts.append(
@@ -64,22 +67,20 @@ def mixing_sql(keep: float = 0.5) -> str:
         for dim in dims:
             parts.append(
                 f"w{at + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, goal_source, goal_lang, goal_topic, "
-                f"weight * goal_{dim} / sum(weight) OVER (PARTITION BY {dim}) AS weight FROM w{at})"
+                f"CASE WHEN sum(weight) OVER (PARTITION BY {dim}) > 0 THEN weight * goal_{dim} / sum(weight) OVER (PARTITION BY {dim}) ELSE 0 END AS weight "
+                f"FROM w{at})"
             )
             at += 1
     parts.append(f"rated AS MATERIALIZED (SELECT source, lang, topic, tokens, weight, weight / tokens AS ratio FROM w{at})")
-    parts.append("zoom0 AS MATERIALIZED (SELECT 0.0::DOUBLE AS low, max(CASE WHEN ratio > 0 THEN 1.0::DOUBLE / ratio END) AS high FROM rated)")
-    for z in range(mixing.ZOOMS):
-        parts.append(f"""try{z} AS MATERIALIZED (
-  SELECT k, any_value(low) AS low, any_value(high) AS high, sum(tokens * least(1.0::DOUBLE, ratio * (low + (high - low) / {mixing.SCALES} * k))) AS expected
-  FROM rated, zoom{z}, (SELECT unnest(range(1, {mixing.SCALES + 1})) AS k) GROUP BY k
+    # cells in the order in which they are taken whole: the scale lies before the first one that the budget does not reach
+    parts.append(f"""pieces AS MATERIALIZED (
+  SELECT tokens / weight AS whole_at, weight, {keep}::DOUBLE * (SELECT sum(tokens) FROM cells)
+      - coalesce(sum(tokens) OVER (ORDER BY tokens / weight ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS unspent,
+    sum(weight) OVER (ORDER BY tokens / weight DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS left_weight
+  FROM rated WHERE weight > 0
 )""")
-        parts.append(f"""zoom{z + 1} AS MATERIALIZED (
-  SELECT low + (high - low) / {mixing.SCALES} * under AS low, least(high, low + (high - low) / {mixing.SCALES} * (under + 1)) AS high
-  FROM (SELECT any_value(low) AS low, any_value(high) AS high,
-          coalesce(max(CASE WHEN expected <= {keep}::DOUBLE * (SELECT sum(tokens) FROM cells) THEN k END), 0) AS under FROM try{z})
-)""")
-    parts.append(f"final AS (SELECT source, lang, topic, weight, least(1.0::DOUBLE, ratio * low) AS p FROM rated, zoom{mixing.ZOOMS})")
+    parts.append("scale AS MATERIALIZED (SELECT coalesce(arg_min(unspent / left_weight, whole_at) FILTER (unspent / left_weight <= whole_at), max(whole_at)) AS s FROM pieces)")
+    parts.append("final AS (SELECT source, lang, topic, weight, least(1.0::DOUBLE, ratio * s) AS p FROM rated, scale)")
     return f"""WITH {", ".join(parts)},
 joined AS (
   SELECT r.doc_id, r.source, r.lang, r.topic, r.n_tokens, r.u, coalesce(f.weight, 0) AS weight,
