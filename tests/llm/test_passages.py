@@ -151,3 +151,11 @@ def test_automaton_holds_every_run():
     for k, w in enumerate(text):
         state, length = auto.step(state, length, w.encode())
         assert length == max((n for n in range(1, k + 2) if tuple(text[k + 1 - n : k + 1]) in runs), default=0)
+
+
+def test_a_template_is_reported_each_time_it_stands(docs_of, rng):
+    text = licenses.TEMPLATES["bsd-text"]
+    times = "\n".join([text, words(rng, 40), text, text, words(rng, 2000), text[: len(text) * 9 // 10]])
+    got = licenses.scan_licenses(docs_of([(1, times), (2, text)])).orderBy("doc_id").collect()
+    spans = [(s["first"], s["last"]) for s in got[0]["spans"] if s["label"] == "bsd-text"]
+    assert len(spans) == 4 and all(a[1] < b[0] for a, b in zip(spans, spans[1:])) and len([s for s in got[1]["spans"] if s["label"] == "bsd-text"]) == 1

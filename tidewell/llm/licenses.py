@@ -148,7 +148,7 @@ class LicenseIndex:
         state = length = at = 0
         places: list[tuple[int, int]] = []
         chains: list[dict[int, list]] = [{} for _ in self.template_words]  # template: shift -> [last word, first, covered, template position]
-        spans: dict[int, tuple[float, int, int]] = {}
+        spans: dict[int, list[tuple[float, int, int]]] = {}
         for words in word_runs(text):
             if known.isdisjoint(words):
                 state, length, at = 0, 0, at + len(words)
@@ -169,7 +169,7 @@ class LicenseIndex:
             if words and words[-1] not in known:
                 state = length = 0
             at += len(words)
-        return {"n_words": at, "places": places, "spans": [(self.template_labels[n], *s) for n, s in sorted(spans.items())]}
+        return {"n_words": at, "places": places, "spans": [(self.template_labels[n], *s) for n, found in sorted(spans.items()) for s in found]}
 
     def _chain(self, open_chains: dict, spans: dict, number: int, here: int, end: int, length: int) -> None:
         """Join the match that ends at word ``here`` and template position ``end`` to a chain close before it."""
@@ -188,8 +188,13 @@ class LicenseIndex:
             best = [here, first, length, end]
         open_chains[here - end] = best
         share = best[2] / size
-        if share >= COVERED and share > spans.get(number, (0.0,))[0]:
-            spans[number] = (share, best[1], here)
+        if share >= COVERED:
+            # the best of chains that overlap; a chain that begins past the last span is one more
+            found = spans.setdefault(number, [])
+            if not found or best[1] > found[-1][2]:
+                found.append((share, best[1], here))
+            elif share > found[-1][0]:
+                found[-1] = (share, best[1], here)
 
 
 def scan_licenses(
