@@ -1,8 +1,12 @@
 """Quality, mixing, personal data, embeddings and the pipeline against plain versions."""
 
 import hashlib
+import os
+import pathlib
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -271,3 +275,37 @@ def test_unlisted_levels_keep_their_share(docs_of):
     assert {r["lang"] for r in drawn if r["probability"] > 0} == tokens.keys() - {"nl"}
     drawn = mixing.calibrate(mixing.rake(frame, {"source": None, "lang": mixing.LANG_SHARES}, 2), 500).collect()
     assert all(r["probability"] > 0 for r in drawn)
+
+
+def test_budget_is_met_beside_cells_of_little_weight(spark):
+    for little in (1e-6, 1.2e-7, 9.4e-8, 6e-8, 1e-10, 1e-20):
+        cells = [(f"c{k}", 1000, 0.05) for k in range(20)] + [("small", 1000, little)]
+        got = mixing.calibrate(spark.createDataFrame(cells, "name string, tokens long, weight double"), 10000.0).collect()
+        assert abs(sum(r["tokens"] * r["probability"] for r in got) / 10000 - 1) < 1e-3, little
+
+
+def test_fit_does_not_depend_on_row_order(spark, docs_of, rng):
+    rows = [(i, words(rng, 30)) for i in range(40)] + [(3, words(rng, 12)), (3, words(rng, 50)), (3, words(rng, 8)), (7, words(rng, 9))]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    fits = [quality.fit_quality(docs_of(order), labels) for order in (rows, rows[::-1], rows[20:] + rows[:20])]
+    assert fits[0].bias == fits[1].bias == fits[2].bias and (fits[0].weight == fits[1].weight).all() and (fits[0].factor == fits[2].factor).all()
+
+
+def test_executors_need_no_installed_package(tmp_path):
+    """A session started elsewhere: its workers cannot import the package, code and models travel by value."""
+    root = pathlib.Path(__file__).parents[2]
+    script = f"""
+import sys
+sys.path.append({str(root)!r})
+from tidewell import build_session
+from tidewell.llm import quality, runs, spelling
+spark = build_session("elsewhere", 1)
+sys.path.pop()
+docs = spark.createDataFrame([(i, f"some text {{i}} " * 9, 90) for i in range(9)], "doc_id long, text string, n_chars long")
+labels = spark.createDataFrame([(i, i % 2) for i in range(9)], "doc_id long, quality int")
+print("rows", quality.score_quality(docs, labels).count(), runs.collapse_runs(docs).count(), len(quality.score_quality(docs, labels).collect()))
+print("words", len(spelling.group_variants(spark.createDataFrame([("abcdefg", 2), ("abcdefh", 30)], "word string, n long")).collect()))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 9 9 9" in done.stdout and "words 2" in done.stdout, done.stderr[-2000:]

@@ -87,6 +87,16 @@ class FactorisationMachine:
         self.bias, self.weight = 0.0, np.zeros(self.size)
         self.factor = np.random.default_rng(7).normal(0, 0.05, (self.size, FACTORS))
 
+    def state(self) -> tuple:
+        return self.mean, self.spread, self.bias, self.weight, self.factor
+
+    @classmethod
+    def of(cls, state: tuple) -> FactorisationMachine:
+        mean, spread, bias, weight, factor = state
+        model = cls(mean, spread)
+        model.bias, model.weight, model.factor = bias, weight, factor
+        return model
+
     def rows(self, stats: np.ndarray, slots: list[np.ndarray], weights: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Feature numbers and values of all rows one after another, and where each row starts."""
         z = np.clip((stats - self.mean) / self.spread, -3, 3)
@@ -163,7 +173,7 @@ def fit_quality(
     """Fit on at most ``sample`` labelled documents, those of the smallest id hash; None if none is labelled.
 
     Repeated labels of an id count by their mean (0.5 or more is 1), null labels not at all; of repeated rows
-    of a document one is used.  The fit runs in one task, on ``sample`` rows of at most ``SLOTS`` features.
+    of a document the one of the smallest text hash is used.  The fit runs in one task, on ``sample`` rows of at most ``SLOTS`` features.
     """
     short_batches(docs.sparkSession)
     known = labels.groupBy(labels[id_col].cast("long").alias("·id")).agg(F.avg(labels[label_col].cast("double")).alias("·y"))
@@ -172,14 +182,14 @@ def fit_quality(
     rows = (
         docs.select(docs[id_col].cast("long").alias("·doc"), text.alias("·text"), _length(docs, chars_col, text).alias("·n"))
         .join(F.broadcast(chosen), F.col("·doc") == F.col("·id"))  # at most `sample` pairs of numbers
-        .select(F.col("·doc").alias("doc"), F.col("·text").alias("text"), F.col("·n").alias("n"), (F.col("·y") >= 0.5).cast("double").alias("y"))
+        .select(F.col("·doc").alias("doc"), F.col("·text").alias("text"), F.col("·n").alias("n"), (F.col("·y") >= 0.5).cast("double").alias("y"), F.xxhash64("·text").alias("h"))
     )
 
     def extract(batches):
         for batch in batches:
             stats, slots, weights = features(batch.column(1).to_pylist(), batch.column(2).to_pylist())
             packed = [pickle.dumps(p) for p in zip(stats, slots, weights)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary()), batch.column(3)], ["doc", "x", "y"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(4), pa.array(packed, pa.binary()), batch.column(3)], ["doc", "h", "x", "y"])
 
     def train(batches):
         found = {d: (x, y) for b in batches for d, x, y in zip(*(c.to_pylist() for c in b.columns))}
@@ -188,27 +198,28 @@ def fit_quality(
             stats, y = np.array([p[0] for p in parts]), np.array([p[3] for p in parts])
             model = FactorisationMachine(stats.mean(axis=0), np.maximum(stats.std(axis=0), 1e-6))
             model.fit(stats, [p[1] for p in parts], [p[2] for p in parts], y)
-            state = pickle.dumps((model.mean, model.spread, model.bias, model.weight, model.factor))
+            state = pickle.dumps(model.state())
             yield pa.RecordBatch.from_arrays([pa.array([state], pa.binary())], ["model"])
 
-    fitted = rows.mapInArrow(extract, "doc long, x binary, y double").repartition(1).mapInArrow(train, "model binary").collect()
+    # of repeated rows the one of the smallest text hash, whatever the order of rows
+    known = rows.mapInArrow(extract, "doc long, h long, x binary, y double").groupBy("doc").agg(F.min(F.struct("h", "x", "y")).alias("first"))
+    fitted = known.select("doc", "first.x", "first.y").repartition(1).mapInArrow(train, "model binary").collect()
     if not fitted:
         return None
-    mean, spread, bias, weight, factor = pickle.loads(fitted[0][0])
-    model = FactorisationMachine(mean, spread)
-    model.bias, model.weight, model.factor = bias, weight, factor
-    return model
+    return FactorisationMachine.of(pickle.loads(fitted[0][0]))
 
 
 def quality_score(docs: DataFrame, model: FactorisationMachine | None, text_col: str = "text", chars_col: str = "n_chars") -> Column:
     """Score from 0 to 1 of each whole text, higher for label 1; 0.5 without a model."""
     if model is None:
         return F.lit(0.5)
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # SLOTS x (FACTORS + 1) numbers
+    # SLOTS x (FACTORS + 1) numbers; plain arrays, as a broadcast class would have to be installed on executors
+    sent = docs.sparkSession.sparkContext.broadcast(model.state())
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series, n_chars: pd.Series) -> pd.Series:
-        out = [sent.value.score(*features(list(texts[i : i + 200]), list(n_chars[i : i + 200]))) for i in range(0, len(texts), 200)]
+        machine = FactorisationMachine.of(sent.value)
+        out = [machine.score(*features(list(texts[i : i + 200]), list(n_chars[i : i + 200]))) for i in range(0, len(texts), 200)]
         return pd.Series(np.concatenate(out) if out else np.zeros(0))
 
     text = whole_text(docs[text_col])
