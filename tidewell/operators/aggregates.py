@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .gram import pair_sums
 from .ordered import _names, join_on_keys, quantiles
 
-PAIR_BLOCK = 40
-
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -153,31 +152,18 @@ def _number(name: str) -> Column:
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every two columns, undefined as 0.
-
-    Pairs are computed in blocks of columns: each block is one pass with partial sums, reading
-    just its own columns, so wide tables do not become one huge projection.
-    """
-    blocks = [list(cols[i : i + PAIR_BLOCK]) for i in range(0, len(cols), PAIR_BLOCK)]
-    place = {c: i for i, c in enumerate(cols)}
-    out = None
-    for i, left in enumerate(blocks):
-        for right in blocks[i:]:
-            pairs = [(a, b) for a in left for b in right if place[a] < place[b]]
-            if not pairs:
-                continue
-            r = lambda a, b: F.coalesce(F.nanvl(F.corr(_number(a), _number(b)), F.lit(0.0)), F.lit(0.0))
-            facts = df.agg(*[r(a, b).alias(f"r{n}") for n, (a, b) in enumerate(pairs)])
-            rows = [
-                F.struct(
-                    F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), F.lit(place[x]).alias("i"), F.lit(place[y]).alias("j"), F.col(f"r{n}").alias("r")
-                )
-                for n, (a, b) in enumerate(pairs)
-                for x, y in ((a, b), (b, a))
-            ]
-            one = facts.select(F.inline(F.array(*rows)))
-            out = one if out is None else out.unionByName(one)
-    return out
+    """Pearson correlation of every two columns over rows where both are numbers, undefined as 0; one scan."""
+    names = F.array(*map(F.lit, cols))
+    s = pair_sums(df, cols)
+    spread_a, spread_b = (F.col("n") * F.col(q + q) - F.col(q) * F.col(q) for q in "ab")
+    flat = lambda spread, q: spread <= F.lit(1e-14) * F.col("n") * F.col(q + q)  # nothing but rounding
+    r = (F.col("n") * F.col("ab") - F.col("a") * F.col("b")) / F.sqrt(spread_a * spread_b)
+    r = F.when((F.col("n") > 0) & ~flat(spread_a, "a") & ~flat(spread_b, "b"), r).otherwise(F.lit(0.0))
+    r = F.coalesce(F.nanvl(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)), F.lit(0.0)), F.lit(0.0))
+    one = s.select("i", "j", r.alias("r"))
+    both = one.select(F.inline(F.array(F.struct("i", "j", "r"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), "r"))))
+    name = lambda c: F.get(names, F.col(c).cast("int"))
+    return both.select(name("i").alias("col_a"), name("j").alias("col_b"), "i", "j", "r")
 
 
 def corr_pairs(df: DataFrame, cols: Sequence[str], min_abs: float = 0.8, top: int = 15) -> DataFrame:

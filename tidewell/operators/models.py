@@ -21,8 +21,9 @@ from pyspark.sql import types as T
 
 from ..functions import det
 from ..functions import strings as S
-from ..session import settle, spread
+from ..session import kept_in_worker, read_folder, settle, spread
 from .features import bootstrap, class_report, confusion, fit_medians, impute, label_encode, ranking_metrics, regression_report, split, stratified_folds
+from .gram import add_up, gram_by_key, solve
 from .ordered import with_position
 from .relational import numeric_columns
 from .retrieval import knn_blocks
@@ -255,7 +256,8 @@ def smote(df: DataFrame, id_col: str, label: str, features: str, k: int = 5, see
         (F.floor(draw("b") * F.least(F.lit(k), F.col("n") - 1)) + 1).cast("int").alias("rank"), draw("c").alias("gap"),
     )
     bases = draws.join(placed, [label, "pos"])
-    near = knn_blocks(placed.withColumnsRenamed({id_col: "__base", "x": "__bx"}), placed, k, "l2", id_col, "x", "__base", "__bx", label, True)
+    drawn = draws.select(label, "pos").distinct().join(placed, [label, "pos"])  # the rows that neighbours are asked of
+    near = knn_blocks(drawn.withColumnsRenamed({id_col: "__base", "x": "__bx"}), placed, k, "l2", id_col, "x", "__base", "__bx", label, True)
     friends = near.select(F.col("__base").alias(id_col), "rank", F.col(id_col).alias("__friend"))
     made = bases.join(friends, [id_col, "rank"], "left")
     other = placed.select(F.col(id_col).alias("__friend"), F.col("x").alias("__y"))
@@ -308,57 +310,74 @@ def _grow_tree(x: np.ndarray, rng: np.random.Generator, limit: int) -> tuple[np.
     return feature, cut, path
 
 
+def deal_to_trees(numbers: DataFrame, ids: Sequence[str], feats: Sequence[str], trees: int, sample: int, seed: int) -> DataFrame:
+    """Rows tree, draw and features: somewhat more than ``sample`` rows, drawn by hash, for each tree.
+
+    A draw falls into one of the trees or into none, so a row is looked at a bounded number of times and the
+    rows handed on are about ``trees * sample``, whatever the table's size.
+    """
+    n = max(1, numbers.count())
+    share = min(1.0, (sample + 6 * math.sqrt(sample)) / n)  # of the rows, for one tree
+    mark = F.concat_ws("|", *[F.col(c).cast("string") for c in [*ids, *feats]])
+    if share >= 1:
+        every = numbers.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        return every.select("tree", det.hash52(F.concat_ws("#", mark, F.col("tree")), str(seed)).alias("draw"), *feats)
+    rounds = math.ceil(trees * share)
+    dealt = numbers.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1)))) if rounds > 1 else numbers.withColumn("round", F.lit(0))
+    draw = det.hash52(F.concat_ws("#", mark, F.col("round")), str(seed))
+    at = F.floor(draw / 2**52 * rounds / share).cast("int")
+    return dealt.select(at.alias("tree"), draw.alias("draw"), *feats).filter(F.col("tree") < trees)
+
+
+def isolation_forest(dealt: DataFrame, feats: Sequence[str], sample: int, limit: int, seed: int) -> DataFrame:
+    """A row per tree (tree, feature, cut, path), each grown in a task of its own group from its ``sample`` first draws."""
+
+    def grow(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        order = rows.sort_values(["draw", *feats], kind="stable").drop_duplicates(["draw", *feats])[: sample]
+        made = _grow_tree(order[list(feats)].to_numpy(np.float64), np.random.default_rng([seed, int(key[0])]), limit)
+        return pd.DataFrame({"tree": [key[0]], "feature": [made[0]], "cut": [made[1]], "path": [made[2]]})
+
+    return dealt.groupBy("tree").applyInPandas(grow, "tree int, feature array<int>, cut array<double>, path array<double>")
+
+
 def isolation_scores(
     df: DataFrame, id_cols: str | Sequence[str], features: Sequence[str], trees: int = 300, sample: int = 256, seed: int = 42
 ) -> DataFrame:
     """Anomaly score in (0, 1) per row, higher for rows that random cuts isolate early.
 
-    At most ``trees * sample`` rows, drawn by hash, feed the trees, each of which sees
-    ``sample`` of them; the finished forest has a fixed size and scores Arrow batches.
+    Rows are dealt to trees by hash and each tree grows in its group; the forest, a table of fixed size in the
+    shared folder, is read by the tasks that score Arrow batches.
     """
-    spark = df.sparkSession
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
     feats = [f"__x{i}" for i in range(len(features))]
     number = lambda c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(0.0))
     numbers = df.select(*ids, *[number(c).alias(n) for c, n in zip(features, feats)])
-    draw = det.hash52(F.concat_ws("|", *[F.col(c).cast("string") for c in [*ids, *feats]]), str(seed))
-    # Only about as many rows as are wanted reach the final sort: the draw is uniform, so a bound on it thins them first.
-    wanted = trees * sample
-    share = min(1.0, (wanted + 10 * math.sqrt(wanted)) / max(1, numbers.count()))
-    drawn = numbers.select(*feats, draw.alias("__d")).filter(F.col("__d") <= int(share * 2**52))
-    pool = drawn.orderBy("__d", *feats).limit(wanted).toPandas()[feats].to_numpy(np.float64)
-    size = min(sample, len(pool))
-    limit = max(1, math.ceil(math.log2(max(size, 2))))
-
-    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            made = []
-            for t in b["id"]:
-                rng = np.random.default_rng([seed, int(t)])
-                made.append(_grow_tree(pool[rng.choice(len(pool), size, replace=False)], rng, limit))
-            yield pd.DataFrame({"id": b["id"].to_numpy(), **{n: [m[i] for m in made] for i, n in enumerate(("feature", "cut", "path"))}})
-
-    grown = spark.range(trees).repartition(min(trees, 32)).mapInPandas(grow, "id bigint, feature array<int>, cut array<double>, path array<double>")
-    forest = [
-        (np.asarray(r["feature"], np.int64), np.asarray(r["cut"]), np.asarray(r["path"])) for r in grown.orderBy("id").collect()
-    ]
-    shared = spark.sparkContext.broadcast(forest)
-    norm = float(_expected_path(np.array([size]))[0]) or 1.0
+    limit = max(1, math.ceil(math.log2(max(sample, 2))))
+    dealt = deal_to_trees(numbers, ids, feats, trees, sample, seed)
+    forest = settle(isolation_forest(dealt, feats, sample, limit, seed))
+    size = dealt.groupBy("tree").count().agg(F.max("count")).first()[0] or 1
+    norm = float(_expected_path(np.array([min(sample, size)]))[0]) or 1.0
+    path = forest.settled_path
     schema = T.StructType([*[numbers.schema[c] for c in ids], T.StructField("score", T.DoubleType())])
 
+    def load() -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        rows = read_folder(path).to_pylist()
+        return [(np.array(r["feature"], np.int64), np.array(r["cut"]), np.array(r["path"])) for r in sorted(rows, key=lambda r: r["tree"])]
+
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        grown = kept_in_worker(path, load)
         for b in batches:
             x = np.ascontiguousarray(b[feats].to_numpy(np.float64))
             flat, rows = x.ravel(), np.arange(len(x)) * len(feats)
             depth = np.zeros(len(x))
-            for feature, cut, path in shared.value:
+            for feature, cut, lengths in grown:
                 at = np.zeros(len(x), dtype=np.int64)
                 for _ in range(limit):
                     above = flat.take(rows + feature.take(at)) > cut.take(at)
                     at = 2 * at + 1 + above
-                depth += path.take(at)
+                depth += lengths.take(at)
             out = b[ids].copy()
-            out["score"] = 2.0 ** (-depth / (len(shared.value) * norm))
+            out["score"] = 2.0 ** (-depth / (len(grown) * norm))
             yield out
 
     return spread(numbers).mapInPandas(score, schema)
@@ -368,43 +387,34 @@ def isolation_scores(
 
 
 def lag_statistics(df: DataFrame, value: str, order_by, by: str, seq_len: int, part: str | None = None) -> DataFrame:
-    """Sums of products of (1, lags, value) per series: all a least-squares fit needs, and additive."""
+    """Sums of products of (1, lags, value) per series (``gram``): all a least-squares fit needs, and additive."""
     made = supervised_windows(df, value, order_by, by, seq_len)
-    z = [F.lit(1.0), *[F.get("x", i) for i in range(seq_len)], F.col("y")]
-    sums = [F.sum(z[i] * z[j]).alias(f"s{i}_{j}") for i in range(len(z)) for j in range(i, len(z))]
-    return made.groupBy(by, *([part] if part else [])).agg(*sums)
+    return gram_by_key(made, [by, *([part] if part else [])], "x", "y")
 
 
 def merge_statistics(a: DataFrame, b: DataFrame, by: str) -> DataFrame:
     """Statistics of both row sets together; refitting from them is a warm start without old rows."""
-    both = a.unionByName(b)
-    return both.groupBy(by).agg(*[F.sum(c).alias(c) for c in both.columns if c != by])
+    return add_up(a.unionByName(b), [by])
 
 
-def solve_lag_linear(stats: DataFrame, by: str, seq_len: int) -> DataFrame:
+def solve_lag_linear(stats: DataFrame, by: str) -> DataFrame:
     """Intercept, lag weights and training RMSE per series; one small system per row."""
     schema = T.StructType(
         [stats.schema[by], T.StructField("n", T.LongType()), T.StructField("weights", T.ArrayType(T.DoubleType())), T.StructField("rmse", T.DoubleType())]
     )
-    size = seq_len + 2
 
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for row in b.to_dict("records"):
-                s = np.array([[row[f"s{min(i, j)}_{max(i, j)}"] for j in range(size)] for i in range(size)], dtype=np.float64)
-                w = np.linalg.lstsq(s[:-1, :-1], s[:-1, -1], rcond=None)[0]
-                sse = s[-1, -1] - 2 * w @ s[:-1, -1] + w @ s[:-1, :-1] @ w
-                out.append((row[by], int(s[0, 0]), w.tolist(), math.sqrt(max(sse, 0.0) / max(s[0, 0], 1.0))))
-            yield pd.DataFrame(out, columns=[by, "n", "weights", "rmse"])
+            fits = [solve(gram) for gram in b["gram"]]
+            yield pd.DataFrame({by: b[by], "n": [f[0] for f in fits], "weights": [f[1].tolist() for f in fits], "rmse": [f[2] for f in fits]})
 
-    return stats.mapInPandas(solve, schema)
+    return stats.select(by, "gram").mapInPandas(fit, schema)
 
 
 def retrain_lag_linear(df: DataFrame, value: str, order_by, by: str, seq_len: int, cut: str) -> DataFrame:
     """Fit on rows before the boolean column ``cut`` turns true, then update with the rest; one row per series and phase."""
     stats = settle(lag_statistics(df, value, order_by, by, seq_len, cut))
     old, new = stats.filter(~F.col(cut)).drop(cut), stats.filter(cut).drop(cut)
-    first = solve_lag_linear(old, by, seq_len).withColumn("phase", F.lit("original"))
-    second = solve_lag_linear(merge_statistics(old, new, by), by, seq_len).withColumn("phase", F.lit("retrained"))
+    first = solve_lag_linear(old, by).withColumn("phase", F.lit("original"))
+    second = solve_lag_linear(merge_statistics(old, new, by), by).withColumn("phase", F.lit("retrained"))
     return first.unionByName(second)

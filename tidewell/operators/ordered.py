@@ -148,35 +148,87 @@ def scan(
     return base.withColumns(made).filter("__own").drop("__run", "__own", *cols)
 
 
-def quantiles(df: DataFrame, value: str, probs: Sequence[float], by=None) -> DataFrame:
-    """Exact interpolated quantiles: one row per key with columns ``q0..qk``.
+def _brackets(usable: DataFrame, value: str, probs: Sequence[float], keys: list[str], accuracy: int) -> DataFrame:
+    """Per key the number of values and, for each probability, two values that should enclose it.
 
-    Values are counted first and the counts range-partitioned.  Partition totals tell which
-    partitions hold the wanted ranks; only those are sorted, so neither the driver nor one
-    aggregation buffer holds the distinct values of a key.
+    The sketches are merged by Spark and miss a rank by ``1 / accuracy`` of the rows; the brackets allow four
+    times that.  Keys of at most ``accuracy`` rows have no bracket: all their values are taken.
+    """
+    wide = 4.0 / accuracy
+    marks = [min(1.0, max(0.0, p + d)) for p in probs for d in (-wide, wide)]
+    sketch = usable.groupBy(*keys).agg(F.count(F.lit(1)).alias("__total"), F.percentile_approx(value, marks, accuracy).alias("__q"))
+    many = F.col("__total") > accuracy
+    at = lambda k: F.when(many, F.get("__q", k))
+    ends = [F.struct(F.lit(i).alias("i"), at(2 * i).alias("lo"), at(2 * i + 1).alias("hi")) for i in range(len(probs))]
+    return sketch.select(*keys, "__total", F.array(*ends).alias("__ends"))
+
+
+def _enclosed(usable: DataFrame, value: str, probs: Sequence[float], keys: list[str], accuracy: int) -> tuple[DataFrame, DataFrame]:
+    """Counted values inside each bracket (keys, __i, value, __n) and per bracket __total and __below, the rows under it.
+
+    Rows under a bracket are counted where they are read, rows above it are left out, so what is shuffled are
+    the sketches and the values of the brackets.
+    """
+    ends = settle(_brackets(usable, value, probs, keys, accuracy))
+    rows = usable.select(*keys, value)
+    rows = join_on_keys(rows, ends, keys) if keys else rows.withColumn("__e", ends.select(F.struct("__ends")).scalar()).withColumn("__ends", F.col("__e.__ends")).drop("__e")
+    v = F.col(value)
+    kinds = F.transform("__ends", lambda e: F.when(e["lo"].isNotNull() & (v < e["lo"]), F.struct(e["i"].alias("i"), F.lit(True).alias("under"))).when(
+        e["hi"].isNull() | (v <= e["hi"]), F.struct(e["i"].alias("i"), F.lit(False).alias("under"))
+    ))
+    cut = rows.select(*keys, value, F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("k"))
+    counted = cut.groupBy(*keys, F.col("k.i").alias("__i"), F.when(~F.col("k.under"), v).alias(value)).agg(F.count(F.lit(1)).alias("__n"))
+    counted = settle(counted)
+    under = counted.filter(F.col(value).isNull()).select(*keys, "__i", F.col("__n").alias("__below"))
+    every = ends.select(*keys, "__total", F.explode(F.sequence(F.lit(0), F.lit(len(probs) - 1))).alias("__i"))
+    placed = join_on_keys(every, under, [*keys, "__i"], "left").withColumn("__below", F.coalesce("__below", F.lit(0)))
+    return counted.filter(F.col(value).isNotNull()), placed
+
+
+def _ranks(probs: Sequence[float]) -> tuple[Column, Column, Column]:
+    """For a row with __i and __total: the place of its quantile among the sorted values, and the ranks around it."""
+    p = F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("__i"))
+    h = p * (F.col("__total") - 1)
+    return h, F.floor(h), F.ceil(h)
+
+
+def quantiles(df: DataFrame, value: str, probs: Sequence[float], by=None, accuracy: int = 2000) -> DataFrame:
+    """Exact interpolated quantiles: one row per key with columns ``n`` and ``q0..qk``.
+
+    Mergeable sketches enclose each wanted rank, a counting pass keeps only the values inside (about
+    ``8 / accuracy`` of the rows for each quantile), and these are counted, range-partitioned and looked up by
+    rank.  Partition totals tell which partitions hold the wanted ranks; only those are sorted, so neither the
+    driver nor one aggregation buffer holds the values of a key.  Should a sketch miss a rank, all values are
+    counted instead.
     """
     keys = _names(by)
     usable = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    counts = usable.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    ranged = counts.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys], F.col(value).asc())
+    inside, placed = _enclosed(usable, value, probs, keys, accuracy)
+    placed = settle(placed)
+    h, low, high = _ranks(probs)
+    held = inside.groupBy(*keys, "__i").agg(F.sum("__n").alias("__in"))
+    found = join_on_keys(placed, held, [*keys, "__i"], "left").withColumn("__in", F.coalesce("__in", F.lit(0)))
+    missed = found.filter((low < F.col("__below")) | (high >= F.col("__below") + F.col("__in")))
+    if missed.limit(1).count():
+        inside, placed = _enclosed(usable, value, probs, keys, 2**31 - 1)
+    return _pick(inside, placed, value, probs, keys)
+
+
+def _pick(inside: DataFrame, placed: DataFrame, value: str, probs: Sequence[float], keys: list[str]) -> DataFrame:
+    group = [*keys, "__i"]
+    ranged = inside.repartitionByRange(*[F.col(k).asc_nulls_first() for k in group], F.col(value).asc())
     ranged = settle(ranged.withColumn("__part", F.spark_partition_id()))
-    totals = ranged.groupBy(*keys, "__part").agg(F.sum("__n").alias("__size"))
-    w = Window.partitionBy(*keys)
-    upto = w.orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)
-    totals = totals.withColumn("__start", F.sum("__size").over(upto) - F.col("__size")).withColumn("__total", F.sum("__size").over(w))
-    ranks = [(F.floor(h), F.ceil(h)) for h in (F.lit(float(p)) * (F.col("__total") - 1) for p in probs)]
-    inside = F.lit(False)
-    for at in (r for pair in ranks for r in pair):
-        inside = inside | ((at >= F.col("__start")) & (at < F.col("__start") + F.col("__size")))
-    held = join_on_keys(ranged, totals.filter(inside).drop("__size"), [*keys, "__part"])
-    running = Window.partitionBy(*keys, "__part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    cum = held.withColumn("__cum", F.col("__start") + F.sum("__n").over(running))
-    aggs, picks = [], []
-    for i, (lo, hi) in enumerate(ranks):
-        for tag, at in (("lo", lo), ("hi", hi)):
-            holds = (at >= F.col("__cum") - F.col("__n")) & (at < F.col("__cum"))
-            aggs.append(F.max(F.when(holds, F.col(value).cast("double"))).alias(f"__{tag}{i}"))
-        h = F.lit(float(probs[i])) * (F.col("__total") - 1)
-        picks.append((F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * (h - F.floor(h))).alias(f"q{i}"))
-    found = cum.groupBy(*keys).agg(F.max("__total").alias("__total"), *aggs)
-    return found.select(*keys, F.col("__total").alias("n"), *picks)
+    totals = ranged.groupBy(*group, "__part").agg(F.sum("__n").alias("__size"))
+    upto = Window.partitionBy(*group).orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)
+    totals = totals.withColumn("__start", F.sum("__size").over(upto) - F.col("__size"))
+    totals = join_on_keys(totals, placed, group).withColumn("__start", F.col("__start") + F.col("__below"))
+    h, low, high = _ranks(probs)
+    within = lambda at: (at >= F.col("__start")) & (at < F.col("__start") + F.col("__size"))
+    parts = join_on_keys(ranged, totals.filter(within(low) | within(high)).drop("__size", "__below"), [*group, "__part"])
+    running = Window.partitionBy(*group, "__part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    cum = parts.withColumn("__cum", F.col("__start") + F.sum("__n").over(running))
+    holds = lambda at: F.max(F.when((at >= F.col("__cum") - F.col("__n")) & (at < F.col("__cum")), F.col(value).cast("double")))
+    ends = cum.groupBy(*group).agg(F.max("__total").alias("__total"), holds(low).alias("__lo"), holds(high).alias("__hi"))
+    one = ends.select(*group, "__total", (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * (h - F.floor(h))).alias("__q"))
+    picks = [F.max(F.when(F.col("__i") == i, F.col("__q"))).alias(f"q{i}") for i in range(len(probs))]
+    return one.groupBy(*keys).agg(F.max("__total").alias("n"), *picks)

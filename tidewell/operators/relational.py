@@ -9,16 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import spread
+from ..session import settle, spread
+from .multipattern import first_key
 from .ordered import _names, earliest, join_on_keys, with_position
 
 
 # -- projections and filters -------------------------------------------------------------
 
-#: First characters of a key on which it meets the texts that may hold it.
-PIECE = 12
-
-
 def select_as(df: DataFrame, aliases: Mapping[str, str]) -> DataFrame:
     return df.select(*[F.col(c).alias(a) for c, a in aliases.items()])
 
@@ -95,26 +92,16 @@ def guess_time_column(df: DataFrame) -> str | None:
 def contains_lookup(
     queries: DataFrame, id_col: str, text: str, entries: DataFrame, key: str, value: str, rank: str, default: str
 ) -> DataFrame:
-    """First entry (by ``rank``) whose key occurs in the text, case-insensitively; else ``default``.
+    """First entry (by ``rank``, then key) whose key occurs in the text, case-insensitively; else ``default``.
 
-    A key can only occur where its first characters do (``PIECE`` of them, all of a shorter key), so texts and
-    entries are joined on pieces of the lengths that occur, and the pairs found that way are verified.
+    One pass of an automaton over each text finds the keys, whatever their lengths.  Every row is looked up for
+    itself and keeps its columns; a null text, an empty key and a null rank find nothing.
     """
-    keys = entries.select(F.lower(key).alias("__k"), F.col(value).alias("__v"), F.col(rank).alias("__rank")).filter("__k <> ''")
-    keys = keys.withColumn("__piece", F.left("__k", F.lit(PIECE)))
-    lengths = sorted(r[0] for r in keys.select(F.length("__piece")).distinct().collect()) or [1]  # PIECE numbers at most
-    low = spread(queries.select(id_col, F.lower(text).alias("__low")))
-    cuts = [F.regexp_extract_all("__low", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]
-    found = F.array_distinct(F.concat(*cuts))
-    pieces = low.select(id_col, F.explode(found).alias("__piece")).join(keys, "__piece")
-    candidates = pieces.select(id_col, "__k", "__v", "__rank").distinct()
-    hits = (
-        low.join(candidates, id_col)
-        .filter(F.contains(F.col("__low"), F.col("__k")))
-        .groupBy(id_col)
-        .agg(F.min_by("__v", "__rank").alias("__v"))
-    )
-    out = queries.join(hits, id_col, "left")
+    keys = entries.select(F.lower(key).alias("__k"), F.col(value).alias("__v"), F.col(rank).alias("__rank"))
+    keys = settle(keys.groupBy("__k").agg(F.min_by("__v", "__rank").alias("__v"), F.min("__rank").alias("__rank")))
+    rows = spread(queries.withColumn("__low", F.lower(text)))
+    found = first_key(rows, "__low", keys, "__k", "__rank", "__found").drop("__low")
+    out = found.join(keys.select(F.col("__k").alias("__found"), "__v"), "__found", "left").drop("__found")
     return out.withColumn("answer", F.coalesce("__v", F.lit(default))).drop("__v")
 
 

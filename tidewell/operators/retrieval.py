@@ -7,19 +7,23 @@ query and task, not every (query, document) pair.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import strings as S
 from ..session import settle, spread
+from .multipattern import count_topk
 
-#: First characters of a word on which it meets the runs that may hold it.
-ANCHOR = 4
+#: Documents of a block of postings, and what rounding may take from a score.
+DOC_BLOCK, MARGIN = 64, 1e-8
 
 
 def _rank(scored: DataFrame, query: str, doc: str, k: int, score: str = "score") -> DataFrame:
@@ -42,24 +46,15 @@ def keyword_topk(
 ) -> DataFrame:
     """Documents by how often the query's words occur in them, also inside longer words.
 
-    A query word holds only letters and digits, so each occurrence lies within one run of such characters.
-    Runs are counted per document, in one pass over the texts.  Distinct runs meet the words on the words'
-    first characters and are verified, so the work grows with a run's length and not with its square.
+    One automaton pass counts the words of all queries in a text; scores are added up where the text is, and a
+    task hands on its ``k`` best documents per query.
     """
     words = queries.select(query, F.explode(S.tokens(text)).alias("term")).groupBy(query, "term").agg(F.count(F.lit(1)).alias("m"))
-    terms = words.select("term").distinct().withColumn("anchor", F.left("term", F.lit(ANCHOR)))
-    runs = spread(docs.select(doc, text)).select(doc, F.explode(S.tokens(text)).alias("run"))
-    runs = settle(runs.groupBy(doc, "run").agg(F.count(F.lit(1)).alias("tf")))
-    cuts = [F.regexp_extract_all("run", F.lit(f"(?=(.{{{n}}}))"), F.lit(1)) for n in range(2, ANCHOR + 1)]
-    vocab = runs.select("run").distinct().select("run", F.explode(F.array_distinct(F.concat(*cuts))).alias("anchor"))
-    times = (F.length("run") - F.length(F.replace("run", F.col("term"), F.lit("")))) / F.length("term")
-    inside = vocab.join(terms, "anchor").filter(F.contains("run", "term")).select("run", "term", times.alias("c"))
-    tf = runs.join(inside, "run").groupBy(doc, "term").agg(F.sum(F.col("tf") * F.col("c")).alias("tf"))
-    hits = tf.join(words, "term").groupBy(query, doc).agg(F.sum(F.col("tf") * F.col("m")).alias("score"))
-    return _best(hits, docs, queries, query, doc, k)
+    low = spread(docs.select(doc, F.lower(text).alias("low")))
+    return _best(count_topk(low, doc, "low", words, query, k), docs, queries, query, doc, k)
 
 
-def bm25_topk(
+def bm25_hits(
     docs: DataFrame,
     queries: DataFrame,
     k: int = 3,
@@ -70,9 +65,13 @@ def bm25_topk(
     query: str = "item_id",
     text: str = "text",
 ) -> DataFrame:
-    """Okapi ranking over blank-separated tokens; a negative idf becomes ``floor`` times the mean idf.
+    """Scored (query, document) pairs among which are the ``k`` best of every query.
 
-    Scores are compared at nine digits, so equal texts tie however their terms were added up.
+    Postings lie in blocks of about ``DOC_BLOCK`` documents, each with the peak that its term reaches there.
+    The best postings of single terms give each query a score that its k-th document has at least.  Terms that
+    cannot reach it even together (the common ones) open no block; the others open a block if their peaks there,
+    and what the common terms can add at most, reach it.  Only documents of open blocks are scored.  Queries
+    with a negative weight have no such bound and open every block of their terms.
     """
     toks = spread(docs.select(doc, text)).repartition(doc).select(doc, F.explode(S.blank_split(text)).alias("term"))
     tf = toks.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -80,18 +79,55 @@ def bm25_topk(
     tf = settle(tf.withColumn("dl", F.sum("tf").over(Window.partitionBy(doc))))
     total = docs.agg(F.count(F.lit(1)).cast("double").alias("n"))
     n = total.scalar()
-    avgdl = tf.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("all")).join(total).select(F.try_divide("all", "n")).scalar()
+    avgdl = tf.agg(F.coalesce(F.sum("tf"), F.lit(0)).cast("double").alias("all")).scalar() / n
     seen = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = seen.withColumn("__n", n).withColumn("idf", F.ln(F.col("__n") - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
+    idf = settle(idf.select("term", "idf"))
     mean_idf = idf.agg(F.avg("idf")).scalar()
     words = queries.select(query, F.explode(S.blank_split(text)).alias("term")).groupBy(query, "term").agg(F.count(F.lit(1)).alias("m"))
-    wanted = words.join(idf.select("term", "idf"), "term").withColumn("__mean", mean_idf)
+    wanted = words.join(idf, "term").withColumn("__mean", mean_idf)
     weight = F.when(F.col("idf") < 0, floor * F.col("__mean")).otherwise(F.col("idf")) * F.col("m")
-    wanted = wanted.select(query, "term", weight.alias("w"))
-    tf = tf.withColumn("__avgdl", avgdl)
+    wanted = settle(wanted.select(query, "term", weight.alias("w")))
     saturation = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("__avgdl")))
-    hits = tf.join(wanted, "term").groupBy(query, doc).agg(F.round(F.sum(F.col("w") * saturation), 9).alias("score"))
-    return _best(hits, docs, queries, query, doc, k)
+    block = F.pmod(F.xxhash64(doc), F.ceil(F.col("__n") / DOC_BLOCK))
+    postings = tf.withColumns({"__avgdl": avgdl, "__n": n}).select("term", block.alias("block"), doc, saturation.alias("reach"))
+    postings = settle(postings.join(wanted.select("term").distinct(), "term", "left_semi"))
+
+    peaks = settle(postings.groupBy("term", "block").agg(F.max("reach").alias("peak")))
+    # a score that the k-th document of a query has at least
+    best = _rank(postings, "term", doc, k, "reach").select("term", doc, "reach")
+    sums = wanted.filter("w > 0").join(best, "term").groupBy(query, doc).agg(F.sum(F.col("w") * F.col("reach")).alias("score"))
+    marks = _rank(sums, query, doc, k).groupBy(query).agg(F.min("score").alias("mark"), F.count(F.lit(1)).alias("have"))
+    signs = wanted.groupBy(query).agg(F.min("w").alias("least"))
+    marks = marks.join(signs, query).filter((F.col("have") == k) & (F.col("least") >= 0)).select(query, (F.col("mark") - MARGIN).alias("mark"))
+    # terms that can reach it, alone or with all weaker ones
+    ranked = wanted.join(peaks.groupBy("term").agg(F.max("peak").alias("top")), "term").withColumn("most", F.col("w") * F.col("top"))
+    upto = Window.partitionBy(query).orderBy("most", "term")
+    ranked = ranked.withColumn("weaker", F.sum("most").over(upto)).join(marks, query, "left")
+    ranked = settle(ranked.withColumn("opens", F.col("mark").isNull() | (F.col("weaker") >= F.col("mark"))))
+    rest = ranked.groupBy(query).agg(F.coalesce(F.sum(F.when(~F.col("opens"), F.col("most"))), F.lit(0.0)).alias("rest"))
+    opened = (
+        ranked.filter("opens")
+        .join(peaks, "term")
+        .groupBy(query, "block")
+        .agg(F.sum(F.col("w") * F.col("peak")).alias("bound"), F.max("mark").alias("mark"))
+        .join(rest, query)
+        .filter(F.col("mark").isNull() | (F.col("bound") + F.col("rest") >= F.col("mark")))
+        .select(query, "block")
+    )
+    pairs = opened.join(wanted, query).join(postings, ["term", "block"])
+    return pairs.groupBy(query, doc).agg(F.round(F.sum(F.col("w") * F.col("reach")), 9).alias("score"))
+
+
+def bm25_topk(
+    docs: DataFrame, queries: DataFrame, k: int = 3, k1: float = 1.5, b: float = 0.75, floor: float = 0.25,
+    doc: str = "doc_id", query: str = "item_id", text: str = "text",
+) -> DataFrame:
+    """Okapi ranking over blank-separated tokens; a negative idf becomes ``floor`` times the mean idf.
+
+    Scores are compared at nine digits, so equal texts tie however their terms were added up.
+    """
+    return _best(bm25_hits(docs, queries, k, k1, b, floor, doc, query, text), docs, queries, query, doc, k)
 
 
 # -- vectors -----------------------------------------------------------------------------
@@ -99,13 +135,14 @@ def bm25_topk(
 
 def knn_blocks(
     queries: DataFrame, vecs: DataFrame, k: int, metric: str, id_col: str, vec: str, query: str, query_vec: str,
-    by: str | None = None, skip_self: bool = False, block: int = 2048,
+    by: str | None = None, skip_self: bool = False, block: int = 2048, repeated: bool = False,
 ) -> DataFrame:
     """Exact nearest vectors of queries, inside the same ``by`` value if given.
 
     Both sides are dealt by a hash of their ids into blocks of about ``block`` rows and every two blocks meet
     in one task, which hands on the best ``k`` per query.  A large group is more blocks, never a larger task.
-    Null vectors are nobody's neighbours and have none.
+    Null vectors are nobody's neighbours and have none.  ``repeated`` counts a pair once that meets under several
+    ``by`` values.
     """
     keys = [by] if by else []
 
@@ -134,31 +171,116 @@ def knn_blocks(
         if left.empty or right.empty:
             return empty
         m = np.stack(right["__v"].to_numpy()).astype(np.float64)
-        ids = right["__vid"].to_numpy()
-        norms = np.maximum(np.linalg.norm(m, axis=1), 1e-300)
-        names, found, far = [], [], []
-        for name, one in zip(left["__qid"], left["__q"]):
-            one = np.asarray(one, dtype=np.float64)
-            if metric == "cosine":
-                d = 1.0 - (m @ one) / (norms * max(np.linalg.norm(one), 1e-300))
-            else:
-                d = np.sqrt(((m - one) ** 2).sum(axis=1))
-            use = np.flatnonzero(ids != name) if skip_self else np.arange(len(ids))
-            if len(use) > k:  # all that are as near as the k-th, then ties by id
-                use = use[d[use] <= np.partition(d[use], k - 1)[k - 1]]
-            near = use[np.lexsort((ids[use], d[use]))[:k]]
-            names += [name] * len(near)
-            found.append(ids[near])
-            far.append(d[near])
-        plain = lambda values: pd.Series(values, dtype=object)
-        return pd.DataFrame({query: plain(names), id_col: plain(list(np.concatenate(found))), "distance": np.concatenate(far)})
+        a = np.stack(left["__q"].to_numpy()).astype(np.float64)
+        ids, names = right["__vid"].to_numpy(), left["__qid"].to_numpy()
+        if metric == "cosine":
+            unit = lambda x: x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+            rough = 1.0 - unit(a) @ unit(m).T
+            slack = np.full(len(a), 1e-9)
+        else:
+            square, other = (a**2).sum(axis=1), (m**2).sum(axis=1)
+            rough = square[:, None] + other[None, :] - 2.0 * (a @ m.T)
+            slack = 1e-9 * (square + other.max())
+        rough[np.isnan(rough)] = np.inf
+        if skip_self:
+            rough[names[:, None] == ids[None, :]] = np.inf
+        # one matrix product finds all that may be among the k nearest; their distances are then taken exactly
+        most = min(k, rough.shape[1]) - 1
+        edge = np.partition(rough, most, axis=1)[:, most] + slack
+        row, col = np.nonzero((rough <= edge[:, None]) & (rough < np.inf))
+        far = np.concatenate([np.zeros(0), *(between(a[row[at : at + 8192]], m[col[at : at + 8192]]) for at in range(0, len(row), 8192))])
+        order = np.lexsort((ids[col], far, row)) if ids.dtype != object else sorted(range(len(row)), key=lambda x: (row[x], far[x], ids[col[x]]))
+        row, col, far = row[order], col[order], far[order]
+        near = np.arange(len(row)) - np.searchsorted(row, row) < k
+        plain = lambda values: pd.Series(list(values), dtype=object)
+        return pd.DataFrame({query: plain(names[row[near]]), id_col: plain(ids[col[near]]), "distance": far[near]})
+
+    def between(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        if metric == "cosine":
+            size = np.maximum(np.linalg.norm(a, axis=1), 1e-300) * np.maximum(np.linalg.norm(b, axis=1), 1e-300)
+            return 1.0 - (a * b).sum(axis=1) / size
+        return np.sqrt(((a - b) ** 2).sum(axis=1))
 
     left, right = meet(q, v, "__qb", "__vb"), meet(v, q, "__vb", "__qb")
     near = left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(nearest, schema)
+    if repeated:
+        near = near.groupBy(query, id_col).agg(F.min("distance").alias("distance"))
     w = Window.partitionBy(query).orderBy("distance", id_col)
     return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+@dataclass(frozen=True)
+class Probing:
+    """Approximate search: hash tables, vectors of a bucket, buckets that a query visits in each table."""
+
+    tables: int = 8
+    bucket: int = 256
+    probes: int = 8
+    seed: int = 7
+
+
+def _bucketed(df: DataFrame, id_col: str, vec: str, bits: int, how: Probing, center: np.ndarray, probes: int) -> DataFrame:
+    """id, vector and ``__cell``, a row for each bucket that a vector lies in or, with ``probes``, that it visits.
+
+    A bucket is the signs of ``bits`` random projections of the centred vector.  Further buckets flip the one or
+    two signs that the vector is nearest to changing.
+    """
+    kind = df.schema[id_col]
+    schema = T.StructType([kind, T.StructField("__vector", T.ArrayType(T.DoubleType())), T.StructField("__cell", T.LongType())])
+
+    def deal(batches):
+        rng = np.random.default_rng(how.seed)
+        planes = rng.normal(size=(how.tables, len(center), bits))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
+            rows, cells = [], []
+            for table in range(how.tables):
+                side = (x - center) @ planes[table]
+                code = (side > 0) @ (1 << np.arange(bits))
+                flips, cost = [np.zeros(len(x), np.int64)], [np.zeros(len(x))]
+                if probes > 1:
+                    order = np.argsort(np.abs(side), axis=1)[:, : min(bits, probes)]
+                    margin = np.take_along_axis(np.abs(side), order, 1)
+                    for i in range(order.shape[1]):
+                        flips.append(1 << order[:, i])
+                        cost.append(margin[:, i])
+                        for j in range(i):
+                            flips.append((1 << order[:, i]) | (1 << order[:, j]))
+                            cost.append(margin[:, i] + margin[:, j])
+                visit = np.argsort(np.stack(cost, axis=1), axis=1, kind="stable")[:, :probes]
+                chosen = np.take_along_axis(np.stack(flips, axis=1), visit, 1)
+                rows.append(np.repeat(np.arange(len(x)), chosen.shape[1]))
+                cells.append(((table << bits) | (code[:, None] ^ chosen)).ravel())
+            at = pa.array(np.concatenate(rows))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(cells).astype(np.int64))], [kind.name, "__vector", "__cell"]
+            )
+
+    slim = df.filter(F.col(vec).isNotNull()).select(id_col, F.col(vec).cast("array<double>").alias("__vector"))
+    return slim.mapInArrow(deal, schema)
+
+
+def knn_probes(
+    queries: DataFrame, vecs: DataFrame, k: int, metric: str, id_col: str, vec: str, query: str, query_vec: str, how: Probing = Probing()
+) -> DataFrame:
+    """Nearest vectors among those that share a visited bucket with the query; distances are exact, the list may miss some.
+
+    The number of signs follows from the number of vectors, so a bucket holds about ``how.bucket`` of them and a
+    query meets a bounded number of vectors.  A crowded bucket is cut into blocks as in the exact search.
+    """
+    n = vecs.filter(F.col(vec).isNotNull()).count()
+    bits = max(1, min(40, math.ceil(math.log2(max(1, n / how.bucket)))))
+    means = vecs.select(F.posexplode(vec).alias("i", "v")).groupBy("i").agg(F.avg(F.col("v").cast("double")).alias("m")).orderBy("i").collect()
+    if not means:
+        return knn_blocks(queries, vecs, k, metric, id_col, vec, query, query_vec)
+    center = np.array([r["m"] for r in means])  # one number for each dimension
+    v = _bucketed(vecs, id_col, vec, bits, how, center, 1)
+    q = _bucketed(queries, query, query_vec, bits, how, center, how.probes).withColumnRenamed("__vector", "__qvector")
+    return knn_blocks(q, v, k, metric, id_col, "__vector", query, "__qvector", "__cell", repeated=True)
+
+
 def vector_topk(
     vecs: DataFrame,
     queries: DataFrame,
@@ -168,8 +290,14 @@ def vector_topk(
     vec: str = "embedding",
     query: str = "query_id",
     query_vec: str = "query_vec",
+    probing: Probing | None = None,
 ) -> DataFrame:
-    """Exact nearest vectors per query by ``l2`` or ``cosine`` distance, ties by id; null vectors take no part."""
+    """Nearest vectors per query by ``l2`` or ``cosine`` distance, ties by id; null vectors take no part.
+
+    Exact by default: every query meets every vector.  With ``probing`` a query meets the buckets it visits.
+    """
+    if probing:
+        return knn_probes(queries, vecs, k, metric, id_col, vec, query, query_vec, probing)
     return knn_blocks(queries, vecs, k, metric, id_col, vec, query, query_vec)
 
 

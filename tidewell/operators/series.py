@@ -187,6 +187,11 @@ def _attach(df: DataFrame, params: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("__p", params.select(F.struct(*params.columns)).scalar()).select("*", "__p.*").drop("__p")
 
 
+def _attach_left(df: DataFrame, params: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Parameters beside the rows of their key; rows of other keys keep nulls."""
+    return join_on_keys(df, params, keys, "left") if keys else _attach(df, params, keys)
+
+
 def scale(df: DataFrame, params: DataFrame, value: str, by=None, name: str = "scaled") -> DataFrame:
     out = _attach(df, params, _names(by))
     return out.withColumn(name, F.col(value) * F.col("scale") + F.col("offset")).drop("scale", "offset")
@@ -317,30 +322,46 @@ def moving_average(x: Column) -> Column:
     return F.try_divide(F.aggregate(known, F.lit(0.0), lambda a, v: a + v), F.size(known))
 
 
+def lag_linear(x: Column) -> Column:
+    """Constant and lags weighted by the column ``weights`` that the scored rows carry; null where a lag is null."""
+    weights = F.col("weights")
+    terms = F.zip_with(x, F.slice(weights, 2, F.size(weights) - 1), lambda a, w: a * w)
+    return F.aggregate(terms, F.get(weights, 0), lambda total, t: total + t)
+
+
 def one_step_score(
-    df: DataFrame, value: str, order_by, by, seq_len: int, scorer: Scorer = moving_average, size: int = RUN
+    df: DataFrame, value: str, order_by, by, seq_len: int, scorer: Scorer = moving_average, size: int = RUN, params: DataFrame | None = None
 ) -> DataFrame:
     """Predict each row from the ``seq_len`` before it; the first rows take their actual value.
 
-    The moving average leaves out nulls; where a window holds no value the actual one is taken.
+    ``params`` holds what the scorer needs of each key (for ``lag_linear`` its weights) and meets the finished
+    windows.  The moving average leaves out nulls; where there is no prediction the actual value is taken.
     """
     keys = _names(by)
     made = neighbours(
         with_position(df, order_by, keys), keys, "rn",
         lambda w: {"__x": F.collect_list(F.struct(F.col(value).alias("v"))).over(w.rowsBetween(-seq_len, -1))["v"]}, before=seq_len, size=size,
     )
+    extra = [c for c in params.columns if c not in keys] if params is not None else []
+    made = _attach_left(made, params, keys) if extra else made
     pred = F.when(F.size("__x") == seq_len, scorer(F.col("__x")))
-    out = made.withColumn("predicted", F.coalesce(pred, F.col(value))).drop("__x")
+    out = made.withColumn("predicted", F.coalesce(pred, F.col(value))).drop("__x", *extra)
     return out.withColumn("error", F.col(value) - F.col("predicted"))
 
 
-def multi_step(df: DataFrame, value: str, order_by: Sequence[str], by, seq_len: int, n_steps: int, scorer: Scorer = moving_average):
-    """Forecast ``n_steps`` ahead per key, feeding each prediction back.  Only the last ``seq_len`` rows are used."""
+def multi_step(
+    df: DataFrame, value: str, order_by: Sequence[str], by, seq_len: int, n_steps: int, scorer: Scorer = moving_average, params: DataFrame | None = None
+) -> DataFrame:
+    """Forecast ``n_steps`` ahead per key, feeding each prediction back.  Only the last ``seq_len`` rows are used.
+
+    ``params`` as in ``one_step_score``.
+    """
     keys = _names(by)
     w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order_by])
     tail = df.withColumn("__back", F.row_number().over(w)).filter(F.col("__back") <= seq_len)
     seeds = tail.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(-F.col("__back"), F.col(value).alias("v")))).alias("__s"))
     seeds = seeds.filter(F.size("__s") == seq_len).withColumn("__s", F.col("__s.v"))
+    seeds = seeds if params is None else _attach_left(seeds, params, keys)
     grow = lambda acc, _: F.concat(acc, F.array(scorer(F.slice(acc, -seq_len, seq_len))))
     run = F.slice(F.aggregate(F.sequence(F.lit(1), F.lit(n_steps)), F.col("__s"), grow), seq_len + 1, n_steps)
     return seeds.select(*keys, F.posexplode(run).alias("step", "predicted")).withColumn("step", F.col("step") + 1)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import types
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +60,41 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def open_store(uri: str):
+    """File system and path of a folder for tasks that read or write files; a plain path is a mounted folder."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
+
+
+def read_folder(uri: str):
+    """All rows of a folder of Parquet files as an Arrow table, for tasks that need a small table whole."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    store, base = open_store(uri)
+    found = store.get_file_info(fs.FileSelector(base, allow_not_found=True))
+    parts = []
+    for name in sorted(f.path for f in found if f.path.endswith(".parquet")):
+        with store.open_input_file(name) as source:
+            parts.append(pq.ParquetFile(source).read())
+    return pa.concat_tables(parts) if parts else pa.table({})
+
+
+def kept_in_worker(key: str, make, most: int = 8):
+    """What ``make`` gives, kept for the later tasks of a Python worker; at most ``most`` things are kept.
+
+    They are held by an entry of sys.modules, as the names of code that is sent by value are new in every task.
+    """
+    held = sys.modules.setdefault("_tidewell_kept", types.ModuleType("_tidewell_kept")).__dict__.setdefault("held", {})
+    if key not in held:
+        while len(held) >= most:
+            held.pop(next(iter(held)))
+        held[key] = make()
+    return held[key]
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
