@@ -14,10 +14,12 @@ from tidewell.session import settle
 
 LETTERS = r"A-Za-zÀ-ÿ"
 LEAST_LETTERS, LEAST_COUNT, RATIO = 7, 2, 10
-#: A letter's group is its code point modulo ``GROUPS``; groups are dealt to ``PARTS`` parts in turn.
-GROUPS, PARTS = 18, 3
-#: Words of a block that meet in one task, letters compared as arrays, candidate pairs compared at a time.
-BLOCK, WIDE, PAIRS = 16_384, 48, 1 << 16
+# Fixed value: letters by how common they are in English.  Each is a group of its own; other characters go to
+# four more groups by code point.  Groups are dealt to ``PARTS`` parts in turn, so that parts tell words apart alike.
+COMMON = "etaoinsrhldcumfpgwybvkxjqz"
+GROUPS, PARTS = 30, 3
+#: Words of a block that meet in one task, letters compared as arrays, pairs of a trie node that are compared at once.
+BLOCK, WIDE, PAIRS = 8_192, 48, 1 << 15
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -49,11 +51,20 @@ def count_words(
 def letter_counts(words: list[str]) -> np.ndarray:
     """A row per word: how many letters it has of each group."""
     sizes = np.array([len(w) for w in words], np.int64)
-    letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32) % GROUPS
-    cells = np.repeat(np.arange(len(words)), sizes) * GROUPS + letters
+    letters = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    known = np.arange(128) % (GROUPS - len(COMMON)) + len(COMMON)
+    known[[ord(c) for c in COMMON]] = np.arange(len(COMMON))
+    groups = np.where(letters < 128, known[np.minimum(letters, 127)], letters % (GROUPS - len(COMMON)) + len(COMMON))
+    cells = np.repeat(np.arange(len(words)), sizes) * GROUPS + groups
     return np.bincount(cells, minlength=len(words) * GROUPS).reshape(len(words), GROUPS).astype(np.int32)
 
 
+def signature(counts: np.ndarray) -> np.ndarray:
+    """Two bits for each group, set for counts of 1 and of 2 or more: two words differ in no more bits than in letters."""
+    bits = np.uint64(1) << np.arange(2 * GROUPS, dtype=np.uint64)
+    return ((counts >= 1) * bits[:GROUPS]).sum(axis=1, dtype=np.uint64) | ((counts >= 2) * bits[GROUPS:]).sum(axis=1, dtype=np.uint64)
+
+
 def one_edit(a: str, b: str) -> bool:
     """Whether exactly one inserted, deleted or replaced code point leads from one word to the other."""
     if len(a) > len(b):
@@ -78,6 +89,7 @@ class VariantTrie:
         order = np.lexsort(counts[:, levels[::-1]].T)
         self.words = [words[k] for k in order]
         self.place = order
+        self.bits = signature(counts[order])
         self.counts = np.ascontiguousarray(counts[order][:, levels])
         # parts before this one come first among the levels
         self.earlier = [slice(p * (GROUPS // PARTS), (p + 1) * (GROUPS // PARTS)) for p in range(part)]
@@ -95,16 +107,15 @@ class VariantTrie:
         """
         n, depth = len(self.words), self.counts.shape[1]
         todo = [(0, 0, n, np.arange(n), np.zeros(n, np.int8))]
-        held_a, held_b, held = [], [], 0
         while todo:
             level, low, high, who, spent = todo.pop()
-            if level == depth or len(who) * (high - low) <= PAIRS // 16:
-                held_a.append(np.repeat(who, high - low))
-                held_b.append(np.tile(np.arange(low, high), len(who)))
-                held += len(held_a[-1])
-                if held >= PAIRS:
-                    yield from self._near(np.concatenate(held_a), np.concatenate(held_b))
-                    held_a, held_b, held = [], [], 0
+            if level == depth or len(who) * (high - low) <= PAIRS:
+                step = max(1, 8 * PAIRS // (high - low))
+                for at in range(0, len(who), step):
+                    some = who[at : at + step]
+                    close = np.bitwise_count(self.bits[some][:, None] ^ self.bits[low:high][None, :]) <= 2
+                    x, y = np.nonzero(close)
+                    yield from self._near(some[x], low + y)
                 continue
             column = self.counts[low:high, level]
             edges = np.concatenate([[0], np.flatnonzero(np.diff(column)) + 1, [high - low]])
@@ -114,12 +125,10 @@ class VariantTrie:
                 go = (more == 0) | ((more == 1) & (spent == 0)) | ((more == -1) & (spent == 1))
                 if go.any():
                     todo.append((level + 1, low + start, low + end, who[go], spent[go] + (more[go] != 0)))
-        if held:
-            yield from self._near(np.concatenate(held_a), np.concatenate(held_b))
 
     def _near(self, a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for at in range(0, len(a), PAIRS):
-            x, y = a[at : at + PAIRS], b[at : at + PAIRS]
+        for at in range(0, len(a), 2 * PAIRS):
+            x, y = a[at : at + 2 * PAIRS], b[at : at + 2 * PAIRS]
             longer = self.size[y] - self.size[x]
             fits = (longer == 1) | ((longer == 0) & (x != y))
             x, y = x[fits], y[fits]
@@ -177,7 +186,9 @@ def near_words(counts: DataFrame, block: int = BLOCK) -> DataFrame:
         column = table.column("word").combine_chunks()
         return pa.table({"word": column.take(pa.array(x)), "near": column.take(pa.array(y)), "near_n": pa.array(near_n, pa.int64())})
 
-    return dealt.groupBy("cell", "i", "j").applyInArrow(search, "word string, near string, near_n long")
+    # by block and not by cell alone, and in as many tasks as shuffles have: the work is more than the bytes
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return dealt.repartition(tasks, "cell", "i", "j").groupBy("cell", "i", "j").applyInArrow(search, "word string, near string, near_n long")
 
 
 def _cells(batches):
