@@ -152,7 +152,11 @@ class VariantTrie:
 
 
 def near_words(counts: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Columns word, near, near_n: words one edit apart, both ways, of a table of distinct words and counts.
+    """Columns word, n_near, near, near_n: how many words are one edit apart, and the most frequent of these.
+
+    Rows of a word come from several tasks, each with its own share of the near words: their n_near add up, and
+    the largest near_n (of equals the smallest near) is the first.  Each pair is met in one task only, and a task
+    hands on a row for each word, whatever the number of pairs.
 
     One edit changes two letter-group counts at most, so of three parts of the groups one agrees.  Words meet
     by part and counts of that part; the other two parts are the levels of a trie which is searched with a
@@ -170,25 +174,28 @@ def near_words(counts: DataFrame, block: int = BLOCK) -> DataFrame:
     dealt = dealt.select("cell", "word", "n", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
 
     def search(table: pa.Table) -> pa.Table:
-        out = [[], [], []]
         words, n, mine = table.column("word").to_pylist(), table.column("n").to_numpy(), table.column("mine").to_numpy()
         part, apart = table.column("cell")[0].as_py()[0], table.column("i")[0].as_py() != table.column("j")[0].as_py()
-        if len(words) > 1:
-            for a, b in VariantTrie(words, part).pairs():
-                if apart:
-                    keep = mine[a] != mine[b]
-                    a, b = a[keep], b[keep]
-                for x, y in ((a, b), (b, a)):
-                    out[0].append(x)
-                    out[1].append(y)
-                    out[2].append(n[y])
-        x, y, near_n = (np.concatenate([np.zeros(0, np.int64), *c]) for c in out)
+        order = sorted(range(len(words)), key=lambda k: (-n[k], words[k]))
+        place = np.empty(len(words), np.int64)
+        place[order] = np.arange(len(words))
+        near, best = np.zeros(len(words), np.int64), np.full(len(words), len(words))
+        for a, b in VariantTrie(words, part).pairs() if len(words) > 1 else ():
+            if apart:
+                keep = mine[a] != mine[b]
+                a, b = a[keep], b[keep]
+            for x, y in ((a, b), (b, a)):
+                near += np.bincount(x, minlength=len(words))
+                np.minimum.at(best, x, place[y])
+        at = np.flatnonzero(near)
+        first = np.array(order, np.int64)[best[at]]
         column = table.column("word").combine_chunks()
-        return pa.table({"word": column.take(pa.array(x)), "near": column.take(pa.array(y)), "near_n": pa.array(near_n, pa.int64())})
+        taken = {"word": column.take(pa.array(at)), "n_near": pa.array(near[at]), "near": column.take(pa.array(first)), "near_n": pa.array(n[first])}
+        return pa.table(taken)
 
     # by block and not by cell alone, and in as many tasks as shuffles have: the work is more than the bytes
     tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return dealt.repartition(tasks, "cell", "i", "j").groupBy("cell", "i", "j").applyInArrow(search, "word string, near string, near_n long")
+    return dealt.repartition(tasks, "cell", "i", "j").groupBy("cell", "i", "j").applyInArrow(search, "word string, n_near long, near string, near_n long")
 
 
 def _cells(batches):
@@ -211,7 +218,7 @@ def group_variants(counts: DataFrame, ratio: int = RATIO, block: int = BLOCK) ->
     """
     words = settle(counts.where("word is not null"))
     near = near_words(words, block).groupBy("word").agg(
-        F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near").alias("near"))).alias("first")
+        F.sum("n_near").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near").alias("near"))).alias("first")
     )
     joined = words.join(near, "word", "left")
     likely = -F.col("first.less") >= ratio * F.col("n")
