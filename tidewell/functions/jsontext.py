@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import Column
@@ -13,6 +14,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _parsed(doc: Column, test: Callable[[Column], Column]) -> Column:
+    """What ``test`` says of the parsed document, which is parsed once however often the test uses it."""
+    return F.get(F.transform(F.array(F.try_parse_json(doc)), test), F.lit(0))
+
+
 def _member(v: Column, key: str) -> Column:
     return F.try_variant_get(v, "$['" + key.replace("'", "\\'") + "']", "variant")
 
@@ -48,7 +54,7 @@ def json_contains(c, literal: dict | list | str) -> Column:
     """True when the document holds every path of ``literal``; NULL for a NULL document."""
     doc = _col(c)
     wanted = json.loads(literal) if isinstance(literal, str) else literal
-    return F.when(doc.isNotNull(), F.coalesce(_holds(F.try_parse_json(doc), wanted), F.lit(False)))
+    return F.when(doc.isNotNull(), F.coalesce(_parsed(doc, lambda v: _holds(v, wanted)), F.lit(False)))
 
 
 def json_text(c, key: str) -> Column:
@@ -59,12 +65,9 @@ def json_text(c, key: str) -> Column:
 def json_has_key(c, key: str) -> Column:
     """Top-level member exists, or a top-level array holds the string."""
     doc = _col(c)
-    v = F.try_parse_json(doc)
-    items = F.try_variant_get(v, "$", "array<variant>")
-    in_array = F.exists(
-        items, lambda x: (F.schema_of_variant(x) == "STRING") & (F.try_variant_get(x, "$", "string") == key)
+    holds = lambda x: (F.schema_of_variant(x) == "STRING") & (F.try_variant_get(x, "$", "string") == key)
+    in_array = _parsed(
+        doc, lambda v: F.when(F.schema_of_variant(v).startswith("ARRAY"), F.exists(F.try_variant_get(v, "$", "array<variant>"), holds))
     )
     in_object = F.array_contains(F.json_object_keys(doc), key)
-    return F.when(
-        doc.isNotNull(), F.coalesce(F.when(F.schema_of_variant(v).startswith("ARRAY"), in_array), in_object, F.lit(False))
-    )
+    return F.when(doc.isNotNull(), F.coalesce(in_array, in_object, F.lit(False)))

@@ -32,6 +32,18 @@ def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def distinct_sketches(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), bits: int = 14) -> DataFrame:
+    """A mergeable sketch of each column's distinct values, per ``by``: store it, and merge instead of counting again."""
+    long = df.select(*by, *[F.col(c).cast("string").alias(c) for c in cols]).unpivot(list(by), list(cols), "column_name", "value")
+    return long.groupBy(*by, "column_name").agg(F.hll_sketch_agg("value", F.lit(bits)).alias("sketch"))
+
+
+def merge_sketches(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Approximate number of distinct values per ``by`` and column from stored sketches (about 0.8 % error at 14 bits)."""
+    merged = sketches.groupBy(*by, "column_name").agg(F.hll_union_agg("sketch").alias("sketch"))
+    return merged.select(*by, "column_name", F.hll_sketch_estimate("sketch").alias("n_distinct"))
+
+
 def numeric_summary(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """count, mean, sample std, min, max and missing rate of each column in one pass."""
     aggs = []

@@ -5,10 +5,13 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -71,21 +74,34 @@ def task_of(df: DataFrame, target: str) -> str:
 
 @dataclass(frozen=True)
 class ModelSize:
-    """Trees and depth of forests, rounds and depth of boosted trees; raise them where time allows."""
+    """Trees and depth of forests (Spark grows 30 levels at most), rounds and depth of boosted trees.
 
-    trees: int = 20
-    depth: int = 6
-    rounds: int = 10
+    ``balanced`` weighs the rows of a class by the inverse of its share, except in the perceptron, which takes no weights.
+    """
+
+    trees: int = 300
+    depth: int = 30
+    rounds: int = 20
     boost_depth: int = 4
+    balanced: bool = True
+
+
+def balance(train: DataFrame, label: str, name: str = "weight") -> DataFrame:
+    """Adds the weight of each row's class: rows / (classes * rows of the class)."""
+    counts = train.groupBy(F.col(label).alias("__class")).agg(F.count(F.lit(1)).alias("__n"))
+    total = counts.agg(F.struct(F.sum("__n").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
+    share = counts.withColumn("__all", total).select("__class", (F.col("__all.n") / (F.col("__all.k") * F.col("__n"))).alias(name))
+    return train.join(share, F.col(label) == F.col("__class")).drop("__class")
 
 
 def _classifiers(n_features: int, n_classes: int, seed: int, size: ModelSize) -> dict:
+    weight = {"weightCol": "weight"} if size.balanced else {}
     out = {
-        "logistic": LogisticRegression(maxIter=30),
-        "random_forest": RandomForestClassifier(numTrees=size.trees, maxDepth=size.depth, seed=seed),
+        "logistic": LogisticRegression(maxIter=30, **weight),
+        "random_forest": RandomForestClassifier(numTrees=size.trees, maxDepth=size.depth, seed=seed, **weight),
     }
     if n_classes == 2:
-        out["gradient_boosting"] = GBTClassifier(maxIter=size.rounds, maxDepth=size.boost_depth, seed=seed)
+        out["gradient_boosting"] = GBTClassifier(maxIter=size.rounds, maxDepth=size.boost_depth, seed=seed, **weight)
     out["perceptron"] = MultilayerPerceptronClassifier(layers=[n_features, 8, n_classes], maxIter=50, seed=seed)
     return out
 
@@ -98,6 +114,12 @@ def _regressors(seed: int, size: ModelSize) -> dict:
     }
 
 
+def side_by_side(work, items: Sequence, at_once: int = 4) -> list:
+    """What ``work`` gives for each item, ``at_once`` of them running as Spark jobs beside each other."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return list(pool.map(inheritable_thread_target(SparkSession.active())(work), items))
+
+
 def _report(spark: SparkSession, rows: list[tuple[str, str, float]]) -> DataFrame:
     return spark.createDataFrame(rows, "model string, metric string, value double")
 
@@ -145,33 +167,34 @@ def supervised_report(
     data = assemble(parts, features, [id_col, "label", "part"], fit_medians(parts.filter("part = 'train'"), features))
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(data.filter("part = 'train'"))
     data = scaler.transform(data).drop("features").withColumnRenamed("scaled", "features")
-    train, test = data.filter("part = 'train'").persist(), data.filter("part = 'test'")
+    train, test = data.filter("part = 'train'"), data.filter("part = 'test'")
+    train = (balance(train, "label") if task == "classification" else train).persist()
     every = _classifiers(len(features), n_classes, seed, size) if task == "classification" else _regressors(seed, size)
     out: list[tuple[str, str, float]] = []
-    for name, model in every.items():
-        if models and name not in models:
-            continue
-        scored = model.fit(train).transform(test)
+
+    def judge(name: str) -> list[tuple[str, str, float]]:
+        scored = every[name].fit(train).transform(test)
         if task == "regression":
             r = regression_report(scored, "label", "prediction").first()
-            out += [(name, m, r[m]) for m in ("r2", "mae", "rmse")]
-            continue
+            return [(name, m, r[m]) for m in ("r2", "mae", "rmse")]
         if n_classes > 2:
             scored = settle(scored.select("label", "prediction"))
-            out.append((name, "accuracy", scored.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]))
-            out.append((name, "f1", class_report(scored, "label", "prediction").agg(F.avg("f1")).first()[0]))
-            continue
+            accuracy = scored.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+            return [(name, "accuracy", accuracy), (name, "f1", class_report(scored, "label", "prediction").agg(F.avg("f1")).first()[0])]
         scored = settle(scored.select("label", "prediction", vector_to_array("probability")[1].alias("p")))
-        out += [(name, m, v) for m, v in _binary_metrics(scored).items()]
         ranked = ranking_metrics(scored, "label", "p").first()
-        out += [(name, m, ranked[m]) for m in ("roc_auc", "avg_precision")]
+        return [*((name, m, v) for m, v in _binary_metrics(scored).items()), *((name, m, ranked[m]) for m in ("roc_auc", "avg_precision"))]
+
+    for rows_of in side_by_side(judge, [name for name in every if not models or name in models]):
+        out += rows_of
     train.unpersist()
     return _report(spark, out)
 
 
 def model_select(
-    df: DataFrame, id_col: str, features: Sequence[str], label: str, grid: dict[str, Sequence], k: int = 5, seed: int = 42, draws: int | None = None
-) -> DataFrame:
+    df: DataFrame, id_col: str, features: Sequence[str], label: str, grid: dict[str, Sequence], k: int = 5, seed: int = 42, draws: int | None = None,
+    at_once: int = 4,
+) -> DataFrame:
     """Cross-validated F1 of class 1 for every forest setting of ``grid``, or for ``draws`` of them, best first."""
     spark = df.sparkSession
     base = settle(df.select(id_col, *features, F.col(label).cast("double").alias("label")))
@@ -185,7 +208,7 @@ def model_select(
     if draws is not None and draws < len(settings):
         settings = random.Random(seed).sample(settings, draws)
     judge = MulticlassClassificationEvaluator(metricName="fMeasureByLabel", metricLabel=1.0)
-    cv = CrossValidator(estimator=forest, estimatorParamMaps=settings, evaluator=judge, numFolds=k, foldCol="fold", parallelism=4)
+    cv = CrossValidator(estimator=forest, estimatorParamMaps=settings, evaluator=judge, numFolds=k, foldCol="fold", parallelism=at_once)
     scores = cv.fit(data).avgMetrics
     text = [", ".join(f"{p.name}={v}" for p, v in sorted(s.items(), key=lambda x: x[0].name)) for s in settings]
     ranked = sorted(zip(text, scores), key=lambda x: (-x[1], x[0]))
@@ -207,16 +230,17 @@ def importance_prune(
 
 def oof_scores(
     df: DataFrame, id_col: str, features: Sequence[str], label: str, k: int = 5, n_models: int = 2, seed: int = 42, oversample: bool = False,
-    trees: int = 10, depth: int = 5,
+    trees: int = 10, depth: int = 5, at_once: int = 4,
 ) -> DataFrame:
     """Mean held-out probability per row from ``n_models`` bagged forests per fold.
 
-    ``oversample`` adds synthetic minority rows to the training part of each fold.
+    ``oversample`` adds synthetic minority rows to the training part of each fold.  Folds are prepared and models
+    fitted ``at_once`` beside each other; every draw depends on its own seed, so the order makes no difference.
     """
     base = settle(df.select(id_col, *features, F.col(label).cast("double").alias("label")))
     data = settle(stratified_folds(base, id_col, "label", k, seed))
-    out = None
-    for fold in range(1, k + 1):
+
+    def prepare(fold: int) -> tuple[DataFrame, DataFrame, DataFrame]:
         train = data.filter(F.col("fold") != fold - 1).drop("fold")
         medians = settle(fit_medians(train, features))
         held = assemble(data.filter(F.col("fold") == fold - 1), features, [id_col, "label"], medians)
@@ -224,13 +248,20 @@ def oof_scores(
             packed = train.select(F.col(id_col).cast("string").alias("row_id"), "label", F.array(*features).alias("x"))
             train = settle(smote(packed, "row_id", "label", "x", seed=seed))
             train = train.select(F.col("row_id").alias(id_col), "label", *[F.col("x")[i].alias(c) for i, c in enumerate(features)])
-        for m in range(n_models):
-            s = seed + 1000 * fold + m
-            bag = bootstrap(train, id_col, [s])
-            forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=s, weightCol="weight")
-            fitted = forest.fit(assemble(bag, features, ["label", F.col("weight").cast("double").alias("weight")], medians))
-            one = fitted.transform(held).select(id_col, "label", vector_to_array("probability")[1].alias("p"))
-            out = one if out is None else out.unionByName(one)
+        return train, medians, held
+
+    parts = side_by_side(prepare, range(1, k + 1), at_once)
+
+    def fit(task: tuple[int, int]) -> DataFrame:
+        fold, m = task
+        train, medians, held = parts[fold - 1]
+        s = seed + 1000 * fold + m
+        forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=s, weightCol="weight")
+        fitted = forest.fit(assemble(bootstrap(train, id_col, [s]), features, ["label", F.col("weight").cast("double").alias("weight")], medians))
+        return fitted.transform(held).select(id_col, "label", vector_to_array("probability")[1].alias("p"))
+
+    scored = side_by_side(fit, [(fold, m) for fold in range(1, k + 1) for m in range(n_models)], at_once)
+    out = reduce(DataFrame.unionByName, scored)
     return out.groupBy(id_col, "label").agg(F.avg("p").alias("proba"), F.count(F.lit(1)).alias("n_models"))
 
 

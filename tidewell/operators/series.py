@@ -205,10 +205,24 @@ def unscale(df: DataFrame, params: DataFrame, value: str, by=None, name: str = "
 # -- resampling --------------------------------------------------------------------------
 
 
-def is_regular(df: DataFrame, ts: str, probe: int = 20) -> bool:
-    """Whether the first stamps are evenly spaced."""
-    first = [r[0] for r in df.select(micros(ts)).filter(F.col(ts).isNotNull()).orderBy(ts).limit(probe).collect()]
-    return len(first) >= 3 and len({b - a for a, b in zip(first, first[1:])}) == 1
+def regular_keys(df: DataFrame, ts: str, by=None, probe: int = 20) -> DataFrame:
+    """Per key whether its first ``probe`` stamps (three at least) are evenly spaced."""
+    keys = _names(by)
+    times = df.filter(F.col(ts).isNotNull()).select(*keys, micros(ts).alias("__t"))
+    w = Window.partitionBy(*keys).orderBy("__t")
+    first = times.withColumn("__p", F.row_number().over(w)).filter(F.col("__p") <= probe)  # Spark keeps ``probe`` rows per key and task
+    gaps = first.withColumn("__gap", F.col("__t") - F.lag("__t").over(w))
+    even = (F.count("__t") >= 3) & (F.min("__gap") == F.max("__gap")) & (F.min("__gap") > 0)
+    return gaps.groupBy(*keys).agg(even.alias("regular"))
+
+
+def resample_if_needed(df: DataFrame, ts: str, value: str, width_us: int, by=None, probe: int = 20) -> DataFrame:
+    """``bin`` and ``mean``: series of even spacing as they are, all others as means per time bin."""
+    keys = _names(by)
+    marked = _attach(df.filter(F.col(ts).isNotNull()), regular_keys(df, ts, keys, probe), keys)
+    kept = marked.filter("regular").select(*keys, from_micros(micros(ts)).alias("bin"), F.col(value).cast("double").alias("mean"))
+    other = resample(marked.filter("not regular"), ts, width_us, {"mean": F.avg(value)}, keys)
+    return kept.unionByName(other)
 
 
 def resample(

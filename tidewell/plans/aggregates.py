@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as A
+from ..session import settle
 from .registry import query, table
 
 NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
@@ -92,6 +93,24 @@ def distinct_values(spark, sf):
     return A.distinct_values(table(spark, sf, "events"), ["event_type", "user_id"])
 
 
+_SKETCHED = ["l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
+
+
+@query(
+    "distinct_sketch",
+    "SELECT column_name, n_exact, true AS within_bound FROM ("
+    + " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_exact FROM lineitem" for c in _SKETCHED)
+    + ")",
+)
+def distinct_sketch(spark, sf):
+    """Sketches stored per return flag and merged: within 3 % of the exact number."""
+    li = table(spark, sf, "lineitem")
+    stored = settle(A.distinct_sketches(li, _SKETCHED, ["l_returnflag"]))
+    exact = li.agg(*[F.count_distinct(c).alias(c) for c in _SKETCHED]).unpivot([], _SKETCHED, "column_name", "n_exact")
+    merged = A.merge_sketches(stored).join(exact, "column_name")
+    return merged.select("column_name", "n_exact", (F.abs(F.col("n_distinct") / F.col("n_exact") - 1) <= 0.03).alias("within_bound"))
+
+
 @query(
     "column_profile",
     f"""SELECT column_name, count(v)::BIGINT AS n_values, round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS std, min(v) AS min, max(v) AS max,

@@ -142,6 +142,53 @@ def vector_topk_cosine(spark, sf):
     return rounded(X.vector_topk(v, X.centroids(v, "label"), 5, "cosine"), 6, "distance")
 
 
+@query(
+    "hybrid_fusion",
+    f"""WITH {BM25_SQL}, d AS (SELECT b.item_id, e.vec_id AS doc_id, list_distance(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS d
+      FROM benchmark b JOIN embeddings q ON q.vec_id = b.item_id, embeddings e WHERE e.vec_id IN (SELECT doc_id FROM documents)),
+    v AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY d, doc_id) AS rank FROM d),
+    l AS (SELECT item_id, doc_id, 0.5 / (rank + 60) AS s FROM v WHERE rank <= 3 UNION ALL SELECT item_id, doc_id, 0.5 / (rank + 60) FROM bm WHERE rank <= 3)
+    SELECT item_id, doc_id, round(sum(s), 9) AS score FROM l GROUP BY item_id, doc_id""",
+)
+def hybrid_fusion(spark, sf):
+    """BM25 and vector lists; a document's and an item's vector is the one of the same number."""
+    d, b, e = (table(spark, sf, t) for t in ("documents", "benchmark", "embeddings"))
+    vecs = e.select(F.col("vec_id").alias("doc_id"), "embedding").join(d.select("doc_id"), "doc_id", "left_semi")
+    asked = b.select("item_id").join(e.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("query_vec")), "item_id")
+    near = X.vector_topk(vecs, asked, 3, "l2", "doc_id", "embedding", "item_id", "query_vec")
+    return rounded(X.fuse([X.bm25_topk(d, b, 3), near], [0.5, 0.5], "item_id", "doc_id"), 9, "score")
+
+
+@query("vector_recall", "SELECT count(*) AS n_queries, true AS exact_distances, true AS recall_reached FROM embeddings WHERE vec_id % 50 = 0")
+def vector_recall(spark, sf):
+    """Ten neighbours of every vector whose id is divisible by 50, by visited buckets and exactly: nine in ten at least."""
+    v = table(spark, sf, "embeddings")
+    asked = v.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    exact = X.vector_topk(v, asked, 10).select("query_id", "vec_id", F.col("distance").alias("d"))
+    found = X.vector_topk(v, asked, 10, probing=X.Probing(bucket=64)).select("query_id", "vec_id", "distance")
+    hits = exact.join(found, ["query_id", "vec_id"], "left")
+    return hits.agg(
+        F.count_distinct("query_id").alias("n_queries"),
+        F.every(F.col("distance").isNull() | (F.abs(F.col("distance") - F.col("d")) < 1e-9)).alias("exact_distances"),
+        (F.count("distance") >= 0.9 * F.count(F.lit(1))).alias("recall_reached"),
+    )
+
+
+@query(
+    "title_body_chunks",
+    """WITH d AS (SELECT doc_id, CASE WHEN doc_id % 5 <> 0 THEN source END AS title, CASE WHEN doc_id % 7 <> 0 THEN text END AS body FROM documents),
+    j AS (SELECT doc_id, concat_ws(chr(10) || chr(10), nullif(trim(title, ' ' || chr(9) || chr(10) || chr(13)), ''), nullif(trim(body, ' ' || chr(9) || chr(10) || chr(13)), '')) AS txt FROM d)
+    SELECT doc_id, i::INTEGER AS chunk_index, md5(substr(txt, i * 850 + 1, 1000)) AS chunk_md5 FROM j,
+      LATERAL (SELECT unnest(generate_series(0, greatest(ceil((length(txt) - 150) / 850.0), 1)::BIGINT - 1)) AS i) WHERE txt <> ''""",
+)
+def title_body_chunks(spark, sf):
+    d = table(spark, sf, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 5 != 0, F.col("source")).alias("title"), F.when(F.col("doc_id") % 7 != 0, F.col("text")).alias("body")
+    )
+    out = C.chunk_fixed(C.title_and_body(d, "title", "body", "whole"), "doc_id", "whole", 1000, 150)
+    return out.select("doc_id", "chunk_index", F.md5("text").alias("chunk_md5"))
+
+
 @query(
     "mmr_topk",
     f"""WITH e AS ({_VEC}), c AS (SELECT label AS query_id, i, avg(v) AS v FROM e GROUP BY label, i),

@@ -78,6 +78,46 @@ def versioned_write(spark, sf):
     return spark.read.parquet(path)
 
 
+@query(
+    "run_summary",
+    """WITH r AS (SELECT 1 AS version, event_type FROM events WHERE event_id % 3 = 0 UNION ALL SELECT 2, event_type FROM events WHERE event_type <> 'view'),
+    c AS (SELECT version, event_type, count(*) AS n_rows FROM r GROUP BY ALL)
+    SELECT *, version = max(version) OVER (PARTITION BY event_type) AS latest FROM c""",
+)
+def run_summary(spark, sf):
+    """Two runs, the second without one sensor: rows per sensor and run."""
+    path, e = _folder(spark, "runs"), table(spark, sf, "events").select("event_id", "event_type", "value")
+    files.write_version(e.filter("event_id % 3 = 0"), path)
+    files.write_version(e.filter("event_type <> 'view'"), path)
+    return files.run_summary(spark, path, "event_type")
+
+
+@query(
+    "glossary",
+    """SELECT p_name || ' ' || p_partkey AS term, 'A part of type ' || p_type AS definition, 'Size ' || p_size AS example,
+      array_to_string([p_brand, p_type], '|') AS related FROM part""",
+)
+def glossary(spark, sf):
+    """Parts written as glossary entries, a blank line after each term and after each entry."""
+    path = _folder(spark, "glossary")
+    p = table(spark, sf, "part")
+    entry = F.concat(
+        "p_name", F.lit(" "), "p_partkey", F.lit("\n\nMeaning: A part of type "), "p_type", F.lit("\nSeen in: Size "), "p_size",
+        F.lit("\nSee also: "), "p_brand", F.lit(", ,"), "p_type", F.lit("\n"),
+    )
+    p.select(entry.alias("value")).write.text(path)
+    out = files.read_glossary(spark, path, ["Meaning", "Seen in", "See also"])
+    return out.select("term", "definition", "example", F.array_join("related", "|").alias("related"))
+
+
+@query("batched_write", "SELECT doc_id, source, (doc_id % 40 // 10)::INTEGER AS batch, length(text) AS n FROM documents")
+def batched_write(spark, sf):
+    path = _folder(spark, "batches")
+    d = table(spark, sf, "documents").select("doc_id", "source", "text", F.floor(F.col("doc_id") % 40 / 10).cast("int").alias("batch"))
+    files.write_batches(d, path, ["source", "batch"])
+    return spark.read.parquet(path).select("doc_id", "source", "batch", F.length("text").alias("n"))
+
+
 @query("cached_result", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey")
 def cached_result(spark, sf):
     path, o = _folder(spark, "cache"), table(spark, sf, "orders").select("o_orderkey", "o_custkey")

@@ -220,6 +220,133 @@ def multi_step(spark, sf):
     return rounded(T.multi_step(_events(spark, sf), "value", ["ts", "event_id"], "event_type", 4, 3), 6, "predicted")
 
 
+def _lag_fit_sql(n: int = 4) -> str:
+    """Least squares on ``n`` lags by orthogonalising one lag after the other; ``fit`` has a row per event."""
+    x = [f"x{k}" for k in range(1, n + 1)]
+    names = [*x, "y"]
+    lags = ", ".join(f"lag(value, {n + 1 - k}) OVER o AS x{k}" for k in range(1, n + 1))
+    steps = [
+        f"w AS (SELECT event_type, event_id, ts, value AS y, {lags}, row_number() OVER o AS rn FROM events WINDOW o AS {W})",
+        "z0 AS (SELECT *, " + ", ".join(f"{c} - avg({c}) OVER p AS z_{c}, avg({c}) OVER p AS m_{c}" for c in names)
+        + f" FROM w WHERE rn > {n} WINDOW p AS (PARTITION BY event_type))",
+    ]
+    for k, c in enumerate(x):
+        rest = names[k + 1 :]
+        ratio = ", ".join(f"sum(z_{c} * z_{d}) OVER p / sum(z_{c} * z_{c}) OVER p AS r_{c}_{d}" for d in rest)
+        steps.append(f"r{k} AS (SELECT *, {ratio} FROM z{k} WINDOW p AS (PARTITION BY event_type))")
+        less = ", ".join(f"z_{d} - r_{c}_{d} * z_{c} AS z_{d}" for d in rest)
+        steps.append(f"z{k + 1} AS (SELECT * REPLACE ({less}) FROM r{k})")
+    last = f"z{n}"
+    for k in range(n - 1, -1, -1):
+        c = x[k]
+        later = "".join(f" - r_{c}_{d} * b_{d}" for d in x[k + 1 :])
+        steps.append(f"b{k} AS (SELECT *, r_{c}_y{later} AS b_{c} FROM {last})")
+        last = f"b{k}"
+    steps.append(f"fit AS (SELECT *, m_y" + "".join(f" - b_{c} * m_{c}" for c in x) + f" AS b_0, y - z_y AS predicted FROM {last})")
+    return ", ".join(steps)
+
+
+def _lag_weights(spark, sf, e, seq_len):
+    from ..operators import models as M
+
+    stats = M.lag_statistics(e, "value", ["ts", "event_id"], "event_type", seq_len)
+    return M.solve_lag_linear(stats, "event_type").select("event_type", "weights")
+
+
+@query(
+    "one_step_lag",
+    f"""WITH {_lag_fit_sql()} SELECT event_id, round(coalesce(f.predicted, e.value), 4) AS predicted, round(e.value - coalesce(f.predicted, e.value), 4) AS error
+    FROM events e LEFT JOIN fit f USING (event_id)""",
+)
+def one_step_lag(spark, sf):
+    """Four lags, weighted by each type's own least-squares fit."""
+    e = _events(spark, sf)
+    out = T.one_step_score(e, "value", ["ts", "event_id"], "event_type", 4, T.lag_linear, params=_lag_weights(spark, sf, e, 4))
+    return rounded(out.select("event_id", "predicted", "error"), 4, "predicted", "error")
+
+
+@query(
+    "multi_step_lag",
+    f"""WITH {_lag_fit_sql()}, b AS (SELECT event_type, any_value(b_0) AS b0, any_value(b_x1) AS b1, any_value(b_x2) AS b2, any_value(b_x3) AS b3, any_value(b_x4) AS b4
+      FROM fit GROUP BY event_type),
+    t AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS back FROM events),
+    s AS (SELECT event_type, list(value ORDER BY back DESC) AS x FROM t WHERE back <= 4 GROUP BY event_type),
+    p1 AS (SELECT *, b0 + b1 * x[1] + b2 * x[2] + b3 * x[3] + b4 * x[4] AS f1 FROM s JOIN b USING (event_type)),
+    p2 AS (SELECT *, b0 + b1 * x[2] + b2 * x[3] + b3 * x[4] + b4 * f1 AS f2 FROM p1),
+    p3 AS (SELECT *, b0 + b1 * x[3] + b2 * x[4] + b3 * f1 + b4 * f2 AS f3 FROM p2)
+    SELECT event_type, 1 AS step, round(f1, 4) AS predicted FROM p3 UNION ALL SELECT event_type, 2, round(f2, 4) FROM p3
+    UNION ALL SELECT event_type, 3, round(f3, 4) FROM p3""",
+)
+def multi_step_lag(spark, sf):
+    e = _events(spark, sf)
+    out = T.multi_step(e, "value", ["ts", "event_id"], "event_type", 4, 3, T.lag_linear, _lag_weights(spark, sf, e, 4))
+    return rounded(out, 4, "predicted")
+
+
+@query(
+    "supervised_windows_whole",
+    """SELECT event_id, array_to_string(list_transform(x, lambda v: round(v * 10000)::BIGINT), ',') AS x FROM
+    (SELECT event_id, list(value) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING) AS x
+     FROM events) WHERE len(x) = 8""",
+)
+def supervised_windows_whole(spark, sf):
+    """Every value of every window."""
+    out = T.supervised_windows(_events(spark, sf), "value", ["ts", "event_id"], "event_type", 8)
+    return out.select("event_id", F.array_join(F.transform("x", lambda v: F.round(v * 10000).cast("bigint").cast("string")), ",").alias("x"))
+
+
+@query(
+    "resample_if_needed",
+    f"""WITH n AS (SELECT *, row_number() OVER {W} AS rn FROM events),
+    e2 AS (SELECT event_type, CASE WHEN event_type = 'view' THEN TIMESTAMP '2024-01-01' + to_seconds(rn * 90) ELSE ts END AS ts, value FROM n),
+    b AS (SELECT event_type, epoch_us(ts) // {HOUR} AS b, value FROM e2 WHERE event_type <> 'view'),
+    g AS (SELECT event_type, unnest(generate_series(min(b), max(b))) AS b FROM b GROUP BY event_type),
+    a AS (SELECT event_type, b, avg(value) AS mean FROM b GROUP BY event_type, b)
+    SELECT event_type, ts AS bin, round(value, 6) AS mean FROM e2 WHERE event_type = 'view'
+    UNION ALL SELECT event_type, make_timestamp(b * {HOUR}), round(mean, 6) FROM g LEFT JOIN a USING (event_type, b)""",
+)
+def resample_if_needed(spark, sf):
+    """One type is given even stamps and stays as it is."""
+    placed = T.with_position(_events(spark, sf), ["ts", "event_id"], "event_type")
+    even = T.from_micros(F.lit(1_704_067_200_000_000) + F.col("rn") * 90_000_000)
+    e = placed.withColumn("ts", F.when(F.col("event_type") == "view", even).otherwise(F.col("ts").cast("timestamp_ntz")))
+    return rounded(T.resample_if_needed(e, "ts", "value", HOUR, "event_type"), 6, "mean")
+
+
+@query(
+    "align_position",
+    """WITH l AS (SELECT user_id, event_id AS left_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events WHERE event_type = 'click'),
+    r AS (SELECT user_id, event_id AS right_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events WHERE event_type = 'purchase')
+    SELECT user_id, left_id, right_id, NULL::BIGINT AS gap_us FROM l JOIN r USING (user_id, rn)""",
+)
+def align_position(spark, sf):
+    """Purchases moved a year on match no click in time, so rows are paired by position."""
+    e = _events(spark, sf)
+    left = e.filter("event_type = 'click'").select("user_id", F.col("event_id").alias("left_id"), F.col("ts").alias("left_ts"))
+    late = T.from_micros(T.micros("ts") + 366 * 24 * HOUR)
+    right = e.filter("event_type = 'purchase'").select("user_id", F.col("event_id").alias("right_id"), late.alias("right_ts"))
+    out, _ = T.align(left, right, ("left_ts", "right_ts"), ("left_id", "right_id"), "user_id")
+    return out.select("user_id", "left_id", "right_id", "gap_us")
+
+
+@query(
+    "align_time",
+    """WITH l AS (SELECT user_id, event_id AS left_id, epoch_us(ts) AS t FROM events),
+    r AS (SELECT user_id, event_id AS right_id, epoch_us(ts) + event_id % 3 - 1 AS t FROM events)
+    SELECT user_id, left_id, right_id, gap_us FROM (
+      SELECT l.user_id, left_id, right_id, abs(r.t - l.t) AS gap_us, row_number() OVER (PARTITION BY left_id ORDER BY abs(r.t - l.t), r.t, right_id) AS place
+      FROM l JOIN r ON l.user_id = r.user_id AND abs(r.t - l.t) <= 2) WHERE place = 1""",
+)
+def align_time(spark, sf):
+    """Every event matches a copy of itself moved by a microsecond at most: all rows match, none is paired by position."""
+    e = _events(spark, sf)
+    left = e.select("user_id", F.col("event_id").alias("left_id"), F.col("ts").alias("left_ts"))
+    moved = T.from_micros(T.micros("ts") + F.col("event_id") % 3 - 1)
+    right = e.select("user_id", F.col("event_id").alias("right_id"), moved.alias("right_ts"))
+    out, _ = T.align(left, right, ("left_ts", "right_ts"), ("left_id", "right_id"), "user_id", tolerance=2)
+    return out.select("user_id", "left_id", "right_id", "gap_us")
+
+
 @query(
     "future_stamps",
     f"""WITH l AS (SELECT user_id, max(ts) AS last FROM events GROUP BY user_id),

@@ -61,6 +61,50 @@ def stream_session_history(spark, sf):
     return ST.run_update(ST.session_history(e, "user_id", "ts", "line"), ST.job_folder(spark, "history"), ["user_id"])
 
 
+def _question_log(spark, sf):
+    """A folder of JSON lines, one for each user turn; some are logged again a day later, some are cut off."""
+    c = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    turn = lambda name, by: c.select("conv_id", (F.col("turn") + by).alias("turn"), F.col("role").alias(f"{name}_role"), F.col("text").alias(name))
+    told = c.filter("role = 'user'").join(turn("answer", -1).filter("answer_role = 'assistant'"), ["conv_id", "turn"], "left")
+    told = told.join(turn("context", 1), ["conv_id", "turn"], "left")
+    days = F.explode(F.when(F.col("conv_id") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    told = told.withColumn("day", days)
+    ts = F.timestamp_seconds(F.col("day") * 86_400 + F.col("conv_id") % 86_400 + F.col("turn"))
+    entry = F.struct(ts.alias("ts"), F.col("text").alias("question"), "answer", F.array_compact(F.array("context")).alias("contexts"))
+    line = F.when(F.col("conv_id") % 11 == 0, F.left(F.to_json(entry), F.lit(40))).otherwise(F.to_json(entry))
+    folder = ST.job_folder(spark, "log")
+    told.select(line.alias("value")).write.text(folder)
+    return folder
+
+
+@query(
+    "stream_eval_set",
+    """SELECT DISTINCT trim(u.text, ' ' || chr(9) || chr(10) || chr(13)) AS question, '' AS reference_answer, 0 AS n_gold
+    FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+    JOIN conversations p ON p.conv_id = u.conv_id AND p.turn = u.turn - 1
+    WHERE u.role = 'user' AND u.conv_id % 11 <> 0 AND p.text IS NOT NULL AND trim(u.text, ' ' || chr(9) || chr(10) || chr(13)) <> ''
+      AND trim(a.text, ' ' || chr(9) || chr(10) || chr(13)) <> ''""",
+)
+def stream_eval_set(spark, sf):
+    log = spark.readStream.text(_question_log(spark, sf))
+    made = ST.run_append(ST.question_set(log), ST.job_folder(spark, "eval"))
+    return made.select("question", "reference_answer", F.size("gold_contexts").alias("n_gold"))
+
+
+@query(
+    "stream_sessions",
+    """WITH l AS (SELECT user_id, ts, event_type || ':' || event_id AS line, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before, event_id FROM events),
+    s AS (SELECT *, sum((before IS NULL OR ts - before > INTERVAL 6 HOURS)::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS no FROM l),
+    r AS (SELECT *, row_number() OVER (PARTITION BY user_id, no ORDER BY ts DESC, line DESC) AS back FROM s)
+    SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n_total, string_agg(line, chr(10) ORDER BY ts, line) FILTER (back <= 20) AS history
+    FROM r GROUP BY user_id, no""",
+)
+def stream_sessions(spark, sf):
+    e = _stream(spark, sf, "events").withColumn("line", F.concat_ws(":", "event_type", F.col("event_id").cast("string")))
+    found = ST.run_update(ST.sessions(e, "user_id", "ts", "line", 6 * 3600), ST.job_folder(spark, "sessions"), ["user_id", "session_start"])
+    return found.filter("n_total > 0")
+
+
 @query(
     "stream_drift",
     f"""WITH s AS (SELECT event_type, value - {K_SQL} AS e, unnest([0, 1, 2, 3]) AS i, epoch_us(ts) AS t FROM events)

@@ -197,6 +197,18 @@ def write_version(df: DataFrame, path: str, column: str = "version") -> int:
     return version
 
 
+def run_summary(spark: SparkSession, path: str, by: str, column: str = "version") -> DataFrame:
+    """Rows per ``by`` and version of what ``write_version`` wrote below ``path``, the latest version marked.
+
+    Counts come from the files themselves, so they hold whatever a run said of itself.
+    """
+    rows = spark.read.option("basePath", path).parquet(f"{path.rstrip('/')}/{column}=*")
+    counts = rows.groupBy(F.col(column).cast("int").alias(column), by).agg(F.count(F.lit(1)).alias("n_rows"))
+    newest = counts.groupBy(by).agg(F.max(column).alias("__newest"))
+    joined = counts.join(newest.withColumnRenamed(by, "__by"), F.col(by).eqNullSafe(F.col("__by")))
+    return joined.select(column, by, "n_rows", (F.col(column) == F.col("__newest")).alias("latest"))
+
+
 def records_json(df: DataFrame, ts: str, limit: int | None = None) -> DataFrame:
     """One JSON object per row with second-precision time and NaN as null."""
     cols = []

@@ -7,6 +7,8 @@ number, and ``current`` reads the newest row of each group, so late rows still c
 
 from __future__ import annotations
 
+import heapq
+import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -87,6 +89,22 @@ def distinct_per_day(stream: DataFrame, keys: Sequence[str], ts: str, late: str
     return daily.dropDuplicates([*keys, "day"]).select(*keys, F.col("day").cast("timestamp_ntz").alias("day"))
 
 
+def question_set(stream: DataFrame, within: str = "30 days", item: str = "value") -> DataFrame:
+    """Evaluation questions from a log of JSON lines (ts, question, answer, contexts), each question once.
+
+    Lines that are no JSON, and lines without a question, an answer or a context, are left out.  Of lines that
+    repeat a question the first to arrive is kept; a question is forgotten ``within`` after its time, so the
+    state holds the questions of that span and no more.
+    """
+    kind = "ts timestamp, question string, answer string, contexts array<string>"
+    line = stream.select(F.from_json(item, kind).alias("l")).select("l.*")
+    strip = lambda c: F.btrim(c, F.lit(" \t\n\r\x0b\x0c"))
+    told = line.select("ts", strip("question").alias("question"), strip("answer").alias("answer"), "contexts")
+    whole = told.filter((F.col("question") != "") & (F.col("answer") != "") & (F.size("contexts") > 0) & F.col("ts").isNotNull())
+    once = whole.withWatermark("ts", within).dropDuplicatesWithinWatermark(["question"])
+    return once.select("question", F.lit("").alias("reference_answer"), F.array().cast("array<string>").alias("gold_contexts"))
+
+
 def corpus_add(stream: DataFrame, seed: DataFrame, text: str, order_by: Sequence[str], folder: str) -> DataFrame:
     """Append unseen contents to a corpus that starts as ``seed``; a repeated batch replaces itself.
 
@@ -132,6 +150,62 @@ def session_history(stream: DataFrame, key: str, ts: str, line: str, n: int = 20
     )
 
 
+def sessions(stream: DataFrame, key: str, ts: str, line: str, gap_s: int, n: int = 20, late: str = "1 hour") -> DataFrame:
+    """Sessions per key: a new one begins where more than ``gap_s`` seconds pass without a line.
+
+    Columns key, session_start, session_end, n_total and history, the last ``n`` lines.  The state of a key holds
+    the sessions that a line can still reach, each with its last ``n`` lines; a timer set to the watermark at
+    which the first of them ends frees it, and with its last session the key.  Lines may arrive in any order: one
+    that closes a gap joins two sessions, and the later start is reported once more with ``n_total`` 0.
+    """
+    micro = lambda c: F.unix_micros(F.col(c))
+    timed = _timed(stream, ts, late).filter(F.col(ts).isNotNull())
+    rows = timed.select(F.col(key), F.col(ts).alias("__ts"), micro(ts).alias("__t"), F.coalesce(F.col(line).cast("string"), F.lit("")).alias("__line"))
+    gap = gap_s * 1_000_000
+
+    def join_up(parts: list[list]) -> list[list]:
+        """Sessions (start, end, lines in all, last lines) in order, those within the gap made one."""
+        out: list[list] = []
+        for start, end, total, last in sorted(parts, key=lambda p: p[:2]):
+            if out and start - out[-1][1] <= gap:
+                held = out[-1]
+                out[-1] = [held[0], max(held[1], end), held[2] + total, sorted(heapq.nlargest(n, [*held[3], *last]))]
+            else:
+                out.append([start, end, total, last])
+        return out
+
+    def keep(who, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = [[s, e, c, [tuple(x) for x in last]] for s, e, c, last in json.loads(state.get[0])] if state.exists else []
+        before = {s: (e, c) for s, e, c, _ in held}
+        if not state.hasTimedOut:
+            for pdf in chunks:
+                new = pdf[["__t", "__line"]].sort_values(["__t", "__line"], kind="stable")
+                runs = (new["__t"].diff() > gap).cumsum()
+                parts = [
+                    [int(p["__t"].iloc[0]), int(p["__t"].iloc[-1]), len(p), list(zip(p["__t"].tail(n).tolist(), p["__line"].tail(n).tolist()))]
+                    for _, p in new.groupby(runs)
+                ]
+                held = join_up([*held, *parts])
+            changed = [s for s in held if before.get(s[0]) != (s[1], s[2])]
+            gone = sorted(set(before) - {s[0] for s in held})
+            out = [(who[0], s, e, c, "\n".join(x for _, x in last)) for s, e, c, last in changed] + [(who[0], s, s, 0, "") for s in gone]
+            yield pd.DataFrame(out, columns=[key, "start", "end", "n_total", "history"])
+        mark = state.getCurrentWatermarkMs() * 1000
+        held = [s for s in held if s[1] + gap >= mark]
+        if held:
+            state.update((json.dumps(held),))
+            state.setTimeoutTimestamp(max(mark, min(s[1] for s in held) + gap) // 1000 + 1)
+        elif state.exists:
+            state.remove()
+
+    kind = stream.schema[key].dataType.simpleString()
+    found = rows.groupBy(key).applyInPandasWithState(
+        keep, f"`{key}` {kind}, start bigint, end bigint, n_total bigint, history string", "sessions string", "update", GroupStateTimeout.EventTimeTimeout
+    )
+    stamp = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    return found.select(key, stamp("start").alias("session_start"), stamp("end").alias("session_end"), "n_total", "history")
+
+
 def sliding_error(stream: DataFrame, ts: str, by: str, actual: str, predicted: str, size: str = "1 day", step: str = "6 hours", late: str = "1 hour"):
     """Row count, MAE and RMSE per sliding window and group."""
     err = F.col(actual) - F.col(predicted)
