@@ -7,6 +7,7 @@ and neither the driver nor a task holds more than a few blocks.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -115,24 +116,22 @@ def _bordered(term: str) -> bool:
 
 
 class TermBlock:
-    """Queries of a block: the automaton of their terms, and for each term its queries and weights."""
+    """Queries of a block: for each term its queries and weights, and on demand the automaton of the terms."""
 
-    def __init__(self, table: pa.Table, query: str):
-        self.machine = None
-        if not table.num_rows:
-            return
-        names, terms = table.column(query).to_pylist(), table.column("term").to_pylist()
+    def __init__(self, table: pa.Table, query: str, search: bool):
+        names = table.column(query).to_pylist() if table.num_rows else []
+        terms = table.column("term").to_pylist() if names else []
         self.terms = sorted(set(terms))
-        number = {t: k for k, t in enumerate(self.terms)}
+        self.number = {t: k for k, t in enumerate(self.terms)}
         self.queries = list(dict.fromkeys(names))
         place = {q: k for k, q in enumerate(self.queries)}
-        of = np.array([number[t] for t in terms])
+        of = np.array([self.number[t] for t in terms], np.int64)
         order = np.argsort(of, kind="stable")
-        self.query = np.array([place[q] for q in names])[order]
-        self.weight = table.column("m").to_numpy().astype(np.float64)[order]
+        self.query = np.array([place[q] for q in names], np.int64)[order]
+        self.weight = (table.column("m").to_numpy().astype(np.float64) if names else np.zeros(0))[order]
         self.starts = np.searchsorted(of[order], np.arange(len(self.terms) + 1))
-        self.overlapping = np.array([_bordered(t) for t in self.terms])
-        self.machine = automaton(self.terms)
+        self.overlapping = np.array([_bordered(t) for t in self.terms], bool) if search else None
+        self.machine = automaton(self.terms) if search else None
 
     def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Terms in the text and how often each stands there without overlaps."""
@@ -142,17 +141,31 @@ class TermBlock:
             times[k] = text.count(self.terms[terms[k]])
         return terms, times
 
-    def score(self, texts: list[str]) -> np.ndarray:
+    def add(self, row: np.ndarray, terms: np.ndarray, amounts: np.ndarray) -> None:
+        """Weight times amount of each term, for every query that holds it."""
+        sizes = self.starts[terms + 1] - self.starts[terms]
+        at = np.repeat(self.starts[terms] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
+        row += np.bincount(self.query[at], self.weight[at] * np.repeat(amounts, sizes), minlength=len(row))
+
+    def occurrences(self, texts: list[str]) -> np.ndarray:
         """Sum of weight times count, a row for each text and a column for each query."""
         out = np.zeros((len(texts), len(self.queries)))
         for row, text in zip(out, texts):
             if text:
-                terms, times = self.counts(text)
-                sizes = self.starts[terms + 1] - self.starts[terms]
-                at = np.repeat(self.starts[terms] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
-                row += np.bincount(self.query[at], self.weight[at] * np.repeat(times, sizes), minlength=len(row))
+                self.add(row, *self.counts(text))
         return out
 
+    def okapi(self, token_lists: list[list[str]], avgdl: float, k1: float, b: float) -> np.ndarray:
+        """Okapi scores at nine digits, a row for each document and a column for each query."""
+        out = np.zeros((len(token_lists), len(self.queries)))
+        for row, tokens in zip(out, token_lists):
+            held = Counter(filter(self.number.__contains__, tokens or ()))
+            if held:
+                tf = np.fromiter(held.values(), np.float64, len(held))
+                reach = tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(tokens) / avgdl))
+                self.add(row, np.fromiter((self.number[t] for t in held), np.int64, len(held)), reach)
+        return np.round(out, 9)
+
 
 class Best:
     """The ``k`` best documents of each query of a block, by score, then smaller id."""
@@ -183,30 +196,44 @@ def count_topk(docs: DataFrame, doc: str, text: str, words: DataFrame, query: st
     ``words`` holds query, term and m.  Occurrences of a term do not overlap.  Each task hands on at most ``k``
     documents per query; documents without an occurrence are left out.  Rows without id are left out.
     """
-    blocks = deal(words.select(query, "term", "m"), query, "term")
-    rows = docs.select(doc, text).filter(F.col(doc).isNotNull())
+    return _scored(docs, doc, text, words.select(query, "term", "m"), query, k, step, True, lambda block, texts: block.occurrences(texts))
+
+
+def okapi_topk(
+    docs: DataFrame, doc: str, tokens: str, weights: DataFrame, query: str, k: int, avgdl: float, k1: float, b: float, step: int = 512
+) -> DataFrame:
+    """Columns query, doc, score: per task the ``k`` documents of the largest Okapi score above 0.
+
+    ``weights`` holds query, term and w, ``docs`` an array of tokens for each document.
+    """
+    wanted = weights.select(query, "term", F.col("w").alias("m"))
+    return _scored(docs, doc, tokens, wanted, query, k, step, False, lambda block, lists: block.okapi(lists, avgdl, k1, b))
+
+
+def _scored(docs: DataFrame, doc: str, content: str, words: DataFrame, query: str, k: int, step: int, search: bool, score) -> DataFrame:
+    blocks = deal(words, query, "term")
+    rows = docs.select(doc, content).filter(F.col(doc).isNotNull())
     schema = T.StructType([words.schema[query], docs.schema[doc], T.StructField("score", T.DoubleType())])
     kinds = pa.schema([(f.name, _arrow(f.dataType)) for f in schema])
 
-    def search(batches):
+    def run(batches):
         best: dict[int, Best] = {}
-        for run in _runs(batches, 1):
-            ids, texts = run.column(0).to_pylist(), run.column(1).to_pylist()
+        load = lambda number: blocks.load(number, lambda t: TermBlock(t, query, search))
+        for part in _runs(batches, 1):
+            ids, contents = part.column(0).to_pylist(), part.column(1).to_pylist()
             for number in range(blocks.count):
-                block = blocks.load(number, lambda t: TermBlock(t, query))
-                if block.machine is None:
-                    continue
-                held = best.setdefault(number, Best(len(block.queries), k))
-                for at in range(0, len(texts), step):
-                    held.add(block.score(texts[at : at + step]), ids[at : at + step])
+                block = load(number)
+                if block.terms:
+                    held = best.setdefault(number, Best(len(block.queries), k))
+                    for at in range(0, len(ids), step):
+                        held.add(score(block, contents[at : at + step]), ids[at : at + step])
         for number, held in best.items():
-            block = blocks.load(number, lambda t: TermBlock(t, query))
             who, place = np.nonzero(held.score > 0)
-            names = [block.queries[w] for w in who.tolist()]
+            names = [load(number).queries[w] for w in who.tolist()]
             columns = [names, held.doc[who, place].tolist(), held.score[who, place].tolist()]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kinds)], schema=kinds)
 
-    return rows.mapInArrow(search, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:

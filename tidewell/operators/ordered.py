@@ -176,8 +176,8 @@ def _enclosed(usable: DataFrame, value: str, probs: Sequence[float], keys: list[
     kinds = F.transform("__ends", lambda e: F.when(e["lo"].isNotNull() & (v < e["lo"]), F.struct(e["i"].alias("i"), F.lit(True).alias("under"))).when(
         e["hi"].isNull() | (v <= e["hi"]), F.struct(e["i"].alias("i"), F.lit(False).alias("under"))
     ))
-    cut = rows.select(*keys, value, F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("k"))
-    counted = cut.groupBy(*keys, F.col("k.i").alias("__i"), F.when(~F.col("k.under"), v).alias(value)).agg(F.count(F.lit(1)).alias("__n"))
+    cut = rows.select(*keys, value, F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("__k"))
+    counted = cut.groupBy(*keys, F.col("__k.i").alias("__i"), F.when(~F.col("__k.under"), v).alias(value)).agg(F.count(F.lit(1)).alias("__n"))
     counted = settle(counted)
     under = counted.filter(F.col(value).isNull()).select(*keys, "__i", F.col("__n").alias("__below"))
     every = ends.select(*keys, "__total", F.explode(F.sequence(F.lit(0), F.lit(len(probs) - 1))).alias("__i"))

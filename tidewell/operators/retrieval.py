@@ -20,10 +20,13 @@ from pyspark.sql import types as T
 
 from ..functions import strings as S
 from ..session import settle, spread
-from .multipattern import count_topk
+from .multipattern import count_topk, okapi_topk
 
-#: Documents of a block of postings, and what rounding may take from a score.
-DOC_BLOCK, MARGIN = 64, 1e-8
+#: Documents of a block of postings, what rounding may take from a score, and the share of a score that the
+#: terms which open no block may reach together.
+DOC_BLOCK, MARGIN, WEAK = 16, 1e-8, 0.1
+#: Blocks of a query that are scored first.
+LEAD = 16
 
 
 def _rank(scored: DataFrame, query: str, doc: str, k: int, score: str = "score") -> DataFrame:
@@ -54,69 +57,24 @@ def keyword_topk(
     return _best(count_topk(low, doc, "low", words, query, k), docs, queries, query, doc, k)
 
 
-def bm25_hits(
-    docs: DataFrame,
-    queries: DataFrame,
-    k: int = 3,
-    k1: float = 1.5,
-    b: float = 0.75,
-    floor: float = 0.25,
-    doc: str = "doc_id",
-    query: str = "item_id",
-    text: str = "text",
-) -> DataFrame:
-    """Scored (query, document) pairs among which are the ``k`` best of every query.
+@dataclass(frozen=True)
+class Okapi:
+    """Saturation, length share, and what a negative idf becomes as a share of the mean idf."""
 
-    Postings lie in blocks of about ``DOC_BLOCK`` documents, each with the peak that its term reaches there.
-    The best postings of single terms give each query a score that its k-th document has at least.  Terms that
-    cannot reach it even together (the common ones) open no block; the others open a block if their peaks there,
-    and what the common terms can add at most, reach it.  Only documents of open blocks are scored.  Queries
-    with a negative weight have no such bound and open every block of their terms.
-    """
-    toks = spread(docs.select(doc, text)).repartition(doc).select(doc, F.explode(S.blank_split(text)).alias("term"))
-    tf = toks.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
-    # A document's length is the sum of its term counts; the rows are already together.
-    tf = settle(tf.withColumn("dl", F.sum("tf").over(Window.partitionBy(doc))))
-    total = docs.agg(F.count(F.lit(1)).cast("double").alias("n"))
-    n = total.scalar()
-    avgdl = tf.agg(F.coalesce(F.sum("tf"), F.lit(0)).cast("double").alias("all")).scalar() / n
-    seen = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = seen.withColumn("__n", n).withColumn("idf", F.ln(F.col("__n") - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
+    k1: float = 1.5
+    b: float = 0.75
+    floor: float = 0.25
+
+
+def term_weights(df_of: DataFrame, n: Column, queries: DataFrame, query: str, text: str, how: Okapi) -> DataFrame:
+    """query, term, w: idf times the occurrences in the query, for terms (term, df) that some document holds."""
+    idf = df_of.withColumn("__n", n).withColumn("idf", F.ln(F.col("__n") - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5))
     idf = settle(idf.select("term", "idf"))
-    mean_idf = idf.agg(F.avg("idf")).scalar()
+    mean = idf.agg(F.avg("idf")).scalar()
     words = queries.select(query, F.explode(S.blank_split(text)).alias("term")).groupBy(query, "term").agg(F.count(F.lit(1)).alias("m"))
-    wanted = words.join(idf, "term").withColumn("__mean", mean_idf)
-    weight = F.when(F.col("idf") < 0, floor * F.col("__mean")).otherwise(F.col("idf")) * F.col("m")
-    wanted = settle(wanted.select(query, "term", weight.alias("w")))
-    saturation = F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("__avgdl")))
-    block = F.pmod(F.xxhash64(doc), F.ceil(F.col("__n") / DOC_BLOCK))
-    postings = tf.withColumns({"__avgdl": avgdl, "__n": n}).select("term", block.alias("block"), doc, saturation.alias("reach"))
-    postings = settle(postings.join(wanted.select("term").distinct(), "term", "left_semi"))
-
-    peaks = settle(postings.groupBy("term", "block").agg(F.max("reach").alias("peak")))
-    # a score that the k-th document of a query has at least
-    best = _rank(postings, "term", doc, k, "reach").select("term", doc, "reach")
-    sums = wanted.filter("w > 0").join(best, "term").groupBy(query, doc).agg(F.sum(F.col("w") * F.col("reach")).alias("score"))
-    marks = _rank(sums, query, doc, k).groupBy(query).agg(F.min("score").alias("mark"), F.count(F.lit(1)).alias("have"))
-    signs = wanted.groupBy(query).agg(F.min("w").alias("least"))
-    marks = marks.join(signs, query).filter((F.col("have") == k) & (F.col("least") >= 0)).select(query, (F.col("mark") - MARGIN).alias("mark"))
-    # terms that can reach it, alone or with all weaker ones
-    ranked = wanted.join(peaks.groupBy("term").agg(F.max("peak").alias("top")), "term").withColumn("most", F.col("w") * F.col("top"))
-    upto = Window.partitionBy(query).orderBy("most", "term")
-    ranked = ranked.withColumn("weaker", F.sum("most").over(upto)).join(marks, query, "left")
-    ranked = settle(ranked.withColumn("opens", F.col("mark").isNull() | (F.col("weaker") >= F.col("mark"))))
-    rest = ranked.groupBy(query).agg(F.coalesce(F.sum(F.when(~F.col("opens"), F.col("most"))), F.lit(0.0)).alias("rest"))
-    opened = (
-        ranked.filter("opens")
-        .join(peaks, "term")
-        .groupBy(query, "block")
-        .agg(F.sum(F.col("w") * F.col("peak")).alias("bound"), F.max("mark").alias("mark"))
-        .join(rest, query)
-        .filter(F.col("mark").isNull() | (F.col("bound") + F.col("rest") >= F.col("mark")))
-        .select(query, "block")
-    )
-    pairs = opened.join(wanted, query).join(postings, ["term", "block"])
-    return pairs.groupBy(query, doc).agg(F.round(F.sum(F.col("w") * F.col("reach")), 9).alias("score"))
+    wanted = words.join(idf, "term").withColumn("__mean", mean)
+    weight = F.when(F.col("idf") < 0, how.floor * F.col("__mean")).otherwise(F.col("idf")) * F.col("m")
+    return wanted.select(query, "term", weight.alias("w"))
 
 
 def bm25_topk(
@@ -125,9 +83,94 @@ def bm25_topk(
 ) -> DataFrame:
     """Okapi ranking over blank-separated tokens; a negative idf becomes ``floor`` times the mean idf.
 
-    Scores are compared at nine digits, so equal texts tie however their terms were added up.
+    Two passes over the texts: one counts documents, tokens and the documents of each term; in the other a task
+    adds up the scores of its documents against blocks of queries and hands on its ``k`` best per query, so no
+    row moves for a common word.  Scores are compared at nine digits, so equal texts tie however their terms were
+    added up.
     """
-    return _best(bm25_hits(docs, queries, k, k1, b, floor, doc, query, text), docs, queries, query, doc, k)
+    how = Okapi(k1, b, floor)
+    toks = settle(spread(docs.select(doc, S.blank_split(text).alias("toks"))))
+    total = toks.agg(F.count(F.lit(1)).cast("double").alias("n"), F.avg(F.greatest(F.size("toks"), F.lit(0))).alias("avgdl")).first()
+    df_of = toks.select(F.explode(F.array_distinct("toks")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    wanted = term_weights(df_of, F.lit(total["n"]), queries, query, text, how)
+    return _best(okapi_topk(toks, doc, "toks", wanted, query, k, total["avgdl"] or 1.0, how.k1, how.b), docs, queries, query, doc, k)
+
+
+# -- an index that is searched many times ------------------------------------------------
+
+
+@dataclass(frozen=True)
+class PostingIndex:
+    """Postings (term, block, doc, reach), the peak of each term in each block, documents per term, and their number.
+
+    ``reach`` is what a term gives a document before its weight.  Blocks hold about ``DOC_BLOCK`` documents.
+    """
+
+    doc: str
+    postings: DataFrame
+    peaks: DataFrame
+    terms: DataFrame
+    n: float
+    how: Okapi
+
+
+def posting_index(docs: DataFrame, doc: str = "doc_id", text: str = "text", how: Okapi = Okapi()) -> PostingIndex:
+    """Count the terms of all documents once and write them as postings in blocks."""
+    toks = spread(docs.select(doc, text)).repartition(doc).select(doc, F.explode(S.blank_split(text)).alias("term"))
+    tf = toks.groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
+    # A document's length is the sum of its term counts; the rows are already together.
+    tf = settle(tf.withColumn("dl", F.sum("tf").over(Window.partitionBy(doc))))
+    n = float(docs.count())
+    avgdl = (tf.agg(F.sum("tf")).first()[0] or 0) / max(n, 1.0) or 1.0
+    reach = F.col("tf") * (how.k1 + 1) / (F.col("tf") + how.k1 * (1 - how.b + how.b * F.col("dl") / F.lit(avgdl)))
+    block = F.pmod(F.xxhash64(doc), F.lit(max(1, math.ceil(n / DOC_BLOCK))))
+    postings = settle(tf.select("term", block.alias("block"), doc, reach.alias("reach")))
+    peaks = settle(postings.groupBy("term", "block").agg(F.max("reach").alias("peak"), F.count(F.lit(1)).alias("held")))
+    terms = settle(peaks.groupBy("term").agg(F.sum("held").alias("df"), F.max("peak").alias("top")))
+    return PostingIndex(doc, postings, peaks.drop("held"), terms, n, how)
+
+
+def index_hits(index: PostingIndex, queries: DataFrame, k: int = 3, query: str = "item_id", text: str = "text") -> DataFrame:
+    """Scored (query, document) pairs among which are the ``k`` best of every query.
+
+    The ``LEAD`` blocks that promise most give each query a score that its ``k`` best reach at least.  Terms that
+    cannot reach a part of it even together (the common ones) open no block; the others open a block if their
+    peaks there, and what the common terms can add at most, reach it.  In open blocks documents are scored by the
+    opening terms, and by the common ones only if that can still lift them.  Queries with a negative weight have
+    no such bound and open every block of their terms.
+    """
+    doc, postings = index.doc, index.postings
+    wanted = settle(term_weights(index.terms.select("term", "df"), F.lit(index.n), queries, query, text, index.how))
+    postings = postings.join(wanted.select("term").distinct(), "term", "left_semi")
+    ranked = settle(wanted.join(index.terms.select("term", "top"), "term").withColumn("most", F.col("w") * F.col("top")))
+    signs = ranked.groupBy(query).agg(F.min("w").alias("least"))
+    added = lambda c: F.sum(F.col("w") * F.col(c))
+    blocks = settle(ranked.join(index.peaks, "term").select(query, "term", "w", "block", "peak"))
+    promise = blocks.groupBy(query, "block").agg(added("peak").alias("bound"))
+    lead = _rank(promise, query, "block", LEAD, "bound").select(query, "block")
+    full = lead.join(wanted, query).join(postings, ["term", "block"]).groupBy(query, doc).agg(added("reach").alias("score"))
+    marks = _rank(full, query, doc, k).groupBy(query).agg(F.min("score").alias("mark"), F.count(F.lit(1)).alias("have"))
+    marks = marks.join(signs, query).filter((F.col("have") == k) & (F.col("least") >= 0)).select(query, (F.col("mark") - MARGIN).alias("mark"))
+    # terms that can reach a part of it, alone or with all weaker ones: what the weakest ones add is then little
+    upto = Window.partitionBy(query).orderBy("most", "term")
+    ranked = ranked.withColumn("weaker", F.sum("most").over(upto)).join(marks, query, "left")
+    ranked = settle(ranked.withColumn("opens", F.col("mark").isNull() | (F.col("weaker") >= WEAK * F.col("mark"))))
+    rest = ranked.groupBy(query).agg(F.coalesce(F.sum(F.when(~F.col("opens"), F.col("most"))), F.lit(0.0)).alias("rest"), F.max("mark").alias("mark"))
+    reaches = lambda bound: F.col("mark").isNull() | (F.col(bound) + F.col("rest") >= F.col("mark"))
+    opening = ranked.filter("opens").select(query, "term", "w")
+    opened = blocks.join(opening.select(query, "term"), [query, "term"], "left_semi").groupBy(query, "block").agg(added("peak").alias("bound"))
+    opened = opened.join(rest, query).filter(reaches("bound")).select(query, "block")
+    # documents of open blocks by the terms that open, then the others' share of those that can still make it
+    strong = opened.join(opening, query).join(postings, ["term", "block"]).groupBy(query, doc, "block").agg(added("reach").alias("strong"))
+    strong = settle(strong.join(rest, query).filter(reaches("strong")).select(query, doc, "block", "strong"))
+    weak = strong.join(ranked.filter("not opens").select(query, "term", "w"), query).join(postings, ["term", "block", doc])
+    parts = strong.select(query, doc, F.col("strong").alias("part")).unionByName(weak.select(query, doc, (F.col("w") * F.col("reach")).alias("part")))
+    return parts.groupBy(query, doc).agg(F.round(F.sum("part"), 9).alias("score"))
+
+
+def index_topk(index: PostingIndex, docs: DataFrame, queries: DataFrame, k: int = 3, query: str = "item_id", text: str = "text") -> DataFrame:
+    """``bm25_topk`` from stored postings: only the postings of the queries' own terms are read."""
+    return _best(index_hits(index, queries, k, query, text), docs, queries, query, index.doc, k)
 
 
 # -- vectors -----------------------------------------------------------------------------
