@@ -309,3 +309,22 @@ print("words", len(spelling.group_variants(spark.createDataFrame([("abcdefg", 2)
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows 9 9 9" in done.stdout and "words 2" in done.stdout, done.stderr[-2000:]
+
+
+@pytest.mark.parametrize("shape", ["dense third", "off centre"])
+def test_recall_where_vectors_point_alike(spark, shape):
+    g = np.random.default_rng(12)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    near = lambda x, c: unit(c * x + np.sqrt(1 - c * c) * unit(g.normal(size=x.shape)))
+    n, dim = 6000, 64
+    centre = unit(g.normal(size=dim))
+    x = unit(g.normal(size=(n, dim)))
+    crowd = n // 3 if shape == "dense third" else n
+    x[:crowd] = near(np.tile(centre, (crowd, 1)), np.sqrt(0.9) if shape == "dense third" else 0.6)
+    x = np.concatenate([x, near(x[:200], 0.957)])
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in embeddup.near_duplicates(vectors, window=32).collect()}
+    links = (x @ x.T >= 0.95).sum(axis=1) - 1
+    asked = [i for i in range(len(x)) if i % 50 == 0 or i >= n]
+    assert all(got[i] <= links[i] for i in range(len(x)))
+    assert sum(got[i] for i in asked) >= 0.95 * sum(links[i] for i in asked) > 0

@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.llm.components import smallest_reachable
@@ -18,6 +18,9 @@ WINDOW = 256
 #: Random hashes of a sort key, the share of pairs at the threshold to be found, and passes at least.
 HASHES, RECALL, PASSES = 48, 0.995, 4
 SEED = 5
+#: Vectors whose links are found by brute force to measure a pass count, links of each that are kept in a batch and
+#: altogether, and the share of these links that the passes have to meet.
+SAMPLE, SAMPLE_LINKS, MEASURED = 256, 64, 0.97
 _BLOCKS = "pass int, dim int, low long, gap int"
 
 
@@ -44,8 +47,9 @@ def _unit(flat: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _keys(classes: DataFrame, passes: int) -> DataFrame:
-    """rep, pass, key: the signs of random projections, one after another, as the bits of a long."""
+def _keys(classes: DataFrame, begin: int, end: int) -> DataFrame:
+    """rep, pass, key of passes ``begin`` to ``end``: the signs of random projections, one after another, as the bits of a long."""
+    passes = end - begin
 
     def run(batches):
         for batch in batches:
@@ -53,11 +57,11 @@ def _keys(classes: DataFrame, passes: int) -> DataFrame:
             for size in sorted({len(v) for v in vectors}):
                 rows = [i for i, v in enumerate(vectors) if len(v) == size]
                 x = _unit(np.array([vectors[i] for i in rows], np.float64))
-                planes = np.random.default_rng([SEED, size]).normal(size=(size, passes * HASHES))
+                planes = np.concatenate([np.random.default_rng([SEED, size, p]).normal(size=(size, HASHES)) for p in range(begin, end)], axis=1)
                 bits = (x @ planes > 0).reshape(len(rows), passes, HASHES)
                 keys = (bits.astype(np.int64) << np.arange(HASHES - 1, -1, -1)).sum(axis=2)
                 reps = batch.column(0).take(pa.array(np.repeat(rows, passes)))
-                turn = np.tile(np.arange(passes, dtype=np.int32), len(rows))
+                turn = np.tile(np.arange(begin, end, dtype=np.int32), len(rows))
                 dim = np.full(len(turn), size, np.int32)
                 yield pa.RecordBatch.from_arrays([reps, pa.array(turn), pa.array(dim), pa.array(keys.ravel())], ["rep", "pass", "dim", "key"])
 
@@ -94,6 +98,54 @@ def _ranks(keys: DataFrame) -> DataFrame:
     )
 
 
+def _sampled_links(classes: DataFrame, cosine: float) -> DataFrame:
+    """Links (a, b) of ``SAMPLE`` classes, drawn by hash, with all classes; of very many links of one some are kept."""
+    sample = [(r["rep"], r["v"]) for r in classes.orderBy("rep").limit(SAMPLE).select("rep", "v").collect()]
+
+    def run(batches):
+        for batch in batches:
+            vectors, reps = batch.column(1).to_pylist(), batch.column(0).to_numpy()
+            for size in sorted({len(v) for v in vectors} & {len(v) for _, v in sample}):
+                rows = np.array([i for i, v in enumerate(vectors) if len(v) == size])
+                names = np.array([r for r, v in sample if len(v) == size])
+                hit = _linked(_unit(np.array([v for _, v in sample if len(v) == size], np.float64)), _unit(np.array([vectors[i] for i in rows], np.float64)), cosine)
+                hit &= names[:, None] != reps[rows][None, :]
+                hit &= np.cumsum(hit, axis=1) <= SAMPLE_LINKS
+                i, j = np.nonzero(hit)
+                yield pa.RecordBatch.from_arrays([pa.array(names[i], pa.int64()), pa.array(reps[rows[j]], pa.int64())], ["a", "b"])
+
+    found = classes.select("rep", "v").mapInArrow(run, "a long, b long")
+    some = Window.partitionBy("a").orderBy(F.xxhash64("a", "b"), "b")
+    return found.withColumn("place", F.row_number().over(some)).where(F.col("place") <= SAMPLE_LINKS).drop("place")
+
+
+def _met(links: DataFrame, ranks: DataFrame) -> float:
+    """Share of the links whose ends stand in the same or in neighbouring blocks in some pass; 1 without links."""
+    end = lambda name: ranks.select(F.col("rep").alias(name), "pass", F.col("block").alias(f"block_{name}"))
+    both = links.join(end("a"), "a").join(end("b"), ["b", "pass"]).groupBy("a", "b")
+    return both.agg(F.max((F.abs(F.col("block_a") - F.col("block_b")) <= 1).cast("double")).alias("met")).agg(F.avg("met")).first()[0] or 0.0
+
+
+def _ranked(classes: DataFrame, cosine: float, window: int, recall: float) -> DataFrame:
+    """rep, pass, dim, rank, block of as many passes as the vectors need.
+
+    Their number follows from the number of classes as if these pointed everywhere.  Where many of them point
+    alike it takes more, so links of a bounded sample, found by brute force over all classes, are looked for in
+    the passes, and passes are added until ``MEASURED`` of them meet or the passes compare as many pairs as brute
+    force would.
+    """
+    n = classes.count()
+    blocks = lambda begin, end: settle(_ranks(_keys(classes, begin, end)).withColumn("block", F.floor(F.col("rank") / window)))
+    passes = pass_count(n, cosine, window, recall)
+    ranks, links = blocks(0, passes), settle(_sampled_links(classes, cosine))
+    if links.isEmpty():
+        return ranks
+    while _met(links, ranks) < MEASURED and passes * window < n:
+        more = passes + max(1, passes // 2)
+        ranks, passes = ranks.unionByName(blocks(passes, more)), more
+    return ranks
+
+
 def _linked(x: np.ndarray, y: np.ndarray, cosine: float) -> np.ndarray:
     return x @ y.T >= cosine
 
@@ -172,7 +224,7 @@ def near_duplicates(
     most.  Where a link spans a whole window the set may reach further: the next block is compared as well,
     as long as such links appear.  A pair counts in the first pass that compares it; a block reports counts
     and a spanning set of links, never its list of pairs.  The number of passes follows from the number of
-    classes, the threshold and the recall asked for.  Rows that repeat a vec_id are vectors of their own; a
+    classes, the threshold and the recall asked for, and from the recall measured on a sample.  Rows that repeat a vec_id are vectors of their own; a
     null vec_id keeps its row, counts as a link of others and names no component (its own component_id is the
     smallest vec_id reachable, or null).  An empty table gives no rows.
     """
@@ -181,11 +233,9 @@ def near_duplicates(
     classes = settle(
         rows.where("v is not null").groupBy("code").agg(F.min("vec_id").alias("first"), F.count("*").alias("size"), F.any_value("v").alias("v")).withColumn("rep", F.xxhash64("code"))
     )
-    n = classes.count()
-    if not n:
+    if classes.isEmpty():
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    passes = pass_count(n, cosine, window, recall)
-    ranks = settle(_ranks(_keys(classes, passes)).withColumn("block", F.floor(F.col("rank") / window)))
+    ranks = _ranked(classes, cosine, window, recall)
     placed = settle(ranks.join(classes.select("rep", "size", "v"), "rep"))
     # blocks at the seams of passes and dimensions never meet: vectors of another length cannot link
     known = ranks.select("pass", "dim", "block").distinct()
