@@ -185,6 +185,15 @@ def test_many_unseen_identifiers_do_not_hide_each_other(docs_of):
     assert got[400] == "" and all(got[300 + i] == "" for i in range(12))
 
 
+def test_identifiers_side_by_side_are_candidates_of_their_own(docs_of):
+    rows = [(i, f"please call +1 (555) 010-{1000 + i} today") for i in range(12)]
+    rows += [(50, "please call 555-010-7777, 555-010-8888 now"), (51, "please call 555-010-7777 2 times"), (52, "please call 555 010 7777 now")]
+    rows += [(53, "some words before these please-call 555-010-6666."), (54, "w" * 70 + " please call 3 or 555-010-5555")]
+    got = {r["doc_id"]: r["spans"] for r in pii.find_personal_data(docs_of(rows)).collect()}
+    assert got[50] == "phone:12:24,phone:26:38" and got[51] == "phone:12:24" and got[52] == "phone:12:24"
+    assert got[53] == "phone:36:48" and got[54] == ""  # there the word before is "or"
+
+
 def near_vectors(rng, groups=25, size=64):
     centres = rng.normal(size=(groups, size))
     rows = [c + rng.normal(size=size) * 0.12 for c in centres for _ in range(int(rng.integers(1, 30)))]

@@ -26,8 +26,8 @@ HINTS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){
 #: Runs of tokens that hold a digit or an at sign: the candidates of the method.
 CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?: [^\s0-9@]*+[0-9@]\S*+)*+"
 EDGE = r"[\p{Punct}&&[^+@]]"
-#: Characters before a candidate that are looked at.
-CONTEXT = 60
+# The last word of a text and the one before it, read backwards.
+LAST_WORDS = r"^[^\p{L}]*+([\p{L}]++)(?:[^\p{L}]++([\p{L}]++))?"
 #: Rounds of scoring, distinct seeds that a pattern needs, and the score from which it and its finds count.
 ROUNDS, SUPPORT, TRUST = 3, 5, 0.8
 
@@ -98,7 +98,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         found, between = _matches(text, BASE[kind], HINTS[kind])
         columns += [found.alias(kind), F.transform(between, F.length).alias(f"{kind}_gaps")]
     found, between = _matches(text, CANDIDATE, "[0-9@]")
-    before = F.transform(between, lambda g: F.struct(F.length(g).alias("n"), F.right(g, F.lit(CONTEXT)).alias("left")))
+    word = lambda back, n: F.reverse(F.regexp_extract(back, LAST_WORDS, n))
+    left = lambda g: F.concat_ws(" ", word(F.reverse(g), 2), word(F.reverse(g), 1))
+    before = F.transform(between, lambda g: F.struct(F.length(g).alias("n"), left(g).alias("left")))
     return settle(rows.select("doc_id", *columns, found.alias("candidate"), before.alias("before")).withColumn("row", F.monotonically_increasing_id()))
 
 
@@ -111,6 +113,34 @@ def base_spans(scanned: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _trimmed(value: str) -> Column:
+    return F.regexp_replace(F.regexp_replace(value, rf"^(?:{EDGE}(?!\())*+", ""), rf"{EDGE}+$", "")
+
+
+def _seed(kind: str, core: Column) -> Column:
+    return core.rlike("^(?:" + BASE[kind] + ")$") & valid(kind, core)
+
+
+def _pieces(placed: DataFrame) -> DataFrame:
+    """row, start, value, lefts: runs of several tokens cut at the tokens that fit a kind by themselves.
+
+    A run that is as a whole a valid base match stays whole, and so do tokens between cuts, such as the groups of
+    a spaced number.  Pieces share the words before their run.
+    """
+    whole = reduce(lambda a, b: a | b, (F.coalesce(_seed(k, _trimmed("value")), F.lit(False)) for k in KINDS))
+    placed = placed.withColumn("cut", F.col("value").contains(" ") & ~whole)
+    tokens = placed.where("cut").select("row", "at", "lefts", "start", F.posexplode(F.split("value", " ")).alias("p", "token"))
+    run = Window.partitionBy("row", "at").orderBy("p")
+    before = F.coalesce(F.sum(F.length("token") + 1).over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    alone = reduce(lambda a, b: a | b, (F.coalesce(fits(k, _trimmed("token")), F.lit(False)) for k in KINDS))
+    tokens = tokens.withColumn("begin", F.col("start") + before).withColumn("alone", alone)
+    opens = F.col("alone") | F.coalesce(F.lag("alone").over(run), F.lit(False))
+    tokens = tokens.withColumn("piece", F.sum(opens.cast("int")).over(run))
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("p", "token"))), lambda t: t["token"]), " ")
+    parts = tokens.groupBy("row", "at", "piece").agg(F.min("begin").alias("start"), joined.alias("value"), F.max("lefts").alias("lefts"))
+    return placed.where("not cut").select("row", "start", "value", "lefts").unionByName(parts.select("row", "start", "value", "lefts"))
+
+
 def candidates(scanned: DataFrame) -> DataFrame:
     """row, start, end, kind, instance, seed, patterns: a row for each kind that a candidate could be, or one of null kind.
 
@@ -118,15 +148,14 @@ def candidates(scanned: DataFrame) -> DataFrame:
     it; it is a seed of a kind if it is as a whole a valid base match.
     """
     rows = scanned.withColumn("gaps", F.transform("before", lambda b: b["n"])).withColumn("lefts", F.transform("before", lambda b: b["left"]))
-    placed = _placed(rows, "candidate", "gaps", "lefts")
+    placed = _pieces(_placed(rows, "candidate", "gaps", "lefts"))
     lead = F.length(F.regexp_extract("value", rf"^(?:{EDGE}(?!\())*+", 0))
-    trimmed = F.regexp_replace(F.regexp_replace("value", rf"^(?:{EDGE}(?!\())*+", ""), rf"{EDGE}+$", "")
-    placed = placed.withColumn("core", trimmed).withColumn("start", F.col("start") + lead).withColumn("end", F.col("start") + F.length("core"))
+    placed = placed.withColumn("core", _trimmed("value")).withColumn("start", F.col("start") + lead).withColumn("end", F.col("start") + F.length("core"))
     words = F.regexp_extract_all(F.lower("lefts"), F.lit(r"[\p{L}]+"), F.lit(0))
     one, two = F.element_at("w", -1), F.concat_ws(" ", F.slice("w", -2, 2))
     kinds = []
     for kind in KINDS:
-        seed = F.col("core").rlike("^(?:" + BASE[kind] + ")$") & valid(kind, F.col("core"))
+        seed = _seed(kind, F.col("core"))
         kinds.append(F.when(fits(kind, F.col("core")), F.struct(F.lit(kind).alias("kind"), F.coalesce(seed, F.lit(False)).alias("seed"))))
     patterns = F.when(F.size("w") >= 2, F.array(F.concat(F.lit("1:"), one), F.concat(F.lit("2:"), two))).when(F.size("w") == 1, F.array(F.concat(F.lit("1:"), one)))
     return (
