@@ -111,10 +111,9 @@ def group_summary(df: DataFrame, by: str, value: str, flag: Column | None = None
 def flag_rate(df: DataFrame, by: str, flag: Column) -> DataFrame:
     """Percent of flagged rows per group and over all rows (``__all__``)."""
     one = df.select(F.col(by).cast("string").alias(by), flag.cast("double").alias("__f"))
-    groups = one.groupBy(by).agg(F.sum("__f").alias("__s"), F.count("__f").alias("n"))
-    every = one.agg(F.lit("__all__").alias(by), F.sum("__f").alias("__s"), F.count("__f").alias("n"))
-    out = groups.unionByName(every)
-    return out.select(by, "n", (F.try_divide("__s", F.col("n")) * 100).alias("rate"))
+    both = one.rollup(by).agg(F.grouping(by).alias("__all"), F.sum("__f").alias("__s"), F.count("__f").alias("n"))
+    name = F.when(F.col("__all") == 1, F.lit("__all__")).otherwise(F.col(by))
+    return both.select(name.alias(by), "n", (F.try_divide("__s", F.col("n")) * 100).alias("rate"))
 
 
 def zscore_outliers(df: DataFrame, cols: Sequence[str], z: float = 3.0) -> DataFrame:

@@ -71,6 +71,21 @@ def oof_bagged(spark, sf):
     return scored.select("doc_id", "label", "n_models", F.col("proba").between(0, 1).alias("in_range"))
 
 
+_WIDE = {
+    "numTrees": [5, 10, 20, 40], "maxDepth": [2, 4, 6, 10], "minInstancesPerNode": [1, 2, 5], "featureSubsetStrategy": ["sqrt", "log2", "all"], "maxBins": [16, 32]
+}
+
+
+@query("model_search_rules", "SELECT 6 AS n, 21 AS places, true AS falling, true AS in_range, 6 AS settings")
+def model_search_rules(spark, sf):
+    """Six of 288 settings in five folds: places 1 to 6 by falling F1, each setting once."""
+    found = M.model_select(_labelled(spark, sf), "doc_id", TEXT, "quality", _WIDE, k=5, draws=6)
+    pairs = found.agg(F.sort_array(F.collect_list(F.struct("place", "f1"))).alias("p"), F.sum("place").alias("places"), F.count_distinct("settings").alias("settings"))
+    f1 = F.col("p.f1")
+    falling = F.forall(F.sequence(F.lit(1), F.size("p") - 1), lambda i: F.get(f1, i) <= F.get(f1, i - 1))
+    return pairs.select(F.size("p").alias("n"), "places", falling.alias("falling"), F.forall(f1, lambda x: x.between(0, 1)).alias("in_range"), "settings")
+
+
 @query("class_weights", "SELECT doc_id, quality, round((SELECT count(*) FROM labels) / (2.0 * count(*) OVER (PARTITION BY quality)), 9) AS weight FROM labels")
 def class_weights(spark, sf):
     return rounded(M.balance(table(spark, sf, "labels").select("doc_id", "quality"), "quality"), 9, "weight")

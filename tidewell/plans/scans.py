@@ -29,14 +29,13 @@ def normalize_columns(spark, sf):
 
 @query("scan_documents", "SELECT page_id, html <> '' AS has_text, length(html) AS n FROM pages")
 def scan_documents(spark, sf):
-    """Every page as a text file of its own, found again by suffix; a folder of other files is left out."""
+    """Pages as text files of up to a thousand, found again by suffix; each page begins with its number and a mark."""
     path, pages = _folder(spark, "texts"), table(spark, sf, "pages")
-    one = pages.select(F.concat(F.lit("page-"), F.col("page_id")).alias("name"), F.col("html").alias("value"))
-    one.repartition("name").write.partitionBy("name").option("lineSep", "\u0001").text(path)
-    found = files.read_documents(spark, path).withColumn("text", F.regexp_replace("text", "\u0001$", ""))
-    return found.select(
-        F.regexp_extract("source", "page-([0-9]+)", 1).cast("bigint").alias("page_id"), (F.col("text") != "").alias("has_text"), F.length("text").alias("n")
-    )
+    page = F.concat(F.col("page_id").cast("string"), F.lit("\u0002"), F.col("html"))
+    pages.select(page.alias("value")).write.option("lineSep", "\u0001").option("maxRecordsPerFile", 1000).text(path)
+    found = files.read_documents(spark, path).select(F.explode(F.split("text", "\u0001")).alias("page")).filter(F.contains("page", F.lit("\u0002")))
+    text = F.substring("page", F.instr("page", "\u0002") + 1, F.length("page"))
+    return found.select(F.substring_index("page", "\u0002", 1).cast("bigint").alias("page_id"), (text != "").alias("has_text"), F.length(text).alias("n"))
 
 
 @query("csv_any", "SELECT s_suppkey::VARCHAR AS s_suppkey, s_name, s_acctbal::VARCHAR AS s_acctbal FROM supplier")
