@@ -20,6 +20,8 @@ COMMON = "etaoinsrhldcumfpgwybvkxjqz"
 GROUPS, PARTS = 30, 3
 #: Words of a block that meet in one task, letters compared as arrays, pairs of a trie node that are compared at once.
 BLOCK, WIDE, PAIRS = 8_192, 48, 1 << 15
+#: Parts into which the words of a crowded cell are dealt while they learn its number of blocks.
+SALTS = 32
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -168,7 +170,10 @@ def near_words(counts: DataFrame, block: int = BLOCK) -> DataFrame:
     rows = settle(counts.select("word", "n").mapInArrow(_cells, "word string, n long, cell binary"))
     crowded = rows.groupBy("cell").count().where(F.col("count") > block)
     crowded = crowded.select("cell", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
-    dealt = rows.join(crowded, "cell", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    # words of one cell meet its number of blocks under several salts, as a crowded cell is one key
+    crowded = crowded.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("word"), F.lit(SALTS)).cast("int"))
+    dealt = salted.join(crowded, ["cell", "salt"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     dealt = dealt.withColumn("mine", F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("cell", "word", "n", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
