@@ -16,6 +16,24 @@ from tidewell.operators import retrieval as X
 from tidewell.streaming import jobs as ST
 
 
+def test_stream_of_a_table_in_several_files(spark, tmp_path):
+    rows = [(i, f"text {i % 4}", "en" if i == 0 else "de") for i in range(10)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    df.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    df.write.parquet(str(tmp_path / "other.parquet"))
+    stream = ST.stream_files(spark, str(tmp_path), df, "documents.parquet")
+    got = ST.corpus_add(stream, df.filter("lang = 'en'"), "text", ["doc_id"], str(tmp_path / "job")).collect()
+    assert sorted(r.doc_id for r in got) == [1, 2, 3]
+
+
+def test_stream_of_a_table_in_one_file(spark, tmp_path):
+    df = spark.range(5)
+    df.coalesce(1).write.parquet(str(tmp_path / "parts"))
+    next((tmp_path / "parts").glob("*.parquet")).rename(tmp_path / "table.parquet")
+    stream = ST.stream_files(spark, str(tmp_path), df, "table.parquet")
+    assert ST.run_append(stream, str(tmp_path / "job")).count() == 5
+
+
 def test_forest_of_classes_in_nodes_of_any_size(spark, node):
     rng = random.Random(2)
     x = [(rng.random(), rng.random(), rng.random()) for _ in range(1600)]

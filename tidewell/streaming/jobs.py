@@ -21,10 +21,16 @@ from ..session import new_folder
 
 
 def stream_files(spark: SparkSession, folder: str, like: DataFrame, glob: str = "*.parquet", per_batch: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(like.schema).option("pathGlobFilter", glob)
+    """The files of ``folder`` whose names match ``glob``; a name without a wildcard is one file, or a folder of files.
+
+    A stream takes a single file only by a pattern, so such a name becomes one that fits it alone.
+    """
+    reader = spark.readStream.schema(like.schema)
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
-    return reader.parquet(folder)
+    if any(mark in glob for mark in "*?[{"):
+        return reader.option("pathGlobFilter", glob).parquet(folder)
+    return reader.parquet(f"{folder}/{glob[:-1]}[{glob[-1]}]")
 
 
 def job_folder(spark: SparkSession, name: str) -> str:
