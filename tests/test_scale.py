@@ -66,3 +66,11 @@ def test_no_draw_and_one_row(spark):
     data = M.assemble(spark.createDataFrame([(1, 1.0, 2.0), (2, 0.0, 3.0)], "id int, label double, a double"), ["a"], ["id", "label"])
     got = FO.Forest(2, 1, 3, 30, 1).scores(data.limit(1), data, "id").collect()
     assert len(got) == 2 and all(r.prediction in (0.0, 1.0) for r in got)
+
+
+def test_sessions_of_a_key_with_ties(spark, tmp_path):
+    from tests.test_streams import plain_sessions, run
+
+    rng = random.Random(4)
+    rows = [(1, 7 * rng.randrange(4000), f"l{k % 50}") for k in range(3000)]
+    assert run(spark, tmp_path, [rows[:2000], rows[2000:]], 20, 3, "30 days", "ties") == plain_sessions(rows, 20, 3)

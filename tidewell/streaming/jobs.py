@@ -8,9 +8,11 @@ number, and ``current`` reads the newest row of each group, so late rows still c
 from __future__ import annotations
 
 import heapq
+import itertools
 import json
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -185,12 +187,12 @@ def sessions(stream: DataFrame, key: str, ts: str, line: str, gap_s: int, n: int
         before = {s: (e, c) for s, e, c, _ in held}
         if not state.hasTimedOut:
             for pdf in chunks:
-                new = pdf[["__t", "__line"]].sort_values(["__t", "__line"], kind="stable")
-                runs = (new["__t"].diff() > gap).cumsum()
-                parts = [
-                    [int(p["__t"].iloc[0]), int(p["__t"].iloc[-1]), len(p), list(zip(p["__t"].tail(n).tolist(), p["__line"].tail(n).tolist()))]
-                    for _, p in new.groupby(runs)
-                ]
+                if pdf.empty:
+                    continue
+                new = sorted(zip(pdf["__t"].tolist(), pdf["__line"].tolist()))
+                times = np.array([t for t, _ in new], np.int64)
+                ends = [*(np.flatnonzero(np.diff(times) > gap) + 1).tolist(), len(new)]
+                parts = [[new[a][0], new[b - 1][0], b - a, new[max(a, b - n) : b]] for a, b in itertools.pairwise([0, *ends])]
                 held = join_up([*held, *parts])
             changed = [s for s in held if before.get(s[0]) != (s[1], s[2])]
             gone = sorted(set(before) - {s[0] for s in held})
