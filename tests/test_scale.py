@@ -68,6 +68,20 @@ def test_no_draw_and_one_row(spark):
     assert len(got) == 2 and all(r.prediction in (0.0, 1.0) for r in got)
 
 
+def test_paths_of_ranked_trees():
+    g = np.random.default_rng(1)
+    x = np.round(g.random((500, 3)), 1)
+    trees = [M._grow_tree(x[g.integers(0, 500, 64)], g, 6) for _ in range(5)]
+    cuts, ranked = M._ranked(trees, 3)
+    columns = [np.searchsorted(c, x[:, i]).astype(np.uint32) for i, c in enumerate(cuts)]
+    flat, rows = np.stack(columns, axis=1).ravel(), np.arange(500) * 3
+    for (feature, cut, path), tree in zip(trees, ranked):
+        at = np.zeros(500, int)
+        for _ in range(6):
+            at = 2 * at + 1 + (x[np.arange(500), feature[at]] > cut[at])
+        assert (M._paths(tree, columns, flat, rows, 6) == path[at]).all()
+
+
 def test_sessions_of_a_key_with_ties(spark, tmp_path):
     from tests.test_streams import plain_sessions, run
 

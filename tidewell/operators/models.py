@@ -11,6 +11,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -26,14 +27,16 @@ from ..functions import det
 from ..functions import strings as S
 from ..session import kept_in_worker, read_folder, settle, spread
 from .features import bootstrap, class_report, confusion, fit_medians, impute, label_encode, ranking_metrics, regression_report, split, stratified_folds
-from .gram import add_up, gram_by_key, solve
 from .forest import Forest
+from .gram import add_up, gram_by_key, solve
 from .ordered import with_position
 from .relational import numeric_columns
 from .retrieval import knn_blocks
 from .series import explode_range, supervised_windows
 
 MANY_CLASSES = 20
+#: Rows that an isolation forest scores together, and nodes of a tree that compare whole columns (four levels).
+SCORED, FLAT = 20_000, 15
 
 
 def text_features(df: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -358,6 +361,52 @@ def deal_to_trees(numbers: DataFrame, ids: Sequence[str], feats: Sequence[str],
     mark = F.concat_ws("|", *[F.col(c).cast("string") for c in [*ids, *feats]])
     if share >= 1:
         every = numbers.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+def _together(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together to about ``rows`` rows."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if size:
+        yield pa.concat_batches(held)
+
+
+def _ranked(trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]], features: int) -> tuple[list[np.ndarray], list[tuple]]:
+    """The sorted cuts of each feature, and the trees with the numbers of their cuts; a leaf has the number above all."""
+    cuts = [np.unique(np.concatenate([np.zeros(0), *(c[(f == i) & np.isfinite(c)] for f, c, _ in trees)])) for i in range(features)]
+    out = []
+    for feature, cut, path in trees:
+        number = np.zeros(len(cut), np.uint32)
+        for i, known in enumerate(cuts):
+            number[feature == i] = np.searchsorted(known, cut[feature == i])
+        out.append((feature, number, feature[:FLAT].tolist(), number[:FLAT].tolist(), path))
+    return cuts, out
+
+
+def _paths(tree: tuple, columns: list[np.ndarray], flat: np.ndarray, rows: np.ndarray, limit: int) -> np.ndarray:
+    """Path length of each row.  In the first levels all nodes compare whole columns and earlier turns say which one counts."""
+    feature, number, features, numbers, path = tree
+    turns: list[np.ndarray] = []
+    at = np.zeros(len(rows), np.int64)
+    for level in range(limit):
+        if 2 ** (level + 1) - 1 <= FLAT:
+            sides = [columns[features[n]] > numbers[n] for n in range(2**level - 1, 2 ** (level + 1) - 1)]
+            for turn in turns:
+                half = len(sides) // 2
+                sides = [low ^ ((low ^ high) & turn) for low, high in zip(sides[:half], sides[half:])]
+            above = sides[0]
+            turns.append(above)
+        else:
+            above = flat.take(rows + feature.take(at)) > number.take(at)
+        at += at
+        at += 1
+        at += above
+    return path.take(at)
+
+
         return every.select("tree", det.hash52(F.concat_ws("#", mark, F.col("tree")), str(seed)).alias("draw"), *feats)
     rounds = math.ceil(trees * share)
     dealt = numbers.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1)))) if rounds > 1 else numbers.withColumn("round", F.lit(0))
@@ -390,34 +439,29 @@ def isolation_scores(
     number = lambda c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(0.0))
     numbers = df.select(*ids, *[number(c).alias(n) for c, n in zip(features, feats)])
     limit = max(1, math.ceil(math.log2(max(sample, 2))))
-    dealt = deal_to_trees(numbers, ids, feats, trees, sample, seed)
+    dealt = settle(deal_to_trees(numbers, ids, feats, trees, sample, seed))  # the draws of trees, read twice
     forest = settle(isolation_forest(dealt, feats, sample, limit, seed))
     size = dealt.groupBy("tree").count().agg(F.max("count")).first()[0] or 1
     norm = float(_expected_path(np.array([min(sample, size)]))[0]) or 1.0
     path = forest.settled_path
     schema = T.StructType([*[numbers.schema[c] for c in ids], T.StructField("score", T.DoubleType())])
 
-    def load() -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        rows = read_folder(path).to_pylist()
-        return [(np.array(r["feature"], np.int64), np.array(r["cut"]), np.array(r["path"])) for r in sorted(rows, key=lambda r: r["tree"])]
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grown = kept_in_worker(path, load)
-        for b in batches:
-            x = np.ascontiguousarray(b[feats].to_numpy(np.float64))
-            flat, rows = x.ravel(), np.arange(len(x)) * len(feats)
-            depth = np.zeros(len(x))
-            for feature, cut, lengths in grown:
-                at = np.zeros(len(x), dtype=np.int64)
-                for _ in range(limit):
-                    above = flat.take(rows + feature.take(at)) > cut.take(at)
-                    at = 2 * at + 1 + above
-                depth += lengths.take(at)
-            out = b[ids].copy()
-            out["score"] = 2.0 ** (-depth / (len(grown) * norm))
-            yield out
-
-    return spread(numbers).mapInPandas(score, schema)
+    def load() -> tuple[list[np.ndarray], list[tuple]]:
+        rows = sorted(read_folder(path).to_pylist(), key=lambda r: r["tree"])
+        return _ranked([(np.array(r["feature"], np.int64), np.array(r["cut"]), np.array(r["path"])) for r in rows], len(feats))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts, grown = kept_in_worker(path, load)
+        for b in _together(batches, SCORED):
+            columns = [np.searchsorted(c, b.column(len(ids) + i).to_numpy()).astype(np.uint32) for i, c in enumerate(cuts)]
+            flat, rows = np.stack(columns, axis=1).ravel(), np.arange(b.num_rows) * len(feats)
+            depth = np.zeros(b.num_rows)
+            for tree in grown:
+                depth += _paths(tree, columns, flat, rows, limit)
+            made = pa.array(2.0 ** (-depth / (len(grown) * norm)))
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(ids))), made], schema.names)
+
+    return spread(numbers).mapInArrow(score, schema)
 
 
 # -- lag-linear series model -------------------------------------------------------------
