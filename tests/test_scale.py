@@ -68,6 +68,15 @@ def test_no_draw_and_one_row(spark):
     assert len(got) == 2 and all(r.prediction in (0.0, 1.0) for r in got)
 
 
+def test_medians_of_columns_with_gaps_only(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(M, "fit_medians", lambda df, cols, f=M.fit_medians: asked.append(list(cols)) or f(df, cols))
+    df = spark.createDataFrame([(1, 1.0, 5), (2, None, 6), (3, 3.0, 7), (4, float("nan"), 8)], "id int, a double, b int")
+    got = {r.id: r.features.toArray().tolist() for r in M.assemble(df, ["a", "b"], ["id"]).collect()}
+    assert asked == [["a"]] and got == {1: [1.0, 5.0], 2: [2.0, 6.0], 3: [3.0, 7.0], 4: [2.0, 8.0]}
+    assert M.assemble(df, ["b"], ["id"]).count() == 4 and asked == [["a"]]
+
+
 def test_paths_of_ranked_trees():
     g = np.random.default_rng(1)
     x = np.round(g.random((500, 3)), 1)

@@ -19,7 +19,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,13 +58,24 @@ def text_features(df: DataFrame, id_col: str, text: str) -> DataFrame:
     ).na.fill(0.0)
 
 
+def _gap(c: str) -> Column:
+    number = F.col(c).cast("double")
+    return number.isNull() | F.isnan(number)
+
+
 def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str], medians: DataFrame | None = None) -> DataFrame:
     """Feature vectors of all rows; a null or NaN takes its column's value in ``medians`` (by default those of ``df``).
 
     A column without any number there becomes 0.
     """
-    medians = fit_medians(df, features) if medians is None else medians
-    filled = impute(df, medians, features).na.fill(0.0, list(features))
+    if medians is None:
+        # Only columns with gaps need their median.
+        gaps = df.agg(*[F.bool_or(_gap(c)).alias(c) for c in features]).first() if features else {}
+        open_ = [c for c in features if gaps[c]]
+        filled = impute(df, fit_medians(df, open_), open_) if open_ else df
+        filled = filled.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
+    else:
+        filled = impute(df, medians, features).na.fill(0.0, list(features))
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(filled).select(*keep, "features")
 
 
@@ -350,17 +361,6 @@ def _grow_tree(x: np.ndarray, rng: np.random.Generator, limit: int) -> tuple[np.
     return feature, cut, path
 
 
-def deal_to_trees(numbers: DataFrame, ids: Sequence[str], feats: Sequence[str], trees: int, sample: int, seed: int) -> DataFrame:
-    """Rows tree, draw and features: somewhat more than ``sample`` rows, drawn by hash, for each tree.
-
-    A draw falls into one of the trees or into none, so a row is looked at a bounded number of times and the
-    rows handed on are about ``trees * sample``, whatever the table's size.
-    """
-    n = max(1, numbers.count())
-    share = min(1.0, (sample + 6 * math.sqrt(sample)) / n)  # of the rows, for one tree
-    mark = F.concat_ws("|", *[F.col(c).cast("string") for c in [*ids, *feats]])
-    if share >= 1:
-        every = numbers.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
 def _together(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
     """Batches put together to about ``rows`` rows."""
     held, size = [], 0
@@ -407,6 +407,17 @@ def _paths(tree: tuple, columns: list[np.ndarray], flat: np.ndarray, rows: np.nd
     return path.take(at)
 
 
+def deal_to_trees(numbers: DataFrame, ids: Sequence[str], feats: Sequence[str], trees: int, sample: int, seed: int) -> DataFrame:
+    """Rows tree, draw and features: somewhat more than ``sample`` rows, drawn by hash, for each tree.
+
+    A draw falls into one of the trees or into none, so a row is looked at a bounded number of times and the
+    rows handed on are about ``trees * sample``, whatever the table's size.
+    """
+    n = max(1, numbers.count())
+    share = min(1.0, (sample + 6 * math.sqrt(sample)) / n)  # of the rows, for one tree
+    mark = F.concat_ws("|", *[F.col(c).cast("string") for c in [*ids, *feats]])
+    if share >= 1:
+        every = numbers.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
         return every.select("tree", det.hash52(F.concat_ws("#", mark, F.col("tree")), str(seed)).alias("draw"), *feats)
     rounds = math.ceil(trees * share)
     dealt = numbers.withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1)))) if rounds > 1 else numbers.withColumn("round", F.lit(0))
