@@ -91,6 +91,12 @@ def test_paths_of_ranked_trees():
         assert (M._paths(tree, columns, flat, rows, 6) == path[at]).all()
 
 
+def test_words_between_blanks_in_tasks(spark):
+    texts = [f"a{chr(c)}b {chr(c)}c" for c in [*range(1, 0x2100), 0x3000, 0xFEFF] if not 0xD800 <= c < 0xE000] + ["", " ", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").select("text", S.blank_split("text").alias("words"))
+    assert all((r.words or []) == S.blank_words(r.text) for r in df.collect())
+
+
 def test_sessions_of_a_key_with_ties(spark, tmp_path):
     from tests.test_streams import plain_sessions, run
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 # What counts as blank, word characters, and the form and password rules.
 BLANK = r"[\s\x0B\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+_BLANKS = "[ \t\n\x0b\f\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"  # the same in Python
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 WORD_CHARS = r"A-Za-z\x{AC00}-\x{D7A3}0-9"
 EMAIL = r"^[^\s@]+@[^\s@]+\.[^\s@]+$"
 PASSWORD_RULES = {
@@ -68,6 +71,14 @@ def blank_split(c) -> Column:
     return F.filter(F.split(_col(c), f"{BLANK}+", -1), lambda t: t != "")
 
 
+def blank_words(text: str | None) -> list[str]:
+    """``blank_split`` of a text inside a task."""
+    text = text or ""
+    if any(mark in text for mark in SEPARATORS):  # blanks to str.split alone
+        return [w for w in re.split(_BLANKS, text) if w]
+    return text.split()
+
+
 def _sections(c) -> Column:
     """A prompt cut before every line that begins with a bracketed header."""
     return F.split(_col(c), r"\n(?=\[[^\]\n]+\])", -1)

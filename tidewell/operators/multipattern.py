@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.strings import blank_words
 from ..session import kept_in_worker, new_folder, read_folder
 
 #: Characters of the keys of a block, and bytes of a run of texts.
@@ -155,11 +156,12 @@ class TermBlock:
                 self.add(row, *self.counts(text))
         return out
 
-    def okapi(self, token_lists: list[list[str]], avgdl: float, k1: float, b: float) -> np.ndarray:
+    def okapi(self, texts: list[str], avgdl: float, k1: float, b: float) -> np.ndarray:
         """Okapi scores at nine digits, a row for each document and a column for each query."""
-        out = np.zeros((len(token_lists), len(self.queries)))
-        for row, tokens in zip(out, token_lists):
-            held = Counter(filter(self.number.__contains__, tokens or ()))
+        out = np.zeros((len(texts), len(self.queries)))
+        for row, text in zip(out, texts):
+            tokens = blank_words(text)
+            held = Counter(filter(self.number.__contains__, tokens))
             if held:
                 tf = np.fromiter(held.values(), np.float64, len(held))
                 reach = tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(tokens) / avgdl))
@@ -200,14 +202,64 @@ def count_topk(docs: DataFrame, doc: str, text: str, words: DataFrame, query: st
 
 
 def okapi_topk(
-    docs: DataFrame, doc: str, tokens: str, weights: DataFrame, query: str, k: int, avgdl: float, k1: float, b: float, step: int = 512
+    docs: DataFrame, doc: str, text: str, weights: DataFrame, query: str, k: int, avgdl: float, k1: float, b: float, step: int = 512
 ) -> DataFrame:
     """Columns query, doc, score: per task the ``k`` documents of the largest Okapi score above 0.
 
-    ``weights`` holds query, term and w, ``docs`` an array of tokens for each document.
+    ``weights`` holds query, term and w.  Texts are cut at blanks one after another, where they are scored.
     """
     wanted = weights.select(query, "term", F.col("w").alias("m"))
-    return _scored(docs, doc, tokens, wanted, query, k, step, False, lambda block, lists: block.okapi(lists, avgdl, k1, b))
+    return _scored(docs, doc, text, wanted, query, k, step, False, lambda block, texts: block.okapi(texts, avgdl, k1, b))
+
+
+def counted_terms(docs: DataFrame, text: str, step: int = 512, most: int = 1 << 17) -> DataFrame:
+    """Rows term, df, docs, tokens: per task how many texts hold a term, and rows without a term that number texts and tokens.
+
+    A task counts in one pass and hands on what it has whenever it holds ``most`` terms.
+    """
+    kinds = pa.schema([("term", pa.string()), ("df", pa.int64()), ("docs", pa.int64()), ("tokens", pa.int64())])
+
+    def row(terms: list, df: list, docs: list, tokens: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip((terms, df, docs, tokens), kinds)], schema=kinds)
+
+    def run(batches):
+        held: Counter[str] = Counter()
+        for batch in batches:
+            n, size = 0, 0
+            for at in range(0, batch.num_rows, step):
+                for one in batch.column(0).slice(at, step).to_pylist():
+                    words = blank_words(one)
+                    n, size = n + 1, size + len(words)
+                    held.update(set(words))
+                if len(held) >= most:
+                    yield row(list(held), list(held.values()), [None] * len(held), [None] * len(held))
+                    held.clear()
+            yield row([None], [None], [n], [size])
+        if held:
+            yield row(list(held), list(held.values()), [None] * len(held), [None] * len(held))
+
+    return docs.select(text).mapInArrow(run, "term string, df long, docs long, tokens long")
+
+
+def term_rows(docs: DataFrame, doc: str, text: str, step: int = 512) -> DataFrame:
+    """A row (doc, term, tf, dl) for each term of each text, dl being the text's words; no row moves for it."""
+    schema = T.StructType([docs.schema[doc], T.StructField("term", T.StringType()), T.StructField("tf", T.LongType()), T.StructField("dl", T.LongType())])
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                held = [Counter(blank_words(one)) for one in part.column(1).to_pylist()]
+                sizes = [len(h) for h in held]
+                columns = [
+                    part.column(0).take(pa.array(np.repeat(np.arange(len(held)), sizes))),
+                    pa.array([t for h in held for t in h], pa.string()),
+                    pa.array([n for h in held for n in h.values()], pa.int64()),
+                    pa.array(np.repeat(np.array([h.total() for h in held], np.int64), sizes)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return docs.select(doc, text).mapInArrow(run, schema)
 
 
 def _scored(docs: DataFrame, doc: str, content: str, words: DataFrame, query: str, k: int, step: int, search: bool, score) -> DataFrame:
@@ -219,14 +271,14 @@ def _scored(docs: DataFrame, doc: str, content: str, words: DataFrame, query: st
     def run(batches):
         best: dict[int, Best] = {}
         load = lambda number: blocks.load(number, lambda t: TermBlock(t, query, search))
-        for part in _runs(batches, 1):
-            ids, contents = part.column(0).to_pylist(), part.column(1).to_pylist()
+        for run in _runs(batches, 1):
             for number in range(blocks.count):
                 block = load(number)
                 if block.terms:
                     held = best.setdefault(number, Best(len(block.queries), k))
-                    for at in range(0, len(ids), step):
-                        held.add(score(block, contents[at : at + step]), ids[at : at + step])
+                    for at in range(0, run.num_rows, step):  # no more than ``step`` texts are Python strings at a time
+                        part = run.slice(at, step)
+                        held.add(score(block, part.column(1).to_pylist()), part.column(0).to_pylist())
         for number, held in best.items():
             who, place = np.nonzero(held.score > 0)
             names = [load(number).queries[w] for w in who.tolist()]
