@@ -107,6 +107,21 @@ def test_postings_count_texts_of_one_id_together(spark):
     assert reach[1, "a"] == pytest.approx(3 * 2.5 / (3 + 1.5 * (0.25 + 0.75 * 5 / (8 / 6))))
 
 
+def test_cosines_move_no_row_for_a_term(spark):
+    rows = [(1, "red cat", "red dog"), (1, "cat", "cat"), (2, "", "x"), (None, "same words", "same words"), (3, "one two", "one two")]
+    df = spark.createDataFrame(rows, "id int, a string, b string")
+    made = E.tfidf_pairs(df, ["id"], {"p": (F.col("a"), F.col("b"))})
+    assert "Aggregate(keys=[id#" in (plan := made._jdf.queryExecution().executedPlan().toString()) or "ObjectHashAggregate" in plan
+    assert "explode(concat" not in plan and "regexp_extract_all" in plan
+    got = sorted((r.id or 0, round(r.cosine, 6)) for r in made.collect())
+    only = 1 + math.log(1.5)
+    x, y = {"red": 1, "cat": 2, "red cat": 1}, {"red": 1, "dog": 1, "red dog": 1, "cat": 1}
+    idf = lambda t: 1.0 if t in x and t in y else only
+    size = lambda v: math.sqrt(sum((n * idf(t)) ** 2 for t, n in v.items()))
+    one = round(sum(x[t] * y[t] for t in x if t in y) / size(x) / size(y), 6)
+    assert got == sorted([(1, one), (1, one), (2, 0.0), (0, 0.0), (3, 1.0)])
+
+
 def test_sessions_of_a_key_with_ties(spark, tmp_path):
     from tests.test_streams import plain_sessions, run
 

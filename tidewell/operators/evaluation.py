@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import strings as S
 from .relational import dedupe_first, top_per_key
@@ -13,6 +18,8 @@ from .relational import dedupe_first, top_per_key
 # Speaker prefixes of a written-out history.
 PREFIXES = {"user": "사용자:", "other": "어시스턴트:"}
 PAIR_CHARS = r"\p{L}\p{N}_"
+#: Rows whose words a task holds at a time.
+FEW = 256
 
 
 def question_answers(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
@@ -87,46 +94,63 @@ def _words(c: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(f"([{PAIR_CHARS}]{{2,}})"), F.lit(1))
 
 
-def _grams(words: str) -> Column:
-    """Words and neighbouring pairs of a word array column."""
-    pairs = F.greatest(F.size(words) - 1, F.lit(0))
-    return F.concat(F.col(words), F.zip_with(F.slice(words, 1, pairs), F.slice(words, 2, pairs), lambda a, b: F.concat_ws(" ", a, b)))
+def _grams(texts: list[list[str]]) -> Counter:
+    """How often words and neighbouring pairs stand in texts."""
+    held: Counter = Counter()
+    for words in texts:
+        held.update(words)
+        held.update(zip(words, words[1:]))
+    return held
+
+
+def _cosine(a: Counter, b: Counter) -> float:
+    """Cosine of the tf-idf vectors of two texts; 0 if one of them is empty."""
+    square = (1.0 + math.log(1.5)) ** 2
+    both = a.keys() & b.keys()
+    size = lambda side: (shared := sum(side[t] ** 2 for t in both)) + square * (sum(n * n for n in side.values()) - shared)
+    return sum(a[t] * b[t] for t in both) / (math.sqrt(size(a)) * math.sqrt(size(b))) if both else 0.0
+
+
+def _cosines(df: DataFrame, ids: list[str], pairs: Mapping[str, tuple[Column, Column]], keep: Mapping[str, Column]) -> DataFrame:
+    """Rows with ids, a cosine column for each pair, and the columns to keep; rows with a null id are left out.
+
+    Rows that share their ids are one text: their terms are counted together.  The texts of an id meet once and
+    their terms are compared there, so no row moves for a term.
+    """
+    sides = list({id(c): c for pair in pairs.values() for c in pair}.values())
+    place = {id(c): i for i, c in enumerate(sides)}
+    row = F.struct(*[c.alias(f"s{i}") for i, c in enumerate(sides)], F.struct(F.lit(True).alias("row"), *[c.alias(n) for n, c in keep.items()]).alias("kept"))
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in ids])
+    met = df.filter(whole).select(*ids, row.alias("__row")).repartition(*ids).groupBy(*ids).agg(F.collect_list("__row").alias("__rows"))
+    met = met.select(*ids, F.col("__rows.kept").alias("__kept"), *[F.transform(f"__rows.s{i}", lambda c: _words(c)).alias(f"__s{i}") for i in range(len(sides))])
+    wanted = [(place[id(a)], place[id(b)]) for a, b in pairs.values()]
+    schema = T.StructType([*met.schema.fields[: len(ids) + 1], *[T.StructField(n, T.DoubleType()) for n in pairs]])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, FEW):
+                b = whole.slice(at, FEW)
+                terms = [list(map(_grams, column.to_pylist())) for column in b.columns[len(ids) + 1 :]]
+                made = [pa.array(list(map(_cosine, terms[i], terms[j])), pa.float64()) for i, j in wanted]
+                yield pa.RecordBatch.from_arrays([*b.columns[: len(ids) + 1], *made], schema.names)
+
+    rows = met.mapInArrow(compare, schema).select(*ids, *pairs, F.explode("__kept").alias("__row"))
+    return rows.select(*ids, *pairs, *[F.col(f"__row.{n}") for n in keep])
 
 
 def tfidf_pairs(df: DataFrame, id_cols: Sequence[str], pairs: Mapping[str, tuple[Column, Column]]) -> DataFrame:
     """Cosine of uni- and bigram tf-idf vectors of two texts, the idf fitted on just the two.
 
-    A term in one text weighs ln(3/2) + 1, in both 1.  Blank or wordless texts give 0.
+    A term in one text weighs ln(3/2) + 1, in both 1.  Blank or wordless texts, and rows with a null id, give 0.
     """
     ids = list(id_cols)
-    stacked = df.repartition(*ids).select(
-        *ids, F.inline(F.array(*[F.struct(F.lit(n).alias("pair"), a.alias("a"), b.alias("b")) for n, (a, b) in pairs.items()]))
-    )
-    sides = F.array(F.struct(F.lit(1).alias("x"), F.lit(0).alias("y"), F.col("a").alias("s")), F.struct(F.lit(0).alias("x"), F.lit(1).alias("y"), F.col("b").alias("s")))
-    words = stacked.select(*ids, "pair", F.inline(sides)).select(*ids, "pair", "x", "y", _words(F.col("s")).alias("w"))
-    terms = words.select(*ids, "pair", "x", "y", F.explode(_grams("w")).alias("t"))
-    counts = terms.groupBy(*ids, "pair", "t").agg(F.sum("x").alias("x"), F.sum("y").alias("y"))
-    only = F.lit(1.0) + F.ln(F.lit(1.5))
-    both = (F.col("x") > 0) & (F.col("y") > 0)
-    idf = F.when(both, F.lit(1.0)).otherwise(only)
-    sums = counts.groupBy(*ids, "pair").agg(
-        F.sum(F.col("x") * F.col("y") * idf * idf).alias("dot"),
-        F.sqrt(F.sum(F.col("x") * F.col("x") * idf * idf)).alias("nx"),
-        F.sqrt(F.sum(F.col("y") * F.col("y") * idf * idf)).alias("ny"),
-    )
-    scored = sums.select(*ids, "pair", F.coalesce(F.try_divide("dot", F.col("nx") * F.col("ny")), F.lit(0.0)).alias("cosine"))
-    return stacked.select(*ids, "pair").join(scored, [*ids, "pair"], "left").na.fill(0.0, ["cosine"])
+    long = lambda rows, value: rows.select(*ids, F.inline(F.array(*[F.struct(F.lit(n).alias("pair"), value(n).alias("cosine")) for n in pairs])))
+    some_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in ids])
+    return long(_cosines(df, ids, pairs, {}), F.col).unionByName(long(df.filter(some_null), lambda n: F.lit(0.0)))
 
 
 def fast_eval(df: DataFrame, id_cols: Sequence[str], question: str, answer: str, contexts: str) -> DataFrame:
     """Answer relevancy, context alignment, context count and answer length per row."""
-    ids = list(id_cols)
     a = F.coalesce(F.col(answer), F.lit(""))
-    joined = F.array_join(contexts, " ")
-    cos = tfidf_pairs(df, ids, {"relevancy": (F.col(question), a), "alignment": (a, joined)})
-    wide = cos.groupBy(*ids).agg(
-        F.max(F.when(F.col("pair") == "relevancy", F.col("cosine"))).alias("answer_relevancy"),
-        F.max(F.when(F.col("pair") == "alignment", F.col("cosine"))).alias("context_alignment"),
-    )
-    sizes = df.select(*ids, F.size(contexts).alias("ctx_count"), F.length(a).alias("ans_len"))
-    return wide.join(sizes, ids)
+    pairs = {"answer_relevancy": (F.col(question), a), "context_alignment": (a, F.array_join(contexts, " "))}
+    return _cosines(df, list(id_cols), pairs, {"ctx_count": F.size(contexts), "ans_len": F.length(a)})
