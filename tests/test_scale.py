@@ -122,6 +122,14 @@ def test_cosines_move_no_row_for_a_term(spark):
     assert got == sorted([(1, one), (1, one), (2, 0.0), (0, 0.0), (3, 1.0)])
 
 
+def test_chunks_of_many_texts(spark):
+    rows = [(i if i % 9 else None, f"{i} " * (i % 50) or None) for i in range(300)]
+    got = C.chunk_recursive(spark.createDataFrame(rows, "id long, text string"), "id", "text", 40, 10).collect()
+    want = [(i, k, c) for i, t in rows for k, c in enumerate(C.split_recursive(t or "", 40, 10))]
+    key = lambda r: (r[0] is None, *[(v is not None, v) for v in r])
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+
+
 def test_sessions_of_a_key_with_ties(spark, tmp_path):
     from tests.test_streams import plain_sessions, run
 

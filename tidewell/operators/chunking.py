@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +19,8 @@ from .ordered import _names, join_on_keys, with_position
 PLAIN = ("\n\n", "\n", " ", "")
 HEADINGS = ("\n## ", "\n### ", "\n", " ", "")
 
+#: Texts whose parts a task holds at a time.
+FEW = 64
 
 def title_and_body(df: DataFrame, title: str, body: str, name: str = "text") -> DataFrame:
     """Title and body joined by a blank line; records with neither are left out."""
@@ -75,28 +78,27 @@ def split_recursive(text: str, size: int, overlap: int, separators: Sequence[str
 def chunk_recursive(
     df: DataFrame, id_col: str, text: str, size: int = 1000, overlap: int = 150, separators: Sequence[str] = PLAIN
 ) -> DataFrame:
-    """Recursive chunks with their index.  Where to cut depends on the text itself, so Arrow batches go to Python."""
+    """Recursive chunks with their index.  Where to cut depends on the text itself, so Arrow batches go to Python, which holds ``FEW`` texts at a time."""
     id_type = df.schema[id_col].dataType
     schema = T.StructType(
         [T.StructField(id_col, id_type), T.StructField("chunk_index", T.IntegerType()), T.StructField("text", T.StringType())]
     )
     seps = tuple(separators)
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            parts = [split_recursive(t or "", size, overlap, seps) for t in b[text]]
-            counts = [len(p) for p in parts]
-            if not any(counts):
-                continue
-            yield pd.DataFrame(
-                {
-                    id_col: np.repeat(b[id_col].to_numpy(), counts),
-                    "chunk_index": [i for n in counts for i in range(n)],
-                    "text": [c for p in parts for c in p],
-                }
-            )
-
-    return spread(df.select(id_col, text)).mapInPandas(cut, schema)
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, FEW):
+                b = whole.slice(at, FEW)
+                parts = [split_recursive(t or "", size, overlap, seps) for t in b.column(1).to_pylist()]
+                counts = [len(p) for p in parts]
+                columns = [
+                    b.column(0).take(pa.array(np.repeat(np.arange(len(parts)), counts))),
+                    pa.array([i for n in counts for i in range(n)], pa.int32()),
+                    pa.array([c for p in parts for c in p], pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return spread(df.select(id_col, text)).mapInArrow(cut, schema)
 
 
 def char_vocab(df: DataFrame, text: str) -> DataFrame:
