@@ -122,6 +122,12 @@ def test_cosines_move_no_row_for_a_term(spark):
     assert got == sorted([(1, one), (1, one), (2, 0.0), (0, 0.0), (3, 1.0)])
 
 
+def test_summary_of_texts_with_one_id(spark):
+    rows = [(1, "Red cat sat. Blue dog. Red cat."), (1, "Red cat ran. Short."), (2, None), (None, "Lost text here."), (3, "x. y.")]
+    got = {r.doc_id: r.summary for r in C.extractive_summary(spark.createDataFrame(rows, "doc_id int, text string"), "doc_id", "text", per_chunk=1).collect()}
+    assert got == {1: "Red cat ran.\nRed cat sat."}
+
+
 def test_chunks_of_many_texts(spark):
     rows = [(i if i % 9 else None, f"{i} " * (i % 50) or None) for i in range(300)]
     got = C.chunk_recursive(spark.createDataFrame(rows, "id long, text string"), "id", "text", 40, 10).collect()

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
 import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,10 +19,10 @@ from .ordered import _names, join_on_keys, with_position
 # Separator orders of the plain and the heading-first splitter.
 PLAIN = ("\n\n", "\n", " ", "")
 HEADINGS = ("\n## ", "\n### ", "\n", " ", "")
-
 #: Texts whose parts a task holds at a time.
 FEW = 64
 
+
 def title_and_body(df: DataFrame, title: str, body: str, name: str = "text") -> DataFrame:
     """Title and body joined by a blank line; records with neither are left out."""
     return df.withColumn(name, S.join_parts([title, body])).filter(F.col(name) != "")
@@ -263,16 +264,38 @@ def sentences(c) -> Column:
 
 
 def extractive_summary(df: DataFrame, id_col: str, text: str, size: int = 2000, per_chunk: int = 2) -> DataFrame:
-    """Best sentences of each chunk by term frequency, joined in order per document."""
-    local = df.select(id_col, text).repartition(id_col)
-    sent = chunk_fixed(local, id_col, text, size, 0).select(
-        id_col, "chunk_index", F.posexplode(sentences("text")).alias("pos", "sentence")
+    """Best sentences of each chunk by term frequency, joined in order per document.
+
+    A chunk is scored where it stands, so no row moves for a word; texts that share an id share their chunks.
+    """
+    local = df.filter(F.col(id_col).isNotNull()).select(id_col, text)
+    cut = chunk_fixed(local, id_col, text, size, 0).groupBy(id_col, "chunk_index").agg(F.collect_list("text").alias("__copies"))
+    said = cut.select(id_col, "chunk_index", F.transform("__copies", sentences).alias("__said"))
+    said = said.withColumn("__words", F.transform("__said", lambda copy: F.transform(copy, lambda one: S.tokens(one))))
+    schema = T.StructType(
+        [df.schema[id_col], T.StructField("chunk_index", T.IntegerType()), T.StructField("pos", T.IntegerType()), T.StructField("sentence", T.StringType())]
     )
-    words = sent.select(id_col, "chunk_index", "pos", F.explode(S.tokens("sentence")).alias("token"))
-    tf = F.count(F.lit(1)).over(Window.partitionBy(id_col, "chunk_index", "token"))
-    score = words.withColumn("__tf", tf).groupBy(id_col, "chunk_index", "pos").agg(F.sum("__tf").alias("score"))
-    best = Window.partitionBy(id_col, "chunk_index").orderBy(F.desc("score"), "pos")
-    top = score.withColumn("__place", F.row_number().over(best)).filter(F.col("__place") <= per_chunk)
-    picked = sent.join(top, [id_col, "chunk_index", "pos"])
+
+    def best(copies: list[list[list[str]]]) -> list[int]:
+        """Places of the sentences whose words occur most in the chunk."""
+        times = Counter(w for copy in copies for words in copy for w in words)
+        score: Counter[int] = Counter()
+        for copy in copies:
+            for pos, words in enumerate(copy):
+                if words:
+                    score[pos] += sum(times[w] for w in words)
+        return sorted(score, key=lambda pos: (-score[pos], pos))[:per_chunk]
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, FEW):
+                b = whole.slice(at, FEW)
+                rows = zip(b.column(2).to_pylist(), b.column(3).to_pylist())
+                found = [(i, pos, copy[pos]) for i, (copies, words) in enumerate(rows) for pos in best(words) for copy in copies if pos < len(copy)]
+                of = pa.array([i for i, _, _ in found], pa.int64())
+                columns = [b.column(0).take(of), b.column(1).take(of), pa.array([p for _, p, _ in found], pa.int32()), pa.array([s for _, _, s in found], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    picked = said.mapInArrow(pick, schema)
     items = F.sort_array(F.collect_list(F.struct("chunk_index", "pos", F.trim("sentence").alias("s"))))
     return picked.groupBy(id_col).agg(F.array_join(items.getField("s"), "\n").alias("summary"))
