@@ -34,6 +34,7 @@ def test_stream_of_a_table_in_one_file(spark, tmp_path):
     assert ST.run_append(stream, str(tmp_path / "job")).count() == 5
 
 
+@pytest.mark.parametrize("node", [150, 100_000])
 def test_forest_of_classes_in_nodes_of_any_size(spark, node):
     rng = random.Random(2)
     x = [(rng.random(), rng.random(), rng.random()) for _ in range(1600)]
@@ -47,6 +48,7 @@ def test_forest_of_classes_in_nodes_of_any_size(spark, node):
     assert sum(r.probability[1] for r in got) == pytest.approx(sum(r.probability[1] for r in again), rel=0.05)
 
 
+@pytest.mark.parametrize("node", [150, 100_000])
 def test_forest_of_numbers(spark, node):
     rng = random.Random(3)
     rows = [(i, 10 * a + b, "test" if i % 5 == 0 else "train", a, b) for i in range(1500) for a, b in [(rng.random(), rng.random())]]
