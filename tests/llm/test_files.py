@@ -36,6 +36,43 @@ def test_coder_learns_what_repeats():
     assert sum(map(len, idcoder.encode(ids))) < len(ids) / 10
 
 
+def test_codes_are_as_in_files_of_before():
+    rng = np.random.default_rng(5)
+    ids = np.concatenate([rng.integers(0, idcoder.LIMIT, 3000), np.minimum((rng.pareto(0.5, 6000) * 3).astype(int), 50256), np.arange(1000) % 7])
+    codes = idcoder.encode(ids)
+    assert [len(c) for c in codes] == [7160, 3858, 782] and [zlib.crc32(c) for c in codes] == [4040034595, 575885490, 1206189337]
+    assert (idcoder.decode_blocks(codes, idcoder.BLOCK).T.ravel()[: len(ids)] == ids).all()
+
+
+def test_files_are_decoded_side_by_side(tmp_path, monkeypatch, rng):
+    calls, decode = [], idcoder.decode_blocks
+    monkeypatch.setattr(idcoder, "decode_blocks", lambda codes, steps: calls.append(len(codes)) or decode(codes, steps))
+    paths, want = [], []
+    for k, n in enumerate((1, 9000, 5, 4096, 300)):
+        ids = np.array([rng.randrange(900) for _ in range(n)], "<u4")
+        path = tmp_path / str(k)
+        path.write_bytes(tokenfile.MAGIC + b"".join(tokenfile.pack([k], [ids.tobytes()])))
+        paths.append(str(path))
+        want.append((str(path), [k], [n], ids.tolist()))
+    for most, blocks in ((1 << 12, [7]), (4, [4, 3]), (1, [1, 3, 1, 1, 1])):
+        monkeypatch.setattr(tokenfile, "SIDE_BY_SIDE", most)
+        calls.clear()
+        assert [(p, d.tolist(), s.tolist(), i.tolist()) for p, d, s, i in tokenfile.unpack_all(paths)] == want
+        assert calls == blocks
+
+
+def test_pieces_met_lately_are_not_learned_again(monkeypatch):
+    monkeypatch.setattr(tokenfile, "REMEMBERED", 20)
+    encoder, learned = tokenfile.PieceEncoder(tokenizer_path()), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda pieces: learned.extend(pieces) or learn(pieces))
+    for k in range(30):
+        text = f"a common word again {k} {k}x " + " ".join(f"w{k}{c}" for c in "abcdefgh")
+        assert encoder.encode([text])[0] == plain_ids([text])[0][:-1].tobytes()
+        assert len(encoder.known) + len(encoder.older) <= 2 * (20 + 13)
+    assert [learned.count(p) for p in ("common", "word", "again")] == [1, 1, 1]
+
+
 TEXTS = [
     "plain words here", "", None, " ", "  two  spaces ", "line\nbreak \n next\t tab", "Müller straße  ñ é", "it's we'll  don't 12 345", "a\u00a0b \u00a0c \u2003 d",
     "<|endoftext|> special <|endoftext|>", "emoji 😀 x 😀😀", "Ġmark Ġ Ġ", "x" * 5000, "end ", "\n", "a  ", "1 2 3 \r\n 4", "\u3000wide space\u3000 x", "日本 語 テキスト",

@@ -7,6 +7,11 @@ units: the ids named by order 2 and order 1 have their model's share, all others
 64-bit carry-less range coder narrows its interval to the id's place.  All
 numbers are integers, so any machine decodes what another one wrote.  Blocks advance in step, one id each, so
 that every operation works on all blocks at once.
+
+A step is short operations on arrays with a number for each block, so their count is the time.  Orders 2 and 1,
+and the two levels of order 0, stand in one array each and take one operation for both; eight borders of
+frequencies move as one value of 16 bytes.  What the encoder knows beforehand, or needs only after the models have
+seen an id, is done for ``_AHEAD`` steps at a time.
 """
 
 from __future__ import annotations
@@ -23,6 +28,8 @@ _TOP, _BOTTOM = np.uint64(1 << 48), np.uint64(1 << 44)
 _ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _LEAP = np.uint64(16)
 _UNIT = _RANGE_BITS - 2 * _LEVEL_BITS
+_LEVEL = 1 << _LEVEL_BITS
+_AHEAD = 32
 
 
 def _ranges() -> tuple[np.ndarray, np.ndarray]:
@@ -33,113 +40,135 @@ def _ranges() -> tuple[np.ndarray, np.ndarray]:
 
 
 _RANGE, _FIRST = _ranges()
-_STEPS = np.arange(9)
-#: What frequencies move towards when the symbol of the row's number comes; every symbol keeps a share.
-_GOAL = (_STEPS + (_STEPS > np.arange(8)[:, None]) * ((1 << _LEVEL_BITS) - 8)).astype(np.int16)
-_GOAL_T = np.ascontiguousarray(_GOAL.T)
-_MIX_GOALS = np.array([[254, 1, 1], [255, 255, 2]], np.int16)
+#: By how many bits the units of a range are spread over its ids; ranges beyond all ids come of damaged codes only.
+_SPREAD = np.maximum(_UNIT - (np.arange(65) >> 2), 0)
+_EIGHT = np.arange(8, dtype=np.int16)
+
+
+def _as_rows(borders: np.ndarray) -> np.ndarray:
+    """Rows of eight 16-bit borders as one value of 16 bytes each, which is only ever moved."""
+    return np.ascontiguousarray(borders, np.int16).view(np.complex128).ravel()
+
+
+#: A row holds the lower borders of eight symbols: the first is 0, and _LEVEL, the last upper border, is left out.
+_EVEN = _EIGHT << (_LEVEL_BITS - 3)
+#: What a row moves towards when the symbol of the entry's number comes; every symbol keeps a share.
+_GOAL = _as_rows(_EIGHT + (_EIGHT > _EIGHT[:, None]) * (_LEVEL - 8))
+#: The entry's number eight times.
+_EVERY = _as_rows(np.repeat(np.arange(_LEVEL), 8).reshape(-1, 8))
+#: Pairs of cumulative weights (order 2, then 1) are moved as one value.  Goals when no order, 1, 2 or both named the id.
+_MIX_GOAL = np.array([[1, 2], [1, 255], [254, 255], [254, 255]], np.int32).view(np.int64).ravel()
+_MIX_EVEN = np.array([1 << (_WEIGHT_BITS - 4), 1 << (_WEIGHT_BITS - 3)], np.int32).view(np.int64)
 
 
 class _Model:
-    """State of all blocks: contexts, range frequencies (cumulative, of 8 groups of 8) and mixing weights."""
+    """State of all blocks: contexts, range frequencies (cumulative, of 8 groups of 8) and mixing weights.
+
+    Arrays of two rows hold order 1 and order 2, or the groups and the ranges of a group.
+    """
 
     def __init__(self, lanes: int):
-        self.lane = np.arange(lanes)
-        self.lanes, self.lane8, self.lane16 = lanes, self.lane << 3, self.lane << 4
-        self.lane1, self.lane2 = self.lane * _SLOTS1, self.lane * _SLOTS2
-        self.seen1 = np.zeros(lanes * _SLOTS1, np.int32)  # id * 4 + confidence
-        self.seen2 = np.zeros(lanes * _SLOTS2, np.int32)
-        even = (_STEPS << (_LEVEL_BITS - 3)).astype(np.int16)
-        self.upper = np.repeat(even[:, None], lanes, axis=1)  # a row for each border, a column for each block
-        self.lower = np.tile(even, (lanes * 8, 1))
-        self.upper_flat, self.lower_flat = self.upper.reshape(-1), self.lower.reshape(-1)
-        self.mix2 = np.full(lanes * 16, 1 << (_WEIGHT_BITS - 4), np.int16)  # cumulative weights of order 2, then 1
-        self.mix1 = np.full(lanes * 16, 1 << (_WEIGHT_BITS - 3), np.int16)
-        self.last = np.zeros(lanes, np.int64)
-        self.before = np.zeros(lanes, np.int64)
-
-    def predict(self) -> None:
-        self.at1 = self.lane1 + (((self.last * 40503 + 7) >> 3) & (_SLOTS1 - 1))
-        self.at2 = self.lane2 + (((self.last * 2654435761 + self.before * 40503) >> 12) & (_SLOTS2 - 1))
-        self.one, self.two = self.seen1[self.at1], self.seen2[self.at2]
-        self.p1, self.c1, self.p2, self.c2 = self.one >> 2, self.one & 3, self.two >> 2, self.two & 3
-        self.state = self.lane16 + (self.c2 << 2) + self.c1
-        self.m2, self.m1 = self.mix2[self.state], self.mix1[self.state]
-        self.w2 = self.m2.astype(np.int64)
-        self.w1 = self.m1 - self.w2
-        self.w0 = (1 << _WEIGHT_BITS) - self.m1.astype(np.int64)
-        self.s2, self.s1 = self.w2 << _RANGE_BITS, self.w1 << _RANGE_BITS
-
-    def base(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Order-0 place and width of ids on a line of 2^33."""
-        number = _RANGE[ids].astype(np.int64)
-        high = number >> 3
-        at = high * self.lanes + self.lane
-        a = self.upper_flat[at].astype(np.int64)
-        group = self.upper_flat[at + self.lanes] - a
-        at = (self.lane8 + high) * 9 + (number & 7)
-        c = self.lower_flat[at].astype(np.int64)
-        width = (group * (self.lower_flat[at + 1] - c)) << (_UNIT - (number >> 2))
-        return (((a << _LEVEL_BITS) + group * c) << _UNIT) + (ids - _FIRST[number]) * width, width
-
-    def place(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place and width of ids: the share of the highest order that names the id, else its part of order 0's."""
-        start, width = self.base(ids)
-        hit1, hit2 = self.p1 == ids, self.p2 == ids
-        start = np.where(hit2, 0, np.where(hit1, self.s2, self.s2 + self.s1 + start * self.w0))
-        return start, np.where(hit2, self.s2, np.where(hit1, self.s1, width * self.w0))
-
-    def find(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The ids whose interval holds the targets, with place and width."""
-        above = self.s2 + self.s1
-        hit2, hit1 = target < self.s2, target < above
-        t = np.maximum(target - above, 0) // self.w0
-        t = np.minimum(t, (1 << _RANGE_BITS) - 1)
-        high = (self.upper[1:8] <= (t >> (_UNIT + _LEVEL_BITS)).astype(np.int16)).sum(axis=0)
-        at = high * self.lanes + self.lane
-        a = self.upper_flat[at].astype(np.int64)
-        group = self.upper_flat[at + self.lanes] - a
-        inner = t - (a << (_LEVEL_BITS + _UNIT))
-        row = self.lane8 + high
-        low = (self.lower.take(row, axis=0)[:, 1:8] <= ((inner >> _UNIT) // group).astype(np.int16)[:, None]).sum(axis=1)
-        at = row * 9 + low
-        c = self.lower_flat[at].astype(np.int64)
-        number = (high << 3) + low
-        width = (group * (self.lower_flat[at + 1] - c)) << np.maximum(_UNIT - (number >> 2), 0)
-        over = inner - ((group * c) << _UNIT)
-        nth = over // width
-        ids = np.where(hit2, self.p2, np.where(hit1, self.p1, _FIRST[number] + nth))
-        start = np.where(hit2, 0, np.where(hit1, self.s2, above + (t - over + nth * width) * self.w0))
-        return ids, start, np.where(hit2, self.s2, np.where(hit1, self.s1, width * self.w0))
-
-    def learn(self, ids: np.ndarray) -> None:
-        hit1, hit2 = self.p1 == ids, self.p2 == ids
-        which = np.where(hit2, 0, 2 - hit1)
-        self.mix2[self.state] = self.m2 + ((_MIX_GOALS[0][which] - self.m2) >> _RATE)
-        self.mix1[self.state] = self.m1 + ((_MIX_GOALS[1][which] - self.m1) >> _RATE)
-        fresh = (ids << 2) + 1
-        self.seen1[self.at1] = np.where(hit1, self.one + (self.c1 < 3), np.where(self.c1 <= 1, fresh, self.one - 1))
-        self.seen2[self.at2] = np.where(hit2, self.two + (self.c2 < 3), np.where(self.c2 <= 1, fresh, self.two - 1))
-        number = _RANGE[ids]
-        high = number >> 3
-        self.upper += (_GOAL_T.take(high, axis=1) - self.upper) >> _RATE
-        row = self.lane8 + high
-        old = self.lower.take(row, axis=0)
-        self.lower[row] = old + ((_GOAL.take(number & 7, axis=0) - old) >> _RATE)
-        self.before, self.last = self.last, ids
+        lane = np.arange(lanes)
+        self.lanes, self.lane16 = lanes, lane << 4
+        self.slot = np.stack([lane * _SLOTS1, lanes * _SLOTS1 + lane * _SLOTS2])
+        self.seen = np.zeros(lanes * (_SLOTS1 + _SLOTS2), np.int32)  # id * 4 + confidence
+        self.lane9 = lane * 9
+        self.borders = np.tile(_as_rows(_EVEN), lanes * 9)  # of each block: of the ranges of 8 groups, of the groups
+        row = np.zeros(2 * lanes + 1, np.complex128)  # one more, so that every border has one after it
+        self.row, self.border = row[:-1].reshape(2, lanes), row.view(np.int16)
+        self.cell = (np.arange(2 * lanes) << 3).reshape(2, lanes)
+        self.mix = np.tile(_MIX_EVEN, lanes * 16)
+
+    def slots(self, last: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Where the ids seen after the last id, and after the last two, are held."""
+        at = np.empty((*last.shape[:-1], 2, self.lanes), np.int64)
+        at[..., 0, :] = ((last * 40503 + 7) >> 3) & (_SLOTS1 - 1)
+        at[..., 1, :] = ((last * 2654435761 + before * 40503) >> 12) & (_SLOTS2 - 1)
+        at += self.slot
+        return at
+
+    def renew(self, at: np.ndarray, seen: np.ndarray, sure: np.ndarray, hit: np.ndarray, fresh: np.ndarray) -> None:
+        """Raise the confidence of what named the id; what did not loses some, or its place."""
+        self.seen[at] = np.where(hit, seen + (sure < 3), np.where(sure <= 1, fresh, seen - 1))
+
+    def rows(self, group: np.ndarray) -> np.ndarray:
+        """Where the rows of the groups, and of the ranges in a group, are held."""
+        at = np.empty((*group.shape[:-1], 2, self.lanes), np.int64)
+        at[..., 0, :] = self.lane9 + 8
+        at[..., 1, :] = self.lane9 + group
+        return at
+
+    def move_rows(self, at: np.ndarray, symbols: np.ndarray) -> None:
+        """Move the rows that were fetched towards the symbols."""
+        move, row = _GOAL.take(symbols).view(np.int16), self.row.view(np.int16)
+        move -= row
+        move >>= _RATE
+        move += row
+        self.borders[at] = move.view(np.complex128)
+
+    def move_mix(self, state: np.ndarray, pairs: np.ndarray, goals: np.ndarray) -> None:
+        move, old = goals.view(np.int32), pairs.view(np.int32)
+        self.mix[state] = (old + ((move - old) >> _RATE)).view(np.int64)
+
+
+def _shares(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Share of order 2, of orders 2 and 1, and weight of order 0."""
+    weights = pairs.view(np.int32).reshape(*pairs.shape, 2).astype(np.int64)
+    return weights[..., 0] << _RANGE_BITS, weights[..., 1] << _RANGE_BITS, (1 << _WEIGHT_BITS) - weights[..., 1]
+
+
+def _places(model: _Model, now: np.ndarray, last: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place and width of the ids of some steps: the share of the highest order that names the id, else its part of order 0's."""
+    steps, lanes = now.shape
+    number = _RANGE.take(now).astype(np.int64)
+    symbols = np.stack([number >> 3, number & 7], axis=1)
+    rows, cells, slots = model.rows(symbols[:, 0]), model.cell + symbols, model.slots(last, before)
+    fresh = ((now << 2) + 1).astype(np.int32)
+    border, after = np.empty((2, steps, 2, lanes), np.int16)
+    sure, hit, pairs = np.empty((steps, 2, lanes), np.int32), np.empty((steps, 2, lanes), bool), np.empty((steps, lanes), np.int64)
+    named = now.astype(np.int32)
+    for k in range(steps):
+        model.borders.take(rows[k], out=model.row, mode="clip")
+        model.border.take(cells[k], out=border[k], mode="clip")
+        model.border.take(cells[k] + 1, out=after[k], mode="clip")
+        model.move_rows(rows[k], symbols[k])
+        seen = model.seen.take(slots[k])
+        np.bitwise_and(seen, 3, out=sure[k])
+        np.equal(seen >> 2, named[k], out=hit[k])
+        model.renew(slots[k], seen, sure[k], hit[k], fresh[k])
+    state = model.lane16 + sure[:, 0] + (sure[:, 1] << 2)
+    goals = _MIX_GOAL.take(hit[:, 0] + 2 * hit[:, 1])
+    for k in range(steps):
+        model.mix.take(state[k], out=pairs[k], mode="clip")
+        model.move_mix(state[k], pairs[k], goals[k])
+    width = ((after - border) & (_LEVEL - 1)).astype(np.int64)
+    second, above, rest = _shares(pairs)
+    size = (width[:, 0] * width[:, 1]) << _SPREAD.take(number)
+    start = ((border[:, 0].astype(np.int64) << _LEVEL_BITS) + width[:, 0] * border[:, 1]) << _UNIT
+    start = (start + (now - _FIRST.take(number)) * size) * rest + above
+    start = np.where(hit[:, 1], 0, np.where(hit[:, 0], second, start))
+    return start, np.where(hit[:, 1], second, np.where(hit[:, 0], above - second, size * rest))
+
+
+def _below(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The symbol of each row of borders in which the row's number ``at`` lies."""
+    not_above = rows <= _EVERY.take(at, mode="clip").view(np.int16)
+    return np.bitwise_count(not_above.view(np.uint64)).astype(np.int64) - 1
 
 
 _TOTAL = np.uint64(_RANGE_BITS + _WEIGHT_BITS)
+_TO_LEAP = np.uint64(4)
+_SETTLED = np.uint64(48)
 
 
 def _open(low: np.ndarray, width: np.ndarray) -> np.ndarray:
-    """Blocks whose top 16 bits are settled, or whose width is too small and is cut to the next border."""
-    with np.errstate(over="ignore"):
-        settled = (low ^ (low + width)) < _TOP
-        small = ~settled & (width < _BOTTOM)
-        if small.any():
-            width[small] = (_ALL - low[small] + np.uint64(1)) & (_BOTTOM - np.uint64(1))
-    return np.flatnonzero(settled | small)
+    """Whether the top 16 bits are settled, or the width is too small and is cut to the next border."""
+    opened = (low ^ (low + width)) < _TOP
+    small = (width < _BOTTOM) & ~opened
+    if small.any():
+        width[small] = (_ALL - low[small] + np.uint64(1)) & (_BOTTOM - np.uint64(1))
+        opened |= small
+    return opened
 
 
 def encode(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
@@ -150,74 +179,130 @@ def encode(ids: np.ndarray, block: int = BLOCK) -> list[bytes]:
     lanes = -(-len(ids) // block)
     if not lanes:
         return []
-    grid = np.zeros(lanes * block, np.uint16)
-    grid[: len(ids)] = ids
-    grid = np.ascontiguousarray(grid.reshape(lanes, block).T)
+    flat = np.zeros(lanes * block, np.uint16)
+    flat[: len(ids)] = ids
+    steps = min(block, len(ids))
+    grid = np.zeros((steps + 2, lanes), np.uint16)  # two rows of zeros come before the first ids
+    grid[2:] = flat.reshape(lanes, block).T[:steps]
     tail = len(ids) - (lanes - 1) * block
-    words = np.zeros((lanes, 3 * min(block, len(ids)) + 8), np.uint16)
-    filled = np.zeros(lanes, np.int64)
+    longest = 3 * steps + 8
+    words = np.zeros(lanes * longest, np.uint16)
+    first = np.arange(lanes) * longest
+    at = first.copy()  # where the next word of each block goes
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, _ALL)
     model = _Model(lanes)
-    ends = np.zeros(1, np.int64)
-    for step in range(min(block, len(ids))):
-        model.predict()
-        now = grid[step].astype(np.int64)
-        start, size = model.place(now)
+    for step in range(steps):
+        k = step % _AHEAD
+        if not k:
+            part = grid[step : step + _AHEAD + 2].astype(np.int64)
+            starts, sizes = (x.view(np.uint64) for x in _places(model, part[2:], part[1:-1], part[:-2]))
         part = width >> _TOTAL
-        with np.errstate(over="ignore"):
-            low += part * start.astype(np.uint64)
-        width = part * size.astype(np.uint64)
-        while len(open_ := _open(low, width)):
-            words[open_, filled[open_]] = (low[open_] >> np.uint64(48)).astype(np.uint16)
-            filled[open_] += 1
-            low[open_] <<= _LEAP
-            width[open_] <<= _LEAP
-        model.learn(now)
+        low += part * starts[k]
+        width = part * sizes[k]
+        opened = _open(low, width)
+        words[at] = low >> _SETTLED  # where a block does not open, its next word takes the place
+        at += opened
+        leap = opened.astype(np.uint64) << _TO_LEAP
+        low <<= leap
+        width <<= leap
+        again = np.flatnonzero(_open(low, width))
+        while len(again):
+            some, wide = low[again], width[again]
+            words[at[again]] = some >> _SETTLED
+            at[again] += 1
+            some <<= _LEAP
+            wide <<= _LEAP
+            opened = _open(some, wide)
+            low[again], width[again] = some, wide
+            again = again[opened]
         if step + 1 == tail:  # the last block ends here; what it codes from now on is not kept
-            ends = filled[-1:].copy()
-            last_low = low[-1]
-    out = []
-    for lane in range(lanes):
-        n, rest = (int(filled[lane]), low[lane]) if lane < lanes - 1 else (int(ends[0]), last_low)
-        flush = [(int(rest) >> s) & 0xFFFF for s in (48, 32, 16, 0)]
-        out.append(np.append(words[lane, :n], np.array(flush, np.uint16)).astype("<u2").tobytes())
-    return out
+            last_at, last_low = at[-1], low[-1]
+    at[-1], low[-1] = last_at, last_low
+    flush = (low[:, None] >> np.array([48, 32, 16, 0], np.uint64)).astype("<u2")
+    words = words.astype("<u2", copy=False)
+    return [words[a:b].tobytes() + rest.tobytes() for a, b, rest in zip(first.tolist(), at.tolist(), flush)]
 
 
 def decode(codes: list[bytes], n: int, block: int = BLOCK) -> np.ndarray:
     """The ``n`` ids of blocks coded by ``encode``."""
+    return decode_blocks(codes, min(block, n)).T.ravel()[:n] if codes else np.zeros(0, np.int64)
+
+
+def decode_blocks(codes: list[bytes], steps: int) -> np.ndarray:
+    """The first ``steps`` ids of blocks, a column for each; what a shorter block gives after its end means nothing."""
     lanes = len(codes)
     if not lanes:
-        return np.zeros(0, np.int64)
+        return np.zeros((steps, 0), np.uint16)
     longest = max(map(len, codes)) // 2 + 8
     words = np.zeros((lanes, longest), np.uint16)
     for lane, code in enumerate(codes):
         words[lane, : len(code) // 2] = np.frombuffer(code, "<u2")
-    at = np.full(lanes, 4, np.int64)
-    value = np.zeros(lanes, np.uint64)
+    ahead = np.zeros(lanes, np.uint64)  # the code's number less the lower end of the interval
     for k in range(4):
-        value = (value << _LEAP) | words[:, k].astype(np.uint64)
+        ahead = (ahead << _LEAP) | words[:, k].astype(np.uint64)
+    words = words.ravel()
+    at = np.arange(lanes) * longest + 4
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, _ALL)
     model = _Model(lanes)
-    steps = min(block, n)
+    row, cell, size0 = model.border[:-8].reshape(2, -1), model.cell, model.lane9 + 8
+    last = before = np.zeros(lanes, np.int64)
     grid = np.zeros((steps, lanes), np.uint16)
     most = np.uint64((1 << (_RANGE_BITS + _WEIGHT_BITS)) - 1)
     for step in range(steps):
-        model.predict()
+        slots = model.slots(last, before)
+        seen = model.seen.take(slots)
+        named, sure = seen >> 2, seen & 3
+        state = model.lane16 + (sure[0] + (sure[1] << 2))
+        pairs = model.mix.take(state)
+        second, above, rest = _shares(pairs)
         part = width >> _TOTAL
-        with np.errstate(over="ignore"):
-            target = np.minimum((value - low) // part, most).astype(np.int64)
-            ids, start, size = model.find(target)
-            if step >= n - (lanes - 1) * block:
-                ids[-1] = 0  # the last block has ended
-                start, size = model.place(ids)
-            low += part * start.astype(np.uint64)
-            width = part * size.astype(np.uint64)
-        while len(open_ := _open(low, width)):
-            low[open_] <<= _LEAP
-            width[open_] <<= _LEAP
-            value[open_] = (value[open_] << _LEAP) | words[open_, np.minimum(at[open_], longest - 1)].astype(np.uint64)
-            at[open_] += 1
-        model.learn(ids)
+        target = np.minimum(ahead // part, most).view(np.int64)
+        # order 0: the group, the range and the id in which the target lies
+        t = np.maximum(target - above, 0) // rest
+        model.borders.take(size0, out=model.row[0], mode="clip")
+        high = _below(row[0], t >> (_UNIT + _LEVEL_BITS))
+        at0 = cell[0] + high
+        a = model.border.take(at0)
+        group = ((model.border.take(at0 + 1) - a) & (_LEVEL - 1)).astype(np.int64)
+        inner = t - (a.astype(np.int64) << (_LEVEL_BITS + _UNIT))
+        model.borders.take(model.lane9 + high, out=model.row[1], mode="clip")
+        low0 = _below(row[1], (inner >> _UNIT) // group)
+        at0 = cell[1] + low0
+        c = model.border.take(at0)
+        number = (high << 3) + low0
+        size = (group * ((model.border.take(at0 + 1) - c) & (_LEVEL - 1))) << _SPREAD.take(number)
+        over = inner - ((group * c) << _UNIT)
+        nth = over // size
+        ids = np.where(target < second, named[1], np.where(target < above, named[0], _FIRST.take(number) + nth))
+        hit = named == ids
+        start = np.where(hit[1], 0, np.where(hit[0], second, above + (t - over + nth * size) * rest))
+        size = np.where(hit[1], second, np.where(hit[0], above - second, size * rest))
+        move = part * start.view(np.uint64)
+        low += move
+        ahead -= move
+        width = part * size.view(np.uint64)
+        opened = _open(low, width)
+        leap = opened.astype(np.uint64) << _TO_LEAP
+        low <<= leap
+        width <<= leap
+        ahead <<= leap
+        ahead += words.take(at, mode="clip") * opened
+        at += opened
+        again = np.flatnonzero(_open(low, width))
+        while len(again):
+            some, wide = low[again] << _LEAP, width[again] << _LEAP
+            ahead[again] = (ahead[again] << _LEAP) + words.take(at[again], mode="clip")
+            at[again] += 1
+            opened = _open(some, wide)
+            low[again], width[again] = some, wide
+            again = again[opened]
+        model.renew(slots, seen, sure, hit, ((ids << 2) + 1).astype(np.int32))
+        model.move_mix(state, pairs, _MIX_GOAL.take(hit[0].view(np.uint8) + (hit[1].view(np.uint8) << 1)))
+        number = _RANGE.take(ids, mode="clip").astype(np.int64)
+        symbols = np.stack([number >> 3, number & 7])
+        rows = model.rows(symbols[0])
+        model.borders.take(rows, out=model.row, mode="clip")
+        model.move_rows(rows, symbols)
+        before, last = last, ids
         grid[step] = ids
-    return grid.T.ravel()[:n] if steps == block else grid.T[:, :steps].ravel()[:n]
+    return grid

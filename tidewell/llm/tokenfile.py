@@ -8,7 +8,7 @@ import sys
 import types
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +23,10 @@ from tidewell.session import new_folder, settle
 
 #: Ids of a segment; its blocks are coded side by side.
 SEGMENT = 1 << 22
-#: Pieces of texts whose ids a worker remembers.
-REMEMBERED = 1 << 18
+#: Blocks that a task decodes side by side, from one segment at least.
+SIDE_BY_SIDE = 1 << 12
+#: Pieces of texts whose ids a worker learns before it forgets those it has not met for as many.
+REMEMBERED = 1 << 19
 END = 0
 MAGIC = b"IDCM1\n"
 _HEAD = "<4sQQQII"  # mark, documents, ids, bytes of the document table, its CRC-32, blocks
@@ -48,6 +50,7 @@ class PieceEncoder:
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
         self.opens[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -74,8 +77,11 @@ class PieceEncoder:
             firsts.append(pieces[0])
             cut.append(pieces[1:])
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        self._learn(list(set().union(*cut).difference(self.known)))
+            self.known, self.older = {}, self.known
+        new = set().union(*cut).difference(self.known)
+        met = new.intersection(self.older)
+        self.known.update((p, self.older[p]) for p in met)
+        self._learn(list(new - met))
         known = self.known.__getitem__
         return [a.tobytes() + b"".join(map(known, pieces)) for a, pieces in zip(self._plain(firsts), cut)]
 
@@ -114,8 +120,8 @@ def pack(doc_ids: list[int | None], docs: list[bytes]) -> Iterator[bytes]:
         yield struct.pack(_BLOCK, len(part), len(code), zlib.crc32(code, zlib.crc32(part.tobytes()))) + code
 
 
-def unpack(read, path: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Document ids, numbers of ids and all ids of each segment; a wrong checksum or a cut file raises."""
+def segments(read, path: str) -> Iterator[tuple[np.ndarray, list[int], list[int], list[bytes]]]:
+    """Document ids and numbers of ids, ids, checksum and code of each block, of every segment of a file."""
 
     def take(n: int) -> bytes:
         data = read(n)
@@ -137,13 +143,46 @@ def unpack(read, path: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray
             codes.append(take(size))
             sizes.append(n)
             checks.append(check)
-        ids = idcoder.decode(codes, n_ids).astype("<u4")
-        at = 0
+        if sum(sizes) != n_ids:
+            raise ValueError(f"{path}: blocks of wrong sizes")
+        yield table, sizes, checks, codes
+
+
+def decoded(parts: list[tuple]) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+    """Path, document ids, numbers of ids and all ids of segments, given with their paths and decoded side by side."""
+    steps = max((size for _, _, sizes, *_ in parts for size in sizes), default=0)
+    grid = idcoder.decode_blocks([code for *_, codes in parts for code in codes], min(steps, idcoder.BLOCK))
+    lane = 0
+    for path, table, sizes, checks, codes in parts:
+        ids = grid[:, lane : lane + len(codes)].T.ravel()[: sum(sizes)].astype("<u4")
+        lane, at = lane + len(codes), 0
         for n, code, check in zip(sizes, codes, checks):
             if zlib.crc32(code, zlib.crc32(ids[at : at + n].tobytes())) != check:
                 raise ValueError(f"{path}: wrong checksum of a block")
             at += n
-        yield table[0], table[1], ids
+        yield path, table[0], table[1], ids
+
+
+def unpack(read, path: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Document ids, numbers of ids and all ids of each segment; a wrong checksum or a cut file raises."""
+    for segment in segments(read, path):
+        yield from (found[1:] for found in decoded([(path, *segment)]))
+
+
+def unpack_all(files: Iterable[str]) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+    """Path and what ``unpack`` gives of the segments of many files, whose blocks are decoded side by side."""
+    held, blocks = [], 0
+    for path in files:
+        store, place = open_store(path)
+        with store.open_input_stream(place, compression=None) as source:
+            for segment in segments(source.read, path):
+                if held and blocks + len(segment[-1]) > SIDE_BY_SIDE:
+                    yield from decoded(held)
+                    held, blocks = [], 0
+                held.append((path, *segment))
+                blocks += len(segment[-1])
+    if held:
+        yield from decoded(held)
 
 
 def write_ids(docs: DataFrame, tokenizer: str, folder: str, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -199,20 +238,22 @@ def read_ids(files: DataFrame) -> DataFrame:
     placed = settle(files.withColumn("before", F.coalesce(F.sum("ids").over(before), F.lit(0))))
 
     def run(batches):
+        begin = {}
         for batch in batches:
-            for path, before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                store, place = open_store(path)
-                with store.open_input_stream(place, compression=None) as source:
-                    for doc_ids, sizes, ids in unpack(source.read, path):
-                        ends = np.cumsum(sizes)
-                        data = memoryview(ids.tobytes())
-                        sums = [zlib.crc32(data[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), sizes.tolist())]
-                        keys = pa.array(doc_ids, pa.int64(), mask=doc_ids == _NULL)
-                        columns = [keys, pa.array(before + ends - sizes), pa.array(sizes), pa.array(sums, pa.int64())]
-                        before += int(ends[-1])
-                        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    spread = placed.select("path", "before").repartitionByRange(max(1, files.count()), "before")
+            begin.update(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        for path, doc_ids, sizes, ids in unpack_all(begin):
+            before, ends = begin[path], np.cumsum(sizes)
+            data = memoryview(ids.tobytes())
+            sums = [zlib.crc32(data[4 * (e - n) : 4 * e]) for e, n in zip(ends.tolist(), sizes.tolist())]
+            keys = pa.array(doc_ids, pa.int64(), mask=doc_ids == _NULL)
+            columns = [keys, pa.array(before + ends - sizes), pa.array(sizes), pa.array(sums, pa.int64())]
+            begin[path] += int(ends[-1])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    count, ids = placed.agg(F.count("*"), F.coalesce(F.sum("ids"), F.lit(0))).first()
+    tasks = -(-ids // (SIDE_BY_SIDE * idcoder.BLOCK))  # of as many blocks as a task decodes side by side, if the cores have work then
+    tasks = max(1, min(count, max(tasks, files.sparkSession.sparkContext.defaultParallelism)))
+    spread = placed.select("path", "before").repartitionByRange(tasks, "before")
     return spread.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
