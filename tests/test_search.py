@@ -1,6 +1,7 @@
 """Key automata, posting bounds and visited buckets against plain searches."""
 
 import math
+import pathlib
 import random
 from collections import Counter
 
@@ -9,8 +10,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewell.operators import multipattern as P
+from tidewell.operators import postings as packed
 from tidewell.operators import relational as R
 from tidewell.operators import retrieval as X
+from tidewell.session import scratch_dir
 
 
 @pytest.fixture
@@ -99,6 +102,75 @@ def test_bounds_keep_the_best_and_score_few_pairs(spark, rng):
         assert r.score == pytest.approx(-order[r["rank"] - 1][0], abs=2e-9)
 
 
+def test_index_takes_less_room_than_the_texts(spark, rng):
+    docs, scratch = corpus(rng, 4000), pathlib.Path(scratch_dir(spark), "tidewell")
+    before = {*scratch.glob("*")}
+    frames = spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame([(1, "the w7 w900"), (2, "w11 w12")], "item_id int, text string")
+    index = X.posting_index(frames[0])
+    X.index_topk(index, *frames, 3).collect()
+    kept = sum(p.stat().st_size for folder in {*scratch.glob("*")} - before for p in folder.rglob("*.parquet"))
+    assert kept < sum(len(t) for _, t in docs)
+    postings = sum(len(set(t.split())) for _, t in docs)
+    assert index.postings.count() == postings > 50 * index.segments.count()
+    top = {(r.term, r.block): r.peak for r in index.peaks.collect()}
+    assert all(r.reach <= top[r.term, r.block] for r in index.postings.collect())
+
+
+def joined_bm25(docs, queries):
+    """Scores above 0 or below, texts of one id being one document."""
+    tf = {}
+    for d, t in docs:
+        tf.setdefault(d, Counter()).update((t or "").split())
+    n, avg = len(docs), sum(c.total() for c in tf.values()) / len(docs)
+    df = Counter(w for c in tf.values() for w in c)
+    idf = {w: math.log(n - k + 0.5) - math.log(k + 0.5) for w, k in df.items()}
+    mean = sum(idf.values()) / len(idf)
+    weigh = lambda w: idf[w] if idf[w] >= 0 else 0.25 * mean
+    reach = lambda x, size: x * 2.5 / (x + 1.5 * (0.25 + 0.75 * size / avg))
+    words = {q: Counter(t.split()) for q, t in queries}
+    return {
+        (q, d): round(sum(m * weigh(w) * reach(c[w], c.total()) for w, m in ws.items() if c[w]), 9)
+        for q, ws in words.items() for d, c in tf.items() if any(c[w] for w in ws)
+    }
+
+
+@pytest.mark.parametrize("docs_of, postings, together", [(48, 90, 3), (4096, 1 << 20, 64)])
+def test_small_segments_cut_documents_and_repeated_ids(spark, rng, monkeypatch, docs_of, postings, together):
+    monkeypatch.setattr(packed, "DOCS", docs_of)
+    monkeypatch.setattr(packed, "POSTINGS", postings)
+    monkeypatch.setattr(X, "TOGETHER", together)
+    docs = [(f"d{i:03d}", t) for i, t in corpus(rng, 400)]
+    docs += [(f"d{i:03d}", t) for i, t in corpus(rng, 60)]  # two texts of an id
+    docs += [("hot", t) for _, t in corpus(rng, 70)] + [(None, t) for _, t in corpus(rng, 70)]  # many texts, and more terms than a segment's
+    docs += [("long", " ".join(f"w{i}" for i in range(900))), ("blank", " "), ("none", None)]
+    queries = [(f"q{i}", "the " + " ".join(rng.choice(docs[:400])[1].split()[-4:])) for i in range(20)]
+    frames = spark.createDataFrame(docs, "doc_id string, text string").repartition(5), spark.createDataFrame(queries, "item_id string, text string")
+    index, want = X.posting_index(frames[0]), joined_bm25(docs, queries)
+    assert index.n == len(docs) and (index.segments.filter("not whole").count() > 12) == (postings == 90)
+    assert {(r.doc_id, r.term) for r in index.postings.collect()} == {(d, w) for d, t in docs for w in (t or "").split()}
+    hits = {(r.item_id, r.doc_id): r.score for r in X.index_hits(index, frames[1], 3).collect()}
+    assert all(s == pytest.approx(want[p], abs=2e-9) for p, s in hits.items())
+    best = {}
+    for r in X.index_topk(index, *frames, 3).collect():
+        best.setdefault(r.item_id, {})[r["rank"]] = (r.doc_id, round(r.score, 7))
+    for q, _ in queries:
+        order = sorted(((-round(s, 7), d or "", d) for (i, d), s in want.items() if i == q and s > 0))[:3]
+        assert [best[q][i + 1] for i in range(len(order))] == [(d, -s) for s, _, d in order]
+
+
+def test_negative_weights_open_every_block(spark):
+    docs = [(i, "a b c d " + "a " * (i % 4) + "e " * (i == 7)) for i in range(60)] + [(60, "b")]
+    queries = [(1, "a"), (2, "a b e"), (3, "d zz")]
+    frames = spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(queries, "item_id int, text string")
+    want = joined_bm25(docs, queries)
+    assert min(want.values()) < 0 < max(want.values())
+    hits = {(r.item_id, r.doc_id): r.score for r in X.index_hits(X.posting_index(frames[0]), frames[1], 3).collect()}
+    assert all(s == pytest.approx(want[p], abs=2e-9) for p, s in hits.items())
+    for q, _ in queries:
+        order = sorted((-round(s, 7), d) for (i, d), s in want.items() if i == q)[:3]
+        assert sorted((-round(s, 7), d) for (i, d), s in hits.items() if i == q)[:3] == order
+
+
 def test_visited_buckets_find_nine_in_ten(spark):
     g = np.random.default_rng(3)
     centres = g.normal(size=(20, 32)) * 3

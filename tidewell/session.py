@@ -95,15 +95,16 @@ def kept_in_worker(key: str, make, most: int = 8):
     return held[key]
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where two branches must see the very same rows (range partition numbers,
     sampled bounds): a lost executor then re-reads files instead of re-sampling.
+    ``options`` are those of the Parquet writer.
     """
     spark = df.sparkSession
     path = new_folder(spark, "rows")
-    df.write.parquet(path)
+    df.write.options(**options or {}).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.settled_path = path
     return out
