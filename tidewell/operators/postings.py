@@ -10,6 +10,7 @@ from __future__ import annotations
 from array import array
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator, Sequence
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +48,10 @@ def _short(values: np.ndarray) -> bytes:
     return values.astype(np.min_scalar_type(values.max())).tobytes()
 
 
-def _long(data: pa.BinaryScalar, count: int) -> np.ndarray:
-    """Numbers of ``_short``, ``count`` of them."""
+def _long(data: pa.BinaryScalar, most: int) -> np.ndarray:
+    """The ``most`` numbers that ``_short`` was given."""
     raw = data.as_buffer()
-    return np.frombuffer(raw, f"u{raw.size // count}")
+    return np.frombuffer(raw, f"u{raw.size // most}")
 
 
 class Packer:
@@ -62,8 +63,7 @@ class Packer:
 
     def _clear(self) -> None:
         self.docs, self.sizes, self.counts = [], array("q"), array("q")
-        self.code: defaultdict[str, int] = defaultdict()
-        self.code.default_factory = self.code.__len__
+        self.code: defaultdict[str, int] = defaultdict(count().__next__)
         self.codes, self.tf = array("i"), array("q")
 
     def _hold(self, doc, terms: Sequence[str], tf: Sequence[int], size: int) -> None:
@@ -177,8 +177,8 @@ class Segment:
         of = {name: batch.column(name)[number] for name in ("whole", "docs", "sizes", "terms", "held", "places", "tf")}
         self.whole, self.docs, self.terms = of["whole"].as_py(), of["docs"].values, of["terms"].values
         self.held = of["held"].values.to_numpy()
-        count = int(self.held.sum())
-        self._places, self._tf = _long(of["places"], count), _long(of["tf"], count)
+        postings = int(self.held.sum())
+        self._places, self._tf = _long(of["places"], postings), _long(of["tf"], postings)
         self._sizes, self._reach = _long(of["sizes"], len(self.docs)).astype(np.float64), reach
 
     @property
